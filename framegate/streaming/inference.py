@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from framegate.config import DriftConfig
+from framegate.functions.longform import scalar_struct
 from framegate.functions.nulls import holds, ratio
 from framegate.functions.status import overall
 from framegate.operators.anomaly import Bounds, flag_outliers
@@ -118,8 +119,9 @@ def drift_per_batch(
             tests, summary = dataset_drift(reference.select(*columns), rows)
             changes.write.mode("overwrite").parquet(f"{sink}/profile/batch={batch_id}")
             tests.write.mode("overwrite").parquet(f"{sink}/tests/batch={batch_id}")
-            # One row each.
-            gate.join(summary, how="cross").write.mode("overwrite").parquet(f"{sink}/summary/batch={batch_id}")
+            s = scalar_struct(summary)
+            whole = gate.select("*", *[s[c].alias(c) for c in summary.columns])
+            whole.write.mode("overwrite").parquet(f"{sink}/summary/batch={batch_id}")
         finally:
             rows.unpersist()
 
