@@ -174,11 +174,11 @@ def best_threshold(spark, d):
     return rounded(evaluation.best_threshold(sweep, "balanced_accuracy"), 9)
 
 
-def _ranking_sql(source: str, y: str, p: str, digits: int = 9) -> str:
-    return f"""g AS (SELECT {p} AS s, SUM({y}) AS pos, SUM(1 - {y}) AS neg FROM {source} GROUP BY {p}),
-w AS (SELECT *, SUM(neg) OVER (ORDER BY s) - neg AS below, SUM(pos) OVER (ORDER BY s DESC) AS tp, SUM(neg) OVER (ORDER BY s DESC) AS fp,
-  SUM(pos) OVER () AS np, SUM(neg) OVER () AS nn FROM g),
-rank_measures AS (SELECT SUM(pos * (below + neg / 2)) / ANY_VALUE(np * nn) AS roc_auc, SUM(pos / np * (tp / (tp + fp))) AS average_precision FROM w)"""
+def _ranking_sql(source: str, y: str, p: str, n: str = "") -> str:
+    return f"""g{n} AS (SELECT {p} AS s, SUM({y}) AS pos, SUM(1 - {y}) AS neg FROM {source} GROUP BY {p}),
+w{n} AS (SELECT *, SUM(neg) OVER (ORDER BY s) - neg AS below, SUM(pos) OVER (ORDER BY s DESC) AS tp, SUM(neg) OVER (ORDER BY s DESC) AS fp,
+  SUM(pos) OVER () AS np, SUM(neg) OVER () AS nn FROM g{n}),
+rank_measures{n} AS (SELECT SUM(pos * (below + neg / 2)) / ANY_VALUE(np * nn) AS roc_auc, SUM(pos / np * (tp / (tp + fp))) AS average_precision FROM w{n})"""
 
 
 @query(
@@ -292,11 +292,11 @@ def metric_decay(spark, d):
     "best_candidate",
     f"WITH {FLAGGED}, "
     + ", ".join(
-        _ranking_sql("flagged", "y", c).replace("g AS", f"g{i} AS").replace("FROM g)", f"FROM g{i})").replace("w AS", f"w{i} AS").replace("FROM w)", f"FROM w{i})").replace("rank_measures", f"rm{i}")
+        _ranking_sql("flagged", "y", c, str(i))
         for i, c in enumerate(MEASURES)
     )
     + ", s AS ("
-    + " UNION ALL ".join(f"SELECT {i} AS position, '{c}' AS name, roc_auc AS score FROM rm{i}" for i, c in enumerate(MEASURES))
+    + " UNION ALL ".join(f"SELECT {i} AS position, '{c}' AS name, roc_auc AS score FROM rank_measures{i}" for i, c in enumerate(MEASURES))
     + ") SELECT position, name, ROUND(score, 9) AS score FROM s ORDER BY s.score DESC, position LIMIT 1",
 )
 def best_candidate(spark, d):

@@ -153,8 +153,10 @@ def _ks_one(reference: DataFrame, current: DataFrame, c: str) -> DataFrame:
     gap = F.abs(
         F.try_divide(F.col("a_before") + F.col("a"), t["na"]) - F.try_divide(F.col("b_before") + F.col("b"), t["nb"])
     )
-    worst = ran.agg(F.max(gap).alias("statistic"))
-    size = t["na"] * t["nb"] / (t["na"] + t["nb"])
+    worst = ran.select("a", "b", gap.alias("gap")).agg(
+        F.max("gap").alias("statistic"), F.sum("a").alias("na"), F.sum("b").alias("nb")
+    )
+    size = F.col("na") * F.col("nb") / (F.col("na") + F.col("nb"))
     return worst.select(
         F.lit(c).alias("feature"), "statistic", kolmogorov_tail(F.sqrt(size) * F.col("statistic")).alias("p_value")
     ).withColumn("drifted", F.col("p_value") < KS_ALPHA)
@@ -182,7 +184,7 @@ def category_psi(reference: DataFrame, current: DataFrame, columns: Sequence[str
         p = F.greatest(F.try_divide(F.col("a"), t["na"]), F.lit(floor))
         q = F.greatest(F.try_divide(F.col("b"), t["nb"]), F.lit(floor))
         tables.append(
-            counts.agg(F.sum((q - p) * F.ln(q / p)).alias("statistic")).select(
+            counts.select(p.alias("p"), q.alias("q")).agg(F.sum((F.col("q") - F.col("p")) * F.ln(F.col("q") / F.col("p"))).alias("statistic")).select(
                 F.lit(c).alias("feature"), "statistic", F.lit(None).cast("double").alias("p_value")
             ).withColumn("drifted", F.col("statistic") >= PSI_LIMIT)
         )

@@ -64,18 +64,22 @@ def threshold_sweep(df: DataFrame, label: str, score: str, n_thresholds: int = 1
     bucket = F.greatest(F.least(reached, F.lit(n_thresholds - 1)), F.lit(-1)).cast("int")
     rows = df.select(col(score).cast("double").alias("s"), col(label).alias("y")).filter("s is not null and y in (0, 1)")
     counts = rows.groupBy(bucket.alias("i")).agg(F.sum(F.col("y")).alias("pos"), F.sum(1 - F.col("y")).alias("neg"))
-    totals = scalar_struct(counts.agg(F.coalesce(F.sum("pos"), F.lit(0)).alias("p"), F.coalesce(F.sum("neg"), F.lit(0)).alias("n")))
-    grid = df.sparkSession.range(n_thresholds).select(F.col("id").cast("int").alias("i"))
-    # n_thresholds rows from here on
+    # n_thresholds + 1 rows from here on; row -1 holds scores below every threshold.
+    grid = df.sparkSession.range(-1, n_thresholds).select(F.col("id").cast("int").alias("i"))
     above = Window.orderBy(F.desc("i")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    everything = Window.orderBy(F.desc("i")).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    pos, neg = F.coalesce("pos", F.lit(0)), F.coalesce("neg", F.lit(0))
     swept = (
         grid.join(F.broadcast(counts), "i", "left")
         .select(
             "i",
-            F.sum(F.coalesce("pos", F.lit(0))).over(above).cast("bigint").alias("tp"),
-            F.sum(F.coalesce("neg", F.lit(0))).over(above).cast("bigint").alias("fp"),
+            F.sum(pos).over(above).alias("tp"),
+            F.sum(neg).over(above).alias("fp"),
+            (F.sum(pos).over(everything) - F.sum(pos).over(above)).alias("fn"),
+            (F.sum(neg).over(everything) - F.sum(neg).over(above)).alias("tn"),
         )
-        .withColumns({"fn": (totals["p"] - F.col("tp")).cast("bigint"), "tn": (totals["n"] - F.col("fp")).cast("bigint")})
+        .filter("i >= 0")
+        .withColumns({c: F.col(c).cast("bigint") for c in COUNTS})
     )
     measures = label_measures(*[F.col(c) for c in COUNTS])
     return swept.select(
@@ -112,18 +116,18 @@ def score_counts(df: DataFrame, label: str, score: str) -> DataFrame:
 
 
 def ranking_from_counts(counts: DataFrame) -> DataFrame:
-    ran = running_totals(counts, "s", ["pos", "neg"])
-    t = scalar_struct(counts.agg(F.sum("pos").alias("p"), F.sum("neg").alias("n")))
-    # Counts of rows at or above the current score
-    tp, fp = t["p"] - F.col("pos_before"), t["n"] - F.col("neg_before")
+    """From the best score down: `_before` counts the rows with a better score."""
+    ran = running_totals(counts.withColumn("from_top", -F.col("s")), "from_top", ["pos", "neg"])
+    tp, fp = (F.col("pos_before") + F.col("pos")).cast("double"), (F.col("neg_before") + F.col("neg")).cast("double")
     pos = F.col("pos").cast("double")
+    pairs = F.col("p").cast("double") * F.col("n").cast("double")
     return ran.agg(
-        F.sum(pos * (F.col("neg_before") + F.col("neg") / 2)).alias("wins"),
-        F.sum(pos * F.try_divide(tp.cast("double"), (tp + fp).cast("double"))).alias("steps"),
+        F.sum(pos * (F.col("neg_before") + F.col("neg") / 2)).alias("losses"),
+        F.sum(pos * F.try_divide(tp, tp + fp)).alias("steps"),
         F.sum("pos").alias("p"),
         F.sum("neg").alias("n"),
     ).select(
-        F.try_divide(F.col("wins"), F.col("p").cast("double") * F.col("n").cast("double")).alias("roc_auc"),
+        (1 - F.try_divide(F.col("losses"), pairs)).alias("roc_auc"),
         ratio(F.col("steps"), F.col("p")).alias("average_precision"),
     )
 

@@ -90,13 +90,18 @@ def yeo_johnson(c: Column, lam: float) -> Column:
 
     Each branch is fed with operands of its own sign only, so neither ever leaves its domain.
     """
+    return _yeo_johnson(c, F.lit(float(lam)))
+
+
+def _yeo_johnson(c: Column, lam: Column) -> Column:
     up, down = F.greatest(c, F.lit(0.0)), F.greatest(-c, F.lit(0.0))
     return F.when(c >= 0, _box(up, lam)).when(c < 0, -_box(down, 2 - lam))
 
 
-def _box(v: Column, power: float) -> Column:
+def _box(v: Column, power: Column) -> Column:
     """((v + 1)^power - 1) / power, the logarithm at power 0."""
-    return F.log1p(v) if abs(power) < 1e-12 else (F.pow(v + 1, F.lit(float(power))) - 1) / F.lit(float(power))
+    flat = F.abs(power) < 1e-12
+    return F.when(flat, F.log1p(v)).otherwise(F.try_divide(F.pow(v + 1, power) - 1, power))
 
 
 def fit_yeo_johnson(
@@ -104,30 +109,32 @@ def fit_yeo_johnson(
 ) -> dict[str, float]:
     """Maximum-likelihood parameter per column by repeated grid search, all columns per scan.
 
-    Every round scores the same number of parameters for every column in one aggregation and
-    narrows to the neighbours of the best one: five scans to reach the precision.
+    Every round scores the same number of parameters for every column in one aggregation, which
+    combines columns × parameters groups on the map side, and narrows to the neighbours of the
+    best one: five scans to reach the precision.
     """
-    bounds = {c: (low, high) for c in columns}
+    v, i = F.col("v"), F.col("i")
+    long = df.select(
+        F.stack(F.lit(len(columns)), *[x for j, c in enumerate(columns) for x in (F.lit(j), double_value(df, c))]).alias("i", "v")
+    ).filter("v is not null")
+    fixed = {
+        r["i"]: r
+        for r in long.groupBy("i").agg(F.count("v").alias("n"), F.sum(F.signum(v) * F.log1p(F.abs(v))).alias("logs")).collect()
+    }
+    bounds = [(low, high)] * len(columns)
     while True:
-        grids = {c: [a + (b - a) * i / (grid - 1) for i in range(grid)] for c, (a, b) in bounds.items()}
-        aggs = []
-        for j, c in enumerate(columns):
-            v = double_value(df, c)
-            aggs += [
-                F.count(v).alias(f"n{j}"),
-                F.sum(F.signum(v) * F.log1p(F.abs(v))).alias(f"s{j}"),
-                *[F.var_pop(yeo_johnson(v, lam)).alias(f"v{j}_{i}") for i, lam in enumerate(grids[c])],
-            ]
-        row = df.agg(*aggs).first()
-        best: dict[str, int] = {}
-        for j, c in enumerate(columns):
-            scores = [_log_likelihood(row[f"n{j}"], row[f"v{j}_{i}"], row[f"s{j}"], lam) for i, lam in enumerate(grids[c])]
-            best[c] = max(range(grid), key=lambda i: scores[i])
-        step = {c: (b - a) / (grid - 1) for c, (a, b) in bounds.items()}
-        centre = {c: grids[c][best[c]] for c in columns}
-        if max(step.values()) <= precision:
-            return centre
-        bounds = {c: (max(low, centre[c] - step[c]), min(high, centre[c] + step[c])) for c in columns}
+        grids = [[a + (b - a) * g / (grid - 1) for g in range(grid)] for a, b in bounds]
+        tried = F.posexplode(F.array(*[F.array(*[F.lit(x) for x in g]) for g in grids])[i]).alias("g", "lam")
+        spread = long.select("i", "v", tried).groupBy("i", "g").agg(F.var_pop(_yeo_johnson(v, F.col("lam"))).alias("var"))
+        scores = [[-math.inf] * grid for _ in columns]
+        for r in spread.collect():
+            at = fixed[r["i"]]
+            scores[r["i"]][r["g"]] = _log_likelihood(at["n"], r["var"], at["logs"], grids[r["i"]][r["g"]])
+        centre = [g[max(range(grid), key=lambda k: score[k])] for g, score in zip(grids, scores)]
+        step = [(b - a) / (grid - 1) for a, b in bounds]
+        if max(step) <= precision:
+            return dict(zip(columns, centre))
+        bounds = [(max(low, m - s), min(high, m + s)) for m, s in zip(centre, step)]
 
 
 def _log_likelihood(n: int, variance: float | None, signed_logs: float | None, lam: float) -> float:

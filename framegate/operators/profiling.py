@@ -170,15 +170,15 @@ def zscore_rates(df: DataFrame, columns: Sequence[str] | None = None, cfg: StatC
         ]
     )
     s = scalar_struct(stats)
-    index = {c: i for i, c in enumerate(columns)}
 
-    def rate(c: str) -> Column:
-        i, v = index[c], double_value(df, c)
+    def beyond(i: int, c: str) -> Column:
+        v = double_value(df, c)
         z = F.abs(F.try_divide(v - s[f"mean{i}"], s[f"std{i}"]))
         usable = (s[f"n{i}"] >= cfg.zscore_min_rows) & (s[f"std{i}"] > 0)
-        return F.avg(F.when(v.isNotNull() & usable, (z > cfg.zscore).cast("double")))
+        return F.when(v.isNotNull() & usable, (z > cfg.zscore).cast("double")).alias(c)
 
-    return summarise(df, columns, {"outlier_rate": rate}).filter("outlier_rate is not null")
+    marked = df.select(*[beyond(i, c) for i, c in enumerate(columns)])
+    return summarise(marked, columns, {"outlier_rate": lambda c: F.avg(col(c))}).filter("outlier_rate is not null")
 
 
 def stat_checks(
