@@ -38,9 +38,7 @@ def profile_drift(current: DataFrame, baseline: DataFrame, cfg: DriftConfig = Dr
     )
 
 
-def drift_state(
-    spark, enabled: bool, has_profile: bool, baseline_path: str | None, baseline: DataFrame | None
-) -> str:
+def drift_state(enabled: bool, has_profile: bool, baseline_path: str | None, has_baseline: bool) -> str:
     """Which of the five outcomes a drift step has: only `compared` runs a comparison."""
     if not enabled:
         return "disabled"
@@ -48,7 +46,7 @@ def drift_state(
         return "skipped_no_profile"
     if not baseline_path:
         return "skipped_no_path"
-    return "compared" if baseline is not None else "no_baseline"
+    return "compared" if has_baseline else "no_baseline"
 
 
 def distribution_shift(baseline: DataFrame, current: DataFrame) -> DataFrame:

@@ -190,6 +190,13 @@ def guard_leakage(df: DataFrame, cfg: LeakageConfig) -> DataFrame:
     report = leakage_report(df, cfg).first()
     if report["status"] == FAIL:
         raise GateError("Leakage guard failed:\n- " + "\n- ".join(report["details"]))
+    return without_leaks(df, cfg)
+
+
+def without_leaks(df: DataFrame, cfg: LeakageConfig) -> DataFrame:
+    """The table without id and forbidden columns; no check is run."""
+    if not cfg.enabled:
+        return df
     drop = [c for c in (cfg.id_cols if cfg.drop_id_cols else ()) if c != cfg.target]
     drop += [c for c in cfg.forbidden if c != cfg.target]
     return df.select(*[col(c) for c in df.columns if c not in drop])
