@@ -21,7 +21,8 @@ from framegate.session import checkpoint
 # Points that may be sent to every executor, and numbers they may hold together (40 MB).
 BROADCAST_POINTS = 50_000
 BROADCAST_NUMBERS = 5_000_000
-MAX_PIVOTS = 4096
+# Pivots are drawn from the points, so dense regions get more of them and shards stay even.
+MAX_PIVOTS = 65_536
 SHARD_POINTS = 20_000
 PAIR_BLOCK = 2_000_000
 
@@ -85,19 +86,22 @@ def _by_shards(points: DataFrame, k: int, n: int, shard_points: int) -> DataFram
     drawn = points.orderBy(F.xxhash64("key"), "key").limit(pivots).select("vec").collect()
     centres = points.sparkSession.sparkContext.broadcast(np.array([r["vec"] for r in drawn], dtype=float))
 
-    def distances(vectors: pd.Series) -> np.ndarray:
-        x = _matrix(vectors)
-        squared = np.zeros((len(x), len(centres.value)))
-        for j in range(x.shape[1]):
-            squared += (x[:, j, None] - centres.value[None, :, j]) ** 2
-        return np.sqrt(squared)
+    def distances(vectors: pd.Series) -> Iterator[tuple[slice, np.ndarray]]:
+        """Distances to all pivots, a block of rows at a time."""
+        x, pivot = _matrix(vectors), centres.value
+        step = max(1, PAIR_BLOCK // len(pivot))
+        for start in range(0, len(x), step):
+            block = slice(start, start + step)
+            squared = np.zeros((len(x[block]), len(pivot)))
+            for j in range(x.shape[1]):
+                squared += (x[block, j, None] - pivot[None, :, j]) ** 2
+            yield block, np.sqrt(squared)
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            if len(batch):
-                d = distances(batch["vec"])
+            for block, d in distances(batch["vec"]) if len(batch) else ():
                 cell = d.argmin(axis=1)
-                yield batch.assign(cell=cell.astype("int32"), gap=d[np.arange(len(d)), cell])
+                yield batch.iloc[block].assign(cell=cell.astype("int32"), gap=d[np.arange(len(d)), cell])
 
     celled = checkpoint(points.select("key", "vec").mapInPandas(assign, "key bigint, vec array<double>, cell int, gap double"))
     cells = {r["cell"]: r for r in celled.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("gap").alias("radius")).collect()}
@@ -117,22 +121,24 @@ def _by_shards(points: DataFrame, k: int, n: int, shard_points: int) -> DataFram
     known = sharded.join(reach, "key", "left").fillna(float("inf"), ["reach"])
 
     def probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        order = sorted(shards)
+        order = np.array(sorted(shards))
         radii = np.array([radius[c] for c in order])
+        parts = np.array([shards[c] for c in order])
         for batch in batches:
-            if not len(batch):
-                continue
-            # A hair of slack keeps rounding from closing a shard too early.
-            open_ = distances(batch["vec"])[:, order] - radii[None, :] <= batch["reach"].to_numpy()[:, None] * (1 + 1e-9) + 1e-12
-            out = []
-            for (i, j) in np.argwhere(open_):
-                row = batch.iloc[i]
-                for s in range(shards[order[j]]):
-                    if (order[j], s) != (row["cell"], row["shard"]):
-                        out.append((row["key"], row["vec"], order[j], s))
-            yield pd.DataFrame(out, columns=["key", "vec", "cell", "shard"])
-
-    probes = known.mapInPandas(probe, "key bigint, vec array<double>, cell int, shard int")
+            for block, d in distances(batch["vec"]) if len(batch) else ():
+                rows = batch.iloc[block]
+                reach_ = rows["reach"].to_numpy()[:, None]
+                # A hair of slack keeps rounding from closing a shard too early. Where the k-th
+                # distance is 0 (copies of one point) nothing can be nearer.
+                open_ = (d[:, order] - radii[None, :] <= reach_ * (1 + 1e-9) + 1e-12) & (reach_ > 0)
+                i, j = np.nonzero(open_)
+                point, cell = np.repeat(i, parts[j]), np.repeat(j, parts[j])
+                shard = np.concatenate([np.arange(n) for n in parts[j]]) if len(j) else np.array([], dtype=int)
+                found = rows.iloc[point][["key", "vec"]].assign(cell=order[cell].astype("int32"), shard=shard.astype("int32"))
+                own = (found["cell"].to_numpy() == rows["cell"].to_numpy()[point]) & (shard == rows["shard"].to_numpy()[point])
+                yield found[~own]
+
+    probes = checkpoint(known.mapInPandas(probe, "key bigint, vec array<double>, cell int, shard int"))
     # Many points may ask for one shard: their groups are cut, and the shard is copied for each.
     load = probes.groupBy("cell", "shard").agg(F.count(F.lit(1)).alias("asked")).select(
         "cell", "shard", F.ceil(F.col("asked") / shard_points).cast("int").alias("copies")

@@ -12,9 +12,13 @@ NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType
 FRACTIONAL_TYPES = (T.FloatType, T.DoubleType)
 
 
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def col(name: str) -> Column:
     """Column by its literal name (names may hold blanks, dots or `%`)."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(quoted(name))
 
 
 def is_numeric(dtype: T.DataType) -> bool:
@@ -34,10 +38,9 @@ def require_columns(df: DataFrame, names: Sequence[str], what: str = "columns")
 
 def clean_value(df: DataFrame, name: str) -> Column:
     """The column with NaN read as missing; untouched for types that cannot hold NaN."""
-    c = col(name)
     if isinstance(df.schema[name].dataType, FRACTIONAL_TYPES):
-        return F.when(~F.isnan(c), c)
-    return c
+        return F.expr(f"nullif({quoted(name)}, double('NaN'))")
+    return col(name)
 
 
 def double_value(df: DataFrame, name: str) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from framegate.config import AnomalyConfig
-from framegate.functions.longform import rows_from, summarise
+from framegate.functions.longform import number, rows_from, summarise, text
 from framegate.functions.nulls import col, double_value, holds, numeric_columns
 from framegate.functions.quantiles import column_extent, exact_quantiles
 from framegate.functions.status import level
@@ -63,12 +63,7 @@ def outlier_rates(df: DataFrame, bounds: Bounds) -> DataFrame:
     return rows_from(
         rates,
         [
-            {
-                "feature": F.lit(c),
-                "low": F.lit(float(lo)),
-                "high": F.lit(float(hi)),
-                "outlier_rate": F.coalesce(F.col(f"r{i}"), F.lit(0.0)),
-            }
+            {"feature": text(c), "low": number(lo), "high": number(hi), "outlier_rate": f"coalesce(r{i}, 0D)"}
             for i, (c, (lo, hi)) in enumerate(bounds.items())
         ],
     )

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from framegate.config import ColumnContract, Roles, ValidationConfig
-from framegate.functions.longform import rows_from
+from framegate.functions.longform import rows_from, text
 from framegate.functions.nulls import clean_value, col, holds, is_numeric
 from framegate.functions.status import FAIL, PASS, enforce
 
@@ -149,8 +149,7 @@ def _violation_table(df: DataFrame, key: str, counts: Mapping[str, Column]) -> D
         return df.sparkSession.createDataFrame([], f"{key} string, violations bigint, status string, message string")
     wide = df.agg(*[counts[n].alias(f"v{i}") for i, n in enumerate(names)])
     long = rows_from(
-        wide,
-        [{key: F.lit(n), "violations": F.coalesce(F.col(f"v{i}"), F.lit(0)).cast("bigint")} for i, n in enumerate(names)],
+        wide, [{key: text(n), "violations": f"coalesce(cast(v{i} as bigint), 0L)"} for i, n in enumerate(names)]
     )
     broken = F.col("violations") > 0
     return long.select(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from framegate.config import CorrelationConfig
 from framegate.functions.cumulative import running_totals
-from framegate.functions.longform import rows_from
+from framegate.functions.longform import rows_from, text
 from framegate.functions.nulls import col, double_value, numeric_columns
 from framegate.functions.status import level
 
@@ -22,8 +22,7 @@ PAIR_SCHEMA = "feature_a string, feature_b string, corr double"
 
 def pair_correlation(a: Column, b: Column) -> Column:
     """Pearson over rows where both are present; NULL instead of an error for a constant column."""
-    both = a.isNotNull() & b.isNotNull()
-    x, y = F.when(both, a), F.when(both, b)
+    x, y = F.when(b.isNotNull(), a), F.when(a.isNotNull(), b)
     r = F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
     return F.when((F.min(x) < F.max(x)) & (F.min(y) < F.max(y)), r)
 
@@ -44,18 +43,19 @@ def _pairs(df: DataFrame, pairs: Sequence[tuple[str, str]], values: Mapping[str,
         parts.append(
             rows_from(
                 wide,
-                [{"feature_a": F.lit(a), "feature_b": F.lit(b), "corr": F.col(f"r{i}")} for i, (a, b) in enumerate(chunk)],
+                [{"feature_a": text(a), "feature_b": text(b), "corr": f"r{i}"} for i, (a, b) in enumerate(chunk)],
             )
         )
     return reduce(DataFrame.unionByName, parts)
 
 
-def average_ranks(df: DataFrame, column: str) -> DataFrame:
-    """(value, rank): 1-based rank of every distinct value, ties sharing their mean rank."""
-    counts = df.select(double_value(df, column).alias("value")).filter("value is not null").groupBy("value").agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    return running_totals(counts, "value", ["n"]).select(
+# Rows of a rank table that may be sent to every executor (16 bytes each).
+BROADCAST_RANKS = 1_000_000
+
+
+def average_ranks(counts: DataFrame, at_most: int | None = None) -> DataFrame:
+    """(value, rank) from (value, n): 1-based rank of every distinct value, ties sharing their mean rank."""
+    return running_totals(counts, "value", ["n"], at_most=at_most).select(
         "value", (F.col("n_before") + (F.col("n") + 1) / 2).alias("rank")
     )
 
@@ -63,31 +63,61 @@ def average_ranks(df: DataFrame, column: str) -> DataFrame:
 def spearman_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rank correlation of every pair over the rows where both values are present.
 
-    Ranks come from a table of distinct values, joined back on the value (sort-merge, where
-    adaptive execution splits a hot value). Columns without missing values share one ranking;
-    a pair with missing values is ranked on its own complete rows.
+    Columns without missing values share one ranking: tables of distinct values with their mean
+    rank, joined back on the value. A pair with missing values is ranked on its own complete
+    rows; these are counted per pair of values first, so repeated pairs travel once. Rank tables
+    are broadcast only where the number of rows bounds their size; otherwise the joins are
+    sort-merge joins, in which adaptive execution splits a hot value.
     """
-    counts = df.agg(F.count(F.lit(1)).alias("n"), *[F.count(double_value(df, c)).alias(f"n{i}") for i, c in enumerate(columns)]).first()
-    complete = [c for i, c in enumerate(columns) if counts[f"n{i}"] == counts["n"]]
+    sizes = df.agg(
+        F.count(F.lit(1)).alias("rows"), *[F.count(double_value(df, c)).alias(f"n{i}") for i, c in enumerate(columns)]
+    ).first()
+    present = {c: sizes[f"n{i}"] for i, c in enumerate(columns)}
+    complete = [c for c in columns if present[c] == sizes["rows"]]
     parts = []
     if len(complete) > 1:
-        parts.append(_rank_correlations(df, complete, list(combinations(complete, 2))))
+        parts.append(_complete_ranks(df, complete, sizes["rows"]))
     for a, b in combinations(columns, 2):
-        if a in complete and b in complete:
-            continue
-        rows = df.filter(double_value(df, a).isNotNull() & double_value(df, b).isNotNull())
-        parts.append(_rank_correlations(rows, [a, b], [(a, b)]))
+        if a not in complete or b not in complete:
+            parts.append(_ranked_pair(df, a, b, min(present[a], present[b])))
     if not parts:
         return df.sparkSession.createDataFrame([], PAIR_SCHEMA)
     return reduce(DataFrame.unionByName, parts)
 
 
-def _rank_correlations(df: DataFrame, columns: Sequence[str], pairs) -> DataFrame:
+def _bounded(table: DataFrame, at_most: int) -> DataFrame:
+    return F.broadcast(table) if at_most <= BROADCAST_RANKS else table
+
+
+def _complete_ranks(df: DataFrame, columns: Sequence[str], rows: int) -> DataFrame:
     ranked = df.select(*[double_value(df, c).alias(f"v{i}") for i, c in enumerate(columns)])
     for i, c in enumerate(columns):
-        ranks = average_ranks(df, c).select(F.col("value").alias(f"v{i}"), F.col("rank").alias(f"r{i}"))
-        ranked = ranked.join(ranks, f"v{i}").drop(f"v{i}")
-    return _pairs(ranked, pairs, {c: F.col(f"r{i}") for i, c in enumerate(columns)})
+        counts = df.select(double_value(df, c).alias("value")).groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+        ranks = average_ranks(counts, rows).select(F.col("value").alias(f"v{i}"), F.col("rank").alias(f"r{i}"))
+        ranked = ranked.join(_bounded(ranks, rows), f"v{i}").drop(f"v{i}")
+    return _pairs(ranked, list(combinations(columns, 2)), {c: F.col(f"r{i}") for i, c in enumerate(columns)})
+
+
+def _ranked_pair(df: DataFrame, a: str, b: str, rows: int) -> DataFrame:
+    cells = (
+        df.select(double_value(df, a).alias("a"), double_value(df, b).alias("b"))
+        .filter("a is not null and b is not null")
+        .groupBy("a", "b")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    ranked = cells
+    for c in ("a", "b"):
+        counts = cells.groupBy(F.col(c).alias("value")).agg(F.sum("n").alias("n"))
+        ranks = average_ranks(counts, rows).select(F.col("value").alias(c), F.col("rank").alias(f"r{c}"))
+        ranked = ranked.join(_bounded(ranks, rows), c)
+    n, x, y = F.col("n").cast("double"), F.col("ra"), F.col("rb")
+    s = ranked.agg(
+        F.sum(n).alias("n"), F.sum(n * x).alias("x"), F.sum(n * y).alias("y"), F.sum(n * x * y).alias("xy"),
+        F.sum(n * x * x).alias("xx"), F.sum(n * y * y).alias("yy"),
+    )
+    spread = lambda c: f"greatest(n * {c}{c} - {c} * {c}, 0D)"
+    corr = f"try_divide(n * xy - x * y, sqrt({spread('x')}) * sqrt({spread('y')}))"
+    return s.selectExpr(f"{text(a)} AS feature_a", f"{text(b)} AS feature_b", f"{corr} AS corr")
 
 
 def correlation_pairs(df: DataFrame, cfg: CorrelationConfig = CorrelationConfig()) -> DataFrame:

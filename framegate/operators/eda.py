@@ -51,8 +51,7 @@ def class_histograms(
         .agg(F.count(F.lit(1)).alias("n"))
     )
     totals = counts.groupBy("feature", "label").agg(F.sum("n").alias("total"))
-    # features × labels rows
-    shares = with_edges(counts, plan).join(F.broadcast(totals), ["feature", "label"])
+    shares = with_edges(counts, plan).join(totals, ["feature", "label"])
     return shares.withColumn("density", F.col("n") / F.col("total")).drop("total")
 
 
@@ -210,10 +209,10 @@ def binned_mutual_information(
     by_bin = cell.groupBy("feature", "value").agg(F.sum("n").alias("n_bin"))
     by_class = cell.groupBy("feature", "y").agg(F.sum("n").alias("n_class"))
     total = cell.groupBy("feature").agg(F.sum("n").alias("n_all"))
-    # All four tables are contingency counts: features × bins × classes rows at most.
+    # Contingency counts only; their size depends on the number of classes, so joins are left to the planner.
     joined = (
-        cell.join(F.broadcast(by_bin), ["feature", "value"])
-        .join(F.broadcast(by_class), ["feature", "y"])
+        cell.join(by_bin, ["feature", "value"])
+        .join(by_class, ["feature", "y"])
         .join(F.broadcast(total), "feature")
     )
     term = F.col("n") / F.col("n_all") * F.ln(F.col("n") * F.col("n_all") / (F.col("n_bin") * F.col("n_class")))

@@ -130,7 +130,13 @@ def logged_features(events: DataFrame, features: Sequence[str], only_successful:
     return single.select(*[F.col("features")[f].alias(f) for f in features])
 
 
+MAX_FEATURE_NAMES = 10_000
+
+
 def logged_feature_names(events: DataFrame) -> list[str]:
     """Distinct payload keys in the log, for callers without a feature list."""
     names = events.filter(F.col("features").isNotNull()).select(F.explode(F.map_keys("features")).alias("k")).distinct()
-    return sorted(r["k"] for r in names.limit(10_000).collect())
+    found = names.limit(MAX_FEATURE_NAMES + 1).collect()
+    if len(found) > MAX_FEATURE_NAMES:
+        raise ValueError(f"The log holds more than {MAX_FEATURE_NAMES} feature names; pass the wanted ones")
+    return sorted(r["k"] for r in found)

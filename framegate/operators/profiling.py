@@ -154,31 +154,28 @@ def profile_summary(profile_table: DataFrame, columns: Sequence[str], digits: in
 def zscore_rates(df: DataFrame, columns: Sequence[str] | None = None, cfg: StatCheckConfig = StatCheckConfig()) -> DataFrame:
     """(feature, outlier_rate): share of |x - mean| / std above the limit, over non-missing values.
 
-    Two scans: means and deviations first, as a one-row subquery; then one count per column.
-    Columns with too few values or no spread give NULL and are left out of the checks.
+    Two scans: means and deviations first, three numbers per column, then one count per column.
+    Columns with too few values or no spread are left out of the table.
     """
     columns = list(columns or numeric_columns(df))
-    stats = df.agg(
-        *[
-            x
-            for i, c in enumerate(columns)
-            for x in (
-                F.avg(double_value(df, c)).alias(f"mean{i}"),
-                F.stddev_samp(double_value(df, c)).alias(f"std{i}"),
-                F.count(double_value(df, c)).alias(f"n{i}"),
-            )
-        ]
+    stats = summarise(
+        df,
+        columns,
+        {
+            "n": lambda c: F.count(double_value(df, c)),
+            "mean": lambda c: F.avg(double_value(df, c)),
+            "std": lambda c: F.stddev_samp(double_value(df, c)),
+        },
     )
-    s = scalar_struct(stats)
+    usable = {r["feature"]: r for r in stats.collect() if r["n"] >= cfg.zscore_min_rows and r["std"]}
+    if not usable:
+        return df.sparkSession.createDataFrame([], "feature string, outlier_rate double")
 
-    def beyond(i: int, c: str) -> Column:
-        v = double_value(df, c)
-        z = F.abs(F.try_divide(v - s[f"mean{i}"], s[f"std{i}"]))
-        usable = (s[f"n{i}"] >= cfg.zscore_min_rows) & (s[f"std{i}"] > 0)
-        return F.when(v.isNotNull() & usable, (z > cfg.zscore).cast("double")).alias(c)
+    def rate(c: str) -> Column:
+        z = F.abs((double_value(df, c) - F.lit(usable[c]["mean"])) / F.lit(usable[c]["std"]))
+        return F.avg((z > cfg.zscore).cast("double"))
 
-    marked = df.select(*[beyond(i, c) for i, c in enumerate(columns)])
-    return summarise(marked, columns, {"outlier_rate": lambda c: F.avg(col(c))}).filter("outlier_rate is not null")
+    return summarise(df, list(usable), {"outlier_rate": rate})
 
 
 def stat_checks(

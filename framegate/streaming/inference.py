@@ -43,14 +43,21 @@ def without_repeats(events: DataFrame, key: str = "request_id", delay: str = WAT
     return events.withWatermark("ts", delay).dropDuplicatesWithinWatermark([key])
 
 
-def minute_metrics(events: DataFrame, delay: str = WATERMARK, window: str = "1 minute", slide: str | None = None) -> DataFrame:
+def _watermarked(events: DataFrame, delay: str | None) -> DataFrame:
+    """A stream has one watermark: pass no delay where an earlier step has set it."""
+    return events.withWatermark("ts", delay) if delay else events
+
+
+def minute_metrics(
+    events: DataFrame, delay: str | None = WATERMARK, window: str = "1 minute", slide: str | None = None
+) -> DataFrame:
     """Requests, success rate, mean and p95 latency per tumbling or sliding window.
 
     The p95 is a bounded sketch: exact percentiles would keep every latency of a window in state.
     """
     ok = F.col("status") == "success"
     span = F.window("ts", window, slide) if slide else F.window("ts", window)
-    grouped = events.withWatermark("ts", delay).groupBy(span.alias("w"))
+    grouped = _watermarked(events, delay).groupBy(span.alias("w"))
     return grouped.agg(
         F.count(F.lit(1)).alias("requests"),
         F.count_if(holds(ok)).alias("successes"),
@@ -66,12 +73,12 @@ def minute_metrics(events: DataFrame, delay: str = WATERMARK, window: str = "1 m
     )
 
 
-def prediction_distribution(events: DataFrame, delay: str = WATERMARK, window: str = "1 hour") -> DataFrame:
+def prediction_distribution(events: DataFrame, delay: str | None = WATERMARK, window: str = "1 hour") -> DataFrame:
     """Count, positive rate, mean and p50/p90/p95 probability of successful single inferences per window."""
     single = events.filter("event_type = 'single_inference' and status = 'success'")
     points = F.percentile_approx("probability", [0.5, 0.9, 0.95], SKETCH_ACCURACY)
     return (
-        single.withWatermark("ts", delay)
+        _watermarked(single, delay)
         .groupBy(F.window("ts", window).alias("w"))
         .agg(
             F.count(F.lit(1)).alias("total_predictions"),
