@@ -363,7 +363,8 @@ _SMALL_FOREST = Candidate("forest", tuning.FOREST, {"n_estimators": 10, "max_dep
 
 @query("cross_validation")
 def cross_validation(spark, d):
-    result = tuning.cross_validate(_folded(spark, d), _setup(), _SMALL_FOREST, ["f1", "balanced_accuracy", "roc_auc"])
+    folds = tuning.prepare_folds(_folded(spark, d), _setup())
+    result = tuning.cross_validate(folds, _setup(), _SMALL_FOREST, ["f1", "balanced_accuracy", "roc_auc"])
     rows = [(m, i, v, result.means[m]) for m, vs in result.folds.items() for i, v in enumerate(vs)]
     return spark.createDataFrame(rows, "metric string, fold int, value double, mean double")
 
@@ -384,7 +385,7 @@ def model_selection(spark, d):
 def boosting_search(spark, d):
     space = {"n_estimators": (3, 5), "max_depth": (2, 3), "learning_rate": (0.05, 0.5)}
     found = tuning.random_search(
-        _folded(spark, d, 2), _setup(), Candidate("boost", tuning.BOOSTING), ["f1"], "f1", trials=2, space=space
+        tuning.prepare_folds(_folded(spark, d, 2), _setup()), _setup(), Candidate("boost", tuning.BOOSTING), ["f1"], "f1", trials=2, space=space
     )
     rows = [(k, float(v)) for k, v in found.candidate.params.items()] + [("f1", found.means["f1"])]
     return spark.createDataFrame(rows, "name string, value double")

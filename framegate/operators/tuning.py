@@ -4,16 +4,18 @@ from __future__ import annotations
 
 import random
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framegate.config import Candidate, SmoteConfig
@@ -23,6 +25,7 @@ from framegate.operators.evaluation import best_threshold, binary_measures, conf
 from framegate.operators.importance import MAX_DEPTH
 from framegate.operators.preparation import FittedTransforms, fit_transforms
 from framegate.operators.resampling import balancing_weights, smote
+from framegate.session import checkpoint
 
 FOREST, BALANCED_FOREST, BOOSTING = "random_forest", "balanced_random_forest", "gradient_boosting"
 
@@ -82,40 +85,68 @@ class TrainingSetup:
     scaler: str = "standard"
     smote: SmoteConfig = SmoteConfig()
     seed: int = 42
+    # Folds fitted side by side.
+    parallelism: int = 4
 
 
-def _fit_rows(train: DataFrame, setup: TrainingSetup, fitted: FittedTransforms, candidate: Candidate) -> DataFrame:
-    """Transformed, rebalanced and assembled training rows."""
+def _fit_rows(train: DataFrame, setup: TrainingSetup, fitted: FittedTransforms) -> DataFrame:
+    """Transformed, rebalanced and assembled training rows with a class-balancing weight."""
     shaped = fitted.apply(train)
     rows = smote(shaped, setup.label, fitted.columns(), setup.keys, setup.smote, setup.seed)
-    rows = rows.withColumn(setup.label, col(setup.label).cast("double"))
-    if candidate.kind == BALANCED_FOREST:
-        rows = balancing_weights(rows, setup.label)
-    return VectorAssembler(inputCols=fitted.columns(), outputCol="features").transform(rows)
+    rows = balancing_weights(rows.withColumn(setup.label, col(setup.label).cast("double")), setup.label)
+    assembled = VectorAssembler(inputCols=fitted.columns(), outputCol="features").transform(rows)
+    return assembled.select("features", col(setup.label), "weight")
+
+
+@dataclass(frozen=True)
+class PreparedFold:
+    """Training rows (rebalanced) and held-out rows of one fold, ready for any candidate."""
+
+    fold: int
+    train: DataFrame
+    held: DataFrame
 
 
-def fold_predictions(folded: DataFrame, setup: TrainingSetup, candidate: Candidate, fold: str = "fold") -> DataFrame:
-    """(fold, label, score, prediction) of every row, predicted by a model that never saw its fold.
+def prepare_folds(folded: DataFrame, setup: TrainingSetup, fold: str = "fold") -> list[PreparedFold]:
+    """Fit transforms and rebalance per fold, on the training rows of the fold only.
 
-    Transforms and rebalancing are fitted on the training rows of each fold only.
+    This does not depend on the candidate, so it is done once for a whole search; the rows are
+    checkpointed, and a lost executor does not bring the neighbour search back.
     """
     folds = sorted(r[0] for r in folded.select(fold).distinct().collect() if r[0] is not None)
-    parts = []
-    for i in folds:
+
+    def prepare(i: int) -> PreparedFold:
         train, held = folded.filter(col(fold) != i), folded.filter(col(fold) == i)
         fitted = fit_transforms(train, setup.features, setup.plan or None, setup.scaler)
-        model = make_estimator(candidate, setup.seed, setup.label).fit(_fit_rows(train, setup, fitted, candidate))
         assembled = VectorAssembler(inputCols=fitted.columns(), outputCol="features").transform(fitted.apply(held))
-        scored = model.transform(assembled.withColumn(setup.label, col(setup.label).cast("double")))
-        parts.append(
-            scored.select(
-                F.lit(i).alias("fold"),
-                col(setup.label).cast("int").alias("label"),
-                vector_to_array("probability")[1].alias("score"),
-                F.col("prediction").cast("int").alias("prediction"),
-            )
+        rows = assembled.select("features", col(setup.label).cast("double").alias(setup.label))
+        return PreparedFold(i, checkpoint(_fit_rows(train, setup, fitted)), checkpoint(rows))
+
+    return _in_threads(prepare, folds, setup.parallelism)
+
+
+def _in_threads(step, items, parallelism: int) -> list:
+    """Independent Spark jobs side by side, which fills a cluster when single jobs are small."""
+    if parallelism <= 1 or len(items) <= 1:
+        return [step(i) for i in items]
+    step = inheritable_thread_target(SparkSession.getActiveSession())(step)
+    with ThreadPoolExecutor(min(parallelism, len(items))) as pool:
+        return list(pool.map(step, items))
+
+
+def fold_predictions(prepared: Sequence[PreparedFold], setup: TrainingSetup, candidate: Candidate) -> DataFrame:
+    """(fold, label, score, prediction) of every row, predicted by a model that never saw its fold."""
+
+    def predict(p: PreparedFold) -> DataFrame:
+        scored = make_estimator(candidate, setup.seed, setup.label).fit(p.train).transform(p.held)
+        return scored.select(
+            F.lit(p.fold).alias("fold"),
+            col(setup.label).cast("int").alias("label"),
+            vector_to_array("probability")[1].alias("score"),
+            F.col("prediction").cast("int").alias("prediction"),
         )
-    return reduce(DataFrame.unionByName, parts)
+
+    return reduce(DataFrame.unionByName, _in_threads(predict, prepared, setup.parallelism))
 
 
 def fold_scores(predictions: DataFrame, metrics: Sequence[str]) -> dict[str, list[float | None]]:
@@ -142,17 +173,15 @@ class CvResult:
     variant: str
     folds: Mapping[str, Sequence[float | None]]
     means: Mapping[str, float | None]
+    predictions: DataFrame | None = None
 
 
 def cross_validate(
-    folded: DataFrame, setup: TrainingSetup, candidate: Candidate, metrics: Sequence[str], variant: str = "baseline"
+    prepared: Sequence[PreparedFold], setup: TrainingSetup, candidate: Candidate, metrics: Sequence[str], variant: str = "baseline"
 ) -> CvResult:
-    predicted = fold_predictions(folded, setup, candidate).persist()
-    try:
-        scores = fold_scores(predicted, metrics)
-    finally:
-        predicted.unpersist()
-    return CvResult(candidate, variant, scores, mean_scores(scores))
+    predicted = checkpoint(fold_predictions(prepared, setup, candidate))
+    scores = fold_scores(predicted, metrics)
+    return CvResult(candidate, variant, scores, mean_scores(scores), predicted)
 
 
 def draw_params(kind: str, rng: random.Random, space: Mapping[str, Sequence] | None = None) -> dict[str, object]:
@@ -167,7 +196,7 @@ def draw_params(kind: str, rng: random.Random, space: Mapping[str, Sequence] | N
 
 
 def random_search(
-    folded: DataFrame,
+    prepared: Sequence[PreparedFold],
     setup: TrainingSetup,
     candidate: Candidate,
     metrics: Sequence[str],
@@ -182,7 +211,7 @@ def random_search(
     best: CvResult | None = None
     for _ in range(max(1, trials)):
         params = {**candidate.params, **(draw_params(candidate.kind, rng, space) if trials else {})}
-        result = cross_validate(folded, setup, replace(candidate, params=params), metrics, "search")
+        result = cross_validate(prepared, setup, replace(candidate, params=params), metrics, "search")
         if best is None or (result.means[primary] or 0.0) > (best.means[primary] or 0.0):
             best = result
     return best
@@ -206,20 +235,19 @@ def select_model(
     trials: int = 0,
     space: Mapping[str, Mapping[str, Sequence]] | None = None,
 ) -> Selection:
-    """Cross-validate every candidate plain and searched, keep the first best, tune its threshold."""
+    """Cross-validate every candidate plain and searched, keep the first best, tune its threshold.
+
+    The threshold comes from the pooled out-of-fold scores of the chosen candidate.
+    """
     metrics = list(dict.fromkeys([primary, *metrics]))
+    prepared = prepare_folds(folded, setup)
     results: list[CvResult] = []
-    folded = folded.persist()
-    try:
-        for c in candidates:
-            results.append(cross_validate(folded, setup, c, metrics))
-            if trials:
-                results.append(random_search(folded, setup, c, metrics, primary, trials, (space or {}).get(c.kind)))
-        best = first_best(results, primary)
-        pooled = fold_predictions(folded, setup, best.candidate)
-        found = best_threshold(threshold_sweep(pooled, "label", "score"), threshold_metric).first()
-    finally:
-        folded.unpersist()
+    for c in candidates:
+        results.append(cross_validate(prepared, setup, c, metrics))
+        if trials:
+            results.append(random_search(prepared, setup, c, metrics, primary, trials, (space or {}).get(c.kind)))
+    best = first_best(results, primary)
+    found = best_threshold(threshold_sweep(best.predictions, "label", "score"), threshold_metric).first()
     return Selection(best, found["threshold"], found["score"], tuple(results))
 
 
@@ -243,7 +271,7 @@ def train_final(
     """
     fitted = fit_transforms(train, setup.features, setup.plan or None, setup.scaler)
     plain = replace(setup, smote=replace(setup.smote, enabled=rebalance and setup.smote.enabled))
-    model = make_estimator(candidate, setup.seed, setup.label).fit(_fit_rows(train, plain, fitted, candidate))
+    model = make_estimator(candidate, setup.seed, setup.label).fit(_fit_rows(train, plain, fitted))
     assembler = VectorAssembler(inputCols=fitted.columns(), outputCol="features", handleInvalid="keep")
     return PipelineModel(stages=[SQLTransformer(statement=fitted.statement()), assembler, model])
 
@@ -285,5 +313,5 @@ def search_then_refit(
     space: Mapping[str, Sequence] | None = None,
 ) -> tuple[CvResult, PipelineModel]:
     """Search, cross-validate the best parameters, refit on all rows."""
-    best = random_search(folded, setup, candidate, metrics, primary, trials, space)
+    best = random_search(prepare_folds(folded, setup), setup, candidate, metrics, primary, trials, space)
     return best, train_final(folded, setup, best.candidate)

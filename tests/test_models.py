@@ -280,7 +280,7 @@ def test_importance_choice():
 def test_select_train_score_and_reload(rows, spark, tmp_path):
     folded = preparation.stratified_folds(rows.dropna(), "y", ["id"], 3)
     setup = tuning.TrainingSetup("y", FEATURES, ("id",), {"x1": "yeo_johnson", "x2": "none", "x3": "log1p"})
-    predicted = tuning.fold_predictions(folded, setup, FOREST)
+    predicted = tuning.fold_predictions(tuning.prepare_folds(folded, setup), setup, FOREST)
     assert predicted.count() == folded.count()  # synthetic rows never reach validation
     found = tuning.select_model(folded, setup, [FOREST, Candidate("brf", tuning.BALANCED_FOREST, {"n_estimators": 5})], ["roc_auc"], "f1")
     assert found.best.means["f1"] > 0.6 and 0 <= found.threshold <= 1 and len(found.results) == 2
