@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from framegate.bindings.models import _QUALITY_FEATURES, _quality, _setup, _SMALL_FOREST
-from framegate.bindings.registry import INFERENCES, inferences, query, rounded, scored, table, SCORED
+from framegate.bindings.registry import INFERENCES, SCORED, inferences, query, rounded, scored
 from framegate.operators import monitoring, preparation, scoring, tuning
 from framegate.session import shared_dir
 from framegate.sources import writers

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from framegate.config import SkewConfig
@@ -50,9 +50,9 @@ def class_histograms(
         .groupBy("feature", "label", F.col("value").alias("bin"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    totals = counts.groupBy("feature", "label").agg(F.sum("n").alias("total"))
-    shares = with_edges(counts, plan).join(totals, ["feature", "label"])
-    return shares.withColumn("density", F.col("n") / F.col("total")).drop("total")
+    # At most `bins` rows per window.
+    total = F.sum("n").over(Window.partitionBy("feature", "label"))
+    return with_edges(counts, plan).withColumn("density", F.col("n") / total)
 
 
 def _bin_plan(df: DataFrame, columns: Sequence[str], bins: int) -> dict[str, tuple[float, float, int]]:
@@ -121,16 +121,13 @@ def anova_scores(df: DataFrame, target: str, columns: Sequence[str] | None = Non
     """
     columns = list(columns or numeric_columns(df, [target]))
     per_class = _class_moments(df, target, columns)
-    grand = per_class.groupBy("feature").agg(
+    # One row per class and feature from here on.
+    grand = F.sum(F.col("n") * F.col("mean")).over(Window.partitionBy("feature")) / F.sum("n").over(Window.partitionBy("feature"))
+    between = per_class.withColumn("grand", grand).groupBy("feature").agg(
         F.sum("n").alias("rows"),
         F.count_if(F.col("n") > 0).alias("classes"),
-        (F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("grand"),
         F.sum(F.col("n") * F.col("var")).alias("within"),
-    )
-    between = (
-        per_class.join(F.broadcast(grand), "feature")
-        .groupBy("feature", "rows", "classes", "within")
-        .agg(F.sum(F.col("n") * F.pow(F.col("mean") - F.col("grand"), 2)).alias("between"))
+        F.sum(F.col("n") * F.pow(F.col("mean") - F.col("grand"), 2)).alias("between"),
     )
     d1, d2 = F.col("classes") - 1, F.col("rows") - F.col("classes")
     scored = between.select(
@@ -206,14 +203,10 @@ def binned_mutual_information(
         .groupBy("feature", "value", "y")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    by_bin = cell.groupBy("feature", "value").agg(F.sum("n").alias("n_bin"))
-    by_class = cell.groupBy("feature", "y").agg(F.sum("n").alias("n_class"))
-    total = cell.groupBy("feature").agg(F.sum("n").alias("n_all"))
-    # Contingency counts only; their size depends on the number of classes, so joins are left to the planner.
-    joined = (
-        cell.join(by_bin, ["feature", "value"])
-        .join(by_class, ["feature", "y"])
-        .join(F.broadcast(total), "feature")
+    # Contingency counts: a window holds the classes of a bin, the bins of a class, or both.
+    over = lambda *keys: F.sum("n").over(Window.partitionBy("feature", *keys))
+    joined = cell.select(
+        "feature", "n", over("value").alias("n_bin"), over("y").alias("n_class"), over().alias("n_all")
     )
     term = F.col("n") / F.col("n_all") * F.ln(F.col("n") * F.col("n_all") / (F.col("n_bin") * F.col("n_class")))
     scores = joined.groupBy("feature").agg(F.greatest(F.sum(term), F.lit(0.0)).alias("score"))

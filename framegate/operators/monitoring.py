@@ -76,16 +76,17 @@ def request_metrics(
         F.count_if(holds(F.col("event_type") == "single_inference")).alias("single_inference_count"),
         F.count_if(holds(batch)).alias("batch_request_count"),
         F.coalesce(F.sum(F.when(batch, F.col("n_rows"))), F.lit(0)).cast("bigint").alias("total_batch_rows"),
-        F.max("ts").alias("latest"),
     )
     last = events.orderBy(*[F.desc(o) for o in order]).limit(history).select("ts", "latency_ms")
-    clock = now if now is not None else scalar_struct(events.agg(F.max("ts").alias("t")))["t"]
-    since = clock - F.expr(f"INTERVAL {RECENT_SECONDS} SECONDS")
-    recent = last.agg(
+    # At most `history` rows are collected here.
+    kept = last.agg(
         F.avg("latency_ms").alias("avg"),
         F.percentile("latency_ms", F.lit(0.95)).alias("p95"),
-        F.count_if(F.col("ts") >= since).alias("rpm"),
+        F.max("ts").alias("latest"),
+        F.collect_list("ts").alias("times"),
     )
+    since = (now if now is not None else F.col("latest")) - F.expr(f"INTERVAL {RECENT_SECONDS} SECONDS")
+    recent = kept.select("avg", "p95", F.size(F.filter("times", lambda t: t >= since)).cast("bigint").alias("rpm"))
     r = scalar_struct(recent)
     n = F.col("total_requests")
     return totals.select(

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from framegate.config import StatCheckConfig
 from framegate.functions.longform import melt, rows_from, scalar_struct, summarise
-from framegate.functions.nulls import clean_value, col, double_value, is_numeric, numeric_columns, ratio, share
+from framegate.functions.nulls import clean_value, col, double_value, is_numeric, numeric_columns, share
 from framegate.functions.quantiles import quantile_frame
 from framegate.functions.status import level
 
@@ -231,16 +231,3 @@ def missing_table(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
     columns = list(columns or df.columns)
     table = summarise(df, columns, {"missing_pct": lambda c: share(clean_value(df, c).isNull()) * 100})
     return table.orderBy(F.desc("missing_pct"), "feature")
-
-
-def unique_and_missing(df: DataFrame, columns: Sequence[str], distinct: str = "exact") -> DataFrame:
-    """(feature, rows, missing_ratio, unique_ratio) with missing not counted as a value."""
-    counted = summarise(
-        df,
-        columns,
-        {"rows": lambda c: F.count(F.lit(1)), "missing_ratio": lambda c: share(clean_value(df, c).isNull())},
-    )
-    joined = counted.join(F.broadcast(distinct_counts(df, columns, distinct)), "feature", "left")
-    return joined.select(
-        "feature", "rows", "missing_ratio", ratio(F.col("distinct_values"), F.greatest(F.col("rows"), F.lit(1))).alias("unique_ratio")
-    )

@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 
 from framegate.config import FeatureQAConfig, LeakageConfig
 from framegate.functions.longform import rows_from, summarise
-from framegate.functions.nulls import clean_value, col, double_value, holds, is_numeric, numeric_columns
+from framegate.functions.nulls import clean_value, col, double_value, holds, is_numeric, numeric_columns, ratio
 from framegate.functions.status import FAIL, WARN, GateError, level, overall
 from framegate.operators.correlation import pair_correlation
-from framegate.operators.profiling import unique_and_missing
+from framegate.operators.profiling import distinct_counts
 
 # -- feature quality ------------------------------------------------------------------------
 
@@ -21,16 +21,30 @@ from framegate.operators.profiling import unique_and_missing
 def feature_measures(df: DataFrame, exclude: Sequence[str] = (), distinct: str = "exact") -> DataFrame:
     """(feature, missing_ratio, unique_ratio, infinite, missing) per feature column."""
     columns = [c for c in df.columns if c not in exclude]
-    base = unique_and_missing(df, columns, distinct)
 
     def infinite(c: str) -> Column:
         if not is_numeric(df.schema[c].dataType):
-            return F.lit(0).cast("bigint") * F.count(F.lit(1))
+            return F.count(F.lit(None))
         return F.count_if(holds(F.abs(double_value(df, c)) == float("inf")))
 
-    counts = summarise(df, columns, {"infinite": infinite, "missing": lambda c: F.count_if(clean_value(df, c).isNull())})
-    return base.join(F.broadcast(counts), "feature").select(
-        "feature", "missing_ratio", "unique_ratio", "infinite", "missing"
+    counts = summarise(
+        df,
+        columns,
+        {
+            "rows": lambda c: F.count(F.lit(1)),
+            "missing": lambda c: F.count_if(clean_value(df, c).isNull()),
+            "infinite": infinite,
+        },
+    )
+    # One row per column on both sides.
+    joined = counts.join(F.broadcast(distinct_counts(df, columns, distinct)), "feature", "left")
+    rows = F.col("rows")
+    return joined.select(
+        "feature",
+        ratio(F.col("missing"), rows).alias("missing_ratio"),
+        ratio(F.col("distinct_values"), F.greatest(rows, F.lit(1))).alias("unique_ratio"),
+        "infinite",
+        "missing",
     )
 
 
