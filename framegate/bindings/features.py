@@ -370,20 +370,20 @@ def _hist_sql(source: str, c: str, k: int, y: str | None) -> str:
     group = f"{y}, bin" if y else "bin"
     label = f"{y} AS label, " if y else ""
     density = f", ROUND(COUNT(*) / SUM(COUNT(*)) OVER (PARTITION BY {y}), 9) AS density" if y else ""
-    return f"""SELECT '{c}' AS feature, {label}bin, ROUND(ANY_VALUE(lo + (hi - lo) / {k} * bin), 4) AS low,
-  ROUND(ANY_VALUE(lo + (hi - lo) / {k} * (bin + 1)), 4) AS high, COUNT(*) AS n{density}
+    return f"""SELECT '{c}' AS feature, {label}bin, ROUND(ANY_VALUE(lo + (hi - lo) / {k} * bin), 6) AS low,
+  ROUND(ANY_VALUE(lo + (hi - lo) / {k} * (bin + 1)), 6) AS high, COUNT(*) AS n{density}
 FROM (SELECT *, CAST(LEAST(FLOOR(({c} - lo) / (hi - lo) * {k}), {k} - 1) AS INTEGER) AS bin FROM {source}, (SELECT MIN({c}) AS lo, MAX({c}) AS hi FROM {source}) WHERE {c} IS NOT NULL) GROUP BY {group}"""
 
 
 @query("histograms", f"WITH {GAPS} {' UNION ALL '.join(_hist_sql('gaps', c, 20, None) for c in MEASURES)}")
 def histograms(spark, d):
-    return rounded(eda.histograms(gaps(spark, d), MEASURES), 4)
+    return rounded(eda.histograms(gaps(spark, d), MEASURES))
 
 
 @query("class_histograms", f"WITH {FLAGGED} {' UNION ALL '.join(_hist_sql('flagged', c, 20, 'y') for c in MEASURES)}")
 def class_histograms(spark, d):
     out = eda.class_histograms(flagged(spark, d), "y", MEASURES)
-    return out.withColumns({"low": F.round("low", 4), "high": F.round("high", 4), "density": F.round("density", 9)})
+    return out.withColumns({"low": F.round("low", 6), "high": F.round("high", 6), "density": F.round("density", 9)})
 
 
 @query("forest_importance")

@@ -104,10 +104,11 @@ def skew_before_after(spark, d):
 
 @query(
     "transform_plan",
-    """WITH s AS (SELECT AVG(POW(value - a, 3)) / POW(AVG(POW(value - a, 2)), 1.5) AS v,
-  AVG(POW(user_id - u, 3)) / POW(AVG(POW(user_id - u, 2)), 1.5) AS w FROM events, (SELECT AVG(value) AS a, AVG(user_id) AS u FROM events))
-SELECT 'value' AS feature, CASE WHEN ABS(v) >= 0.5 THEN 'yeo_johnson' ELSE 'none' END AS transform FROM s
-UNION ALL SELECT 'user_id', CASE WHEN w >= 1 THEN 'log1p' WHEN ABS(w) >= 0.5 THEN 'yeo_johnson' ELSE 'none' END FROM s
+    """WITH s AS (SELECT 'value' AS feature, AVG(POW(value - a, 3)) / POW(AVG(POW(value - a, 2)), 1.5) AS v, COUNT(*) FILTER (value = 0) / COUNT(*) AS z
+  FROM events, (SELECT AVG(value) AS a FROM events)
+  UNION ALL SELECT 'user_id', AVG(POW(user_id - a, 3)) / POW(AVG(POW(user_id - a, 2)), 1.5), COUNT(*) FILTER (user_id = 0) / COUNT(*)
+  FROM events, (SELECT AVG(user_id) AS a FROM events))
+SELECT feature, CASE WHEN (v >= 1 AND z > 0) OR (ABS(v) >= 1 AND z >= 0.3) THEN 'log1p' WHEN ABS(v) >= 0.5 THEN 'yeo_johnson' ELSE 'none' END AS transform FROM s
 UNION ALL SELECT 'unseen', 'none'""",
 )
 def transform_plan(spark, d):

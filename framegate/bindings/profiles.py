@@ -198,12 +198,12 @@ def top_shifted(spark, d):
     f"""WITH {_PERIODS}, v AS (SELECT 'early' AS side, o_totalprice AS x FROM early UNION ALL SELECT 'late', o_totalprice FROM late),
 e AS (SELECT MIN(x) AS lo, MAX(x) AS hi, LEAST(40, GREATEST(10, CAST(FLOOR(SQRT(COUNT(x))) AS INTEGER))) AS k FROM v),
 b AS (SELECT side, CAST(LEAST(FLOOR((x - lo) / (hi - lo) * k), k - 1) AS INTEGER) AS bin FROM v, e WHERE x IS NOT NULL)
-SELECT 'o_totalprice' AS feature, side, bin, ROUND(ANY_VALUE(lo + (hi - lo) / k * bin), 4) AS low,
-  ROUND(ANY_VALUE(lo + (hi - lo) / k * (bin + 1)), 4) AS high, COUNT(*) AS n FROM b, e GROUP BY side, bin""",
+SELECT 'o_totalprice' AS feature, side, bin, ROUND(ANY_VALUE(lo + (hi - lo) / k * bin), 6) AS low,
+  ROUND(ANY_VALUE(lo + (hi - lo) / k * (bin + 1)), 6) AS high, COUNT(*) AS n FROM b, e GROUP BY side, bin""",
 )
 def overlay_histogram(spark, d):
     early, late = _two_periods(spark, d)
-    return rounded(drift.overlay_histogram({"early": early, "late": late}, ["o_totalprice"]), 4)
+    return rounded(drift.overlay_histogram({"early": early, "late": late}, ["o_totalprice"]))
 
 
 _HALF = "TIMESTAMP '2024-01-16 00:00:00'"
