@@ -9,15 +9,20 @@ Only those are searched, each by bounded groups, so the answer stays exact at an
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from framegate.session import checkpoint
 
+# The functions below travel to the executors by value, which need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Points that may be sent to every executor, and numbers they may hold together (40 MB).
 BROADCAST_POINTS = 50_000
 BROADCAST_NUMBERS = 5_000_000

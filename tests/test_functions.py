@@ -173,3 +173,18 @@ def test_row_hash_is_uniform_and_stable(spark):
     df = spark.range(20000).select(row_hash(["id"], 1).alias("h"), row_hash(["id"], 1, portable=True).alias("p"))
     r = df.agg(F.min("h"), F.max("h"), F.avg(F.col("h") / 2.0**52), F.avg(F.col("p") / 2.0**52), F.min("p"), F.count_distinct("h")).first()
     assert r[0] >= 0 and r[1] < 2**52 and abs(r[2] - 0.5) < 0.01 and abs(r[3] - 0.5) < 0.01 and r[4] >= 0 and r[5] == 20000
+
+
+def test_neighbour_functions_travel_by_value(tmp_path):
+    """Executors need not have the package: the pickled function loads where it cannot be imported."""
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    from framegate.functions import neighbours
+
+    file = tmp_path / "fn.pickle"
+    file.write_bytes(cloudpickle.dumps(neighbours._candidates))
+    code = "import pickle, sys; pickle.load(open(sys.argv[1], 'rb')); assert 'framegate' not in sys.modules"
+    subprocess.run([sys.executable, "-I", "-c", code, str(file)], cwd=tmp_path, check=True, timeout=120)
