@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,16 +27,12 @@ def local_session(app: str = "framegate", cores: str | int = "*", shuffle_partit
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it in `spark.checkpoint.dir`.
 
-    Only where the setting is empty (plain local runs) a folder of our own is used.
+    Where the setting is empty, a folder beside the warehouse tables, which all executors share as well.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a folder shared by all executors")
-    own = tempfile.mkdtemp(prefix="framegate-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
 
 
 def checkpoint(df: DataFrame, eager: bool = True) -> DataFrame:
