@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framegate.llm import decontamination, langid, packing, secrets, simhash
+from framegate.llm import decontamination, html, langid, lm, packing, repeats, search, secrets, sharding, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,6 +34,27 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query("op2_search")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every twentieth document as a query over all documents."""
+    docs = table(spark, sf_dir, "documents")
+    queries = docs.filter(F.col("doc_id") % 20 == 0).select(F.col("doc_id").alias("query_id"), "text")
+    return search.search(docs, queries)
+
+
+@query("op3_lm_scores")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents labelled as good against all others."""
+    wanted = table(spark, sf_dir, "labels").filter("quality = 1")
+    return lm.cross_entropy_difference(table(spark, sf_dir, "documents"), wanted)
+
+
+@query("op4_repeats")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 @query("op5_decontamination")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -52,6 +73,18 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+@query("op7_main_text")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages")).select("*", F.length("text").cast("long").alias("n_chars"))
+
+
+@query("op8_shards")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The law is `bytes`: near equal sizes."""
+    placed = sharding.shard(table(spark, sf_dir, "documents"))
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 @query("op9_secrets")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find_secrets(table(spark, sf_dir, "documents"))
