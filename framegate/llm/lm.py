@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from framegate.llm.frames import only, slices, text_bytes
+from framegate.llm.frames import filled, only, slices, text_bytes
 from framegate.llm.messages import packed, small, steps, unpacked
 from framegate.llm.words import LOWER, NOT_SPACE, scan, word_values
 
@@ -29,6 +29,7 @@ PART_BYTES = 16 << 20
 OWNER_KEYS = 2 << 20
 BYTES_A_WORD = 6
 
+DOCS = {"doc_id": pa.int64(), "text": pa.string()}
 MESSAGE = "owner long, part long, counts binary"
 
 
@@ -46,7 +47,7 @@ def _targets(docs: pa.Table, labels: pa.Table) -> np.ndarray:
     """Which rows have an id that is labelled as wanted."""
     import pyarrow.compute as pc
 
-    wanted = labels.column("doc_id").drop_null()
+    wanted = filled(labels, doc_id=pa.int64()).column("doc_id").drop_null()
     return pc.is_in(docs.column("doc_id"), value_set=wanted.combine_chunks() if len(wanted) else pa.array([], pa.int64())).to_numpy(zero_copy_only=False)
 
 
@@ -93,6 +94,7 @@ def _summed(table: pa.Table) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
 
 
 def word_messages(part: int, docs: pa.Table, labels: pa.Table, bits: int) -> pa.Table:
+    docs = filled(docs, **DOCS)
     values, count = _values(_texts(docs))
     target = np.repeat(_targets(docs, labels), count)
     keys, back = np.unique(values, return_inverse=True)
@@ -127,6 +129,7 @@ def pairs_of(texts: pa.Array, known: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def pair_messages(part: int, docs: pa.Table, labels: pa.Table, known: np.ndarray, owners: int) -> pa.Table:
+    docs = filled(docs, **DOCS)
     pairs, count = pairs_of(_texts(docs), known)
     target = np.repeat(_targets(docs, labels), count)
     keys, back = np.unique(pairs, return_inverse=True)
@@ -156,6 +159,7 @@ def answer_pairs(table: pa.Table, unigrams: Unigrams, smoothing: float) -> pa.Ta
 
 
 def score_part(docs: pa.Table, answers: pa.Table, known: np.ndarray) -> pa.Table:
+    answers = filled(answers, owner=pa.int64(), ratios=pa.binary())
     pairs, count = pairs_of(_texts(docs), known)
     _, back = np.unique(pairs, return_inverse=True)
     order = np.argsort(answers.column("owner").to_numpy(), kind="stable")

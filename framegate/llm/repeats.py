@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from framegate.llm.frames import only, slices, strings, text_bytes
+from framegate.llm.frames import filled, only, slices, strings, text_bytes
 from framegate.llm.messages import packed, steps, unpacked
 from framegate.llm.words import NOT_SPACE, covered, run_starts, run_values, scan, word_values
 
@@ -130,7 +130,7 @@ def runs_of_equals(high: np.ndarray, low: np.ndarray) -> np.ndarray:
 
 def candidates(part: int, table: pa.Table, answers: pa.Table, window: int, sizes: Sizes) -> pa.Table:
     """Windows estimated to be repeated, one row for each group; what the part itself can tell is known already."""
-    table = in_order(table)
+    table, answers = in_order(table), filled(answers, block=pa.int64(), bits=pa.binary())
     windows = windows_of(_texts(table), window)
     told = dict(zip(answers.column("block").to_pylist(), answers.column("bits").to_pylist()))
     maybe = np.ones(len(windows.row), bool)
@@ -190,7 +190,7 @@ def settle(g: int, table: pa.Table) -> pa.Table:
 
 def clean_part(table: pa.Table, removed: pa.Table, window: int) -> pa.Table:
     """doc_id, text of the words that stay, n_words, n_removed."""
-    table = in_order(table)
+    table, removed = in_order(table), filled(removed, removed=pa.binary())
     rows, starts, twins = [np.zeros(0, np.uint32)], [np.zeros(0, np.uint32)], []
     for x in removed.column("removed"):
         row, start, known = unpacked(x.as_py())
