@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from framegate.llm.frames import only, text_bytes, with_text_columns
-from framegate.llm.words import NOT_SPACE, ranges, scan, word_values
+from framegate.llm.words import LOWER, NOT_SPACE, ranges, scan, word_values
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
@@ -24,10 +24,20 @@ GROUP_BYTES = 8 << 20
 #: Texts whose words are looked up together, and words whose ids a task remembers.
 SLICE_BYTES = 4 << 20
 REMEMBERED = 1 << 20
+#: Unknown words are encoded so many at a time, with this mark between, which no other character turns into.
+TOGETHER, BETWEEN = 128, "~"
 
 PIECES = "array<struct<start:long,length:long,ids:binary>>"
 
 
+# The tokenizer splits letters and digits from these marks wherever they meet. Apostrophes can begin an ending such as 's,
+# and < | > a special token, so they stay with their word, and so does everything beside a character beyond ASCII.
+MARK = np.zeros(256, bool)
+MARK[list(b"!\"#$%&()*+,-./:;=?@[\\]^_`{}~")] = True
+PLAIN = np.zeros(256, bool)
+PLAIN[list(b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")] = True
+
+
 class Ids:
     """Token ids of words. The tokenizer never joins characters over white space, so each word has its own ids."""
 
@@ -46,22 +56,44 @@ class Ids:
     def forget(self) -> None:
         self.value, self.at, self.flat = np.zeros(0, np.uint64), np.zeros((2, 0), np.int64), np.zeros(0, self.kind)
 
-    def learn(self, value: np.ndarray, words: list[str]) -> None:
+    def singly(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words, number of ids of each)."""
         found = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        size = np.fromiter(map(len, found), np.int64, len(found))
+        return np.array([i for ids in found for i in ids], self.kind), np.fromiter(map(len, found), np.int64, len(found))
+
+    def together(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for words without the mark BETWEEN: many go as one text, the mark's own id between them."""
+        mark = self.tokenizer.encode(BETWEEN, add_special_tokens=False).ids
+        if len(mark) != 1:
+            return self.singly(words)
+        texts = [f" {BETWEEN} ".join(words[k : k + TOGETHER]) + f" {BETWEEN}" for k in range(0, len(words), TOGETHER)]
+        ids = np.concatenate([np.array(e.ids, self.kind) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
+        ends = np.flatnonzero(ids == mark[0])
+        return ids[ids != mark[0]], np.diff(ends, prepend=-1) - 1
+
+    def learn(self, value: np.ndarray, words: list[str]) -> None:
         if len(self.value) + len(value) > REMEMBERED:
             # the words of this slice that are known already are wanted still: begin anew only between slices
             self.full = True
-        begin = len(self.flat) + np.cumsum(size) - size
-        self.flat = np.concatenate([self.flat, np.fromiter((i for ids in found for i in ids), self.kind, int(size.sum()))])
-        value, at = np.concatenate([self.value, value]), np.concatenate([self.at, np.stack([begin, size])], axis=1)
-        order = np.argsort(value)
-        self.value, self.at = value[order], at[:, order]
+        apart = np.fromiter((BETWEEN in w for w in words), bool, len(words))
+        for mine, encode in ((~apart, self.together), (apart, self.singly)):
+            if mine.any():
+                ids, size = encode([w for w, m in zip(words, mine.tolist()) if m])
+                begin = len(self.flat) + np.cumsum(size) - size
+                self.flat = np.concatenate([self.flat, ids])
+                self.value, self.at = np.concatenate([self.value, value[mine]]), np.concatenate([self.at, np.stack([begin, size])], axis=1)
+        order = np.argsort(self.value, kind="stable")
+        self.value, self.at = self.value[order], self.at[:, order]
 
     def of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, each with the end id after it; n + 1 offsets)."""
         data, at = text_bytes(texts)
-        words = scan(data, at, NOT_SPACE)
+        raw = data.tobytes()
+        if b"<|" not in raw:  # else a word could become a special token
+            data = LOWER[data]  # as the tokenizer does anyway
+            raw = data.tobytes()
+        plain, mark = PLAIN[data], MARK[data]
+        words = scan(data, at, NOT_SPACE, 1 + np.flatnonzero((plain[:-1] & mark[1:]) | (mark[:-1] & plain[1:])))
         value, first, back = np.unique(word_values(data, words), return_index=True, return_inverse=True)
         self.full = False
         place = np.searchsorted(self.value, value)
@@ -69,7 +101,7 @@ class Ids:
         if len(self.value):
             known = self.value[np.minimum(place, len(self.value) - 1)] == value
         if not known.all():
-            raw, new = data.tobytes(), first[~known]
+            new = first[~known]
             self.learn(value[~known], [raw[a:b].decode() for a, b in zip(words.start[new].tolist(), words.end[new].tolist())])
         begin, size = self.at[:, np.searchsorted(self.value, value)[back]]
         # one more place after each text for the end id

@@ -36,14 +36,15 @@ class Words(NamedTuple):
         return np.diff(self.first)
 
 
-def scan(data: np.ndarray, offsets: np.ndarray, of_word: np.ndarray) -> Words:
-    """Maximal runs of the bytes that `of_word` names, none over the end of a text."""
+def scan(data: np.ndarray, offsets: np.ndarray, of_word: np.ndarray, breaks: np.ndarray | None = None) -> Words:
+    """Maximal runs of the bytes that `of_word` names, none over the end of a text or one of the places `breaks`."""
     n = len(data)
     inside = np.zeros(n + 2, bool)
     inside[1:-1] = of_word[data]
     edge = inside[1:] != inside[:-1]  # edge[k]: byte k differs from byte k - 1
     begins, ends = edge & inside[1:], edge & inside[:-1]
-    cuts = offsets[(offsets > 0) & (offsets < n)]
+    cuts = offsets if breaks is None else np.concatenate([offsets, breaks])
+    cuts = cuts[(cuts > 0) & (cuts < n)]
     cuts = cuts[inside[cuts] & inside[cuts + 1]]
     begins[cuts] = ends[cuts] = True
     start, end = np.flatnonzero(begins), np.flatnonzero(ends)
