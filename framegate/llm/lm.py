@@ -24,7 +24,7 @@ from framegate.llm.words import LOWER, NOT_SPACE, scan, word_values
 VOCABULARY = 1 << 15
 #: Weight of the model of single words in that of pairs, in observations.
 SMOOTHING = 50.0
-PART_BYTES = 16 << 20
+PART_BYTES = 8 << 20
 #: Messages of an owner hold about so many different words or pairs.
 OWNER_KEYS = 2 << 20
 BYTES_A_WORD = 6

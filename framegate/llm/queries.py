@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framegate.llm import decontamination, html, langid, lm, packing, repeats, search, secrets, sharding, simhash
+from framegate.llm import decontamination, html, langid, lm, oracles, packing, repeats, search, secrets, sharding, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,12 +34,12 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-@query("op2_search")
+@query("op2_search", oracles.SEARCH)
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every twentieth document as a query over all documents."""
     docs = table(spark, sf_dir, "documents")
     queries = docs.filter(F.col("doc_id") % 20 == 0).select(F.col("doc_id").alias("query_id"), "text")
-    return search.search(docs, queries)
+    return search.search(docs, queries).withColumn("score", F.round("score", 6))
 
 
 @query("op3_lm_scores")
@@ -49,13 +49,13 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.cross_entropy_difference(table(spark, sf_dir, "documents"), wanted)
 
 
-@query("op4_repeats")
+@query("op4_repeats", oracles.REPEATS)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = repeats.remove_repeats(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
-@query("op5_decontamination")
+@query("op5_decontamination", oracles.DECONTAMINATION)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(

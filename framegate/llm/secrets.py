@@ -30,6 +30,8 @@ IDENTIFIER = r"[A-Za-z0-9+/_=-]{4,}"
 SAMPLE_DOCUMENTS = 2_000
 #: A candidate is random-looking if its mean log-likelihood ratio per transition is above this.
 LEAST_RATIO = 0.7
+#: Weight of the model of single characters in that of transitions, in observations.
+SMOOTHING = 10.0
 PLACEHOLDER = "[secret]"
 
 
@@ -93,7 +95,8 @@ def transitions(strings: DataFrame, value: str) -> DataFrame:
 def ratios(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE_DOCUMENTS) -> list[float]:
     """log P(b | a, random) - log P(b | a, ordinary) for all pairs of ALPHABET characters, one a after the other.
 
-    Counts come from about `sample` documents, one more in each cell. Without any sample of a label its model is even.
+    Counts come from about `sample` documents. A model falls back on single characters, of which each has one count more;
+    without any sample of a label its model is even.
     At most two counts a pair of characters reach the driver.
     """
     rows = only(docs, doc_id=id_col, text=text_col)
@@ -105,12 +108,15 @@ def ratios(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", samp
     random = spans.select(F.lit(1).alias("label"), F.explode(secret).alias("value")).withColumn("value", F.translate("value", ".", ""))
     ordinary = spans.filter(F.size("spans") == 0).select(F.lit(0).alias("label"), F.explode(matched(F.col("text"), IDENTIFIER)).alias("value"))
     size = len(ALPHABET)
-    counts = [[[1] * size for _ in range(size)] for _ in range(2)]
+    counts = [[[0] * size for _ in range(size)] for _ in range(2)]
     for r in transitions(random.unionAll(ordinary), "value").collect():
         counts[r["label"]][r["a"]][r["b"]] += r["n"]
-    return [
-        math.log(counts[1][a][b] / sum(counts[1][a])) - math.log(counts[0][a][b] / sum(counts[0][a])) for a in range(size) for b in range(size)
-    ]
+    logs = []
+    for own in counts:
+        single = [1 + sum(row[b] for row in own) for b in range(size)]
+        alone = [n / sum(single) for n in single]
+        logs.append([math.log((row[b] + SMOOTHING * alone[b]) / (sum(row) + SMOOTHING)) for row in own for b in range(size)])
+    return [a - b for a, b in zip(logs[1], logs[0])]
 
 
 def mean_ratio(value: Column, table: list[float]) -> Column:
