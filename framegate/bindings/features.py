@@ -169,6 +169,18 @@ def label_correlations(spark, d):
     return rounded(quality.label_correlations(_leaky(spark, d), "y"))
 
 
+@query(
+    "leakage_broken_columns",
+    """SELECT 'required_columns' AS "check", 'fail' AS status, 'Missing required columns: [''absent'']' AS message
+UNION ALL SELECT 'target', 'fail', 'Target column not found: absent'""",
+)
+def leakage_broken_columns(spark, d):
+    """A missing required column or label ends the checks at once."""
+    rows = table(spark, d, "lineitem")
+    required = quality.leakage_checks(rows, LeakageConfig(target="l_tax", required=("l_discount", "absent")))
+    return required.unionByName(quality.leakage_checks(rows, LeakageConfig(target="absent")))
+
+
 @query(
     "leakage_checks",
     f"""WITH {_LEAKY}, c AS ({" UNION ALL ".join(f"SELECT ABS(CORR({c}, y)) AS r FROM b" for c in _LEAKY_COLUMNS)})
@@ -354,16 +366,32 @@ def missing_table(spark, d):
 
 @query(
     "missing_matrix",
-    f"""WITH {GAPS} SELECT {_KEY}, CAST(l_discount IS NULL AS INTEGER) AS l_discount_missing, CAST(l_tax IS NULL AS INTEGER) AS l_tax_missing
-FROM gaps ORDER BY {_KEY} LIMIT 300""",
+    f"WITH {GAPS} SELECT {_KEY}, CAST(l_discount IS NULL AS INTEGER) AS l_discount_missing, CAST(l_tax IS NULL AS INTEGER) AS l_tax_missing FROM gaps",
 )
 def missing_matrix(spark, d):
-    return eda.missing_matrix(gaps(spark, d), MEASURES, _KEY.split(", "), ordered=True)
+    return eda.missing_matrix(gaps(spark, d), MEASURES, _KEY.split(", "), rows=None)
+
+
+_KEY_TEXT = ", ".join(f"CAST({k} AS VARCHAR)" for k in _KEY.split(", "))
 
 
-@query("missing_sample")
+@query(
+    "missing_sample",
+    f"""WITH {GAPS} SELECT {_KEY}, CAST(l_discount IS NULL AS INTEGER) AS l_discount_missing, CAST(l_tax IS NULL AS INTEGER) AS l_tax_missing
+FROM gaps ORDER BY SUBSTR(MD5(CONCAT_WS('|', {_KEY_TEXT}, '42')), 1, 13), {_KEY} LIMIT 300""",
+)
 def missing_sample(spark, d):
-    return eda.missing_matrix(gaps(spark, d), MEASURES, _KEY.split(", "))
+    return eda.missing_matrix(gaps(spark, d), MEASURES, _KEY.split(", "), portable=True)
+
+
+_MANY = [f"m{i}" for i in range(25)]
+_MANY_SQL = "many AS (SELECT " + ", ".join(f"l_quantity * {i + 1} + l_tax * {25 - i} AS m{i}" for i in range(25)) + ", CAST(l_returnflag = 'R' AS INTEGER) AS y FROM lineitem)"
+
+
+def _many(spark, d):
+    """25 numeric columns made of two."""
+    made = [(F.col("l_quantity") * (i + 1) + F.col("l_tax") * (25 - i)).alias(f"m{i}") for i in range(25)]
+    return table(spark, d, "lineitem").select(*made, (F.col("l_returnflag") == "R").cast("int").alias("y"))
 
 
 def _hist_sql(source: str, c: str, k: int, y: str | None) -> str:
@@ -380,16 +408,42 @@ def histograms(spark, d):
     return rounded(eda.histograms(gaps(spark, d), MEASURES))
 
 
+@query(
+    "histograms_many_columns",
+    f"WITH {_MANY_SQL}, h AS ({' UNION ALL '.join(_hist_sql('many', c, 20, None) for c in _MANY)}) SELECT feature, COUNT(*) AS bins, CAST(SUM(n) AS BIGINT) AS n FROM h GROUP BY feature",
+)
+def histograms_many_columns(spark, d):
+    """No column is left out, however many there are."""
+    found = eda.histograms(_many(spark, d).drop("y"))
+    return found.groupBy("feature").agg(F.count(F.lit(1)).alias("bins"), F.sum("n").alias("n"))
+
+
+@query(
+    "class_histograms_many_columns",
+    f"WITH {_MANY_SQL}, h AS ({' UNION ALL '.join(_hist_sql('many', c, 20, 'y') for c in _MANY)}) SELECT feature, label, COUNT(*) AS bins, CAST(SUM(n) AS BIGINT) AS n FROM h GROUP BY feature, label",
+)
+def class_histograms_many_columns(spark, d):
+    found = eda.class_histograms(_many(spark, d), "y")
+    return found.groupBy("feature", "label").agg(F.count(F.lit(1)).alias("bins"), F.sum("n").alias("n"))
+
+
 @query("class_histograms", f"WITH {FLAGGED} {' UNION ALL '.join(_hist_sql('flagged', c, 20, 'y') for c in MEASURES)}")
 def class_histograms(spark, d):
     out = eda.class_histograms(flagged(spark, d), "y", MEASURES)
     return out.withColumns({"low": F.round("low", 6), "high": F.round("high", 6), "density": F.round("density", 9)})
 
 
-@query("forest_importance")
+@query("forest_importance", "SELECT 'hint,leak' AS first_two, CAST(7 AS BIGINT) AS features, 1.0::DOUBLE AS total")
 def forest_importance(spark, d):
+    """The columns that give the label away come first, and shares add up to 1."""
     rows = _leaky(spark, d)
-    return importance.importance_table(rows, importance.forest_importance(rows, "y", trees=20))
+    found = importance.importance_table(rows, importance.forest_importance(rows, "y"))
+    best = F.sort_array(F.collect_list(F.struct("importance", "feature")), asc=False)  # seven rows
+    return found.agg(
+        F.array_join(F.array_sort(F.transform(F.slice(best, 1, 2), lambda x: x["feature"])), ",").alias("first_two"),
+        F.count(F.lit(1)).alias("features"),
+        F.round(F.sum("importance"), 9).alias("total"),
+    )
 
 
 @query(
@@ -404,11 +458,21 @@ def pca_variance(spark, d):
     return rounded(importance.explained_variance(rows))
 
 
-@query("selected_features")
+@query(
+    "selected_features",
+    f"WITH {_LEAKY} SELECT 'selected' AS step, 'hint,l_quantity,leak' AS columns, COUNT(*) AS rows, CAST(SUM(y) AS BIGINT) AS positives, ROUND(SUM(leak), 4) AS leak FROM b",
+)
 def selected_features(spark, d):
+    """The two columns that tell the label survive scores, forest and pruning; one is kept by order."""
     from framegate.config import SelectionConfig
 
     candidates = [*MEASURES, "leak", "hint"]
-    cfg = SelectionConfig(mi_top_k=5, forest_top_k=4, always_keep=("l_quantity",))
-    reduced, _ = importance.select_features(_leaky(spark, d).drop("same"), "y", candidates, cfg)
-    return reduced
+    cfg = SelectionConfig(mi_top_k=5, mi_min_score=0.01, forest_top_k=2, corr_threshold=0.99, always_keep=("l_quantity",))
+    reduced, report = importance.select_features(_leaky(spark, d).drop("same"), "y", candidates, cfg)
+    return reduced.agg(
+        F.lit("selected").alias("step"),
+        F.lit(",".join(report["selected"])).alias("columns"),
+        F.count(F.lit(1)).alias("rows"),
+        F.sum("y").alias("positives"),
+        F.round(F.sum("leak"), 4).alias("leak"),
+    )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from framegate.bindings.registry import FLAGGED, MEASURES, SCORED, flagged, gaps, query, rounded, scored, table
+from framegate.bindings.registry import FLAGGED, GAPS, MEASURES, SCORED, flagged, gaps, query, rounded, scored, table
 from framegate.config import Candidate, ForestSelectionConfig, GateConfig, SmoteConfig
 from framegate.operators import eda, evaluation, importance, preparation, resampling, tuning
 
@@ -83,10 +83,19 @@ def yeo_johnson_fixed(spark, d):
     return rounded(rows.select("event_id", *[preparation.yeo_johnson(F.col("x"), p).alias(n) for n, p in _LAMBDAS.items()]))
 
 
-@query("yeo_johnson_fit")
+def _yj_fit_sql(c: str) -> str:
+    """Likelihood on a grid of 0.05, then on one of 0.0005 around its best point (values of gaps are not negative)."""
+    score = lambda grid: f"""(SELECT lam, -COUNT(*) / 2 * LN(VAR_POP(CASE WHEN ABS(lam) < 1e-12 THEN LN(1 + x) ELSE (POW(1 + x, lam) - 1) / lam END))
+    + (lam - 1) * SUM(LN(1 + x)) AS score FROM (SELECT CAST({c} AS DOUBLE) AS x FROM gaps WHERE {c} IS NOT NULL), {grid} GROUP BY lam)"""
+    first = score("(SELECT range * 0.05::DOUBLE - 5 AS lam FROM RANGE(201))")
+    second = score(f"(SELECT best + range * 0.0005::DOUBLE - 0.05 AS lam FROM (SELECT ARG_MAX(lam, score) AS best FROM {first}), RANGE(201))")
+    return f"SELECT '{c}' AS feature, ROUND(ARG_MAX(lam, score), 2) AS lambda FROM {second}"
+
+
+@query("yeo_johnson_fit", f"WITH {GAPS} {' UNION ALL '.join(_yj_fit_sql(c) for c in ['l_quantity', 'l_discount'])}")
 def yeo_johnson_fit(spark, d):
-    fitted = preparation.fit_yeo_johnson(gaps(spark, d), MEASURES)
-    return spark.createDataFrame(list(fitted.items()), "feature string, lambda double")
+    fitted = preparation.fit_yeo_johnson(gaps(spark, d), ["l_quantity", "l_discount"], precision=1e-4)
+    return spark.createDataFrame([(c, round(x, 2)) for c, x in fitted.items()], "feature string, lambda double")
 
 
 @query(
@@ -228,6 +237,25 @@ _CONFUSION = """COUNT(*) FILTER (y = 1 AND yhat = 1) AS tp, COUNT(*) FILTER (y =
 COUNT(*) FILTER (y = 1 AND yhat = 0) AS fn, COUNT(*) FILTER (y = 0 AND yhat = 0) AS tn"""
 
 
+@query(
+    "classification_report_mixed_types",
+    """WITH r AS (SELECT quality AS y, CASE WHEN toxic = 1 THEN 0 ELSE 1 END AS p FROM labels),
+c AS (SELECT t.kind, CAST(k AS VARCHAR) AS label, COUNT(*) FILTER (y = k AND p = k) AS tp, COUNT(*) FILTER (p = k) AS pred, COUNT(*) FILTER (y = k) AS support
+  FROM r, (VALUES (0), (1)) v(k), (VALUES ('int_double'), ('double_boolean'), ('boolean_decimal')) t(kind) GROUP BY t.kind, k)
+SELECT kind, label, ROUND(CASE WHEN support + pred = 0 THEN 0 ELSE 2 * tp / (support + pred) END, 9) AS f1, support FROM c""",
+)
+def classification_report_mixed_types(spark, d):
+    """Labels and predictions of different types are the same classes."""
+    rows = table(spark, d, "labels").select("quality", (1 - F.col("toxic")).alias("guess"))
+    kinds = {"int_double": ("int", "double"), "double_boolean": ("double", "boolean"), "boolean_decimal": ("boolean", "decimal(3,1)")}
+    parts = None
+    for kind, (y, p) in kinds.items():
+        typed = rows.select(F.col("quality").cast(y).alias("quality"), F.col("guess").cast(p).alias("guess"))
+        own = evaluation.classification_report(typed, "quality", "guess").filter("label in ('0', '1')").select(F.lit(kind).alias("kind"), "label", "f1", "support")
+        parts = own if parts is None else parts.unionByName(own)
+    return rounded(parts, 9)
+
+
 @query(
     "fold_confusion",
     f"""WITH {SCORED}, c AS (SELECT fold, {_CONFUSION} FROM scored GROUP BY fold)
@@ -335,19 +363,50 @@ def _setup(**changes) -> tuning.TrainingSetup:
     return tuning.TrainingSetup("quality", _QUALITY_FEATURES, ("doc_id",), plan, smote=SmoteConfig(k_neighbors=5), **changes)
 
 
-def _folded(spark, d, k: int = 3):
-    return preparation.stratified_folds(_quality(spark, d), "quality", ["doc_id"], k)
+_QUALITY = """q AS (SELECT doc_id, quality AS y, CAST(n_chars AS DOUBLE) AS chars FROM documents JOIN labels USING (doc_id))"""
+
+
+def _folds_sql(k: int) -> str:
+    reached = " + ".join(f"CAST(rn >= {i} * n // {k} AS INTEGER)" for i in range(1, k))
+    return f"""{_QUALITY}, hq AS (SELECT *, {_HASH.format(key='doc_id')} AS h FROM q),
+rq AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY y ORDER BY h) - 1 AS rn, COUNT(*) OVER (PARTITION BY y) AS n FROM hq),
+folded AS (SELECT doc_id, y, {reached} AS fold FROM rq)"""
+
+
+def _folded(spark, d, k: int = 5):
+    return preparation.stratified_folds(_quality(spark, d), "quality", ["doc_id"], k, portable=True)
 
 
 @query(
     "smote_balance",
-    """WITH c AS (SELECT quality, COUNT(*) AS n FROM labels JOIN documents USING (doc_id) GROUP BY quality)
-SELECT quality, FALSE AS synthetic, n AS rows FROM c
-UNION ALL SELECT quality, TRUE, (SELECT MAX(n) FROM c) - n FROM c WHERE n < (SELECT MAX(n) FROM c)""",
+    """WITH q AS (SELECT quality, CAST(n_chars AS DOUBLE) AS chars FROM labels JOIN documents USING (doc_id)),
+c AS (SELECT quality, COUNT(*) AS n FROM q GROUP BY quality)
+SELECT quality, FALSE AS synthetic, n AS rows, TRUE AS inside FROM c
+UNION ALL SELECT quality, TRUE, (SELECT MAX(n) FROM c) - n, TRUE FROM c WHERE n < (SELECT MAX(n) FROM c)""",
 )
 def smote_balance(spark, d):
-    rows = resampling.smote(_quality(spark, d), "quality", _QUALITY_FEATURES, ["doc_id"])
-    return rows.groupBy("quality", "synthetic").agg(F.count(F.lit(1)).alias("rows"))
+    """Rows per class; synthetic values lie within the minority's range in every feature (and so are computed)."""
+    source = _quality(spark, d)
+    rows = resampling.smote(source, "quality", _QUALITY_FEATURES, ["doc_id"])
+    ends = [f(c).alias(f"{n}_{c}") for c in _QUALITY_FEATURES for n, f in (("low", F.min), ("high", F.max))]
+    limits = source.groupBy("quality").agg(*ends)  # one row per class
+    within = [F.col(c).between(F.col(f"low_{c}") - 1e-9, F.col(f"high_{c}") + 1e-9) for c in _QUALITY_FEATURES]
+    both = rows.join(F.broadcast(limits), "quality").withColumn("inside", within[0] & within[1] & within[2] & within[3])
+    return both.groupBy("quality", "synthetic").agg(F.count(F.lit(1)).alias("rows"), F.bool_and("inside").alias("inside"))
+
+
+@query(
+    "smote_hot_keys",
+    """WITH q AS (SELECT quality, COUNT(*) AS n FROM labels JOIN documents USING (doc_id) GROUP BY quality)
+SELECT TRUE AS same, CAST(MAX(n) - MIN(n) AS BIGINT) AS made FROM q""",
+)
+def smote_hot_keys(spark, d):
+    """With one key for all rows both ways of finding neighbours give the same synthetic rows."""
+    rows = _quality(spark, d).withColumn("key", F.lit(1))
+    made = [resampling.synthetic_rows(rows, "quality", _QUALITY_FEATURES, ["key"], broadcast_points=n) for n in (1_000_000, 1)]
+    digest = F.sum(F.xxhash64(*[F.round(c, 6) for c in _QUALITY_FEATURES]).cast("decimal(38,0)"))
+    one, other = (m.agg(F.count(F.lit(1)).alias("made"), digest.alias("h")).first() for m in made)
+    return spark.createDataFrame([(one == other, one["made"])], "same boolean, made bigint")
 
 
 @query(
@@ -359,50 +418,100 @@ def balancing_weights(spark, d):
     return weighted.groupBy("quality").agg(F.round(F.sum("weight"), 6).alias("total"))
 
 
-_SMALL_FOREST = Candidate("forest", tuning.FOREST, {"n_estimators": 10, "max_depth": 4, "min_samples_leaf": 2})
+_SMALL_FOREST = Candidate("forest", tuning.FOREST, {"n_estimators": 50, "max_depth": 5, "min_samples_leaf": 2})
+_CHECKED = ["f1", "recall", "precision", "accuracy", "balanced_accuracy", "roc_auc", "average_precision"]
+
+
+def _agrees(result, metrics) -> bool:
+    """Do the reported scores follow from the out-of-fold rows?"""
+    again = tuning.fold_scores(result.predictions, metrics)
+    return all(abs(x - y) < 1e-12 for m in metrics for x, y in zip(again[m], result.folds[m]) if x is not None)
 
 
-@query("cross_validation")
+@query(
+    "cross_validation",
+    f"WITH {_folds_sql(5)} SELECT fold, CAST(y AS INTEGER) AS label, COUNT(*) AS rows, TRUE AS scores_follow, TRUE AS scores_in_range FROM folded GROUP BY fold, y",
+)
 def cross_validation(spark, d):
+    """Every row is predicted once, by the model that has not seen its fold, and scores follow from these rows."""
     folds = tuning.prepare_folds(_folded(spark, d), _setup())
-    result = tuning.cross_validate(folds, _setup(), _SMALL_FOREST, ["f1", "balanced_accuracy", "roc_auc"])
-    rows = [(m, i, v, result.means[m]) for m, vs in result.folds.items() for i, v in enumerate(vs)]
-    return spark.createDataFrame(rows, "metric string, fold int, value double, mean double")
+    result = tuning.cross_validate(folds, _setup(), _SMALL_FOREST, _CHECKED)
+    inside = all(0.0 <= v <= 1.0 for vs in result.folds.values() for v in vs if v is not None)
+    return result.predictions.groupBy("fold", "label").agg(
+        F.count(F.lit(1)).alias("rows"), F.lit(_agrees(result, _CHECKED)).alias("scores_follow"), F.lit(inside).alias("scores_in_range")
+    )
 
 
-@query("model_selection")
+@query(
+    "model_selection",
+    """SELECT * FROM (VALUES ('forest', 'baseline', 5, TRUE), ('forest', 'search', 5, TRUE), ('balanced', 'baseline', 5, TRUE), ('balanced', 'search', 5, TRUE),
+('boosting', 'baseline', 5, TRUE), ('boosting', 'search', 5, TRUE)) t(name, variant, folds, best_is_first_highest)""",
+)
 def model_selection(spark, d):
+    """Three kinds of model, plain and searched; the chosen one has the highest mean, the first of equal ones."""
     candidates = [
         _SMALL_FOREST,
-        Candidate("balanced", tuning.BALANCED_FOREST, {"n_estimators": 10, "max_depth": 4}),
+        Candidate("balanced", tuning.BALANCED_FOREST, {"n_estimators": 50, "max_depth": 5}),
+        Candidate("boosting", tuning.BOOSTING, {"n_estimators": 5, "max_depth": 3}),
     ]
-    chosen = tuning.select_model(_folded(spark, d, 2), _setup(), candidates, ["recall"], "balanced_accuracy")
-    rows = [(r.candidate.name, r.variant, m, v) for r in chosen.results for m, v in r.means.items()]
-    rows.append((chosen.best.candidate.name, "chosen", "threshold", chosen.threshold))
-    return spark.createDataFrame(rows, "name string, variant string, metric string, value double")
+    forest, boosting = {"n_estimators": (20, 40), "max_depth": (3, 5)}, {"n_estimators": (3, 5), "max_depth": (2, 3), "learning_rate": (0.05, 0.5)}
+    space = {tuning.FOREST: forest, tuning.BALANCED_FOREST: forest, tuning.BOOSTING: boosting}
+    chosen = tuning.select_model(_folded(spark, d), _setup(), candidates, ["recall"], "balanced_accuracy", trials=1, space=space)
+    means = [r.means["balanced_accuracy"] for r in chosen.results]
+    right = chosen.best is chosen.results[means.index(max(means))] and 0.0 <= chosen.threshold <= 1.0
+    rows = [(r.candidate.name, r.variant, len(r.folds["recall"]), right) for r in chosen.results]
+    return spark.createDataFrame(rows, "name string, variant string, folds int, best_is_first_highest boolean")
 
 
-@query("boosting_search")
+@query(
+    "boosting_search",
+    f"WITH {_folds_sql(5)} SELECT fold, CAST(y AS INTEGER) AS label, COUNT(*) AS rows, TRUE AS scores_follow, TRUE AS within_space FROM folded GROUP BY fold, y",
+)
 def boosting_search(spark, d):
+    """The best trial's rows; its parameters lie in the space. Few small trials: a tree after the other is not Spark's strength."""
     space = {"n_estimators": (3, 5), "max_depth": (2, 3), "learning_rate": (0.05, 0.5)}
-    found = tuning.random_search(
-        tuning.prepare_folds(_folded(spark, d, 2), _setup()), _setup(), Candidate("boost", tuning.BOOSTING), ["f1"], "f1", trials=2, space=space
+    folds = tuning.prepare_folds(_folded(spark, d), _setup())
+    found = tuning.random_search(folds, _setup(), Candidate("boost", tuning.BOOSTING), ["f1"], "f1", trials=2, space=space)
+    p = found.candidate.params
+    inside = p["n_estimators"] in (3, 5) and p["max_depth"] in (2, 3) and 0.05 <= p["learning_rate"] <= 0.5
+    return found.predictions.groupBy("fold", "label").agg(
+        F.count(F.lit(1)).alias("rows"), F.lit(_agrees(found, ["f1"])).alias("scores_follow"), F.lit(inside).alias("within_space")
     )
-    rows = [(k, float(v)) for k, v in found.candidate.params.items()] + [("f1", found.means["f1"])]
-    return spark.createDataFrame(rows, "name string, value double")
 
 
-@query("nested_grid")
+@query(
+    "nested_grid",
+    f"WITH {_folds_sql(3)} SELECT fold, CAST(y AS INTEGER) AS label, COUNT(*) AS rows, TRUE AS decided FROM folded GROUP BY fold, y",
+)
 def nested_grid(spark, d):
-    grid = {"n_estimators": [3, 6], "max_depth": [2]}
-    predicted = tuning.nested_grid_search(_folded(spark, d, 2), _QUALITY_FEATURES, "quality", _SMALL_FOREST, grid, inner_folds=2)
-    return evaluation.fold_confusion(predicted, "fold", "label", "prediction")
+    """Each outer fold is predicted by the winner of a grid search on the other folds."""
+    grid = {"n_estimators": [10, 20], "max_depth": [2, 4]}
+    predicted = tuning.nested_grid_search(_folded(spark, d, 3), _QUALITY_FEATURES, "quality", _SMALL_FOREST, grid)
+    return predicted.groupBy("fold", "label").agg(F.count(F.lit(1)).alias("rows"), F.bool_and(F.col("prediction").isin(0, 1)).alias("decided"))
+
+
+@query(
+    "search_then_refit",
+    f"WITH {_QUALITY} SELECT CAST(y AS INTEGER) AS quality, COUNT(*) AS rows, TRUE AS decided, 5 AS folds FROM q GROUP BY y",
+)
+def search_then_refit(spark, d):
+    """Search, cross-validation of the best parameters, and a model refitted on all rows that scores raw columns."""
+    space = {"n_estimators": (10, 20), "max_depth": (3, 5)}
+    best, model = tuning.search_then_refit(_folded(spark, d), _setup(), Candidate("f", tuning.FOREST), ["f1"], "f1", trials=2, space=space)
+    return model.transform(_quality(spark, d)).groupBy("quality").agg(
+        F.count(F.lit(1)).alias("rows"), F.bool_and(F.col("prediction").isin(0.0, 1.0)).alias("decided"), F.lit(len(best.folds["f1"])).alias("folds")
+    )
 
 
-@query("forest_selection")
+@query(
+    "forest_selection",
+    "SELECT feature, TRUE AS by_rule, 1.0::DOUBLE AS total FROM (VALUES ('chars'), ('words'), ('lines'), ('digits')) t(feature)",
+)
 def forest_selection(spark, d):
-    split = preparation.stratified_split(_quality(spark, d), "quality", ["doc_id"])
-    cfg = ForestSelectionConfig(top_k=2, trees=20, max_depth=5, always_keep=("lines",))
+    """Chosen on the training rows only: the two most important features and the one that always stays."""
+    split = preparation.stratified_split(_quality(spark, d), "quality", ["doc_id"], portable=True)
+    cfg = ForestSelectionConfig(top_k=2, trees=100, max_depth=5, always_keep=("lines",))
     chosen, found = importance.forest_selection(split.filter(~F.col("is_test")), "quality", _QUALITY_FEATURES, cfg)
-    rows = [(f, found[f], f in chosen) for f in _QUALITY_FEATURES]
-    return spark.createDataFrame(rows, "feature string, importance double, selected boolean")
+    top = set(sorted(found, key=lambda f: -found[f])[:2]) | {"lines"}
+    total = round(sum(found.values()), 9)
+    return spark.createDataFrame([(f, (f in chosen) == (f in top), total) for f in _QUALITY_FEATURES], "feature string, by_rule boolean, total double")

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from framegate.bindings.registry import FLAGGED, GAPS, MEASURES, flagged, gaps, joined, query, rounded, table
 from framegate.config import AnomalyConfig, DriftConfig, StatCheckConfig
-from framegate.functions.status import overall
+from framegate.functions.quantiles import exact_quantiles
+from framegate.functions.status import GateError, enforce, overall
 from framegate.operators import anomaly, drift, profiling
+from framegate.session import shared_dir
+from framegate.sources.writers import write_report
 
 _PROFILED = [*MEASURES, "l_returnflag", "l_shipdate", "l_suppkey"]
 
@@ -39,6 +44,18 @@ def profile_numeric(spark, d):
     return rounded(profiling.numeric_summary(gaps(spark, d), MEASURES), 4)
 
 
+@query(
+    "quantiles_of_large_keys",
+    """WITH k AS (SELECT 9007199254740993 + o_orderkey * 2 AS k FROM orders), s AS (SELECT k, ROW_NUMBER() OVER (ORDER BY k) - 1 AS r, COUNT(*) OVER () AS n FROM k)
+SELECT q, CAST(k AS VARCHAR) AS value FROM s, (VALUES (0.0::DOUBLE), (1.0::DOUBLE)) t(q) WHERE r = (n - 1) * q""",
+)
+def quantiles_of_large_keys(spark, d):
+    """Whole numbers above 2^53 keep every digit."""
+    keys = table(spark, d, "orders").select((F.lit(9007199254740993) + F.col("o_orderkey") * 2).alias("k"))
+    found = exact_quantiles(keys, ["k"], [0.0, 1.0])["k"]
+    return spark.createDataFrame([(q, str(v)) for q, v in zip((0.0, 1.0), found)], "q double, value string")
+
+
 @query(
     "profile_summary",
     f"WITH {GAPS} SELECT * FROM ({_numeric_sql('gaps', ['l_tax', 'l_quantity'], 3)})",
@@ -47,9 +64,25 @@ def profile_summary(spark, d):
     return profiling.profile_summary(profiling.profile(gaps(spark, d).select(*MEASURES)), ["l_tax", "l_quantity", "absent"])
 
 
-@query("profile_approx")
+@query(
+    "profile_approx",
+    "SELECT feature, q AS quantile, TRUE AS within FROM (VALUES "
+    + ", ".join(f"('{c}')" for c in MEASURES)
+    + ") f(feature), (VALUES ('p01'), ('p50'), ('p99')) q(q)",
+)
 def profile_approx(spark, d):
-    return profiling.profile(gaps(spark, d).select(*_PROFILED), method="approx", distinct="approx")
+    """Sketched quantiles lie within the rank error that the sketch promises."""
+    rows = gaps(spark, d)
+    sketch = {r["feature"]: r for r in profiling.profile(rows.select(*_PROFILED), method="approx", distinct="approx").collect()}
+    probs, slack = {"p01": 0.01, "p50": 0.5, "p99": 0.99}, 1 / 10_000
+    checks = []
+    for c in MEASURES:
+        n = F.count(c)
+        for name, p in probs.items():
+            v = F.lit(sketch[c][name])
+            within = (F.count_if(F.col(c) < v) / n <= p + slack + 1 / n) & (F.count_if(F.col(c) <= v) / n >= p - slack - 1 / n)
+            checks.append(F.struct(F.lit(c).alias("feature"), F.lit(name).alias("quantile"), within.alias("within")))
+    return rows.agg(F.array(*checks).alias("c")).select(F.inline("c"))
 
 
 @query(
@@ -233,10 +266,107 @@ pq AS (SELECT GREATEST(COALESCE(p, 0), 1e-4) AS p, GREATEST(COALESCE(q, 0), 1e-4
 psi AS (SELECT 'event_type' AS feature, SUM((q - p) * LN(q / p)) AS statistic FROM pq)"""
 
 
-@query("ks_drift", f"WITH {_KS_SQL} SELECT feature, ROUND(statistic, 9) AS statistic FROM ks")
+# The p-value's series; x is the statistic times the root of the sample size.
+_KS_P = "LEAST(GREATEST(" + " + ".join(f"{2 * (-1) ** (k - 1)} * EXP(-2 * {k * k} * x * x)" for k in range(1, 31)) + ", 0), 1)"
+
+
+@query(
+    "ks_drift",
+    f"""WITH {_KS_SQL}, z AS (SELECT feature, statistic, statistic * SQRT((SELECT COUNT(*) FROM early) * (SELECT COUNT(*) FROM late) / (SELECT COUNT(*) FROM events)) AS x FROM ks),
+p AS (SELECT feature, statistic, CASE WHEN x < 0.2 THEN 1 ELSE {_KS_P} END AS p FROM z)
+SELECT feature, ROUND(statistic, 9) AS statistic, ROUND(CAST(p AS DOUBLE), 9) AS p_value, p < 0.05 AS drifted FROM p""",
+)
 def ks_drift(spark, d):
     early, late = _event_halves(spark, d)
-    return rounded(drift.ks_test(early, late, ["value"]).select("feature", "statistic"), 9)
+    return rounded(drift.ks_test(early, late, ["value"]), 9)
+
+
+def _six_sides(spark, d):
+    """Two periods of orders with three numbers and three categories, one number moved."""
+    o = table(spark, d, "orders")
+    late = F.year("o_orderdate") >= 1997
+    price = F.col("o_totalprice")
+    side = o.select(
+        price.alias("moved"), price.alias("price"), (F.col("o_custkey") % 100).cast("double").alias("cust"), "o_orderstatus", "o_orderpriority",
+        F.concat(F.lit("p"), (F.col("o_custkey") % 3).cast("string")).alias("third"), late.alias("late"),
+    )
+    return side.filter(~F.col("late")).drop("late"), side.filter("late").withColumn("moved", F.col("moved") * 1.2).drop("late")
+
+
+_SIX_SIDES = """s AS (SELECT o_totalprice * CASE WHEN YEAR(o_orderdate) >= 1997 THEN 1.2::DOUBLE ELSE 1 END AS moved, o_totalprice AS price, CAST(o_custkey % 100 AS DOUBLE) AS cust,
+  o_orderstatus, o_orderpriority, 'p' || (o_custkey % 3) AS third, YEAR(o_orderdate) >= 1997 AS late FROM orders), n AS (SELECT COUNT(*) FILTER (NOT late) AS a, COUNT(*) FILTER (late) AS b FROM s)"""
+
+
+def _six_sql() -> str:
+    numbers = " UNION ALL ".join(
+        f"""SELECT '{c}' AS feature, MAX(ABS(fa - fb)) AS statistic FROM (SELECT SUM(a) OVER (ORDER BY v) / (SELECT a FROM n) AS fa, SUM(b) OVER (ORDER BY v) / (SELECT b FROM n) AS fb
+  FROM (SELECT {c} AS v, COUNT(*) FILTER (NOT late) AS a, COUNT(*) FILTER (late) AS b FROM s GROUP BY {c}))"""
+        for c in ("moved", "price", "cust")
+    )
+    groups = " UNION ALL ".join(
+        f"""SELECT '{c}' AS feature, SUM((q - p) * LN(q / p)) AS statistic FROM (SELECT GREATEST(COUNT(*) FILTER (NOT late) / (SELECT a FROM n), 1e-4) AS p,
+  GREATEST(COUNT(*) FILTER (late) / (SELECT b FROM n), 1e-4) AS q FROM s GROUP BY {c})"""
+        for c in ("o_orderstatus", "o_orderpriority", "third")
+    )
+    return f"""WITH {_SIX_SIDES}, k AS ({numbers}), g AS ({groups}),
+z AS (SELECT feature, statistic, statistic * SQRT((SELECT a * b / (a + b) FROM n)) AS x FROM k),
+p AS (SELECT feature, statistic, CASE WHEN x < 0.2 THEN 1 ELSE {_KS_P} END AS p FROM z)
+SELECT feature, ROUND(statistic, 9) AS statistic, ROUND(CAST(p AS DOUBLE), 9) AS p_value, p < 0.05 AS drifted FROM p
+UNION ALL SELECT feature, ROUND(CAST(statistic AS DOUBLE), 9), CAST(NULL AS DOUBLE), statistic >= 0.1 FROM g"""
+
+
+@query("dataset_drift_columns", _six_sql())
+def dataset_drift_columns(spark, d):
+    """Six columns, each table scanned once for the numbers and once for the categories."""
+    return rounded(drift.dataset_drift(*_six_sides(spark, d))[0], 9)
+
+
+@query(
+    "drift_states",
+    """SELECT * FROM (VALUES ('off', 'disabled'), ('no_profile', 'skipped_no_profile'), ('no_path', 'skipped_no_path'), ('no_baseline', 'no_baseline'),
+('baseline', 'compared')) t("case", state)""",
+)
+def drift_states(spark, d):
+    """What a drift step does, with a profile of the events and with a baseline that was written and one that was not."""
+    path = f"{shared_dir(spark)}/framegate/baseline-{uuid.uuid4().hex}"
+    profile = profiling.profile(table(spark, d, "events").select("value"))
+    write_report(profile, path, "parquet")
+    there = spark.read.parquet(path).count() > 0
+    cases = {
+        "off": (False, there, path, there),
+        "no_profile": (True, False, path, there),
+        "no_path": (True, there, None, False),
+        "no_baseline": (True, there, path + "-", False),
+        "baseline": (True, there, path, there),
+    }
+    return spark.createDataFrame([(k, drift.drift_state(*v)) for k, v in cases.items()], "case string, state string")
+
+
+@query("profile_as_baseline", f"WITH {GAPS} {_numeric_sql('gaps', MEASURES)}")
+def profile_as_baseline(spark, d):
+    """A profile written as a JSON report and read again, as the next run's baseline is."""
+    path = f"{shared_dir(spark)}/framegate/profile-{uuid.uuid4().hex}"
+    found = profiling.profile(gaps(spark, d).select(*MEASURES))
+    write_report(found, path, "json")
+    return rounded(spark.read.schema(found.schema).json(path).select("feature", "mean", "std", "p01", "p50", "p99"), 4)
+
+
+_MISSES_SQL = " UNION ALL ".join(f"SELECT '{c} misses values' AS line, COUNT(*) - COUNT({c}) AS n FROM gaps" for c in MEASURES)
+
+
+@query("gate_raises_once", f"WITH {GAPS}, m AS ({_MISSES_SQL}) SELECT line FROM m WHERE n > 0")
+def gate_raises_once(spark, d):
+    """All failed checks are collected and raised as one error; its lines."""
+    missing = F.col("missing_ratio") > 0
+    checks = profiling.missing_and_unique(gaps(spark, d), MEASURES).select(
+        F.when(missing, "fail").otherwise("pass").alias("status"), F.concat("feature", F.lit(" misses values")).alias("message")
+    )
+    lines = []
+    try:
+        enforce(checks)
+    except GateError as e:
+        lines = str(e).split("\n- ")[1:]
+    return spark.createDataFrame([(x,) for x in lines], "line string")
 
 
 @query("category_psi", f"WITH {_HALVES}, {_PSI_SQL} SELECT feature, ROUND(statistic, 9) AS statistic, statistic >= 0.1 AS drifted FROM psi")
@@ -310,12 +440,11 @@ def outlier_report(spark, d):
 
 @query(
     "outlier_matrix",
-    f"""WITH {GAPS}, {_BOUNDS}, {_FLAGS} SELECT {_LINE_KEY}, {', '.join(f'CAST(f_{c} AS INTEGER) AS {c}_flag' for c in MEASURES)}
-FROM f ORDER BY {_LINE_KEY} LIMIT 120""",
+    f"""WITH {GAPS}, {_BOUNDS}, {_FLAGS} SELECT {_LINE_KEY}, {', '.join(f'CAST(f_{c} AS INTEGER) AS {c}_flag' for c in MEASURES)} FROM f""",
 )
 def outlier_matrix(spark, d):
     rows = gaps(spark, d)
-    return anomaly.outlier_matrix(rows, anomaly.quantile_bounds(rows, _A), _LINE_KEY.split(", "))
+    return anomaly.outlier_matrix(rows, anomaly.quantile_bounds(rows, _A), _LINE_KEY.split(", "), rows=None)
 
 
 @query(

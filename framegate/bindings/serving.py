@@ -24,16 +24,30 @@ def row_responses(spark, d):
     return scoring.serve_rows(scored(spark, d).select("event_id", "p"), "p", 0.5)
 
 
-@query("batch_scoring")
+@query(
+    "batch_scoring",
+    """WITH o AS (SELECT doc_id, quality, CAST(n_chars AS DOUBLE) AS chars, CAST('0x' || SUBSTR(MD5(CONCAT_WS('|', CAST(doc_id AS VARCHAR), '42')), 1, 13) AS BIGINT) AS h
+  FROM documents JOIN labels USING (doc_id)),
+r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY quality ORDER BY h) - 1 AS rn, COUNT(*) OVER (PARTITION BY quality) AS n FROM o)
+SELECT doc_id, quality, chars, 0.6::DOUBLE AS threshold_used, TRUE AS decided, TRUE AS inside FROM r WHERE rn < FLOOR(n * 0.2::DOUBLE + 0.5)""",
+)
 def batch_scoring(spark, d):
-    """Train on one part, save the package, load it and score the other part."""
+    """Train on one part, save the package, load it and score the other part: input columns stay, the threshold decides."""
     import uuid
 
-    split = preparation.stratified_split(_quality(spark, d), "quality", ["doc_id"])
+    split = preparation.stratified_split(_quality(spark, d), "quality", ["doc_id"], portable=True)
     model = tuning.train_final(split.filter(~F.col("is_test")), _setup(), _SMALL_FOREST)
     folder = f"{shared_dir(spark)}/framegate/package-{uuid.uuid4().hex}"
     scoring.ModelPackage(model, _QUALITY_FEATURES, 0.6, "quality", "p1").save(spark, folder)
-    return scoring.score_batch(split.filter("is_test"), scoring.ModelPackage.load(spark, folder))
+    scored = scoring.score_batch(split.filter("is_test"), scoring.ModelPackage.load(spark, folder))
+    return scored.select(
+        "doc_id",
+        "quality",
+        "chars",
+        "threshold_used",
+        (F.col("prediction") == (F.col("prediction_proba") >= 0.6).cast("int")).alias("decided"),
+        F.col("prediction_proba").between(0.0, 1.0).alias("inside"),
+    )
 
 
 # The payload of an event: {"k": n}, with an unexpected "x" for clicks and "m" for purchases, which
@@ -127,7 +141,7 @@ CASE WHEN event_type = 'click' THEN value END AS x FROM events WHERE event_type
 )
 def logged_features(spark, d):
     log = inferences(spark, d)
-    return monitoring.logged_features(log, monitoring.logged_feature_names(log))
+    return monitoring.logged_features(log, sorted(r["feature"] for r in monitoring.logged_feature_names(log).collect()))
 
 
 @query("failed_events", f"WITH {INFERENCES} SELECT request_id, prediction, probability, latency_ms FROM inferences WHERE status = 'failed'")

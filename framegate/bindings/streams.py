@@ -42,40 +42,40 @@ def _plain_times(df):
 @query(
     "stream_minute_metrics",
     f"""WITH {INFERENCES}, w AS (SELECT DATE_TRUNC('minute', ts) AS window_start, DATE_TRUNC('minute', ts) + INTERVAL 1 MINUTE AS window_end,
-  COUNT(*) AS requests, ROUND(COUNT(*) FILTER (status = 'success') / COUNT(*), 6) AS success_rate, ROUND(AVG(latency_ms), 6) AS avg_latency_ms FROM inferences GROUP BY ALL)
-SELECT STRFTIME(window_start, '%Y-%m-%d %H:%M:%S') AS window_start, STRFTIME(window_end, '%Y-%m-%d %H:%M:%S') AS window_end, requests, success_rate, avg_latency_ms
+  COUNT(*) AS requests, ROUND(COUNT(*) FILTER (status = 'success') / COUNT(*), 6) AS success_rate, ROUND(AVG(latency_ms), 6) AS avg_latency_ms, ROUND(QUANTILE_DISC(latency_ms, 0.95), 6) AS p95_latency_ms FROM inferences GROUP BY ALL)
+SELECT STRFTIME(window_start, '%Y-%m-%d %H:%M:%S') AS window_start, STRFTIME(window_end, '%Y-%m-%d %H:%M:%S') AS window_end, requests, success_rate, avg_latency_ms, p95_latency_ms
 FROM w WHERE {_CLOSED}""",
 )
 def stream_minute_metrics(spark, d):
     stream = inference.minute_metrics(_event_stream(spark, d))
-    return rounded(_plain_times(_collected(spark, stream, "minutes")).drop("p95_latency_ms"))
+    return rounded(_plain_times(_collected(spark, stream, "minutes")))
 
 
 @query(
     "stream_sliding_metrics",
     f"""WITH {INFERENCES}, w AS (SELECT TIME_BUCKET(INTERVAL 30 MINUTES, ts) - o * INTERVAL 30 MINUTES AS window_start, * FROM inferences, (VALUES (0), (1)) s(o)),
 g AS (SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, COUNT(*) AS requests, ROUND(COUNT(*) FILTER (status = 'success') / COUNT(*), 6) AS success_rate,
-  ROUND(AVG(latency_ms), 6) AS avg_latency_ms FROM w GROUP BY window_start)
-SELECT STRFTIME(window_start, '%Y-%m-%d %H:%M:%S') AS window_start, STRFTIME(window_end, '%Y-%m-%d %H:%M:%S') AS window_end, requests, success_rate, avg_latency_ms
+  ROUND(AVG(latency_ms), 6) AS avg_latency_ms, ROUND(QUANTILE_DISC(latency_ms, 0.95), 6) AS p95_latency_ms FROM w GROUP BY window_start)
+SELECT STRFTIME(window_start, '%Y-%m-%d %H:%M:%S') AS window_start, STRFTIME(window_end, '%Y-%m-%d %H:%M:%S') AS window_end, requests, success_rate, avg_latency_ms, p95_latency_ms
 FROM g WHERE {_CLOSED}""",
 )
 def stream_sliding_metrics(spark, d):
     stream = inference.minute_metrics(_event_stream(spark, d), window="1 hour", slide="30 minutes")
-    return rounded(_plain_times(_collected(spark, stream, "sliding")).drop("p95_latency_ms"))
+    return rounded(_plain_times(_collected(spark, stream, "sliding")))
 
 
 @query(
     "stream_predictions",
     f"""WITH {INFERENCES}, w AS (SELECT DATE_TRUNC('hour', ts) AS window_start, DATE_TRUNC('hour', ts) + INTERVAL 1 HOUR AS window_end, COUNT(*) AS total_predictions,
-  ROUND(AVG(prediction), 6) AS positive_prediction_rate, ROUND(AVG(probability), 6) AS average_probability FROM inferences
+  ROUND(AVG(prediction), 6) AS positive_prediction_rate, ROUND(AVG(probability), 6) AS average_probability,
+  ROUND(QUANTILE_DISC(probability, 0.5), 6) AS p50_probability, ROUND(QUANTILE_DISC(probability, 0.9), 6) AS p90_probability, ROUND(QUANTILE_DISC(probability, 0.95), 6) AS p95_probability FROM inferences
   WHERE event_type = 'single_inference' AND status = 'success' GROUP BY ALL)
-SELECT STRFTIME(window_start, '%Y-%m-%d %H:%M:%S') AS window_start, STRFTIME(window_end, '%Y-%m-%d %H:%M:%S') AS window_end, total_predictions, positive_prediction_rate, average_probability
-FROM w WHERE window_end <= (SELECT MAX(ts) FROM inferences WHERE event_type = 'single_inference' AND status = 'success') - INTERVAL 10 MINUTES""",
+SELECT STRFTIME(window_start, '%Y-%m-%d %H:%M:%S') AS window_start, STRFTIME(window_end, '%Y-%m-%d %H:%M:%S') AS window_end, total_predictions, positive_prediction_rate, average_probability,
+  p50_probability, p90_probability, p95_probability FROM w WHERE window_end <= (SELECT MAX(ts) FROM inferences WHERE event_type = 'single_inference' AND status = 'success') - INTERVAL 10 MINUTES""",
 )
 def stream_predictions(spark, d):
     stream = inference.prediction_distribution(_event_stream(spark, d))
-    points = ("p50_probability", "p90_probability", "p95_probability")
-    return rounded(_plain_times(_collected(spark, stream, "predictions")).drop(*points))
+    return rounded(_plain_times(_collected(spark, stream, "predictions")))
 
 
 @query(
@@ -119,6 +119,27 @@ def stream_failure_split(spark, d):
     return side("events").unionByName(side("failures")).groupBy("log", "status").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(
+    "stream_drift_batches",
+    """SELECT CAST(COUNT(*) AS BIGINT) AS events, TRUE AS every_batch_drifts FROM events""",
+)
+def stream_drift_batches(spark, d):
+    """Several micro-batches against a reference that is counted once: tests and summary of each."""
+    events = as_inferences(table(spark, d, "events")).select("latency_ms")
+    out, state = _folders(spark, "batches")
+    for k in range(3):
+        events.filter(F.pmod(F.xxhash64("latency_ms"), F.lit(3)) == k).coalesce(1).write.parquet(f"{out}/in/part={k}")
+    reference = events.select((F.col("latency_ms") * 0.5).alias("latency_ms"))
+    stream = spark.readStream.schema("latency_ms double").option("maxFilesPerTrigger", 1).parquet(f"{out}/in/*")
+    step = inference.drift_per_batch(profiling.profile(reference), reference, ["latency_ms"], f"{out}/found")
+    inference.run_batches(stream, step, state)
+    summary = spark.read.parquet(f"{out}/found/summary").agg(F.bool_and("dataset_drift").alias("s"), F.count(F.lit(1)).alias("batches"))
+    tests = spark.read.parquet(f"{out}/found/tests").agg(F.bool_and("drifted").alias("t"))
+    read = spark.read.schema("latency_ms double").parquet(f"{out}/in/*").agg(F.count(F.lit(1)).alias("events"))
+    s, t = summary.first(), tests.first()
+    return read.select("events", F.lit(bool(s["s"] and t["t"] and s["batches"] == 3)).alias("every_batch_drifts"))
+
+
 @query(
     "stream_drift",
     """WITH b AS (SELECT QUANTILE_CONT(value, 0.5) * 0.7::DOUBLE AS base, QUANTILE_CONT(value, 0.5) AS cur FROM events),

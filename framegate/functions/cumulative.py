@@ -4,16 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from framegate.session import checkpoint
 
-# Keys one window task may sort; a proven bound, checked by counting.
-WINDOW_ROWS = 1_000_000
-# Ranges a large input is cut into at most; fixed, so the table of range totals is always small.
-MAX_RANGES = 4096
+# Keys that one window task sorts where their number is proven or counted.
+WINDOW_ROWS = 20_000
+# Keys of a range of a larger input, about.
+RANGE_ROWS = 500_000
 
 
 def running_totals(
@@ -24,21 +23,24 @@ def running_totals(
     groups: Sequence[str] = (),
     at_most: int | None = None,
     window_rows: int = WINDOW_ROWS,
+    range_rows: int = RANGE_ROWS,
 ) -> DataFrame:
     """Adds `<value>_before`: the sum of `value` over smaller `order` keys of the same group.
 
     `keyed` holds one row per (groups, order), already aggregated, so a hot key is one row.
     Small inputs use one window per group; `at_most` is a bound on the rows that the caller has
-    proven, without it they are counted. Larger inputs are checkpointed and cut into
-    rank-balanced ranges; totals of the ranges (a few thousand rows per group) give every range
-    its offset, and each range is summed by its own task.
+    proven, without it they are written once and counted. Larger inputs are dealt out by ranges of
+    the key, as many as the rows ask for, and written in that shape: totals of the ranges give
+    every range its offset, and each range is summed by its own task.
     """
-    n = at_most if at_most is not None and at_most <= window_rows else keyed.count()
-    if n <= window_rows:
-        upto = Window.partitionBy(*groups).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return keyed.select("*", *[(F.sum(v).over(upto) - F.col(v)).alias(f"{v}_before") for v in values])
+    if at_most is not None and at_most <= window_rows:
+        return _one_window(keyed, order, values, groups)
     keyed = checkpoint(keyed)
-    ranged = Bucketizer(splits=_splits(keyed, order, n, window_rows), inputCol=order, outputCol="range_").transform(keyed)
+    n = keyed.count()
+    if n <= window_rows:
+        return _one_window(keyed, order, values, groups)
+    ranges = 2 + n // range_rows
+    ranged = checkpoint(keyed.repartitionByRange(ranges, order).withColumn("range_", F.spark_partition_id()))
     keys = [*groups, "range_"]
     totals = ranged.groupBy(*keys).agg(*[F.sum(v).alias(f"{v}_range") for v in values])
     earlier = Window.partitionBy(*groups).orderBy("range_").rowsBetween(Window.unboundedPreceding, -1)
@@ -49,17 +51,12 @@ def running_totals(
     within = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     summed = ranged.select("*", *[(F.sum(v).over(within) - F.col(v)).alias(f"{v}_within") for v in values])
     same = [F.col(k).eqNullSafe(F.col(f"o_{k}")) for k in keys]
-    # Without groups there is one row per range; the number of groups is not known here.
-    joined = summed.join(offsets if groups else F.broadcast(offsets), same)
-    return joined.select(
+    return summed.join(offsets, same).select(
         *[F.col(c) for c in keyed.columns],
         *[(F.col(f"{v}_within") + F.col(f"{v}_offset")).alias(f"{v}_before") for v in values],
     )
 
 
-def _splits(keyed: DataFrame, order: str, n: int, window_rows: int) -> list[float]:
-    """Rank-balanced split points; twice as many ranges as needed, since the cuts are approximate."""
-    ranges = min(MAX_RANGES, 2 * (n // window_rows + 1))
-    probs = [k / ranges for k in range(1, ranges)]
-    cuts = keyed.agg(F.percentile_approx(order, probs, max(10_000, 4 * ranges))).first()[0]
-    return [float("-inf"), *sorted(set(cuts)), float("inf")]
+def _one_window(keyed: DataFrame, order: str, values: Sequence[str], groups: Sequence[str]) -> DataFrame:
+    upto = Window.partitionBy(*groups).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return keyed.select("*", *[(F.sum(v).over(upto) - F.col(v)).alias(f"{v}_before") for v in values])

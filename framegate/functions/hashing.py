@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from framegate.functions.nulls import col
 
@@ -28,3 +29,8 @@ def row_hash(keys: Sequence[str], seed: int = 42, portable: bool = False) -> Col
 def unit_draw(hash_col: Column) -> Column:
     """Uniform in [0, 1) from a row hash."""
     return hash_col.cast("double") / F.lit(float(1 << HASH_BITS))
+
+
+def hashable(df: DataFrame, c: str) -> Column:
+    """The column as something that can be hashed and compared: a map as its sorted entries."""
+    return F.array_sort(F.map_entries(col(c))) if isinstance(df.schema[c].dataType, T.MapType) else col(c)

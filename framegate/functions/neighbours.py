@@ -1,9 +1,11 @@
 """Exact k nearest neighbours inside one table of points.
 
-Points of a proven small total size are compared in numpy against a broadcast matrix. Beyond
-that the points are cut into shards around pivots: every point searches its own shard, and its
-k-th distance then tells which other shards can still hold a nearer point (triangle inequality).
-Only those are searched, each by bounded groups, so the answer stays exact at any size.
+A point has a unique key, a vector, and a number of copies, so however many rows are equal they are one point here.
+Neighbours are ranked by distance, then key, and both ways of searching rank alike. Points of a proven small total size
+are compared in numpy against a broadcast matrix. Beyond that the points are cut into shards around pivots: every point
+searches its own shard, and its k-th distance then tells which other shards can still hold a nearer point (triangle
+inequality). Only those are searched, each by bounded groups, so the answer stays exact at any size. With many dimensions
+the inequality excludes little, and a point is sent to most of the shards.
 """
 
 from __future__ import annotations
@@ -31,17 +33,23 @@ MAX_PIVOTS = 65_536
 SHARD_POINTS = 20_000
 PAIR_BLOCK = 2_000_000
 
-RESULT = "key bigint, vec array<double>, near array<array<double>>"
-CANDIDATE = "key bigint, d double, other bigint, other_vec array<double>"
+RESULT = "key bigint, vec array<double>, n bigint, near array<array<double>>"
+# `squared` is the squared distance, `copies` how often the other point is there.
+CANDIDATE = "key bigint, squared double, other bigint, other_vec array<double>, copies bigint"
 
 
 def nearest_neighbours(
     points: DataFrame, k: int, *, broadcast_points: int = BROADCAST_POINTS, shard_points: int = SHARD_POINTS
 ) -> DataFrame:
-    """(key, vec) to (key, vec, near): the vectors of the k nearest other points, nearest first."""
-    size = points.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("d")).first()
-    if size["n"] <= k:
-        raise ValueError(f"{k} neighbours need more than {k} points, got {size['n']}")
+    """(key, vec, n) to (key, vec, n, near): the vectors of the k nearest other rows, nearest first.
+
+    A point that is there n times has its n - 1 copies as nearest neighbours; without a column n it is there once.
+    """
+    if "n" not in points.columns:
+        points = points.withColumn("n", F.lit(1).cast("bigint"))
+    size = points.agg(F.count(F.lit(1)).alias("n"), F.sum("n").alias("rows"), F.max(F.size("vec")).alias("d")).first()
+    if (size["rows"] or 0) <= k:
+        raise ValueError(f"{k} neighbours need more than {k} points, got {size['rows'] or 0}")
     if size["n"] <= broadcast_points and size["n"] * size["d"] <= BROADCAST_NUMBERS:
         return _by_broadcast(points, k)
     return _by_shards(points, k, size["n"], shard_points)
@@ -52,8 +60,7 @@ def _matrix(vectors: pd.Series) -> np.ndarray:
 
 
 def _search(queries: np.ndarray, query_keys: np.ndarray, data: np.ndarray, keys: np.ndarray, k: int):
-    """Row indices and distances of up to k nearest rows with another key, in blocks of bounded size."""
-    take = min(k + 1, len(data))
+    """(query, row, squared distance) of the k nearest rows with another key, by query, distance and key; in bounded blocks."""
     step = max(1, PAIR_BLOCK // max(1, len(data)))
     for start in range(0, len(queries), step):
         q = queries[start : start + step]
@@ -61,29 +68,32 @@ def _search(queries: np.ndarray, query_keys: np.ndarray, data: np.ndarray, keys:
         for j in range(data.shape[1]):
             squared += (q[:, j, None] - data[None, :, j]) ** 2
         squared[query_keys[start : start + step, None] == keys[None, :]] = np.inf
-        near = np.argpartition(squared, take - 1, axis=1)[:, :take]
-        for row, candidates in enumerate(near):
-            d = squared[row, candidates]
-            order = np.lexsort((keys[candidates], d))[:k]
-            order = order[np.isfinite(d[order])]
-            yield start + row, candidates[order], np.sqrt(d[order])
+        last = np.partition(squared, min(k, len(data)) - 1, axis=1)[:, min(k, len(data)) - 1]
+        row, col = np.nonzero((squared <= last[:, None]) & np.isfinite(squared))
+        d = squared[row, col]
+        order = np.lexsort((keys[col], d, row))
+        row, col, d = row[order], col[order], d[order]
+        place = np.arange(len(row)) - np.searchsorted(row, row)
+        yield start + row[place < k], col[place < k], d[place < k]
 
 
 def _by_broadcast(points: DataFrame, k: int) -> DataFrame:
-    rows = points.orderBy("key").collect()
-    keys = np.array([r["key"] for r in rows], dtype=np.int64)
-    shared = points.sparkSession.sparkContext.broadcast((keys, np.array([r["vec"] for r in rows], dtype=float)))
+    rows = points.select("key", "vec", "n").orderBy("key").collect()
+    keys, copies = (np.array([r[c] for r in rows], dtype=np.int64) for c in ("key", "n"))
+    shared = points.sparkSession.sparkContext.broadcast((keys, copies, np.array([r["vec"] for r in rows], dtype=float)))
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        all_keys, data = shared.value
+        all_keys, copies, data = shared.value
         for batch in batches:
-            if len(batch):
-                near = [[]] * len(batch)
-                for i, idx, _ in _search(_matrix(batch["vec"]), batch["key"].to_numpy(), data, all_keys, k):
-                    near[i] = [data[j].tolist() for j in idx]
-                yield batch.assign(near=near)
+            if not len(batch):
+                continue
+            near: list[list] = [[v] * min(k, n - 1) for v, n in zip(batch["vec"], batch["n"])]
+            for query, found, _ in _search(_matrix(batch["vec"]), batch["key"].to_numpy(), data, all_keys, k):
+                for i, j in zip(query.tolist(), found.tolist()):
+                    near[i] += [data[j].tolist()] * min(int(copies[j]), k - len(near[i]))
+            yield batch.assign(near=near)
 
-    return points.select("key", "vec").mapInPandas(search, RESULT)
+    return points.select("key", "vec", "n").mapInPandas(search, RESULT)
 
 
 def _by_shards(points: DataFrame, k: int, n: int, shard_points: int) -> DataFrame:
@@ -108,19 +118,20 @@ def _by_shards(points: DataFrame, k: int, n: int, shard_points: int) -> DataFram
                 cell = d.argmin(axis=1)
                 yield batch.iloc[block].assign(cell=cell.astype("int32"), gap=d[np.arange(len(d)), cell])
 
-    celled = checkpoint(points.select("key", "vec").mapInPandas(assign, "key bigint, vec array<double>, cell int, gap double"))
+    celled = checkpoint(points.select("key", "vec", "n").mapInPandas(assign, "key bigint, vec array<double>, n bigint, cell int, gap double"))
     cells = {r["cell"]: r for r in celled.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("gap").alias("radius")).collect()}
     shards = {c: math.ceil(r["n"] / shard_points) for c, r in cells.items()}
     radius = {c: r["radius"] for c, r in cells.items()}
-    per_cell = F.create_map(*[x for c, s in shards.items() for x in (F.lit(c), F.lit(s))])
-    sharded = celled.withColumn("shard", F.pmod(F.xxhash64(F.lit(7), "key"), F.element_at(per_cell, F.col("cell"))).cast("int"))
+    # At most MAX_PIVOTS rows of two integers.
+    per_cell = F.broadcast(points.sparkSession.createDataFrame(list(shards.items()), "cell int, parts int"))
+    sharded = celled.join(per_cell, "cell").withColumn("shard", F.pmod(F.xxhash64(F.lit(7), "key"), F.col("parts")).cast("int")).drop("parts")
 
     def within(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("key")
         return _candidates(group, group, k)
 
     own = checkpoint(sharded.groupBy("cell", "shard").applyInPandas(within, CANDIDATE))
-    reach = own.groupBy("key").agg(F.count(F.lit(1)).alias("found"), F.max("d").alias("d")).select(
+    reach = own.groupBy("key").agg(F.count(F.lit(1)).alias("found"), F.sqrt(F.max("squared")).alias("d")).select(
         "key", F.when(F.col("found") >= k, F.col("d")).otherwise(F.lit(float("inf"))).alias("reach")
     )
     known = sharded.join(reach, "key", "left").fillna(float("inf"), ["reach"])
@@ -133,9 +144,8 @@ def _by_shards(points: DataFrame, k: int, n: int, shard_points: int) -> DataFram
             for block, d in distances(batch["vec"]) if len(batch) else ():
                 rows = batch.iloc[block]
                 reach_ = rows["reach"].to_numpy()[:, None]
-                # A hair of slack keeps rounding from closing a shard too early. Where the k-th
-                # distance is 0 (copies of one point) nothing can be nearer.
-                open_ = (d[:, order] - radii[None, :] <= reach_ * (1 + 1e-9) + 1e-12) & (reach_ > 0)
+                # A hair of slack keeps rounding from closing a shard too early.
+                open_ = d[:, order] - radii[None, :] <= reach_ * (1 + 1e-9) + 1e-12
                 i, j = np.nonzero(open_)
                 point, cell = np.repeat(i, parts[j]), np.repeat(j, parts[j])
                 shard = np.concatenate([np.arange(n) for n in parts[j]]) if len(j) else np.array([], dtype=int)
@@ -148,7 +158,7 @@ def _by_shards(points: DataFrame, k: int, n: int, shard_points: int) -> DataFram
     load = probes.groupBy("cell", "shard").agg(F.count(F.lit(1)).alias("asked")).select(
         "cell", "shard", F.ceil(F.col("asked") / shard_points).cast("int").alias("copies")
     )
-    load = F.broadcast(checkpoint(load))  # one row per shard
+    load = checkpoint(load)
     asking = probes.join(load, ["cell", "shard"]).withColumn("copy", F.pmod(F.xxhash64(F.lit(11), "key"), F.col("copies")).cast("int"))
     asked = sharded.join(load, ["cell", "shard"]).withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
 
@@ -160,22 +170,22 @@ def _by_shards(points: DataFrame, k: int, n: int, shard_points: int) -> DataFram
         .cogroup(asked.groupBy("cell", "shard", "copy"))
         .applyInPandas(across, CANDIDATE)
     )
-    nearest = Window.partitionBy("key").orderBy("d", "other")
+    nearest = Window.partitionBy("key").orderBy("squared", "other")
     # At most k candidates per searched shard and point.
     best = own.unionByName(others).withColumn("r", F.row_number().over(nearest)).filter(F.col("r") <= k)
-    near = best.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("r", "other_vec"))).alias("l")).select(
-        "key", F.transform("l", lambda x: x["other_vec"]).alias("near")
+    near = best.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("r", "other_vec", "copies"))).alias("l"))
+    same = F.array_repeat("vec", F.least(F.col("n") - 1, F.lit(k)).cast("int"))
+    others_of = F.flatten(F.transform("l", lambda x: F.array_repeat(x["other_vec"], F.least(x["copies"], F.lit(k)).cast("int"))))
+    return celled.join(near, "key", "left").select(
+        "key", "vec", "n", F.slice(F.concat(same, F.coalesce(others_of, F.array())), 1, k).alias("near")
     )
-    return celled.select("key", "vec").join(near, "key")
 
 
 def _candidates(queries: pd.DataFrame, data: pd.DataFrame, k: int) -> pd.DataFrame:
     if not len(queries) or not len(data):
-        return pd.DataFrame({"key": [], "d": [], "other": [], "other_vec": []})
+        return pd.DataFrame({c: pd.Series([], dtype=object) for c in ("key", "squared", "other", "other_vec", "copies")})
     q_keys, keys, matrix = queries["key"].to_numpy(), data["key"].to_numpy(), _matrix(data["vec"])
-    out = [
-        (q_keys[i], d, keys[j], matrix[j].tolist())
-        for i, idx, dist in _search(_matrix(queries["vec"]), q_keys, matrix, keys, k)
-        for j, d in zip(idx, dist)
-    ]
-    return pd.DataFrame(out, columns=["key", "d", "other", "other_vec"])
+    parts = list(_search(_matrix(queries["vec"]), q_keys, matrix, keys, k))
+    query, row, squared = (np.concatenate(x) for x in zip(*parts))
+    vectors = pd.Series(matrix[row].tolist(), dtype=object)
+    return pd.DataFrame({"key": q_keys[query], "squared": squared, "other": keys[row], "other_vec": vectors, "copies": data["n"].to_numpy()[row]})

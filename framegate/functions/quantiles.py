@@ -16,9 +16,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from framegate.functions.longform import summarise
-from framegate.functions.nulls import double_value
+from framegate.functions.nulls import col, double_value
 
 BINS = 2048
 # Rows that may be ranked directly, per wanted rank; a proven bound, checked by counting.
@@ -28,7 +29,7 @@ SLOW_SHRINK = 8
 
 
 @dataclass(frozen=True)
-class _Interval:
+class Interval:
     """Rows of `column` in [low, high]; `before` rows are smaller, `rows` lie inside."""
 
     column: str
@@ -45,10 +46,20 @@ def exact_quantiles(
     *,
     direct_rows: int = DIRECT_ROWS,
     bins: int = BINS,
-) -> dict[str, list[float | None]]:
-    """Linearly interpolated quantiles of the non-missing values, per column in the order of `probs`."""
+    extent: Mapping[str, Interval] | None = None,
+) -> dict[str, list[float | int | None]]:
+    """Linearly interpolated quantiles of the non-missing values, per column in the order of `probs`.
+
+    `extent` is what `column_extent` finds, for callers that have it already. Whole numbers that a
+    double can't hold are searched by their distance to the smallest one, and given back as integers.
+    """
     ranks = lambda n: {c for p in probs for c in _neighbours(n, p)}
-    stats = column_extent(df, columns)
+    stats = extent if extent is not None else column_extent(df, columns)
+    large = [c for c in columns if _beyond_double(df, c, stats[c])]
+    if large:
+        rest = [c for c in columns if c not in large]
+        out = exact_quantiles(df, rest, probs, direct_rows=direct_rows, bins=bins, extent=stats)
+        return out | _large_quantiles(df, large, probs, direct_rows, bins)
     wanted = {c: ranks(stats[c].rows) for c in columns if stats[c].rows}
     found = order_statistics(df, {c: (stats[c], r) for c, r in wanted.items()}, direct_rows=direct_rows, bins=bins)
     out: dict[str, list[float | None]] = {}
@@ -58,7 +69,24 @@ def exact_quantiles(
     return out
 
 
-def column_extent(df: DataFrame, columns: Sequence[str]) -> dict[str, _Interval]:
+def _beyond_double(df: DataFrame, c: str, extent: Interval) -> bool:
+    whole = isinstance(df.schema[c].dataType, (T.LongType, T.DecimalType))
+    return whole and bool(extent.rows) and max(abs(extent.low), abs(extent.high)) >= 2**53
+
+
+def _large_quantiles(df, columns, probs, direct_rows, bins):
+    ends = df.agg(*[x for i, c in enumerate(columns) for x in (F.min(col(c)).alias(f"a{i}"), F.max(col(c)).alias(f"b{i}"))]).first()
+    least = {c: ends[f"a{i}"] for i, c in enumerate(columns)}
+    wide = [c for i, c in enumerate(columns) if ends[f"b{i}"] - ends[f"a{i}"] >= 2**53]
+    if wide:
+        raise ValueError(f"Exact quantiles need a range of values below 2^53: {wide}")
+    moved = df.select(*[(col(c) - F.lit(least[c])).cast("double").alias(c) for c in columns])
+    found = exact_quantiles(moved, columns, probs, direct_rows=direct_rows, bins=bins)
+    whole = lambda x: int(x) if float(x).is_integer() else x
+    return {c: [whole(v) + least[c] for v in vs] for c, vs in found.items()}
+
+
+def column_extent(df: DataFrame, columns: Sequence[str]) -> dict[str, Interval]:
     """Row count, smallest and largest value per column: one scan."""
     if not columns:
         return {}
@@ -71,25 +99,25 @@ def column_extent(df: DataFrame, columns: Sequence[str]) -> dict[str, _Interval]
             "high": lambda c: F.max(double_value(df, c)),
         },
     )
-    return {r["feature"]: _Interval(r["feature"], r["low"], r["high"], 0, r["n"]) for r in table.collect()}
+    return {r["feature"]: Interval(r["feature"], r["low"], r["high"], 0, r["n"]) for r in table.collect()}
 
 
 def order_statistics(
     df: DataFrame,
-    targets: Mapping[str, tuple[_Interval, set[int]]],
+    targets: Mapping[str, tuple[Interval, set[int]]],
     *,
     direct_rows: int = DIRECT_ROWS,
     bins: int = BINS,
 ) -> dict[str, dict[int, float]]:
     """Values at the wanted 0-based ranks. Ranks that fall into one interval share its passes."""
     found: dict[str, dict[int, float]] = {c: {} for c in targets}
-    open_: dict[_Interval, set[int]] = {}
+    open_: dict[Interval, set[int]] = {}
     for c, (interval, ranks) in targets.items():
         _file(open_, found, interval, ranks)
-    by_rank: set[_Interval] = set()
+    by_rank: set[Interval] = set()
     while open_:
         answers = _locate(df, open_, by_rank, direct_rows, bins)
-        next_open: dict[_Interval, set[int]] = {}
+        next_open: dict[Interval, set[int]] = {}
         by_rank = set()
         for parent, rank, child in answers:
             _file(next_open, found, child, {rank})
@@ -114,10 +142,12 @@ def _locate(df, open_, by_rank, direct_rows, bins):
     # Bounds travel as arrays looked up by interval number, so every pass compiles to the same code.
     at = lambda values: F.array(*[F.lit(x) for x in values])[F.col("i")]
     v = F.col("v")
-    long = df.select(
-        F.stack(F.lit(len(intervals)), *[x for i, t in enumerate(intervals) for x in (F.lit(i), double_value(df, t.column))])
-        .alias("i", "v")
-    ).filter((v >= at([t.low for t in intervals])) & (v <= at([t.high for t in intervals])))
+    # Every column is worked out once; of its values only those inside an open interval become rows.
+    names = {c: f"v{k}" for k, c in enumerate(dict.fromkeys(t.column for t in intervals))}
+    values = df.select(*[double_value(df, c).alias(n) for c, n in names.items()])
+    own = [F.col(names[t.column]) for t in intervals]
+    inside = [F.when(x.between(F.lit(t.low), F.lit(t.high)), F.struct(F.lit(i).alias("i"), x.alias("v"))) for i, (x, t) in enumerate(zip(own, intervals))]
+    long = values.select(F.inline(F.array_compact(F.array(*inside))))
     scale = [(bins - 1) / (t.high - t.low) if _even_width(t) else 1.0 for t in intervals]
     by_width = F.floor((v - at([t.low for t in intervals])) * at(scale)).cast("double")
     cell = F.when(at([t.rows <= direct_rows for t in intervals]), v).otherwise(by_width)
@@ -141,12 +171,12 @@ def _locate(df, open_, by_rank, direct_rows, bins):
     out = []
     for h in hits:
         parent = intervals[h["i"]]
-        child = _Interval(parent.column, h["low"], h["high"], parent.before + h["upto"] - h["n"], h["n"])
+        child = Interval(parent.column, h["low"], h["high"], parent.before + h["upto"] - h["n"], h["n"])
         out.append((parent, parent.before + h["k"], child))
     return out
 
 
-def _even_width(interval: _Interval) -> bool:
+def _even_width(interval: Interval) -> bool:
     width = interval.high - interval.low
     return math.isfinite(width) and width > 0
 
@@ -189,6 +219,7 @@ def quantile_frame(
     method: str = "exact",
     accuracy: int = 10_000,
     key: str = "feature",
+    extent: Mapping[str, Interval] | None = None,
 ) -> DataFrame:
     """(key, one column per prob). `approx` is one lazy scan with a bounded sketch per column."""
     if method == "approx":
@@ -198,12 +229,13 @@ def quantile_frame(
         return table.select(key, *[F.col("q")[i].cast("double").alias(n) for i, n in enumerate(names)])
     if method != "exact":
         raise ValueError(f"Unknown quantile method: {method}")
-    found = exact_quantiles(df, columns, probs)
+    found = exact_quantiles(df, columns, probs, extent=extent)
     return literal_table(df, key, {c: dict(zip(names, found[c])) for c in columns}, names)
 
 
 def literal_table(df: DataFrame, key: str, rows: Mapping[str, Mapping[str, float | None]], names: Sequence[str]) -> DataFrame:
     """A small driver-side result (one row per column) as a DataFrame."""
     schema = f"`{key}` string, " + ", ".join(f"`{n}` double" for n in names)
-    return df.sparkSession.createDataFrame([(k, *[v[n] for n in names]) for k, v in rows.items()], schema)
+    number = lambda x: None if x is None else float(x)
+    return df.sparkSession.createDataFrame([(k, *[number(v[n]) for n in names]) for k, v in rows.items()], schema)
 

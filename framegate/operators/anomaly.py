@@ -27,9 +27,9 @@ def quantile_bounds(df: DataFrame, cfg: AnomalyConfig = AnomalyConfig()) -> dict
         sketch = summarise(df, columns, {"q": lambda c: F.percentile_approx(double_value(df, c), probs, 10_000)})
         found = {r["feature"]: r["q"] for r in sketch.collect()}
         return {c: tuple(found[c]) for c in columns if extent[c] >= max(cfg.min_non_null, 1)}
-    extent = {c: e.rows for c, e in column_extent(df, columns).items()}
-    eligible = [c for c in columns if extent[c] >= max(cfg.min_non_null, 1)]
-    found = exact_quantiles(df, eligible, probs)
+    extent = column_extent(df, columns)
+    eligible = [c for c in columns if extent[c].rows >= max(cfg.min_non_null, 1)]
+    found = exact_quantiles(df, eligible, probs, extent=extent)
     return {c: (found[c][0], found[c][1]) for c in eligible}
 
 
@@ -100,10 +100,11 @@ def outlier_report(df: DataFrame, bounds: Bounds, cfg: AnomalyConfig = AnomalyCo
 
 
 def outlier_matrix(
-    df: DataFrame, bounds: Bounds, order_by: Sequence[str], columns: int = 12, rows: int = 120
+    df: DataFrame, bounds: Bounds, order_by: Sequence[str], columns: int = 12, rows: int | None = 120
 ) -> DataFrame:
-    """0/1 flags of the most flagged columns for the first rows by the given key (a top-k report)."""
+    """0/1 flags of the most flagged columns for the first rows by the given key (a top-k report), or for all (`rows=None`)."""
     top = outlier_rates(df, bounds).orderBy(F.desc("outlier_rate"), "feature").limit(columns).collect()
     flags = outlier_flags(df, bounds)
     keys = [col(k) for k in order_by]
-    return df.orderBy(*keys).limit(rows).select(*keys, *[flags[r["feature"]].cast("int").alias(r["feature"] + "_flag") for r in top])
+    first = df if rows is None else df.orderBy(*keys).limit(rows)
+    return first.select(*keys, *[flags[r["feature"]].cast("int").alias(r["feature"] + "_flag") for r in top])

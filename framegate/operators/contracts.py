@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from framegate.config import ColumnContract, Roles, ValidationConfig
-from framegate.functions.longform import rows_from, text
+from framegate.functions.longform import MAX_AGGREGATES, rows_from, text
 from framegate.functions.nulls import clean_value, col, holds, is_numeric
 from framegate.functions.status import FAIL, PASS, enforce
 
@@ -147,10 +148,12 @@ def _violation_table(df: DataFrame, key: str, counts: Mapping[str, Column]) -> D
     names = list(counts)
     if not names:
         return df.sparkSession.createDataFrame([], f"{key} string, violations bigint, status string, message string")
-    wide = df.agg(*[counts[n].alias(f"v{i}") for i, n in enumerate(names)])
-    long = rows_from(
-        wide, [{key: text(n), "violations": f"coalesce(cast(v{i} as bigint), 0L)"} for i, n in enumerate(names)]
-    )
+    parts = []
+    for start in range(0, len(names), MAX_AGGREGATES):
+        chunk = names[start : start + MAX_AGGREGATES]
+        wide = df.agg(*[counts[n].alias(f"v{i}") for i, n in enumerate(chunk)])
+        parts.append(rows_from(wide, [{key: text(n), "violations": f"coalesce(cast(v{i} as bigint), 0L)"} for i, n in enumerate(chunk)]))
+    long = reduce(DataFrame.unionByName, parts)
     broken = F.col("violations") > 0
     return long.select(
         key,

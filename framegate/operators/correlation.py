@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 from itertools import combinations
@@ -11,9 +12,10 @@ from pyspark.sql import functions as F
 
 from framegate.config import CorrelationConfig
 from framegate.functions.cumulative import running_totals
-from framegate.functions.longform import rows_from, text
+from framegate.functions.longform import melt, rows_from, text
 from framegate.functions.nulls import col, double_value, numeric_columns
 from framegate.functions.status import level
+from framegate.session import checkpoint
 
 # Pair aggregates per scan (each keeps six running numbers).
 PAIRS_PER_SCAN = 500
@@ -27,12 +29,58 @@ def pair_correlation(a: Column, b: Column) -> Column:
     return F.when((F.min(x) < F.max(x)) & (F.min(y) < F.max(y)), r)
 
 
-def pearson_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+# Columns from which on all pairs are summed up together instead of one by one.
+WIDE_COLUMNS = 40
+# Share of its size below which the spread of a wide table's column over a pair's rows is rounding.
+NO_SPREAD = 1e-11
+
+
+def pearson_pairs(df: DataFrame, columns: Sequence[str], wide_columns: int = WIDE_COLUMNS) -> DataFrame:
     """(feature_a, feature_b, corr) for every pair a before b in column order."""
     values = {c: double_value(df, c) for c in columns}
+    if len(columns) >= wide_columns:
+        return _wide_pairs(df, values)
     return _pairs(df, list(combinations(columns, 2)), values)
 
 
+def _wide_pairs(df: DataFrame, values: Mapping[str, Column]) -> DataFrame:
+    """All pairs in two scans: column means, then sums of products of the centred values.
+
+    A task multiplies its batches as matrices (with a matrix of present values, so each pair counts its own
+    complete rows) and hands on one row per pair.
+    """
+    names = list(values)
+    d = len(names)
+    table = df.select(*[v.alias(f"v{i}") for i, v in enumerate(values.values())])
+    mean = table.agg(*[F.coalesce(F.avg(f"v{i}"), F.lit(0.0)).alias(f"v{i}") for i in range(d)]).first()
+    centre = [float(m) if math.isfinite(m) else 0.0 for m in mean]
+
+    def sums(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        total = np.zeros((4, d, d))
+        for batch in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns]) - centre if batch.num_rows else np.zeros((0, d))
+            there = ~np.isnan(x)
+            x = np.where(there, x, 0.0)
+            m = there.astype(float)
+            total += np.stack([m.T @ m, x.T @ m, x.T @ x, (x * x).T @ m])
+        a, b = np.triu_indices(d, 1)
+        n, s, xy, q = total
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(v) for v in (a, b, n[a, b], s[a, b], s[b, a], xy[a, b], q[a, b], q[b, a])], names=["i", "j", "n", "x", "y", "xy", "xx", "yy"]
+        )
+
+    fields = "i long, j long, n double, x double, y double, xy double, xx double, yy double"
+    summed = table.mapInArrow(sums, fields).groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "x", "y", "xy", "xx", "yy")])
+    spread = lambda c: f"IF(n * {c}{c} - {c} * {c} > {NO_SPREAD} * n * {c}{c}, n * {c}{c} - {c} * {c}, NULL)"
+    label = F.array(*[F.lit(c) for c in names])
+    return summed.selectExpr("i", "j", f"try_divide(n * xy - x * y, sqrt({spread('x')}) * sqrt({spread('y')})) AS corr").select(
+        label[F.col("i").cast("int")].alias("feature_a"), label[F.col("j").cast("int")].alias("feature_b"), "corr"
+    )
+
+
 def _pairs(df: DataFrame, pairs: Sequence[tuple[str, str]], values: Mapping[str, Column]) -> DataFrame:
     if not pairs:
         return df.sparkSession.createDataFrame([], PAIR_SCHEMA)
@@ -49,75 +97,73 @@ def _pairs(df: DataFrame, pairs: Sequence[tuple[str, str]], values: Mapping[str,
     return reduce(DataFrame.unionByName, parts)
 
 
-# Rows of a rank table that may be sent to every executor (16 bytes each).
+# Distinct values of a column whose rank table may be sent to every executor (16 bytes each).
 BROADCAST_RANKS = 1_000_000
 
 
-def average_ranks(counts: DataFrame, at_most: int | None = None) -> DataFrame:
-    """(value, rank) from (value, n): 1-based rank of every distinct value, ties sharing their mean rank."""
-    return running_totals(counts, "value", ["n"], at_most=at_most).select(
-        "value", (F.col("n_before") + (F.col("n") + 1) / 2).alias("rank")
+def average_ranks(counts: DataFrame, groups: Sequence[str]) -> DataFrame:
+    """(groups…, value, rank) from (groups…, value, n): 1-based rank of every distinct value, ties sharing their mean rank."""
+    return running_totals(counts, "value", ["n"], groups=groups).select(
+        *groups, "value", (F.col("n_before") + (F.col("n") + 1) / 2).alias("rank")
     )
 
 
 def spearman_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rank correlation of every pair over the rows where both values are present.
 
-    Columns without missing values share one ranking: tables of distinct values with their mean
-    rank, joined back on the value. A pair with missing values is ranked on its own complete
-    rows; these are counted per pair of values first, so repeated pairs travel once. Rank tables
-    are broadcast only where the number of rows bounds their size; otherwise the joins are
-    sort-merge joins, in which adaptive execution splits a hot value.
+    Columns without missing values share one ranking: the distinct values of all of them are
+    counted in one scan and ranked together, and joined back on the value. Pairs with missing
+    values are ranked on their own complete rows; these are counted per pair of values first, all
+    pairs in one scan, so repeated pairs travel once. A rank table is broadcast if the distinct
+    values it was counted to hold are few; otherwise the join is a sort-merge join, in which
+    adaptive execution splits a hot value.
     """
     sizes = df.agg(
         F.count(F.lit(1)).alias("rows"), *[F.count(double_value(df, c)).alias(f"n{i}") for i, c in enumerate(columns)]
     ).first()
-    present = {c: sizes[f"n{i}"] for i, c in enumerate(columns)}
-    complete = [c for c in columns if present[c] == sizes["rows"]]
-    parts = []
+    complete = [c for i, c in enumerate(columns) if sizes[f"n{i}"] == sizes["rows"]]
+    gappy = [(a, b) for a, b in combinations(columns, 2) if a not in complete or b not in complete]
+    parts = [_gappy_ranks(df, gappy[i : i + PAIRS_PER_SCAN]) for i in range(0, len(gappy), PAIRS_PER_SCAN)]
     if len(complete) > 1:
-        parts.append(_complete_ranks(df, complete, sizes["rows"]))
-    for a, b in combinations(columns, 2):
-        if a not in complete or b not in complete:
-            parts.append(_ranked_pair(df, a, b, min(present[a], present[b])))
+        parts.append(_complete_ranks(df, complete))
     if not parts:
         return df.sparkSession.createDataFrame([], PAIR_SCHEMA)
     return reduce(DataFrame.unionByName, parts)
 
 
-def _bounded(table: DataFrame, at_most: int) -> DataFrame:
-    return F.broadcast(table) if at_most <= BROADCAST_RANKS else table
-
-
-def _complete_ranks(df: DataFrame, columns: Sequence[str], rows: int) -> DataFrame:
-    ranked = df.select(*[double_value(df, c).alias(f"v{i}") for i, c in enumerate(columns)])
+def _complete_ranks(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    values = {c: double_value(df, c) for c in columns}
+    counts = melt(df, values).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
+    ranks = checkpoint(average_ranks(counts, ["feature"]))
+    distinct = {r["feature"]: r["count"] for r in ranks.groupBy("feature").count().collect()}
+    ranked = df.select(*[v.alias(f"v{i}") for i, v in enumerate(values.values())])
     for i, c in enumerate(columns):
-        counts = df.select(double_value(df, c).alias("value")).groupBy("value").agg(F.count(F.lit(1)).alias("n"))
-        ranks = average_ranks(counts, rows).select(F.col("value").alias(f"v{i}"), F.col("rank").alias(f"r{i}"))
-        ranked = ranked.join(_bounded(ranks, rows), f"v{i}").drop(f"v{i}")
+        own = ranks.filter(F.col("feature") == c).select(F.col("value").alias(f"v{i}"), F.col("rank").alias(f"r{i}"))
+        ranked = ranked.join(F.broadcast(own) if distinct.get(c, 0) <= BROADCAST_RANKS else own, f"v{i}").drop(f"v{i}")
     return _pairs(ranked, list(combinations(columns, 2)), {c: F.col(f"r{i}") for i, c in enumerate(columns)})
 
 
-def _ranked_pair(df: DataFrame, a: str, b: str, rows: int) -> DataFrame:
-    cells = (
-        df.select(double_value(df, a).alias("a"), double_value(df, b).alias("b"))
-        .filter("a is not null and b is not null")
-        .groupBy("a", "b")
-        .agg(F.count(F.lit(1)).alias("n"))
+def _gappy_ranks(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    both = [F.struct(F.lit(i).alias("pair"), double_value(df, a).alias("a"), double_value(df, b).alias("b")) for i, (a, b) in enumerate(pairs)]
+    cells = checkpoint(
+        df.select(F.inline(F.array(*both))).filter("a is not null and b is not null").groupBy("pair", "a", "b").agg(F.count(F.lit(1)).alias("n"))
     )
+    sides = F.inline(F.array(*[F.struct(F.lit(s).alias("side"), F.col(s).alias("value"), F.col("n").alias("n")) for s in "ab"]))
+    counts = cells.select("pair", sides).groupBy("pair", "side", "value").agg(F.sum("n").alias("n"))
+    ranks = average_ranks(counts, ["pair", "side"])
     ranked = cells
-    for c in ("a", "b"):
-        counts = cells.groupBy(F.col(c).alias("value")).agg(F.sum("n").alias("n"))
-        ranks = average_ranks(counts, rows).select(F.col("value").alias(c), F.col("rank").alias(f"r{c}"))
-        ranked = ranked.join(_bounded(ranks, rows), c)
+    for s in "ab":
+        own = ranks.filter(F.col("side") == s).select("pair", F.col("value").alias(s), F.col("rank").alias(f"r{s}"))
+        ranked = ranked.join(own, ["pair", s])
     n, x, y = F.col("n").cast("double"), F.col("ra"), F.col("rb")
-    s = ranked.agg(
+    sums = ranked.groupBy("pair").agg(
         F.sum(n).alias("n"), F.sum(n * x).alias("x"), F.sum(n * y).alias("y"), F.sum(n * x * y).alias("xy"),
         F.sum(n * x * x).alias("xx"), F.sum(n * y * y).alias("yy"),
     )
     spread = lambda c: f"greatest(n * {c}{c} - {c} * {c}, 0D)"
     corr = f"try_divide(n * xy - x * y, sqrt({spread('x')}) * sqrt({spread('y')}))"
-    return s.selectExpr(f"{text(a)} AS feature_a", f"{text(b)} AS feature_b", f"{corr} AS corr")
+    names = df.sparkSession.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "pair int, feature_a string, feature_b string")
+    return names.join(sums, "pair", "left").selectExpr("feature_a", "feature_b", f"{corr} AS corr")
 
 
 def correlation_pairs(df: DataFrame, cfg: CorrelationConfig = CorrelationConfig()) -> DataFrame:

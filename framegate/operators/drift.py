@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -11,10 +12,11 @@ from pyspark.sql import functions as F
 
 from framegate.config import DriftConfig
 from framegate.functions.cumulative import running_totals
-from framegate.functions.longform import scalar_struct
+from framegate.functions.longform import melt
 from framegate.functions.nulls import clean_value, col, double_value, numeric_columns
 from framegate.functions.quantiles import column_extent
 from framegate.functions.status import level
+from framegate.session import checkpoint
 
 SHIFT_MEASURES = ("mean", "p50", "p99", "std")
 
@@ -129,35 +131,63 @@ PSI_LIMIT = 0.1
 DATASET_DRIFT_SHARE = 0.5
 
 
-def ks_test(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(feature, statistic, p_value, drifted): two-sample Kolmogorov-Smirnov per numeric column.
-
-    Values are counted per side first, so copies collapse; the running counts over the sorted
-    distinct values are built range by range. The p-value is the asymptotic series.
-    """
-    tables = [_ks_one(reference, current, c) for c in columns]
-    return reduce(DataFrame.unionByName, tables)
+def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(feature, v, n): how often each value of the numeric columns is there, counted in one scan."""
+    return (
+        melt(df, {c: double_value(df, c) for c in columns})
+        .filter("value is not null")
+        .groupBy("feature", F.col("value").alias("v"))
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
 
 
-def _ks_one(reference: DataFrame, current: DataFrame, c: str) -> DataFrame:
-    side = lambda d, is_ref: d.select(double_value(d, c).alias("v"), F.lit(is_ref).alias("ref")).filter("v is not null")
-    counts = (
-        side(reference, 1).unionByName(side(current, 0)).groupBy("v")
-        .agg(F.sum("ref").alias("a"), F.sum(1 - F.col("ref")).alias("b"))
+def category_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The same for columns read as text; a missing value is a category of its own."""
+    return (
+        melt(df, {c: clean_value(df, c).cast("string") for c in columns})
+        .groupBy("feature", F.col("value").alias("v"))
+        .agg(F.count(F.lit(1)).alias("n"))
     )
-    ran = running_totals(counts, "v", ["a", "b"])
-    sums = counts.agg(F.sum("a").alias("na"), F.sum("b").alias("nb"))
-    t = scalar_struct(sums)
-    gap = F.abs(
-        F.try_divide(F.col("a_before") + F.col("a"), t["na"]) - F.try_divide(F.col("b_before") + F.col("b"), t["nb"])
+
+
+def _two_sides(reference: DataFrame, current: DataFrame) -> DataFrame:
+    """(feature, v, a, b) from two tables of counts."""
+    side = lambda d, a, b: d.select("feature", "v", (F.col("n") * a).alias("a"), (F.col("n") * b).alias("b"))
+    return (
+        side(reference, 1, 0).unionByName(side(current, 0, 1)).groupBy("feature", "v").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
     )
-    worst = ran.select("a", "b", gap.alias("gap")).agg(
-        F.max("gap").alias("statistic"), F.sum("a").alias("na"), F.sum("b").alias("nb")
+
+
+def ks_test(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(feature, statistic, p_value, drifted): two-sample Kolmogorov-Smirnov per numeric column.
+
+    Values of all columns are counted per side in one scan of each table, so copies collapse; the running
+    counts over the sorted distinct values are built range by range. The p-value is the asymptotic series.
+    """
+    return ks_from_counts(value_counts(reference, columns), value_counts(current, columns), columns)
+
+
+def ks_from_counts(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """`ks_test` on two tables of (feature, v, n), such as a reference that was counted once and saved."""
+    counts = _two_sides(reference, current)
+    ran = running_totals(counts, "v", ["a", "b"], groups=["feature"])
+    # One row per column on the smaller side.
+    totals = ran.groupBy("feature").agg(F.sum("a").alias("na"), F.sum("b").alias("nb"))
+    upto = lambda v: F.try_divide(F.col(f"{v}_before") + F.col(v), F.col(f"n{v}"))
+    worst = (
+        ran.join(F.broadcast(totals), "feature")
+        .groupBy("feature")
+        .agg(F.max(F.abs(upto("a") - upto("b"))).alias("statistic"), F.max("na").alias("na"), F.max("nb").alias("nb"))
     )
     size = F.col("na") * F.col("nb") / (F.col("na") + F.col("nb"))
-    return worst.select(
-        F.lit(c).alias("feature"), "statistic", kolmogorov_tail(F.sqrt(size) * F.col("statistic")).alias("p_value")
-    ).withColumn("drifted", F.col("p_value") < KS_ALPHA)
+    tested = worst.select("feature", "statistic", kolmogorov_tail(F.sqrt(size) * F.col("statistic")).alias("p_value"))
+    return _every(tested, columns).withColumn("drifted", F.col("p_value") < KS_ALPHA)
+
+
+def _every(tested: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row per column, also for those without any value."""
+    names = tested.sparkSession.createDataFrame([(c,) for c in columns], "feature string")
+    return names.join(tested, "feature", "left")
 
 
 def kolmogorov_tail(x: Column) -> Column:
@@ -171,22 +201,56 @@ def category_psi(reference: DataFrame, current: DataFrame, columns: Sequence[str
 
     Shares of absent categories are read as `floor`. There is no p-value for this measure.
     """
-    tables = []
-    for c in columns:
-        side = lambda d, n: d.select(clean_value(d, c).cast("string").alias("v"), F.lit(n).alias("ref"))
-        counts = (
-            side(reference, 1).unionByName(side(current, 0)).groupBy("v")
-            .agg(F.sum("ref").alias("a"), F.sum(1 - F.col("ref")).alias("b"))
-        )
-        t = scalar_struct(counts.agg(F.sum("a").alias("na"), F.sum("b").alias("nb")))
-        p = F.greatest(F.try_divide(F.col("a"), t["na"]), F.lit(floor))
-        q = F.greatest(F.try_divide(F.col("b"), t["nb"]), F.lit(floor))
-        tables.append(
-            counts.select(p.alias("p"), q.alias("q")).agg(F.sum((F.col("q") - F.col("p")) * F.ln(F.col("q") / F.col("p"))).alias("statistic")).select(
-                F.lit(c).alias("feature"), "statistic", F.lit(None).cast("double").alias("p_value")
-            ).withColumn("drifted", F.col("statistic") >= PSI_LIMIT)
-        )
-    return reduce(DataFrame.unionByName, tables)
+    return psi_from_counts(category_counts(reference, columns), category_counts(current, columns), columns, floor)
+
+
+def psi_from_counts(reference: DataFrame, current: DataFrame, columns: Sequence[str], floor: float = 1e-4) -> DataFrame:
+    """`category_psi` on two tables of (feature, v, n)."""
+    counts = _two_sides(reference, current)
+    totals = counts.groupBy("feature").agg(F.sum("a").alias("na"), F.sum("b").alias("nb"))
+    part = lambda v: F.greatest(F.try_divide(F.col(v), F.col(f"n{v}")), F.lit(floor))
+    p, q = part("a"), part("b")
+    found = (
+        counts.join(F.broadcast(totals), "feature")
+        .groupBy("feature")
+        .agg(F.sum((q - p) * F.ln(q / p)).alias("statistic"))
+        .withColumn("p_value", F.lit(None).cast("double"))
+    )
+    return _every(found, columns).withColumn("drifted", F.col("statistic") >= PSI_LIMIT)
+
+
+@dataclass(frozen=True)
+class Reference:
+    """A reference table as counts of its values, taken once and written; drift tests read nothing else of it."""
+
+    numeric: tuple[str, ...]
+    other: tuple[str, ...]
+    values: DataFrame | None
+    categories: DataFrame | None
+
+
+def saved_reference(reference: DataFrame, columns: Sequence[str] | None = None) -> Reference:
+    """Counts the reference in one scan for numbers and one for categories and checkpoints the counts."""
+    columns = list(columns or reference.columns)
+    numeric = [c for c in numeric_columns(reference) if c in set(columns)]
+    other = [c for c in columns if c not in set(numeric)]
+    return Reference(
+        tuple(numeric),
+        tuple(other),
+        checkpoint(value_counts(reference, numeric)) if numeric else None,
+        checkpoint(category_counts(reference, other)) if other else None,
+    )
+
+
+def drift_against(reference: Reference, current: DataFrame, share: float = DATASET_DRIFT_SHARE) -> tuple[DataFrame, DataFrame]:
+    """`dataset_drift` against saved counts: only the current rows are scanned."""
+    tests = []
+    if reference.numeric:
+        tests.append(ks_from_counts(reference.values, value_counts(current, reference.numeric), reference.numeric))
+    if reference.other:
+        tests.append(psi_from_counts(reference.categories, category_counts(current, reference.other), reference.other))
+    table = reduce(DataFrame.unionByName, tests)
+    return table, drift_summary(table, share)
 
 
 def dataset_drift(

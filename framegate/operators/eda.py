@@ -21,11 +21,9 @@ HISTOGRAM_BINS = 20
 # -- distributions --------------------------------------------------------------------------
 
 
-def histograms(
-    df: DataFrame, columns: Sequence[str] | None = None, bins: int = HISTOGRAM_BINS, max_columns: int = 20
-) -> DataFrame:
-    """(feature, bin, low, high, n) for the first numeric columns."""
-    columns = list(columns or numeric_columns(df))[:max_columns]
+def histograms(df: DataFrame, columns: Sequence[str] | None = None, bins: int = HISTOGRAM_BINS) -> DataFrame:
+    """(feature, bin, low, high, n) for the given columns, or for all numeric ones."""
+    columns = list(columns or numeric_columns(df))
     plan = _bin_plan(df, columns, bins)
     cells = {c: bin_of(double_value(df, c), lo, hi, n) for c, (lo, hi, n) in plan.items()}
     counts = melt(df, cells).filter("value is not null").groupBy("feature", F.col("value").alias("bin")).agg(
@@ -35,13 +33,13 @@ def histograms(
 
 
 def class_histograms(
-    df: DataFrame, target: str, columns: Sequence[str] | None = None, bins: int = HISTOGRAM_BINS, max_columns: int = 12
+    df: DataFrame, target: str, columns: Sequence[str] | None = None, bins: int = HISTOGRAM_BINS
 ) -> DataFrame:
     """(feature, label, bin, low, high, n, density): per-class histograms on shared bins.
 
     Densities of one class and feature add up to 1.
     """
-    columns = list(columns or numeric_columns(df, [target]))[:max_columns]
+    columns = list(columns or numeric_columns(df, [target]))
     plan = _bin_plan(df, columns, bins)
     cells = {c: bin_of(double_value(df, c), lo, hi, n) for c, (lo, hi, n) in plan.items()}
     counts = (
@@ -64,6 +62,7 @@ def _bin_plan(df: DataFrame, columns: Sequence[str], bins: int) -> dict[str, tup
 
 def skew_class(skew: Column, zero_ratio: Column, cfg: SkewConfig) -> tuple[Column, Column]:
     """Category and suggested transform. Strong right skew without zeros counts as moderate."""
+    # The names of categories and suggestions.
     strong_right, strong_left = skew >= cfg.high, skew <= -cfg.high
     inflated = (zero_ratio >= cfg.zero_ratio) & (strong_right | strong_left)
     category = (
@@ -222,16 +221,16 @@ def _bin_by_cuts(v: Column, cuts: Sequence[float]) -> Column:
 
 
 def missing_matrix(
-    df: DataFrame, columns: Sequence[str], keys: Sequence[str], rows: int = 300, seed: int = 42, ordered: bool = False
+    df: DataFrame, columns: Sequence[str], keys: Sequence[str], rows: int | None = 300, seed: int = 42, portable: bool = False
 ) -> DataFrame:
-    """0/1 missing flags of the columns that miss anything, for a fixed pseudo-random sample of rows.
+    """0/1 missing flags of the columns that miss anything, for a fixed pseudo-random sample of rows or for all (`rows=None`).
 
-    The sample is the rows with the smallest key hash (or the first by key with `ordered`),
-    taken by a distributed top-k, so it is the same on every run.
+    The sample is the rows with the smallest key hash, taken by a distributed top-k, so it is the
+    same on every run.
     """
     counts = summarise(df, columns, {"share": lambda c: ratio(F.count_if(clean_value(df, c).isNull()), F.count(F.lit(1)))})
     some = [r["feature"] for r in counts.filter("share > 0").orderBy(F.desc("share"), "feature").collect()]
-    order = [col(k) for k in keys] if ordered else [row_hash(keys, seed), *[col(k) for k in keys]]
     flags = [clean_value(df, c).isNull().cast("int").alias(f"{c}_missing") for c in some]
-    return df.orderBy(*order).limit(rows).select(*[col(k) for k in keys], *flags)
+    chosen = df if rows is None else df.orderBy(row_hash(keys, seed, portable), *[col(k) for k in keys]).limit(rows)
+    return chosen.select(*[col(k) for k in keys], *flags)
 

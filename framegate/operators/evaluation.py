@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from framegate.config import GateConfig
 from framegate.functions.cumulative import running_totals
@@ -147,11 +148,22 @@ def classification_report(df: DataFrame, label: str, prediction: str) -> DataFra
     """(label, precision, recall, f1, support) per class plus accuracy, macro and weighted averages."""
     return report_from_counts(
         df.filter(col(label).isNotNull() & col(prediction).isNotNull())
-        .groupBy(col(label).cast("string").alias("y"), col(prediction).cast("string").alias("p"))
+        .groupBy(_class_name(df, label).alias("y"), _class_name(df, prediction).alias("p"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
 
 
+def _class_name(df: DataFrame, name: str) -> Column:
+    """A class as text; a whole number reads alike whether it is stored as integer, double, decimal or boolean."""
+    kind = df.select(col(name)).schema[0].dataType
+    if isinstance(kind, T.BooleanType):
+        return col(name).cast("int").cast("string")
+    if isinstance(kind, T.FractionalType):
+        x = col(name).cast("double")
+        return F.when((x == F.floor(x)) & (F.abs(x) < 2**53), x.cast("bigint").cast("string")).otherwise(x.cast("string"))
+    return col(name).cast("string")
+
+
 def report_from_counts(cells: DataFrame) -> DataFrame:
     hit = F.when(F.col("y") == F.col("p"), F.col("n")).otherwise(0)
     sides = F.array(
@@ -259,6 +271,7 @@ def gates_passed(checks: DataFrame) -> DataFrame:
 
 # -- decay ----------------------------------------------------------------------------------
 
+# The names of metrics, here and in `functions.scores`, and of the promotion gates above.
 DECAY_METRICS = ("f1", "precision", "recall", "accuracy")
 
 

@@ -30,6 +30,15 @@ def feature_vectors(df: DataFrame, columns: Sequence[str], extra: Sequence[str]
     return assembled.select("features", *[col(e) for e in extra])
 
 
+def tree_depth(wanted: int | None) -> int:
+    """The depth as Spark takes it; only "no limit" becomes Spark's deepest tree."""
+    if wanted is None:
+        return MAX_DEPTH
+    if int(wanted) > MAX_DEPTH:
+        raise ValueError(f"Trees of depth {wanted} are not supported, at most {MAX_DEPTH}")
+    return int(wanted)
+
+
 def forest_importance(
     df: DataFrame,
     target: str,
@@ -47,7 +56,7 @@ def forest_importance(
         featuresCol="features",
         labelCol=target,
         numTrees=trees,
-        maxDepth=MAX_DEPTH if max_depth is None else min(max_depth, MAX_DEPTH),
+        maxDepth=tree_depth(max_depth),
         minInstancesPerNode=min_leaf,
         seed=seed,
     )

@@ -65,8 +65,8 @@ def request_metrics(
     """One row of request totals, latency of the latest `history` requests and requests of the last minute.
 
     Columns read: ts, event_type, status, latency_ms, n_rows. The latest requests come from a
-    distributed top-k, which is bounded by `history`. Like the latencies, the throughput only
-    looks at these. `now` defaults to the latest event time.
+    distributed top-k, which is bounded by `history`. The throughput counts every event of the
+    minute up to `now`, which defaults to the latest event time, and of the time after it.
     """
     ok = F.col("status") == "success"
     batch = F.col("event_type") == "batch_inference"
@@ -77,17 +77,11 @@ def request_metrics(
         F.count_if(holds(batch)).alias("batch_request_count"),
         F.coalesce(F.sum(F.when(batch, F.col("n_rows"))), F.lit(0)).cast("bigint").alias("total_batch_rows"),
     )
-    last = events.orderBy(*[F.desc(o) for o in order]).limit(history).select("ts", "latency_ms")
-    # At most `history` rows are collected here.
-    kept = last.agg(
-        F.avg("latency_ms").alias("avg"),
-        F.percentile("latency_ms", F.lit(0.95)).alias("p95"),
-        F.max("ts").alias("latest"),
-        F.collect_list("ts").alias("times"),
-    )
-    since = (now if now is not None else F.col("latest")) - F.expr(f"INTERVAL {RECENT_SECONDS} SECONDS")
-    recent = kept.select("avg", "p95", F.size(F.filter("times", lambda t: t >= since)).cast("bigint").alias("rpm"))
-    r = scalar_struct(recent)
+    last = events.orderBy(*[F.desc(o) for o in order]).limit(history).select("latency_ms")
+    r = scalar_struct(last.agg(F.avg("latency_ms").alias("avg"), F.percentile("latency_ms", F.lit(0.95)).alias("p95")))
+    latest = now if now is not None else scalar_struct(events.agg(F.max("ts").alias("latest")))["latest"]
+    since = latest - F.expr(f"INTERVAL {RECENT_SECONDS} SECONDS")
+    rpm = scalar_struct(events.filter(F.col("ts") >= since).agg(F.count(F.lit(1)).alias("rpm")))["rpm"]
     n = F.col("total_requests")
     return totals.select(
         "total_requests",
@@ -95,7 +89,7 @@ def request_metrics(
         F.round(ratio(n - F.col("success"), n), 4).alias("error_rate"),
         F.round(F.coalesce(r["avg"], F.lit(0.0)), 3).alias("avg_latency_ms"),
         F.round(F.coalesce(r["p95"], F.lit(0.0)), 3).alias("p95_latency_ms"),
-        r["rpm"].alias("throughput_requests_per_min"),
+        rpm.alias("throughput_requests_per_min"),
         "single_inference_count",
         "batch_request_count",
         "total_batch_rows",
@@ -131,13 +125,7 @@ def logged_features(events: DataFrame, features: Sequence[str], only_successful:
     return single.select(*[F.col("features")[f].alias(f) for f in features])
 
 
-MAX_FEATURE_NAMES = 10_000
-
-
-def logged_feature_names(events: DataFrame) -> list[str]:
-    """Distinct payload keys in the log, for callers without a feature list."""
-    names = events.filter(F.col("features").isNotNull()).select(F.explode(F.map_keys("features")).alias("k")).distinct()
-    found = names.limit(MAX_FEATURE_NAMES + 1).collect()
-    if len(found) > MAX_FEATURE_NAMES:
-        raise ValueError(f"The log holds more than {MAX_FEATURE_NAMES} feature names; pass the wanted ones")
-    return sorted(r["k"] for r in found)
+def logged_feature_names(events: DataFrame) -> DataFrame:
+    """(feature): the distinct payload keys of the log."""
+    names = events.filter(F.col("features").isNotNull()).select(F.explode(F.map_keys("features")).alias("feature"))
+    return names.distinct()

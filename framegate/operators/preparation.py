@@ -16,7 +16,8 @@ from framegate.functions.quantiles import column_extent, order_statistics
 
 # -- exact stratified splits ----------------------------------------------------------------
 
-MAX_CLASSES = 100
+# Classes whose cut-offs are searched side by side, and up to which they become literals of a projection.
+CLASSES_AT_ONCE = 20
 
 
 def _class_cutoffs(
@@ -24,40 +25,53 @@ def _class_cutoffs(
 ) -> dict[object, list[float]]:
     """Per class, the hash values with exactly `rank` rows of the class below them.
 
-    Found by counting (see `functions.quantiles`), so no class is ever sorted in one task.
+    Found by counting (see `functions.quantiles`), so no class is ever sorted in one task; very
+    many classes take several rounds.
     """
-    labels = [r[0] for r in df.select(target).distinct().limit(MAX_CLASSES + 1).collect() if r[0] is not None]
-    if len(labels) > MAX_CLASSES:
-        raise ValueError(f"{target} has more than {MAX_CLASSES} classes")
-    names = {f"h{i}": y for i, y in enumerate(sorted(labels))}
-    per_class = df.select(*[F.when(col(target) == F.lit(y), hashed).cast("double").alias(n) for n, y in names.items()])
-    extent = column_extent(per_class, list(names))
-    wanted = {n: list(ranks(extent[n].rows)) for n in names}
-    inside = {n: (extent[n], {r for r in wanted[n] if r < extent[n].rows}) for n in names}
-    found = order_statistics(per_class, {n: t for n, t in inside.items() if t[1]})
-    above_all = lambda n: extent[n].high + 1
-    return {names[n]: [found[n][r] if r in found.get(n, {}) else above_all(n) for r in wanted[n]] for n in names}
-
-
-def _passed(target: str, hashed: Column, cutoffs: Mapping[object, Sequence[float]]) -> Column:
-    """How many of its class's cutoffs the row's hash reaches."""
-    out = F.lit(None).cast("int")
-    for y, values in cutoffs.items():
-        reached = sum(((hashed >= F.lit(int(v))).cast("int") for v in values), F.lit(0))
-        out = F.when(col(target) == F.lit(y), reached).otherwise(out)
+    labels = sorted(r[0] for r in df.select(col(target)).distinct().collect() if r[0] is not None)
+    out: dict[object, list[float]] = {}
+    for start in range(0, len(labels), CLASSES_AT_ONCE):
+        names = {f"h{i}": y for i, y in enumerate(labels[start : start + CLASSES_AT_ONCE])}
+        per_class = df.select(*[F.when(col(target) == F.lit(y), hashed).cast("double").alias(n) for n, y in names.items()])
+        extent = column_extent(per_class, list(names))
+        wanted = {n: list(ranks(extent[n].rows)) for n in names}
+        inside = {n: (extent[n], {r for r in wanted[n] if r < extent[n].rows}) for n in names}
+        found = order_statistics(per_class, {n: t for n, t in inside.items() if t[1]})
+        above_all = lambda n: extent[n].high + 1
+        out.update({names[n]: [found[n][r] if r in found.get(n, {}) else above_all(n) for r in wanted[n]] for n in names})
     return out
 
 
+def _with_passed(df: DataFrame, target: str, hashed: Column, cutoffs: Mapping[object, Sequence[float]], name: str, final: Callable[[Column], Column]) -> DataFrame:
+    """Adds `final` of how many of its class's cut-offs the row's hash reaches; NULL without a class.
+
+    A few classes are literals in a projection; more are a small table that is joined.
+    """
+    if len(cutoffs) <= CLASSES_AT_ONCE:
+        passed = F.lit(None).cast("int")
+        for y, values in cutoffs.items():
+            reached = sum(((hashed >= F.lit(int(v))).cast("int") for v in values), F.lit(0))
+            passed = F.when(col(target) == F.lit(y), reached).otherwise(passed)
+        return df.withColumn(name, final(passed))
+    spark, kind = df.sparkSession, df.schema[target].dataType.simpleString()
+    rows = [(y, [int(v) for v in values]) for y, values in cutoffs.items()]
+    small = spark.createDataFrame(rows, f"class_ {kind}, cutoffs_ array<bigint>")
+    reached = F.size(F.filter("cutoffs_", lambda c: hashed >= c))
+    joined = df.join(small, col(target) == F.col("class_"), "left")
+    passed = F.when(F.col("cutoffs_").isNotNull(), reached)
+    return joined.withColumn(name, final(passed)).drop("class_", "cutoffs_")
+
+
 def stratified_split(
     df: DataFrame, target: str, keys: Sequence[str], test_share: float = 0.2, seed: int = 42, portable: bool = False
 ) -> DataFrame:
     """Adds `is_test`: the same rounded share of every class, drawn by the hash of a unique row key.
 
-    Rows without a label get NULL. Adding the column is a projection without a shuffle.
+    Rows without a label get NULL. With few classes adding the column is a projection without a shuffle.
     """
     hashed = row_hash(keys, seed, portable)
     cutoffs = _class_cutoffs(df, target, hashed, lambda n: [math.floor(n * test_share + 0.5)])
-    return df.withColumn("is_test", _passed(target, hashed, cutoffs) == 0)
+    return _with_passed(df, target, hashed, cutoffs, "is_test", lambda passed: passed == 0)
 
 
 def stratified_folds(
@@ -66,7 +80,7 @@ def stratified_folds(
     """Adds `fold` in 0…k-1; fold sizes differ by at most one within every class."""
     hashed = row_hash(keys, seed, portable)
     cutoffs = _class_cutoffs(df, target, hashed, lambda n: [i * n // k for i in range(1, k)])
-    return df.withColumn("fold", _passed(target, hashed, cutoffs))
+    return _with_passed(df, target, hashed, cutoffs, "fold", lambda passed: passed)
 
 
 def plain_folds(df: DataFrame, keys: Sequence[str], k: int = 5, seed: int = 42, portable: bool = False) -> DataFrame:

@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from framegate.config import StatCheckConfig
 from framegate.functions.longform import melt, rows_from, scalar_struct, summarise
 from framegate.functions.nulls import clean_value, col, double_value, is_numeric, numeric_columns, share
-from framegate.functions.quantiles import quantile_frame
+from framegate.functions.quantiles import Interval, quantile_frame
 from framegate.functions.status import level
 
 QUANTILES = (0.01, 0.50, 0.99)
@@ -69,14 +69,35 @@ def _storage(dtype: T.DataType) -> str:
 # -- profile --------------------------------------------------------------------------------
 
 
-def missing_and_unique(df: DataFrame, columns: Sequence[str] | None = None, distinct: str = "exact") -> DataFrame:
-    """(feature, rows, missing_ratio, unique_ratio) for all columns; missing counts as one value."""
-    columns = list(columns or df.columns)
-    counted = summarise(
+def measure_columns(df: DataFrame, columns: Sequence[str]) -> dict[str, Row]:
+    """rows, missing_ratio, n, mean, std, low and high of each column (the last five of numeric ones), from one scan."""
+    numeric = {c for c in columns if is_numeric(df.schema[c].dataType)}
+    value = lambda c: double_value(df, c) if c in numeric else F.lit(None).cast("double")
+    table = summarise(
         df,
         columns,
-        {"rows": lambda c: F.count(F.lit(1)), "missing_ratio": lambda c: share(clean_value(df, c).isNull())},
+        {
+            "rows": lambda c: F.count(F.lit(1)),
+            "missing_ratio": lambda c: share(clean_value(df, c).isNull()),
+            "n": lambda c: F.count(value(c)),
+            "mean": lambda c: F.avg(value(c)),
+            "std": lambda c: F.stddev_samp(value(c)),
+            "low": lambda c: F.min(value(c)),
+            "high": lambda c: F.max(value(c)),
+        },
     )
+    return {r["feature"]: r for r in table.collect()}
+
+
+def missing_and_unique(df: DataFrame, columns: Sequence[str] | None = None, distinct: str = "exact") -> DataFrame:
+    """(feature, rows, missing_ratio, unique_ratio) for all columns; missing counts as one value."""
+    columns = list(columns or df.columns)
+    return _with_unique(df, columns, measure_columns(df, columns), distinct)
+
+
+def _with_unique(df: DataFrame, columns: Sequence[str], measured: Mapping[str, Row], distinct: str) -> DataFrame:
+    rows = [(c, measured[c]["rows"], measured[c]["missing_ratio"]) for c in columns]
+    counted = df.sparkSession.createDataFrame(rows, "feature string, rows bigint, missing_ratio double")
     values = distinct_counts(df, columns, distinct)
     # Both tables have one row per column of the input.
     joined = counted.join(F.broadcast(values), "feature", "left")
@@ -91,15 +112,15 @@ def numeric_summary(
     columns: Sequence[str] | None = None,
     quantiles: Sequence[float] = QUANTILES,
     method: str = "exact",
+    measured: Mapping[str, Row] | None = None,
 ) -> DataFrame:
     """(feature, mean, std, p01, p50, p99) over the non-missing values of numeric columns."""
     columns = list(columns or numeric_columns(df))
-    moments = summarise(
-        df,
-        columns,
-        {"mean": lambda c: F.avg(double_value(df, c)), "std": lambda c: F.stddev_samp(double_value(df, c))},
-    )
-    points = quantile_frame(df, columns, quantiles, [quantile_name(q) for q in quantiles], method=method)
+    measured = measured or measure_columns(df, columns)
+    rows = [(c, measured[c]["mean"], measured[c]["std"]) for c in columns]
+    moments = df.sparkSession.createDataFrame(rows, "feature string, mean double, std double")
+    extent = {c: Interval(c, measured[c]["low"], measured[c]["high"], 0, measured[c]["n"]) for c in columns}
+    points = quantile_frame(df, columns, quantiles, [quantile_name(q) for q in quantiles], method=method, extent=extent)
     return moments.join(F.broadcast(points), "feature")
 
 
@@ -112,15 +133,17 @@ def profile(
 ) -> DataFrame:
     """The full fingerprint: one row per column, numeric measures NULL for other columns.
 
-    Persist it with `write_report(…, fmt="json")` and read it back as a drift baseline.
+    One scan measures everything but distinct values and quantiles; the quantile search starts from
+    its extents. Persist the table with `write_report(…, fmt="json")` and read it back as a drift baseline.
     """
     columns = [c for c in df.columns if c not in exclude]
-    general = missing_and_unique(df, columns, distinct)
+    measured = measure_columns(df, columns)
+    general = _with_unique(df, columns, measured, distinct)
     numeric = [c for c in columns if is_numeric(df.schema[c].dataType)]
     if not numeric:
         names = ["mean", "std", *[quantile_name(q) for q in quantiles]]
         return general.select("*", *[F.lit(None).cast("double").alias(n) for n in names])
-    return general.join(F.broadcast(numeric_summary(df, numeric, quantiles, method)), "feature", "left")
+    return general.join(F.broadcast(numeric_summary(df, numeric, quantiles, method, measured)), "feature", "left")
 
 
 def target_distribution(df: DataFrame, target: str, as_percent: bool = False, keep_missing: bool = True) -> DataFrame:
@@ -151,23 +174,17 @@ def profile_summary(profile_table: DataFrame, columns: Sequence[str], digits: in
 # -- gates ----------------------------------------------------------------------------------
 
 
-def zscore_rates(df: DataFrame, columns: Sequence[str] | None = None, cfg: StatCheckConfig = StatCheckConfig()) -> DataFrame:
+def zscore_rates(
+    df: DataFrame, columns: Sequence[str] | None = None, cfg: StatCheckConfig = StatCheckConfig(), measured: Mapping[str, Row] | None = None
+) -> DataFrame:
     """(feature, outlier_rate): share of |x - mean| / std above the limit, over non-missing values.
 
-    Two scans: means and deviations first, three numbers per column, then one count per column.
-    Columns with too few values or no spread are left out of the table.
+    Means and deviations come from `measure_columns` or a profile, three numbers per column; the
+    rates are one scan. Columns with too few values or no spread are left out of the table.
     """
     columns = list(columns or numeric_columns(df))
-    stats = summarise(
-        df,
-        columns,
-        {
-            "n": lambda c: F.count(double_value(df, c)),
-            "mean": lambda c: F.avg(double_value(df, c)),
-            "std": lambda c: F.stddev_samp(double_value(df, c)),
-        },
-    )
-    usable = {r["feature"]: r for r in stats.collect() if r["n"] >= cfg.zscore_min_rows and r["std"]}
+    measured = measured or measure_columns(df, columns)
+    usable = {c: measured[c] for c in columns if _values(measured[c]) >= cfg.zscore_min_rows and measured[c]["std"]}
     if not usable:
         return df.sparkSession.createDataFrame([], "feature string, outlier_rate double")
 
@@ -178,14 +195,29 @@ def zscore_rates(df: DataFrame, columns: Sequence[str] | None = None, cfg: StatC
     return summarise(df, list(usable), {"outlier_rate": rate})
 
 
+def _values(measured: Row) -> int:
+    """Values that are there, of a row of `measure_columns` or of a profile."""
+    return measured["n"] if "n" in measured else round(measured["rows"] * (1 - measured["missing_ratio"]))
+
+
 def stat_checks(
     df: DataFrame,
     target: str | None = None,
     cfg: StatCheckConfig = StatCheckConfig(),
     profiled: DataFrame | None = None,
 ) -> DataFrame:
-    """(check, status, columns, message): missingness, near-constant columns, outlier rates, label share."""
-    base = profiled if profiled is not None else missing_and_unique(df)
+    """(check, status, columns, message): missingness, near-constant columns, outlier rates, label share.
+
+    With a saved profile nothing that it holds is measured again.
+    """
+    numeric = numeric_columns(df)
+    if profiled is not None:
+        base = profiled
+        known = {r["feature"]: r for r in profiled.collect()} if "mean" in profiled.columns else {}
+        measured = known if all(c in known for c in numeric) else None
+    else:
+        measured = measure_columns(df, df.columns)
+        base = _with_unique(df, df.columns, measured, "exact")
     names = lambda cond: F.array_sort(F.collect_list(F.when(cond, F.col("feature"))))
     constant = F.col("unique_ratio") <= cfg.constant_unique_ratio
     if cfg.constant_max_distinct is not None:
@@ -203,9 +235,8 @@ def stat_checks(
             _check("near_constant", F.col("constant_cols"), level(F.size("constant_cols") > 0)),
         ],
     )
-    numeric = numeric_columns(df)
     if numeric:
-        high = zscore_rates(df, numeric, cfg).agg(names(F.col("outlier_rate") >= cfg.outlier_rate_warn).alias("high"))
+        high = zscore_rates(df, numeric, cfg, measured).agg(names(F.col("outlier_rate") >= cfg.outlier_rate_warn).alias("high"))
         checks = checks.unionByName(rows_from(high, [_check("outlier_rate", F.col("high"), level(F.size("high") > 0))]))
     if target and target in df.columns:
         top = target_distribution(df, target).agg(F.max("share").alias("top"))

@@ -3,18 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from framegate.config import FeatureQAConfig, LeakageConfig
-from framegate.functions.longform import rows_from, summarise
+from framegate.functions.hashing import hashable
+from framegate.functions.longform import MAX_AGGREGATES, summarise
 from framegate.functions.nulls import clean_value, col, double_value, holds, is_numeric, numeric_columns, ratio
 from framegate.functions.status import FAIL, WARN, GateError, level, overall
 from framegate.operators.correlation import pair_correlation
 from framegate.operators.profiling import distinct_counts
 
+
 # -- feature quality ------------------------------------------------------------------------
 
 
@@ -110,26 +112,30 @@ def duplicate_columns(df: DataFrame, columns: Sequence[str] | None = None) -> Da
     by row, so columns that merely hold the same values in another order are not reported.
     """
     columns = list(columns or df.columns)
-    sums = df.agg(
-        *[
-            F.struct(
-                F.sum(F.xxhash64(clean_value(df, c)).cast("decimal(38,0)")), F.count(clean_value(df, c))
-            ).alias(f"h{i}")
-            for i, c in enumerate(columns)
-        ]
-    ).first()
+    value = lambda c: hashable(df, c) if isinstance(df.schema[c].dataType, T.MapType) else clean_value(df, c)
+    sums = {
+        r["feature"]: (r["h"], r["n"])
+        for r in summarise(
+            df, columns, {"h": lambda c: F.sum(F.xxhash64(value(c)).cast("decimal(38,0)")), "n": lambda c: F.count(value(c))}
+        ).collect()
+    }
     groups: dict[tuple, list[str]] = {}
-    for i, c in enumerate(columns):
-        groups.setdefault((df.schema[c].dataType.simpleString(), *sums[i]), []).append(c)
-    pairs = [p for g in groups.values() for p in combinations(g, 2)]
-    if not pairs:
-        return df.sparkSession.createDataFrame([], "col_a string, col_b string")
-    same = df.agg(*[F.bool_and(clean_value(df, a).eqNullSafe(clean_value(df, b))).alias(f"s{i}") for i, (a, b) in enumerate(pairs)])
-    confirmed = rows_from(
-        same, [{"col_a": F.lit(a), "col_b": F.lit(b), "same": F.col(f"s{i}")} for i, (a, b) in enumerate(pairs)]
-    ).filter("same")
-    place = F.array_position(F.array(*[F.lit(c) for c in columns]), F.col("col_a"))
-    return confirmed.groupBy("col_b").agg(F.min_by("col_a", place).alias("col_a")).select("col_a", "col_b")
+    for c in columns:
+        groups.setdefault((df.schema[c].dataType.simpleString(), *sums[c]), []).append(c)
+    found: list[tuple[str, str]] = []
+    # Each round compares the members of every group with its first one; who differs makes the next round.
+    open_ = [g for g in groups.values() if len(g) > 1]
+    while open_:
+        pairs = [(g[0], b) for g in open_ for b in g[1:]]
+        same: dict[tuple[str, str], bool] = {}
+        for i in range(0, len(pairs), MAX_AGGREGATES):
+            chunk = pairs[i : i + MAX_AGGREGATES]
+            row = df.agg(*[F.coalesce(F.bool_and(value(a).eqNullSafe(value(b))), F.lit(True)).alias(f"s{k}") for k, (a, b) in enumerate(chunk)]).first()
+            same.update(zip(chunk, row))
+        found += [p for p in pairs if same[p]]
+        open_ = [rest for g in open_ if len(rest := [b for b in g[1:] if not same[g[0], b]]) > 1]
+    order = {c: i for i, c in enumerate(columns)}
+    return df.sparkSession.createDataFrame(sorted(found, key=lambda p: order[p[1]]), "col_a string, col_b string")
 
 
 def label_correlations(df: DataFrame, target: str, exclude: Sequence[str] = ()) -> DataFrame:

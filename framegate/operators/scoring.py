@@ -95,6 +95,7 @@ def payload_columns(features: Column, expected: Sequence[str]) -> dict[str, Colu
         "unexpected_count": F.size(unexpected),
         "invalid_value_count": F.size(invalid),
     }
+    # The texts of payload and prediction errors, which logs and their readers share.
     said = lambda text, a: F.when(F.size(a) > 0, F.concat(F.lit(f"{text}: ["), F.array_join(a, ", "), F.lit("]")))
     message = F.concat_ws(
         " | ",

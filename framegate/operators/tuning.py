@@ -21,11 +21,11 @@ from pyspark.sql import functions as F
 from framegate.config import Candidate, SmoteConfig
 from framegate.functions.nulls import col
 from framegate.functions.scores import LABEL_METRICS, SCORE_METRICS, check_metric
-from framegate.operators.evaluation import best_threshold, binary_measures, confusion_counts, ranking_measures, threshold_sweep
-from framegate.operators.importance import MAX_DEPTH
+from framegate.operators.evaluation import best_candidate, best_threshold, binary_measures, confusion_counts, ranking_measures, threshold_sweep
+from framegate.operators.importance import tree_depth
 from framegate.operators.preparation import FittedTransforms, fit_transforms
-from framegate.operators.resampling import balancing_weights, smote
-from framegate.session import checkpoint
+from framegate.operators.resampling import balancing_weights, synthetic_rows
+from framegate.session import checkpoint, saved, workspace
 
 FOREST, BALANCED_FOREST, BOOSTING = "random_forest", "balanced_random_forest", "gradient_boosting"
 
@@ -44,6 +44,15 @@ BOOSTING_SPACE = {
 SEARCH_SPACE = {FOREST: FOREST_SPACE, BALANCED_FOREST: FOREST_SPACE, BOOSTING: BOOSTING_SPACE}
 LOG_UNIFORM = ("learning_rate",)
 
+# What an estimator takes; `n_jobs` and the like say nothing about the model. `min_samples_split` has no counterpart in Spark.
+_ANY = {"n_estimators", "max_depth", "random_state", "n_jobs", "verbosity"}
+_TREES = _ANY | {"min_samples_leaf", "max_features"}
+PARAMETERS = {
+    FOREST: _TREES,
+    BALANCED_FOREST: _TREES,
+    BOOSTING: _ANY | {"learning_rate", "subsample", "colsample_bytree"},
+}
+
 
 def make_estimator(candidate: Candidate, seed: int = 42, label: str = "label", features: str = "features"):
     """The Spark estimator of a candidate; unlimited depth becomes Spark's deepest tree.
@@ -51,8 +60,10 @@ def make_estimator(candidate: Candidate, seed: int = 42, label: str = "label", f
     The balanced forest weights the classes equally (see `balancing_weights`).
     """
     p = dict(candidate.params)
-    depth = p.get("max_depth")
-    depth = MAX_DEPTH if depth is None else min(int(depth), MAX_DEPTH)
+    unknown = set(p) - PARAMETERS.get(candidate.kind, set(p))
+    if unknown:
+        raise ValueError(f"Parameters that Spark's {candidate.kind} doesn't have: {sorted(unknown)}")
+    depth = tree_depth(p.get("max_depth") or (5 if candidate.kind == BOOSTING else None))
     common = {"featuresCol": features, "labelCol": label, "seed": int(p.get("random_state", seed)), "maxDepth": depth}
     if candidate.kind in (FOREST, BALANCED_FOREST):
         model = RandomForestClassifier(
@@ -63,7 +74,6 @@ def make_estimator(candidate: Candidate, seed: int = 42, label: str = "label", f
         )
         return model.setWeightCol("weight") if candidate.kind == BALANCED_FOREST else model
     if candidate.kind == BOOSTING:
-        common["maxDepth"] = min(int(p.get("max_depth") or 5), MAX_DEPTH)
         return GBTClassifier(
             maxIter=int(p.get("n_estimators", 100)),
             stepSize=float(p.get("learning_rate", 0.1)),
@@ -89,10 +99,21 @@ class TrainingSetup:
     parallelism: int = 4
 
 
-def _fit_rows(train: DataFrame, setup: TrainingSetup, fitted: FittedTransforms) -> DataFrame:
-    """Transformed, rebalanced and assembled training rows with a class-balancing weight."""
-    shaped = fitted.apply(train)
-    rows = smote(shaped, setup.label, fitted.columns(), setup.keys, setup.smote, setup.seed)
+def _kept(df: DataFrame, folder: str | None) -> DataFrame:
+    """Rows that are dear to recompute: written to the folder of the run, or checkpointed where there is none."""
+    return saved(df, folder) if folder else checkpoint(df)
+
+
+def _fit_rows(train: DataFrame, setup: TrainingSetup, fitted: FittedTransforms, folder: str | None = None) -> DataFrame:
+    """Transformed, rebalanced and assembled training rows with a class-balancing weight.
+
+    Transforms are projections of the table; only the synthetic rows are written.
+    """
+    shaped, columns = fitted.apply(train), fitted.columns()
+    made = synthetic_rows(shaped, setup.label, columns, setup.keys, setup.smote, setup.seed)
+    rows = shaped.select(*[col(c).cast("double").alias(c) for c in columns], col(setup.label).cast("int").alias(setup.label))
+    if made is not None:
+        rows = rows.unionByName(_kept(made.drop("synthetic"), folder))
     rows = balancing_weights(rows.withColumn(setup.label, col(setup.label).cast("double")), setup.label)
     assembled = VectorAssembler(inputCols=fitted.columns(), outputCol="features").transform(rows)
     return assembled.select("features", col(setup.label), "weight")
@@ -107,11 +128,12 @@ class PreparedFold:
     held: DataFrame
 
 
-def prepare_folds(folded: DataFrame, setup: TrainingSetup, fold: str = "fold") -> list[PreparedFold]:
+def prepare_folds(folded: DataFrame, setup: TrainingSetup, fold: str = "fold", folder: str | None = None) -> list[PreparedFold]:
     """Fit transforms and rebalance per fold, on the training rows of the fold only.
 
-    This does not depend on the candidate, so it is done once for a whole search; the rows are
-    checkpointed, and a lost executor does not bring the neighbour search back.
+    This does not depend on the candidate, so it is done once for a whole search. Training and
+    held-out rows are projections of the table; the synthetic rows are written (see `_kept`), and a
+    lost executor does not bring the neighbour search back.
     """
     folds = sorted(r[0] for r in folded.select(fold).distinct().collect() if r[0] is not None)
 
@@ -120,7 +142,7 @@ def prepare_folds(folded: DataFrame, setup: TrainingSetup, fold: str = "fold") -
         fitted = fit_transforms(train, setup.features, setup.plan or None, setup.scaler)
         assembled = VectorAssembler(inputCols=fitted.columns(), outputCol="features").transform(fitted.apply(held))
         rows = assembled.select("features", col(setup.label).cast("double").alias(setup.label))
-        return PreparedFold(i, checkpoint(_fit_rows(train, setup, fitted)), checkpoint(rows))
+        return PreparedFold(i, _fit_rows(train, setup, fitted, folder), rows)
 
     return _in_threads(prepare, folds, setup.parallelism)
 
@@ -177,9 +199,14 @@ class CvResult:
 
 
 def cross_validate(
-    prepared: Sequence[PreparedFold], setup: TrainingSetup, candidate: Candidate, metrics: Sequence[str], variant: str = "baseline"
+    prepared: Sequence[PreparedFold],
+    setup: TrainingSetup,
+    candidate: Candidate,
+    metrics: Sequence[str],
+    variant: str = "baseline",
+    folder: str | None = None,
 ) -> CvResult:
-    predicted = checkpoint(fold_predictions(prepared, setup, candidate))
+    predicted = _kept(fold_predictions(prepared, setup, candidate), folder)
     scores = fold_scores(predicted, metrics)
     return CvResult(candidate, variant, scores, mean_scores(scores), predicted)
 
@@ -203,6 +230,7 @@ def random_search(
     primary: str,
     trials: int = 25,
     space: Mapping[str, Sequence] | None = None,
+    folder: str | None = None,
 ) -> CvResult:
     """Seeded random search that maximises the mean primary metric; the first best trial wins."""
     if candidate.kind not in SEARCH_SPACE:
@@ -211,7 +239,7 @@ def random_search(
     best: CvResult | None = None
     for _ in range(max(1, trials)):
         params = {**candidate.params, **(draw_params(candidate.kind, rng, space) if trials else {})}
-        result = cross_validate(prepared, setup, replace(candidate, params=params), metrics, "search")
+        result = cross_validate(prepared, setup, replace(candidate, params=params), metrics, "search", folder)
         if best is None or (result.means[primary] or 0.0) > (best.means[primary] or 0.0):
             best = result
     return best
@@ -240,26 +268,29 @@ def select_model(
     The threshold comes from the pooled out-of-fold scores of the chosen candidate.
     """
     metrics = list(dict.fromkeys([primary, *metrics]))
-    prepared = prepare_folds(folded, setup)
-    results: list[CvResult] = []
-    for c in candidates:
-        results.append(cross_validate(prepared, setup, c, metrics))
-        if trials:
-            results.append(random_search(prepared, setup, c, metrics, primary, trials, (space or {}).get(c.kind)))
-    best = first_best(results, primary)
-    found = best_threshold(threshold_sweep(best.predictions, "label", "score"), threshold_metric).first()
-    return Selection(best, found["threshold"], found["score"], tuple(results))
+    with workspace(folded.sparkSession, "selection") as folder:
+        prepared = prepare_folds(folded, setup, folder=folder)
+        results: list[CvResult] = []
+        for c in candidates:
+            results.append(cross_validate(prepared, setup, c, metrics, folder=folder))
+            if trials:
+                own = (space or {}).get(c.kind)
+                results.append(random_search(prepared, setup, c, metrics, primary, trials, own, folder))
+        best = first_best(results, primary)
+        found = best_threshold(threshold_sweep(best.predictions, "label", "score"), threshold_metric).first()
+    # The predictions have gone with the folder.
+    done = {id(r): replace(r, predictions=None) for r in results}
+    return Selection(done[id(best)], found["threshold"], found["score"], tuple(done.values()))
 
 
 def first_best(results: Sequence[CvResult], primary: str) -> CvResult:
-    best = None
-    for r in results:
-        value = r.means[primary]
-        if value is not None and (best is None or value > best.means[primary]):
-            best = r
+    """The result with the highest mean, by the rule of `evaluation.best_candidate`."""
+    rows = [(i, r.candidate.name, r.variant, r.means[primary]) for i, r in enumerate(results)]
+    scores = SparkSession.getActiveSession().createDataFrame(rows, "position int, name string, variant string, score double")
+    best = best_candidate(scores).first()
     if best is None:
         raise ValueError(f"No candidate has a value for {primary}")
-    return best
+    return results[best["position"]]
 
 
 def train_final(
@@ -313,5 +344,7 @@ def search_then_refit(
     space: Mapping[str, Sequence] | None = None,
 ) -> tuple[CvResult, PipelineModel]:
     """Search, cross-validate the best parameters, refit on all rows."""
-    best = random_search(prepare_folds(folded, setup), setup, candidate, metrics, primary, trials, space)
-    return best, train_final(folded, setup, best.candidate)
+    metrics = list(dict.fromkeys([primary, *metrics]))
+    with workspace(folded.sparkSession, "search") as folder:
+        best = random_search(prepare_folds(folded, setup, folder=folder), setup, candidate, metrics, primary, trials, space, folder)
+    return replace(best, predictions=None), train_final(folded, setup, best.candidate)

@@ -33,8 +33,6 @@ class FeatureCycleConfig:
     score_method: str = "anova"
     correlation: CorrelationConfig = CorrelationConfig()
     extras: bool = True
-    missing_columns: int = 30
-    class_columns: int = 12
     importance_trees: int = 50
     importance_depth: int = 5
     components: int = 10
@@ -90,8 +88,8 @@ def run_feature_cycle(spark: SparkSession, cfg: FeatureCycleConfig) -> FeatureCy
     if cfg.correlation.enabled:
         _correlation_step(table, cfg, result, report)
     if cfg.extras and columns:
-        report("missing_table", profiling.missing_table(table, columns[: cfg.missing_columns]), "csv")
-        report("class_histograms", eda.class_histograms(table, target, columns, max_columns=cfg.class_columns))
+        report("missing_table", profiling.missing_table(table, columns), "csv")
+        report("class_histograms", eda.class_histograms(table, target, columns))
         if len(columns) > 1:
             ranked = importance.forest_importance(
                 table, target, columns, trees=cfg.importance_trees, max_depth=cfg.importance_depth

@@ -29,6 +29,7 @@ from framegate.plans.data_cycle import DataCycleConfig
 from framegate.plans.feature_cycle import FeatureCycleConfig
 from framegate.plans.model_cycle import ModelCycleConfig
 
+# The keys and names of the YAML files, here and in the functions below.
 MODEL_KINDS = {
     "random_forest": tuning.FOREST,
     "balanced_random_forest": tuning.BALANCED_FOREST,
@@ -170,8 +171,6 @@ def feature_cycle_config(
             tuple(corr.get("exclude_cols", [target])),
         ),
         extras=bool(extras.get("enabled", True)),
-        missing_columns=int(_part(extras, "missingness_heatmap").get("max_cols", 30)),
-        class_columns=int(_part(extras, "class_conditional").get("max_cols", 12)),
         importance_trees=int(_part(extras, "feature_importance").get("n_estimators", 50)),
         importance_depth=int(_part(extras, "feature_importance").get("max_depth", 5)),
         components=int(_part(extras, "pca").get("n_components", 10)),

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import os
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,3 +44,25 @@ def checkpoint(df: DataFrame, eager: bool = True) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return df.checkpoint(eager=eager)
+
+
+def saved(df: DataFrame, folder: str) -> DataFrame:
+    """The rows written under a new name in `folder` and read again; they go when the folder goes."""
+    path = f"{folder}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def workspace(spark: SparkSession, name: str) -> Iterator[str]:
+    """A new folder that all executors share, removed with everything in it at the end."""
+    folder = f"{shared_dir(spark)}/framegate/{name}-{uuid.uuid4().hex}"
+    try:
+        yield folder
+    finally:
+        remove(spark, folder)
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

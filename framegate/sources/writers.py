@@ -7,15 +7,20 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from framegate.functions.hashing import hashable
 from framegate.functions.longform import summarise
 from framegate.functions.nulls import col
+from framegate.session import saved, workspace
 
 
 def write_table(df: DataFrame, path: str, sort_by: Sequence[str] = (), partitions: int | None = None) -> None:
-    """Parquet in a reproducible order: range-partitioned and sorted by the sort columns that exist."""
+    """Parquet in a reproducible order: range-partitioned and sorted by the sort columns that exist.
+
+    A hash of the row ends the key, so rows of one frequent value spread over as many files as they need.
+    """
     keys = [k for k in sort_by if k in df.columns]
     if keys:
-        by = [col(k) for k in keys]
+        by = [*[col(k) for k in keys], F.xxhash64(*[hashable(df, c) for c in df.columns])]
         ranged = df.repartitionByRange(partitions, *by) if partitions else df.repartitionByRange(*by)
         df = ranged.sortWithinPartitions(*by)
     df.write.mode("overwrite").parquet(path)
@@ -37,9 +42,11 @@ def write_report(df: DataFrame, path: str, fmt: str = "csv") -> None:
 
 
 def append_events(events: DataFrame, log_path: str, failure_path: str) -> None:
-    """Append inference events as JSON lines; failed ones also go to the failure log."""
-    events.write.mode("append").json(log_path)
-    failed_events(events).write.mode("append").json(failure_path)
+    """Append inference events as JSON lines; failed ones also go to the failure log. The events are evaluated once."""
+    with workspace(events.sparkSession, "events") as folder:
+        rows = saved(events, folder)
+        rows.write.mode("append").json(log_path)
+        failed_events(rows).write.mode("append").json(failure_path)
 
 
 def failed_events(events: DataFrame) -> DataFrame:
@@ -59,22 +66,8 @@ def fingerprint(df: DataFrame) -> DataFrame:
             "type": lambda c: F.first(F.lit(types[c])),
             "rows": lambda c: F.count(F.lit(1)),
             "non_null": lambda c: F.count(col(c)),
-            "hash_sum": lambda c: F.sum(F.xxhash64(col(c)).cast("decimal(38,0)")).cast("string"),
+            "hash_sum": lambda c: F.sum(F.xxhash64(hashable(df, c)).cast("decimal(38,0)")).cast("string"),
         },
         key="column",
     )
     return table
-
-
-def schema_hash(df: DataFrame) -> str:
-    """SHA-256 of the ordered column names and types."""
-    import hashlib
-
-    text = ",".join(f"{f.name}:{f.dataType.simpleString()}" for f in df.schema.fields)
-    return hashlib.sha256(text.encode("utf-8")).hexdigest()
-
-
-def text_hash(text: str) -> str:
-    import hashlib
-
-    return hashlib.sha256(text.encode("utf-8")).hexdigest()

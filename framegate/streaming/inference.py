@@ -14,10 +14,11 @@ from framegate.functions.longform import scalar_struct
 from framegate.functions.nulls import holds, ratio
 from framegate.functions.status import overall
 from framegate.operators.anomaly import Bounds, flag_outliers
-from framegate.operators.drift import dataset_drift, profile_drift
+from framegate.operators.drift import drift_against, profile_drift, saved_reference
 from framegate.operators.profiling import profile
 from framegate.operators.scoring import prediction_columns, validate_payloads
 from framegate.sources.readers import EVENT_SCHEMA, parse_events
+from framegate.session import checkpoint
 from framegate.sources.writers import failed_events
 
 WATERMARK = "10 minutes"
@@ -113,8 +114,11 @@ def drift_per_batch(
 ) -> Callable[[DataFrame, int], None]:
     """A `foreachBatch` step: profile drift and two-sample tests of every micro-batch, appended to `sink`.
 
-    A batch is written under its own id and overwritten on a retry, so results appear once.
+    The reference is counted here, once; batches are tested against these counts and never read it
+    again. A batch is written under its own id and overwritten on a retry, so results appear once.
     """
+    counted = saved_reference(reference.select(*columns), columns)
+    baseline_profile = checkpoint(baseline_profile)
 
     def step(batch: DataFrame, batch_id: int) -> None:
         rows = batch.select(*columns).persist()
@@ -123,7 +127,7 @@ def drift_per_batch(
                 return
             changes = profile_drift(profile(rows), baseline_profile, cfg)
             gate = overall(changes)
-            tests, summary = dataset_drift(reference.select(*columns), rows)
+            tests, summary = drift_against(counted, rows)
             changes.write.mode("overwrite").parquet(f"{sink}/profile/batch={batch_id}")
             tests.write.mode("overwrite").parquet(f"{sink}/tests/batch={batch_id}")
             s = scalar_struct(summary)
@@ -149,14 +153,14 @@ def split_failures(log: str, failures: str) -> Callable[[DataFrame, int], None]:
     return step
 
 
-def run_available(stream: DataFrame, sink: str, checkpoint: str, mode: str = "append") -> None:
+def run_available(stream: DataFrame, sink: str, state: str, mode: str = "append") -> None:
     """Process everything that has arrived into Parquet files, then stop."""
-    query = stream.writeStream.outputMode(mode).format("parquet").option("checkpointLocation", checkpoint)
+    query = stream.writeStream.outputMode(mode).format("parquet").option("checkpointLocation", state)
     query.trigger(availableNow=True).start(sink).awaitTermination()
 
 
-def run_batches(stream: DataFrame, step: Callable[[DataFrame, int], None], checkpoint: str) -> None:
+def run_batches(stream: DataFrame, step: Callable[[DataFrame, int], None], state: str) -> None:
     query: StreamingQuery = (
-        stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        stream.writeStream.foreachBatch(step).option("checkpointLocation", state).trigger(availableNow=True).start()
     )
     query.awaitTermination()

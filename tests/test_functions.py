@@ -117,7 +117,7 @@ def test_running_totals_in_ranges(spark, groups):
         (F.col("id") % 2).alias("g"), F.exp(F.col("id") / 50.0).alias("v"), (F.col("id") % 7).alias("n")
     )
     whole = running_totals(df, "v", ["n"], groups=groups)
-    ranged = running_totals(df, "v", ["n"], groups=groups, window_rows=100)
+    ranged = running_totals(df, "v", ["n"], groups=groups, window_rows=100, range_rows=200)
     assert sorted(whole.collect()) == sorted(ranged.collect())
     assert "Window" in ranged._jdf.queryExecution().toString() and "range_" in ranged._jdf.queryExecution().toString()
 
@@ -144,6 +144,14 @@ def test_neighbours_match_brute_force(spark, mode):
         assert [math.dist(r["vec"], n) for n in r["near"]] == pytest.approx(want[r["key"]])
 
 
+@pytest.mark.parametrize("mode", ["broadcast", "shards"])
+def test_copies_are_the_nearest_neighbours(spark, mode):
+    df = spark.createDataFrame([(1, [0.0], 3), (2, [1.0], 1), (3, [5.0], 2), (4, [6.0], 9)], "key bigint, vec array<double>, n bigint")
+    limits = {} if mode == "broadcast" else {"broadcast_points": 1, "shard_points": 2}
+    got = {r["key"]: [v[0] for v in r["near"]] for r in nearest_neighbours(df, 4, **limits).collect()}
+    assert got == {1: [0.0, 0.0, 1.0, 5.0], 2: [0.0, 0.0, 0.0, 5.0], 3: [5.0, 6.0, 6.0, 6.0], 4: [6.0] * 4}
+
+
 def test_neighbours_need_enough_points(spark):
     df = spark.createDataFrame([(1, [0.0]), (2, [1.0])], "key bigint, vec array<double>")
     with pytest.raises(ValueError):
@@ -152,7 +160,7 @@ def test_neighbours_need_enough_points(spark):
 
 def test_f_tail_known_values():
     # Upper 5 % points of the F distribution from standard tables.
-    for f, d1, d2 in [(4.9646, 1, 10), (3.4928, 2, 20), (2.6896, 4, 30), (3.8415, 1, 10_000_000)]:
+    for f, d1, d2 in [(4.9646, 1, 10), (3.4928, 2, 20), (2.6896, 4, 30), (3.8415, 1, 10_000_000), (3.8415, 1, 1e14), (2.2141, 5, 1e12)]:
         assert f_tail(f, d1, d2) == pytest.approx(0.05, abs=2e-5)
     assert f_tail(0.0, 1, 5) == 1.0 and f_tail(INF, 1, 5) == 0.0
     assert regularised_beta(0.5, 2.0, 2.0) == pytest.approx(0.5)

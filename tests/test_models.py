@@ -108,6 +108,12 @@ def test_transform_plan(spark):
     assert preparation.output_order(plan) == ["a", "b", "c", "d"]
 
 
+def test_many_classes(spark):
+    df = spark.range(1500).select("id", (F.col("id") % 25).cast("int").alias("y"))
+    got = preparation.stratified_folds(df, "y", ["id"], 5)
+    assert {r["count"] for r in got.groupBy("y", "fold").count().collect()} == {12} and got.columns == ["id", "y", "fold"]
+
+
 # -- rebalancing ----------------------------------------------------------------------------
 
 
@@ -138,6 +144,25 @@ def test_smote_limits(rows, spark):
     assert resampling.smote(even, "y", ["x"], ["id"]).count() == 2
 
 
+def test_smote_is_the_same_on_both_paths_for_repeated_keys(spark):
+    """One key for all rows, many rows equal, and ties in distance: the way of searching does not show."""
+    df = spark.range(160).select(
+        F.lit(7).alias("id"), (F.col("id") % 9).cast("double").alias("a"), (F.col("id") % 4).cast("double").alias("b"), (F.col("id") % 5 == 0).cast("int").alias("y")
+    )
+    sums = []
+    for points in (50_000, 3):
+        out = resampling.smote(df, "y", ["a", "b"], ["id"], broadcast_points=points)
+        assert by(out.groupBy("y").count(), "y", "count") == {0: 128, 1: 128}
+        sums.append(sorted((r["a"], r["b"]) for r in out.filter("synthetic").collect()))
+    assert sums[0] == sums[1]
+
+
+def test_smote_of_equal_rows(spark):
+    df = spark.range(40).select(F.col("id"), F.lit(2.0).alias("x"), (F.col("id") < 8).cast("int").alias("y"))
+    out = resampling.smote(df, "y", ["x"], ["x"])
+    assert out.filter("synthetic").count() == 24 and out.filter("x <> 2").count() == 0
+
+
 def test_smote_more_than_doubles(spark):
     df = spark.range(130).select("id", F.col("id").cast("double").alias("x"), (F.col("id") < 20).cast("int").alias("y"))
     out = resampling.smote(df, "y", ["x"], ["id"], SmoteConfig(k_neighbors=3))
@@ -149,18 +174,29 @@ def test_smote_more_than_doubles(spark):
 
 @pytest.fixture()
 def five(spark):
-    rows = list(zip([0, 1, 1, 0, 1], [0, 1, 0, 0, 1], [0.1, 0.9, 0.4, 0.2, 0.8]))
+    rows = list(zip([1, 0, 0, 1, 1, 0], [1, 1, 0, 1, 0, 0], [0.95, 0.6, 0.3, 0.7, 0.65, 0.05]))
     return spark.createDataFrame(rows, "y int, p int, s double")
 
 
 def test_known_metrics(five):
     m = by(evaluation.label_metrics(five, "y", "p"), "metric", "value")
-    assert m["precision"] == 1.0 and m["recall"] == pytest.approx(2 / 3) and m["f1"] == pytest.approx(0.8)
-    assert m["accuracy"] == pytest.approx(0.8) and m["balanced_accuracy"] == pytest.approx(5 / 6)
+    # two hits, one false alarm, one miss, two rejections
+    assert all(m[k] == pytest.approx(2 / 3) for k in ("precision", "recall", "f1", "accuracy", "balanced_accuracy"))
     assert evaluation.ranking_measures(five, "y", "s").first().asDict() == {"roc_auc": 1.0, "average_precision": 1.0}
     report = by(evaluation.classification_report(five, "y", "p"), "label")
     assert report["0"]["precision"] == pytest.approx(2 / 3) and report["1"]["support"] == 3
-    assert report["accuracy"]["f1"] == pytest.approx(0.8) and report["macro avg"]["recall"] == pytest.approx(5 / 6)
+    assert report["accuracy"]["f1"] == pytest.approx(2 / 3) and report["macro avg"]["recall"] == pytest.approx(2 / 3)
+
+
+def test_classes_of_different_types(spark):
+    df = spark.createDataFrame([(1, 1.0, True), (0, 1.0, False), (1, 0.0, True), (0, 0.0, True)], "y int, d double, b boolean")
+    for kind in ("int", "double", "string", "decimal(4,1)", "boolean"):
+        typed = df.withColumn("y", F.col("y").cast(kind)) if kind != "string" else df.withColumn("y", F.col("y").cast("string"))
+        got = by(evaluation.classification_report(typed, "y", "d"), "label")
+        assert set(got) == {"0", "1", "accuracy", "macro avg", "weighted avg"} and got["1"]["recall"] == 0.5
+    assert by(evaluation.classification_report(df, "y", "b"), "label")["1"]["precision"] == pytest.approx(2 / 3)
+    halves = df.withColumn("d", F.col("d") / 2)
+    assert {"0", "0.5", "1"} <= set(by(evaluation.classification_report(halves, "y", "d"), "label"))
 
 
 def brute_auc(y, s):
@@ -207,7 +243,7 @@ def test_sweep_equals_brute_force(spark):
 def test_first_maximum_wins(spark, five):
     sweep = evaluation.threshold_sweep(five, "y", "s")
     best = evaluation.best_threshold(sweep, "f1").first()
-    assert best["score"] == 1.0 and best["threshold"] == pytest.approx(0.21)
+    assert best["score"] == 1.0 and best["threshold"] == pytest.approx(0.61)
     with pytest.raises(ValueError, match="roc_auc"):
         evaluation.best_threshold(sweep, "roc_auc")
     scores = spark.createDataFrame([(0, "a", None), (1, "b", 0.7), (2, "c", 0.7)], "position int, name string, score double")
@@ -232,11 +268,13 @@ def test_gates(spark):
         evaluation.promotion_gates(m, GateConfig(None, None))
 
 
-def test_decay_of_the_worked_example(spark):
-    df = spark.createDataFrame(list(zip([1, 0, 1, 1, 0, 1], [1, 0, 0, 1, 0, 1])), "y int, p int")
-    reference = {"f1": 0.85, "precision": 0.83, "recall": 0.87, "accuracy": 0.84}
+def test_decay_by_hand(spark):
+    # three hits, one miss, one false alarm, three rejections: every measure is 0.75
+    df = spark.createDataFrame(list(zip([1, 1, 0, 0, 1, 0, 1, 0], [1, 0, 0, 1, 1, 0, 1, 0])), "y int, p int")
+    reference = {"f1": 0.78, "precision": 0.77, "recall": 0.9, "accuracy": 0.75}
     got = by(evaluation.metric_decay(evaluation.label_metrics(df, "y", "p"), reference), "metric")
-    assert got["recall"]["drop"] == pytest.approx(0.12) and got["recall"]["alert"] and not got["f1"]["alert"]
+    assert got["recall"]["drop"] == pytest.approx(0.15) and got["recall"]["alert"] and not got["f1"]["alert"]
+    assert got["accuracy"]["drop"] == pytest.approx(0.0)
 
 
 # -- selection and training -----------------------------------------------------------------
@@ -245,6 +283,27 @@ FEATURES = ("x1", "x2", "x3")
 FOREST = Candidate("rf", tuning.FOREST, {"n_estimators": 8, "max_depth": 4})
 
 
+def test_unknown_parameters_raise():
+    for kind, name in ((tuning.FOREST, "min_samples_split"), (tuning.BOOSTING, "min_samples_leaf")):
+        with pytest.raises(ValueError, match=name):
+            tuning.make_estimator(Candidate("m", kind, {name: 3}))
+    with pytest.raises(ValueError, match="31"):
+        tuning.make_estimator(Candidate("m", tuning.FOREST, {"max_depth": 31}))
+
+
+def test_a_search_leaves_no_files(spark, rows, tmp_path, monkeypatch):
+    import os
+
+    from framegate import session
+
+    monkeypatch.setattr(session, "shared_dir", lambda spark: str(tmp_path))
+    folded = preparation.stratified_folds(rows.dropna(), "y", ["id"], 2)
+    setup = tuning.TrainingSetup("y", FEATURES, ("id",))
+    chosen = tuning.select_model(folded, setup, [FOREST], ["f1"], "f1", trials=1, space={tuning.FOREST: {"n_estimators": (3,), "max_depth": (2,)}})
+    assert chosen.best.means["f1"] is not None
+    assert [f for _, _, files in os.walk(tmp_path / "framegate") for f in files] == []
+
+
 def test_unknown_kinds_and_metrics(rows):
     with pytest.raises(ValueError, match="svm"):
         tuning.make_estimator(Candidate("x", "svm"))

@@ -11,9 +11,6 @@ import __spark_entry__ as entry
 from check_oracle import TABLES, rows_of, same_type
 
 FOLDER = os.environ.get("QUERY_SF_DIR", "/root/testdata/sf0.001")
-# Trained models: covered by their own tests, and by check_oracle.py.
-SLOW = {"model_selection", "boosting_search", "nested_grid", "cross_validation", "selected_features"}
-
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="driver tables are not there")
 
 
@@ -25,7 +22,7 @@ def db():
     return con
 
 
-@pytest.mark.parametrize("name", [n for n in entry.queries() if n not in SLOW])
+@pytest.mark.parametrize("name", [n for n in entry.queries()])
 def test_query(spark, db, name):
     df = entry.queries()[name](spark, FOLDER)
     got = [tuple(r) for r in df.collect()]
