@@ -26,6 +26,8 @@ SLICE_BYTES = 4 << 20
 REMEMBERED = 1 << 20
 #: Unknown words are encoded so many at a time, with this mark between, which no other character turns into.
 TOGETHER, BETWEEN = 128, "~"
+#: Such texts that the tokenizer holds at a time.
+BATCH = 128
 
 PIECES = "array<struct<start:long,length:long,ids:binary>>"
 
@@ -61,13 +63,16 @@ class Ids:
         found = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
         return np.array([i for ids in found for i in ids], self.kind), np.fromiter(map(len, found), np.int64, len(found))
 
+    def flattened(self, texts: list[str]) -> np.ndarray:
+        return np.concatenate([np.array(e.ids, self.kind) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
+
     def together(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The same for words without the mark BETWEEN: many go as one text, the mark's own id between them."""
         mark = self.tokenizer.encode(BETWEEN, add_special_tokens=False).ids
         if len(mark) != 1:
             return self.singly(words)
         texts = [f" {BETWEEN} ".join(words[k : k + TOGETHER]) + f" {BETWEEN}" for k in range(0, len(words), TOGETHER)]
-        ids = np.concatenate([np.array(e.ids, self.kind) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
+        ids = np.concatenate([self.flattened(texts[k : k + BATCH]) for k in range(0, len(texts), BATCH)])
         ends = np.flatnonzero(ids == mark[0])
         return ids[ids != mark[0]], np.diff(ends, prepend=-1) - 1
 
