@@ -23,6 +23,8 @@ from framegate.llm.frames import only, plain, slices, with_text_columns
 GAMMA = 0.9
 LEAST_IMPORTANCE = 0.2
 LEAST_PAGES = 10
+#: Tasks that the pages of one host are spread over.
+LANES = 64
 
 # Fixed values of the markup language.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -262,7 +264,10 @@ def extract(
     """
     rows = only(pages, page_id=id_col, url=url_col, html=html_col).withColumn("host", host(F.col("url")))
     low = style_tree(rows).filter((F.col("pages") >= least_pages) & (F.col("importance") < least)).groupBy("host").agg(F.collect_list("style").alias("low"))
-    joined = rows.join(low, "host", "left")
+    # the pages of a host are dealt out to lanes, and its few styles go to each
+    low = low.withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit(LANES - 1))))
+    rows = rows.withColumn("lane", F.pmod(F.xxhash64("page_id", "url", F.octet_length("html")), F.lit(LANES)).cast("int"))
+    joined = rows.join(low, ["host", "lane"], "left")
     fields = "page_id " + rows.schema["page_id"].dataType.simpleString() + ", url string, text string"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
