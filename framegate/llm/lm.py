@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from framegate.llm.frames import filled, only, slices, text_bytes
 from framegate.llm.messages import packed, small, steps, unpacked
 from framegate.llm.words import LOWER, NOT_SPACE, scan, word_values
+from framegate.session import checkpoint
 
 #: Words of the shared vocabulary: the most frequent ones. All others are one unknown word.
 VOCABULARY = 1 << 15
@@ -178,10 +179,16 @@ def learn_words(docs: DataFrame, labels: DataFrame, parts: int, owners: int, voc
     )
     rows = sent.groupBy("owner").applyInArrow(lambda t: top_words(t, vocabulary), "value long, n0 long, n1 long, n2 long, n3 long")
     n = F.col("n0") + F.col("n1") + F.col("n2") + F.col("n3")
-    from framegate.session import checkpoint
-
     rows = checkpoint(rows)
-    top = rows.filter("value is not null").orderBy(n.desc(), "value").limit(vocabulary).collect()
+    # A histogram of the counts, at most some thousand classes, tells which words can be among the most frequent ones.
+    level = F.floor(F.log2(n) * 64)
+    words, least = 0, None
+    for r in sorted(rows.filter("value is not null").groupBy(level.alias("level")).count().collect(), key=lambda r: -r["level"]):
+        if words < vocabulary:
+            words, least = words + r["count"], r["level"]
+    frequent = rows.filter(F.col("value").isNotNull() & (level >= F.lit(least)))
+    # sorted by the executors; the driver gets what is left
+    top = checkpoint(frequent.orderBy(n.desc(), "value").limit(vocabulary)).collect()
     all_words = rows.agg(*(F.coalesce(F.sum(f"n{k}"), F.lit(0)) for k in range(4))).first()
     values = np.array([r["value"] for r in top], np.int64).view(np.uint64)
     order = np.argsort(values)
