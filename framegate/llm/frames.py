@@ -65,8 +65,8 @@ def lists(values: pa.Array, offsets: np.ndarray) -> pa.Array:
 
 
 def filled(table: pa.Table, **kinds: pa.DataType) -> pa.Table:
-    """A side of a cogroup; one without rows comes without columns as well."""
-    return table if table.num_columns else pa.table({name: pa.array([], kind) for name, kind in kinds.items()})
+    """A side of a cogroup; one without rows can come without its columns."""
+    return table if set(kinds) <= set(table.column_names) else pa.table({name: pa.array([], kind) for name, kind in kinds.items()})
 
 
 Computed = Callable[[pa.Array], dict[str, pa.Array]]

@@ -2,7 +2,7 @@
 
 Expressions of Spark SQL only. A pattern's places come from cutting the text at its matches: the lengths of pieces and
 matches add up to positions. For the Markov part, transitions between characters are counted in labelled samples: values
-that the patterns found are random strings, all other words are ordinary identifiers. A candidate's mean log-likelihood
+that the patterns found are random strings, plain words, names and numbers are ordinary identifiers. A candidate's mean log-likelihood
 ratio per transition decides.
 """
 
@@ -26,6 +26,8 @@ KINDS = ("assign", "access", "hex", "markov")
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 CANDIDATE = r"[A-Za-z0-9+/_=-]{16,}"
 IDENTIFIER = r"[A-Za-z0-9+/_=-]{4,}"
+#: Labelled as ordinary: words, names in capitals and numbers, also several joined by _ or -.
+ORDINARY = r"^([A-Za-z][a-z]*|[A-Z]+|[0-9]+)([_-]([A-Za-z][a-z]*|[A-Z]+|[0-9]+))*$"
 #: Documents that the models are trained on: about as many, chosen by a hash of the id.
 SAMPLE_DOCUMENTS = 2_000
 #: A candidate is random-looking if its mean log-likelihood ratio per transition is above this.
@@ -106,7 +108,8 @@ def ratios(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", samp
     spans = with_base_spans(rows, "text", "spans")
     secret = F.transform("spans", lambda s: F.when(s["kind"] == 0, F.regexp_extract(s["value"], ASSIGN, 2)).otherwise(s["value"]))
     random = spans.select(F.lit(1).alias("label"), F.explode(secret).alias("value")).withColumn("value", F.translate("value", ".", ""))
-    ordinary = spans.filter(F.size("spans") == 0).select(F.lit(0).alias("label"), F.explode(matched(F.col("text"), IDENTIFIER)).alias("value"))
+    words = spans.filter(F.size("spans") == 0).select(F.lit(0).alias("label"), F.explode(matched(F.col("text"), IDENTIFIER)).alias("value"))
+    ordinary = words.filter(F.col("value").rlike(ORDINARY))
     size = len(ALPHABET)
     counts = [[[0] * size for _ in range(size)] for _ in range(2)]
     for r in transitions(random.unionAll(ordinary), "value").collect():
