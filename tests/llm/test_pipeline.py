@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from framegate.llm import packing, queries, secrets
+from framegate.llm import packing, queries, secrets, simhash
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -29,7 +29,10 @@ def corpus(spark, tmp_path_factory):
 
     rows = [(i, text(lang, 120), lang) for i, lang in enumerate(["en", "de"] * 60)]
     passage = text("en", 30)
-    rows += [(1000, rows[3][1], "de"), (1001, rows[3][1], "de"), (1002, rows[4][1] + " x", "en")]
+    own = simhash.fingerprint(rows[4][1].encode())
+    copies = (f"{rows[4][1]} word{k}" for k in range(1000))
+    near = next(t for t in copies if (simhash.fingerprint(t.encode()) ^ own).bit_count() <= simhash.MOST_BITS)
+    rows += [(1000, rows[3][1], "de"), (1001, rows[3][1], "de"), (1002, near, "en")]
     rows += [(1003, f"{rows[6][1]} {passage.upper()} {text('en', 40)}", "en")]
     rows += [(1004, f"{text('en', 50)} password = hunter2hunter2 {text('en', 50)}", "en")]
     rows += [(1005, "1234 5678", "en"), (1006, None, None), (1007, "", "de"), (None, text("de", 90), "de"), (None, text("de", 90), None)]
