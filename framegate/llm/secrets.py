@@ -3,7 +3,7 @@
 Expressions of Spark SQL only. A pattern's places come from cutting the text at its matches: the lengths of pieces and
 matches add up to positions. For the Markov part, transitions between characters are counted in labelled samples: values
 that the patterns found are random strings, plain words, names and numbers are ordinary identifiers. A candidate's mean log-likelihood
-ratio per transition decides.
+ratio per transition decides, of the whole candidate or else of its best stretches: a key behind a path or a name is one.
 """
 
 from __future__ import annotations
@@ -32,6 +32,10 @@ ORDINARY = r"^([A-Za-z][a-z]*|[A-Z]+|[0-9]+)([_-]([A-Za-z][a-z]*|[A-Z]+|[0-9]+))
 SAMPLE_DOCUMENTS = 2_000
 #: A candidate is random-looking if its mean log-likelihood ratio per transition is above this.
 LEAST_RATIO = 0.7
+#: Least characters of a stretch of a candidate, and how far its sum of ratios may fall below its highest before another stretch begins.
+LEAST_STRETCH, MOST_FALL = 16, 10.0
+#: Characters of candidates that join parts; a stretch is widened to the next ones.
+JOINTS = "/=_+-"
 #: Weight of the model of single characters in that of transitions, in observations.
 SMOOTHING = 10.0
 PLACEHOLDER = "[secret]"
@@ -122,9 +126,12 @@ def ratios(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", samp
     return [a - b for a, b in zip(logs[1], logs[0])]
 
 
+def cells(table: list[float]) -> Column:
+    return F.split(F.lit(",".join(f"{x:.6f}" for x in table)), ",").cast("array<double>")  # folded into one constant
+
+
 def mean_ratio(value: Column, table: list[float]) -> Column:
     """Mean log-likelihood ratio per transition of a string of two or more ALPHABET characters."""
-    cells = F.split(F.lit(",".join(f"{x:.6f}" for x in table)), ",").cast("array<double>")  # folded into one constant
 
     def over(own: Column) -> Column:
         total = F.aggregate(
@@ -132,7 +139,7 @@ def mean_ratio(value: Column, table: list[float]) -> Column:
             F.struct(F.lit(-1).alias("before"), F.lit(0.0).alias("sum")),
             lambda acc, c: F.struct(
                 c.alias("before"),
-                (acc["sum"] + F.when(acc["before"] < 0, 0.0).otherwise(F.get(cells, acc["before"] * len(ALPHABET) + c))).alias("sum"),
+                (acc["sum"] + F.when(acc["before"] < 0, 0.0).otherwise(F.get(cells(table), acc["before"] * len(ALPHABET) + c))).alias("sum"),
             ),
             lambda acc: acc["sum"],
         )
@@ -141,13 +148,79 @@ def mean_ratio(value: Column, table: list[float]) -> Column:
     return over(codes(value))
 
 
+RANGES = "array<struct<start:int,end:int>>"
+
+
+def best_stretches(value: Column, table: list[float], least: float) -> Column:
+    """Stretches of a string, of LEAST_STRETCH characters or more, whose mean ratio is above `least`, as array<struct<start, end>>.
+
+    One pass with a running sum of ratios less `least`. The sum begins anew where it falls to 0, or MOST_FALL below its
+    highest value; the stretch up to that highest value is one of the result.
+    JOINTS say nothing here (ratio 0): ordinary samples hold words, so a path or a dash between words would look random.
+    """
+    table = [0.0 if {a, b} & set(JOINTS) else table[i * len(ALPHABET) + j] for i, a in enumerate(ALPHABET) for j, b in enumerate(ALPHABET)]
+    none = F.array().cast(RANGES)
+    add = lambda out, start, end: F.concat(out, F.array(F.struct(start.alias("start"), end.alias("end"))))
+    state = lambda **x: F.struct(*(v.alias(k) for k, v in x.items()))
+    zero = state(at=F.lit(0), before=F.lit(-1), start=F.lit(0), sum=F.lit(0.0), best=F.lit(0.0), end=F.lit(0), out=none)
+
+    def step(acc, c):
+        total = acc["sum"] + F.get(cells(table), acc["before"] * len(ALPHABET) + c) - least
+        ends = (acc["before"] < 0) | (total <= 0) | ((acc["best"] > 0) & (total < acc["best"] - MOST_FALL))
+        higher = (acc["at"] + 1 - acc["start"] >= LEAST_STRETCH) & (total > acc["best"])
+        return state(
+            at=acc["at"] + 1,
+            before=c,
+            start=F.when(ends, acc["at"]).otherwise(acc["start"]),
+            sum=F.when(ends, 0.0).otherwise(total),
+            best=F.when(ends, 0.0).when(higher, total).otherwise(acc["best"]),
+            end=F.when(higher & ~ends, acc["at"] + 1).otherwise(acc["end"]),
+            out=F.when(ends & (acc["best"] > 0), add(acc["out"], acc["start"], acc["end"])).otherwise(acc["out"]),
+        )
+
+    finish = lambda acc: F.when(acc["best"] > 0, add(acc["out"], acc["start"], acc["end"])).otherwise(acc["out"])
+    return F.aggregate(codes(value), zero, step, finish)
+
+
+def random_parts(value: Column, table: list[float], least: float) -> Column:
+    """What is random-looking in a candidate, as array<struct<start, end>>: all of it if that is above `least`.
+
+    Otherwise its parts between JOINTS that have LEAST_STRETCH characters and are above `least`, which finds a key as well
+    as if it stood alone, and for keys that hold JOINTS the best stretches, widened to the next ones. Overlapping ones become one.
+    """
+    whole = F.array(F.struct(F.lit(0).alias("start"), F.length(value).alias("end")))
+    joined = F.translate(value, JOINTS, JOINTS[0] * len(JOINTS))
+
+    def wide(s):
+        before = F.substring_index(F.substring(joined, F.lit(1), s["start"]), JOINTS[0], -1)
+        after = F.substring_index(F.substring(joined, s["end"] + 1, F.length(value)), JOINTS[0], 1)
+        return F.struct((s["start"] - F.length(before)).alias("start"), (s["end"] + F.length(after)).alias("end"))
+
+    def part(acc, p):
+        end = acc["at"] + F.length(p)
+        own = F.when(F.length(p) >= LEAST_STRETCH, mean_ratio(p, table)) > least
+        out = F.when(own, F.concat(acc["out"], F.array(F.struct(acc["at"].alias("start"), end.alias("end"))))).otherwise(acc["out"])
+        return F.struct((end + 1).alias("at"), out.alias("out"))
+
+    pieces = F.split(value, f"[{JOINTS[:-1]}\\{JOINTS[-1]}]", -1)
+    parts = F.aggregate(pieces, F.struct(F.lit(0).alias("at"), F.array().cast(RANGES).alias("out")), part, lambda acc: acc["out"])
+
+    def merge(out, s):
+        last = F.element_at(out, -1)
+        longer = F.concat(F.slice(out, 1, F.size(out) - 1), F.array(F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"))))
+        return F.when(F.size(out) == 0, F.array(s)).when(s["start"] < last["end"], longer).otherwise(F.concat(out, F.array(s)))
+
+    every = F.array_sort(F.concat(parts, F.transform(best_stretches(value, table, least), wide)))
+    return F.when(mean_ratio(value, table) > least, whole).otherwise(F.aggregate(every, F.array().cast(RANGES), merge))
+
+
 # Operators ------------------------------------------------------------------------------------
 
 
 def with_spans(docs: DataFrame, table: list[float], text_col: str = "text", name: str = "spans", least: float = LEAST_RATIO) -> DataFrame:
     """`docs` with array<struct<start, kind, end>> of all secrets, by start, then kind (its place in KINDS).
 
-    The known kinds stay as they are; the models add candidates that overlap none of them.
+    The known kinds stay as they are; the models add candidates, or parts of them, that overlap none of them.
     """
     base, found, places_col = (fresh(docs, x) for x in ("base_spans", "found_candidates", "candidate_places"))
     value = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
@@ -156,10 +229,12 @@ def with_spans(docs: DataFrame, table: list[float], text_col: str = "text", name
     # the models read matches, which is cheap, before places are worked out
     docs = docs.withColumn(
         places_col,
-        F.when(F.exists(found, lambda v: mean_ratio(v, table) > least), places(value, F.col(found), CANDIDATE)),
+        F.when(F.exists(found, lambda v: F.size(random_parts(v, table, least)) > 0), places(value, F.col(found), CANDIDATE)),
     )
     apart = lambda m: ~F.exists(F.col(base), lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"]))
-    own = F.filter(F.coalesce(F.col(places_col), F.array()), lambda m: (mean_ratio(m["value"], table) > least) & apart(m))
+    moved = lambda m: lambda p: F.struct((m["start"] + p["start"]).alias("start"), (m["start"] + p["end"]).alias("end"))
+    parts = F.flatten(F.transform(F.coalesce(F.col(places_col), F.array()), lambda m: F.transform(random_parts(m["value"], table, least), moved(m))))
+    own = F.filter(parts, apart)
     span = lambda kind: lambda m: F.struct(m["start"].alias("start"), kind(m).alias("kind"), m["end"].alias("end"))
     both = F.concat(F.transform(base, span(lambda m: m["kind"])), F.transform(own, span(lambda m: F.lit(3))))
     return docs.withColumn(name, F.array_sort(both)).drop(base, found, places_col)

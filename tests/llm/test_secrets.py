@@ -53,6 +53,29 @@ def test_models_add_random_strings_only(spark):
     assert not any(spans for i, spans in added.items() if len(TEXTS) <= i != last - 1)
 
 
+def test_keys_behind_ordinary_text(spark):
+    """A random key is found behind a path or a name, and so are two keys in one run; paths and names alone are not."""
+    rng = random.Random(4)
+    key = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789") for _ in range(n))
+    words = (
+        "account password reset confirm articles information session identifier home administrator configuration the request was sent to "
+        "an ordinary handler that reads every article of a site and confirms the identity of its administrator before a session is opened "
+        "usr share locale messages documents of interest are written in a house style with a factory for each of the connections"
+    )
+    ordinary = docs_of(spark, [(1000 + i, words) for i in range(40)])
+    table = secrets.ratios(setting(spark).unionByName(ordinary))
+    ahead = ["/account/password/reset/confirm/", "/en/articles/information/", "session_identifier=", "/home/administrator/configuration/"]
+    keys = [(a, key(n)) for a in ahead for n in (20, 32, 40) for _ in range(25)]
+    quiet = [f"see {a}handler/of/the/request/information here" for a in ahead] + ["/usr/share/locale/the/messages", "session-identifier_of_the-administrator"]
+    assert all(not r.spans for r in secrets.with_spans(docs_of(spark, list(enumerate(quiet))), table).collect())
+    texts = [f"see {a}{k} here" for a, k in keys] + [f"see {a}{k}/request/handler/factory{a}{k[::-1]} here" for a, k in keys]
+    rows = {r.doc_id: r for r in secrets.with_spans(docs_of(spark, list(enumerate(texts))), table).select("doc_id", "text", "spans").collect()}
+    found = {i: [r.text[s.start : s.end] for s in r.spans] for i, r in rows.items()}
+    n = len(keys)
+    assert sum(any(k in x for x in found[i]) for i, (_, k) in enumerate(keys)) >= 0.99 * n
+    assert sum(all(any(w in x for x in found[n + i]) for w in (k, k[::-1])) for i, (_, k) in enumerate(keys)) >= 0.99 * n
+
+
 def test_redaction(spark, empty):
     docs = setting(spark)
     clean = secrets.redact_secrets(docs)
