@@ -12,11 +12,12 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from framegate.llm.frames import fresh, lists, only, text_bytes, with_text_columns
-from framegate.llm.words import LETTERS, LOWER, ranges, scan, word_values
+from framegate.llm.words import LETTERS, LOWER, distinct_words, ranges, scan
 
 WINDOW = 10
 #: Bytes of benchmark text that are sent to every executor at a time; a larger benchmark takes several passes.
@@ -26,9 +27,9 @@ MATCHES = "array<struct<item:string,item_start:int,start:int,length:int>>"
 
 
 class Block(NamedTuple):
-    """Benchmark items as word numbers: 1 for the smallest word value and so on, a 0 after each item."""
+    """Benchmark items as word numbers: 1 for the first word of the vocabulary and so on, a 0 after each item."""
 
-    vocabulary: np.ndarray
+    vocabulary: pa.Array
     words: np.ndarray
     #: Of each suffix that can begin a match: its place in `words`, the words that must agree, and its item.
     place: np.ndarray
@@ -38,26 +39,23 @@ class Block(NamedTuple):
     item_begin: np.ndarray
 
 
-def numbered(texts: pa.Array, vocabulary: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def numbered(texts: pa.Array, vocabulary: pa.Array | None = None) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
     """(vocabulary, word numbers with a 0 after each text, start of each text in them, words of each text).
 
-    A word outside a given vocabulary is 0, which equals nothing.
+    Words are compared by their bytes. A word outside a given vocabulary is 0, which equals nothing.
     """
     data, at = text_bytes(texts)
     data = LOWER[data]
     words = scan(data, at, LETTERS)
-    values = word_values(data, words)
+    own, back = distinct_words(data, words)
     if vocabulary is None:
-        vocabulary = np.unique(values)
-    number = np.searchsorted(vocabulary, values)
-    if len(vocabulary):
-        number = np.where(vocabulary[np.minimum(number, len(vocabulary) - 1)] == values, number + 1, 0)
-    else:
-        number = np.zeros(len(values), np.int64)
+        vocabulary = own
+    place = pc.index_in(own, value_set=vocabulary).fill_null(-1).to_numpy(zero_copy_only=False)
+    number = place.astype(np.int64)[back] + 1
     count = words.counts
     begin = words.first[:-1] + np.arange(len(count))
-    out = np.zeros(len(values) + len(count) + 1, np.int64)
-    out[np.arange(len(values)) + np.repeat(np.arange(len(count)), count)] = number
+    out = np.zeros(len(number) + len(count) + 1, np.int64)
+    out[np.arange(len(number)) + np.repeat(np.arange(len(count)), count)] = number
     return vocabulary, out, begin, count
 
 

@@ -72,8 +72,8 @@ def filled(table: pa.Table, **kinds: pa.DataType) -> pa.Table:
 Computed = Callable[[pa.Array], dict[str, pa.Array]]
 
 
-def with_text_columns(df: DataFrame, text: str, make: Callable[[], Computed], fields: dict[str, str], slice_bytes: int = SLICE_BYTES) -> DataFrame:
-    """The rows of `df` as they are, and the columns `fields` (name to SQL type) computed from the column `text`.
+def with_text_columns(df: DataFrame, text: str, make: Callable[[], Computed], fields: dict[str, str], slice_bytes: int = SLICE_BYTES, keep_text: bool = True) -> DataFrame:
+    """The rows of `df` as they are, without the texts if they are not to be kept, and the columns `fields` (name to SQL type) computed from the column `text`.
 
     `make()` runs once per task and returns the function that gets the texts of a slice. No row moves to another
     partition. A computed column of the name of another column is refused; see `fresh`.
@@ -82,7 +82,9 @@ def with_text_columns(df: DataFrame, text: str, make: Callable[[], Computed], fi
     if clash:
         raise ValueError(f"columns exist already: {sorted(clash)}")
     made = T.StructType.fromDDL(", ".join(f"`{name}` {kind}" for name, kind in fields.items()))
-    schema = T.StructType([*df.schema.fields, *made.fields])
+    own = [f for f in df.schema.fields if keep_text or f.name != text]
+    schema = T.StructType([*own, *made.fields])
+    names = [f.name for f in own]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compute = make()
@@ -91,8 +93,8 @@ def with_text_columns(df: DataFrame, text: str, make: Callable[[], Computed], fi
             for i, j in slices(texts, slice_bytes):
                 part = batch.slice(i, j - i)
                 made = compute(texts.slice(i, j - i))
-                columns = [*part.columns, *(made[name] for name in fields)]
-                yield pa.RecordBatch.from_arrays(columns, names=[*part.schema.names, *fields])
+                columns = [*(part.column(name) for name in names), *(made[name] for name in fields)]
+                yield pa.RecordBatch.from_arrays(columns, names=[*names, *fields])
 
     return df.mapInArrow(run, schema)
 

@@ -33,3 +33,34 @@ h AS (SELECT doc_id, COUNT(DISTINCT j) AS n FROM (SELECT doc_id, UNNEST(RANGE(i,
 n AS (SELECT doc_id, COUNT(*) AS n, STRING_AGG(name, ',' ORDER BY name) AS names FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS name FROM m) GROUP BY doc_id)
 SELECT doc_id, LEN(ws) AS n_words, COALESCE(h.n, 0) AS n_hit, COALESCE(n.n, 0) AS n_items, SHA256(COALESCE(names, '')) AS items_sha256, COALESCE(h.n, 0) > 0 AS contaminated
 FROM w LEFT JOIN h USING (doc_id) LEFT JOIN n USING (doc_id)"""
+
+
+_FIELD = "COALESCE(STRLEN({0}::VARCHAR) || ':' || {0}::VARCHAR, '-')"
+_HEAD = "||".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars"))
+_LOWER = "TRANSLATE(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+#: CRC-32 of a number's decimal digits: a character is xored in, then eight shifts (-1) follow.
+_CRC = """XOR(4294967295, LIST_REDUCE(LIST_PREPEND(4294967295, FLATTEN(LIST_TRANSFORM(STRING_SPLIT(doc_id::VARCHAR, ''),
+  lambda c: [ASCII(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))), lambda c, x: CASE WHEN x >= 0 THEN XOR(c, x) ELSE XOR(c >> 1, 3988292384 * (c & 1)) END))"""
+
+#: Digests of trees of eight, level by level; `step` counts the levels from a row's leaf to the root.
+MANIFEST = f"""WITH RECURSIVE l AS (SELECT doc_id, lang, SHA256({_HEAD}||{_FIELD.format("text")}) AS leaf, {_CRC} % 3 = 0 AS hurt,
+  SHA256({_HEAD}||{_FIELD.format(_LOWER)}) AS other FROM documents),
+p AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS place, COUNT(*) OVER (PARTITION BY lang) AS size FROM l),
+n AS (SELECT COALESCE('=' || lang, '-') AS tree, 0 AS height, place, size, leaf AS digest FROM p
+  UNION ALL SELECT tree, height + 1, place // 8, (MAX(size) + 7) // 8, SHA256(STRING_AGG(digest, '' ORDER BY place)) FROM n WHERE size > 1 GROUP BY tree, height, place // 8),
+t AS (SELECT tree, height AS top, digest AS subroot, ROW_NUMBER() OVER (ORDER BY tree) - 1 AS place, COUNT(*) OVER () AS size FROM n WHERE size = 1),
+u AS (SELECT 0 AS height, place, size, subroot AS digest FROM t
+  UNION ALL SELECT height + 1, place // 8, (MAX(size) + 7) // 8, SHA256(STRING_AGG(digest, '' ORDER BY place)) FROM u WHERE size > 1 GROUP BY height, place // 8),
+d AS (SELECT doc_id, leaf, subroot, CASE WHEN hurt THEN other ELSE leaf END AS own, tree, p.place, top, t.place AS upper FROM p JOIN t ON t.tree = COALESCE('=' || lang, '-')),
+s AS (SELECT d.doc_id, n.height AS step, n.place < d.place // POW(8, n.height)::BIGINT AS before, n.place, digest FROM d JOIN n
+    ON n.tree = d.tree AND n.place // 8 = d.place // POW(8, n.height + 1)::BIGINT AND n.place <> d.place // POW(8, n.height)::BIGINT AND n.size > 1
+  UNION ALL SELECT d.doc_id, top + u.height, u.place < d.upper // POW(8, u.height)::BIGINT, u.place, digest FROM d JOIN u
+    ON u.place // 8 = d.upper // POW(8, u.height + 1)::BIGINT AND u.place <> d.upper // POW(8, u.height)::BIGINT AND u.size > 1),
+r AS (SELECT doc_id, step, COALESCE(STRING_AGG(digest, '' ORDER BY place) FILTER (before), '') AS lo, COALESCE(STRING_AGG(digest, '' ORDER BY place) FILTER (NOT before), '') AS hi FROM s GROUP BY ALL),
+k AS (SELECT doc_id, STRING_AGG(lo || hi, '' ORDER BY step) AS proof FROM r GROUP BY doc_id),
+h AS (SELECT (SELECT MAX(height) FROM u) + top AS last, doc_id FROM d),
+f AS (SELECT doc_id, 0 AS step, own FROM d UNION ALL SELECT f.doc_id, f.step + 1, SHA256(COALESCE(lo, '') || own || COALESCE(hi, ''))
+  FROM f JOIN h ON h.doc_id = f.doc_id LEFT JOIN r ON r.doc_id = f.doc_id AND r.step = f.step WHERE f.step < h.last),
+z AS (SELECT f.doc_id, own AS folded_root FROM f JOIN h ON h.doc_id = f.doc_id AND h.last = f.step)
+SELECT doc_id, leaf, subroot, (SELECT digest FROM u WHERE size = 1) AS root, SHA256(COALESCE(proof, '')) AS proof_sha256, folded_root,
+  folded_root = (SELECT digest FROM u WHERE size = 1) AS verified FROM d LEFT JOIN k USING (doc_id) JOIN z USING (doc_id)"""

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from framegate.llm.frames import only, text_bytes, with_text_columns
-from framegate.llm.words import LOWER, NOT_SPACE, ranges, scan, word_values
+from framegate.llm.words import LOWER, NOT_SPACE, distinct_words, ranges, scan
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
@@ -22,8 +22,8 @@ SEQUENCE = 2048
 #: Bytes of text of a group, about.
 GROUP_BYTES = 8 << 20
 #: Texts whose words are looked up together, and words whose ids a task remembers.
-SLICE_BYTES = 4 << 20
-REMEMBERED = 1 << 20
+SLICE_BYTES = 2 << 20
+REMEMBERED = 1 << 18
 #: Unknown words are encoded so many at a time, with this mark between, which no other character turns into.
 TOGETHER, BETWEEN = 128, "~"
 #: Such texts that the tokenizer holds at a time.
@@ -56,7 +56,9 @@ class Ids:
         self.forget()
 
     def forget(self) -> None:
-        self.value, self.at, self.flat = np.zeros(0, np.uint64), np.zeros((2, 0), np.int64), np.zeros(0, self.kind)
+        #: Where the ids of a word begin in `flat`, and their number.
+        self.known: dict[bytes, tuple[int, int]] = {}
+        self.flat = np.zeros(0, self.kind)
 
     def singly(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all words, number of ids of each)."""
@@ -76,19 +78,14 @@ class Ids:
         ends = np.flatnonzero(ids == mark[0])
         return ids[ids != mark[0]], np.diff(ends, prepend=-1) - 1
 
-    def learn(self, value: np.ndarray, words: list[str]) -> None:
-        if len(self.value) + len(value) > REMEMBERED:
-            # the words of this slice that are known already are wanted still: begin anew only between slices
-            self.full = True
-        apart = np.fromiter((BETWEEN in w for w in words), bool, len(words))
-        for mine, encode in ((~apart, self.together), (apart, self.singly)):
-            if mine.any():
-                ids, size = encode([w for w, m in zip(words, mine.tolist()) if m])
+    def learn(self, words: list[bytes]) -> None:
+        apart = [w for w in words if BETWEEN.encode() in w]
+        for mine, encode in (([w for w in words if BETWEEN.encode() not in w], self.together), (apart, self.singly)):
+            if mine:
+                ids, size = encode([w.decode() for w in mine])
                 begin = len(self.flat) + np.cumsum(size) - size
                 self.flat = np.concatenate([self.flat, ids])
-                self.value, self.at = np.concatenate([self.value, value[mine]]), np.concatenate([self.at, np.stack([begin, size])], axis=1)
-        order = np.argsort(self.value, kind="stable")
-        self.value, self.at = self.value[order], self.at[:, order]
+                self.known.update(zip(mine, zip(begin.tolist(), size.tolist())))
 
     def of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, each with the end id after it; n + 1 offsets)."""
@@ -99,16 +96,12 @@ class Ids:
             raw = data.tobytes()
         plain, mark = PLAIN[data], MARK[data]
         words = scan(data, at, NOT_SPACE, 1 + np.flatnonzero((plain[:-1] & mark[1:]) | (mark[:-1] & plain[1:])))
-        value, first, back = np.unique(word_values(data, words), return_index=True, return_inverse=True)
-        self.full = False
-        place = np.searchsorted(self.value, value)
-        known = np.zeros(len(value), bool)
-        if len(self.value):
-            known = self.value[np.minimum(place, len(self.value) - 1)] == value
-        if not known.all():
-            new = first[~known]
-            self.learn(value[~known], [raw[a:b].decode() for a, b in zip(words.start[new].tolist(), words.end[new].tolist())])
-        begin, size = self.at[:, np.searchsorted(self.value, value)[back]]
+        distinct, back = distinct_words(data, words)
+        distinct = distinct.to_pylist()
+        if len(self.known) > REMEMBERED:
+            self.forget()
+        self.learn([w for w in distinct if w not in self.known])
+        begin, size = np.array([self.known[w] for w in distinct], np.int64).reshape(-1, 2)[back].T
         # one more place after each text for the end id
         n = len(texts)
         slot = np.arange(len(back)) + np.repeat(np.arange(n), words.counts)
@@ -116,13 +109,11 @@ class Ids:
         starts[slot], sizes[slot] = begin, size
         ids = np.append(self.flat, self.kind(END_ID))[ranges(starts, sizes)]
         total = np.r_[0, np.cumsum(sizes)]
-        if self.full:
-            self.forget()
         return ids, total[np.r_[0, words.first[1:] + np.arange(1, n + 1)]]
 
 
 def with_pieces(docs: DataFrame, text: str, name: str, n_tokens: str, tokenizer: str | None, length: int) -> DataFrame:
-    """`docs` with the pieces of each text's ids, little-endian in 2 bytes an id (4 for vocabularies over 65,536)."""
+    """`docs` without the texts, with the pieces of each text's ids, little-endian in 2 bytes an id (4 for vocabularies over 65,536)."""
 
     def make():
         coder = Ids(tokenizer)
@@ -144,7 +135,7 @@ def with_pieces(docs: DataFrame, text: str, name: str, n_tokens: str, tokenizer:
 
         return compute
 
-    return with_text_columns(docs, text, make, {name: PIECES, n_tokens: "long"}, SLICE_BYTES)
+    return with_text_columns(docs, text, make, {name: PIECES, n_tokens: "long"}, SLICE_BYTES, keep_text=False)
 
 
 def first_fit(sizes: list[int], room: int) -> list[int]:
@@ -204,11 +195,12 @@ def pack(
     rows = only(docs, doc_id=id_col, text=text_col)
     size = rows.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 16)).first()[0] or 0
     groups = max(1, -(-size // group_bytes))
+    # a task that is run again has the number it had, so rows of one id and text are dealt out as well
+    salt = F.xxhash64(F.lit(seed), "doc_id", "text", F.spark_partition_id())
     pieces = (
-        with_pieces(rows, "text", "pieces", "doc_tokens", tokenizer, length)
-        .select("doc_id", "doc_tokens", F.explode("pieces").alias("p"))
-        .select("doc_id", "p.start", "p.length", "p.ids", "doc_tokens")
-        .withColumn("tie", F.xxhash64(F.lit(seed), "doc_id", "start"))
+        with_pieces(rows.withColumn("salt", salt), "text", "pieces", "doc_tokens", tokenizer, length)
+        .select("doc_id", "salt", "doc_tokens", F.explode("pieces").alias("p"))
+        .select("doc_id", "p.start", "p.length", "p.ids", "doc_tokens", F.xxhash64("salt", "p.start").alias("tie"))
         .withColumn("group", F.pmod("tie", F.lit(groups)))
     )
 

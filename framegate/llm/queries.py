@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framegate.llm import decontamination, html, langid, lm, oracles, packing, repeats, search, secrets, sharding, simhash
+from framegate.llm import decontamination, html, langid, lm, manifest, oracles, packing, repeats, search, secrets, sharding, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -97,3 +97,10 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = packing.pack(table(spark, sf_dir, "documents"))
     return placed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "padded")
+
+
+@query("op13_manifest", oracles.MANIFEST)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every third row by the checksum of its id is tampered with."""
+    docs = table(spark, sf_dir, "documents")
+    return manifest.verified(manifest.manifest(docs, tampered=F.crc32(F.col("doc_id").cast("string")) % 3 == 0))

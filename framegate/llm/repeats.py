@@ -74,7 +74,7 @@ def windows_of(texts: pa.Array, window: int) -> Windows:
         data, at = text_bytes(texts.slice(i, j - i))
         words = scan(data, at, NOT_SPACE)
         begin, row = run_starts(words, window)
-        high, low = run_values(word_values(data, words), begin, window)
+        high, low = run_values(word_values(data, words), begin, window, word_values(data, words, 1))
         made.append((high, low, (row + i).astype(np.int32), (begin - words.first[:-1][row]).astype(np.int32)))
     if not made:
         return Windows(*(np.zeros(0, t) for t in (np.uint64, np.uint64, np.int32, np.int32)))

@@ -73,7 +73,7 @@ def fingerprint(text: bytes, words: int = WORDS) -> int:
 
 
 def with_fingerprints(docs: DataFrame, text: str, name: str, words: int = WORDS) -> DataFrame:
-    """`docs` with the fingerprint of each text as a signed long."""
+    """`docs` without the texts, with the fingerprint of each as a signed long."""
 
     def make():
         def compute(texts: pa.Array) -> dict[str, pa.Array]:
@@ -84,7 +84,7 @@ def with_fingerprints(docs: DataFrame, text: str, name: str, words: int = WORDS)
 
         return compute
 
-    return with_text_columns(docs, text, make, {name: "long"})
+    return with_text_columns(docs, text, make, {name: "long"}, keep_text=False)
 
 
 # Index ----------------------------------------------------------------------------------------

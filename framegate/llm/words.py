@@ -9,8 +9,9 @@ from typing import NamedTuple
 
 import numpy as np
 
+#: Words of more bytes are hashed one by one.
+LONG = 64
 # Odd, so that powers can be taken back; any odd numbers do.
-WORD_BASE = np.uint64(0x9E3779B97F4A7C15)
 RUN_BASES = (np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
 
 LOWER = np.arange(256, dtype=np.uint8)
@@ -88,15 +89,49 @@ def _runs(values: np.ndarray, start: np.ndarray, end: np.ndarray, base: np.uint6
     return (total[end] - total[start]) * powers(inverse(base), len(values) + 1)[start]
 
 
-def word_values(data: np.ndarray, words: Words) -> np.ndarray:
-    """A 64-bit value for each word; equal words have equal values."""
-    got = _runs(data.astype(np.uint64) + np.uint64(1), words.start, words.end, WORD_BASE)
-    return mixed(got + (words.end - words.start).astype(np.uint64))
-
-
-def run_values(values: np.ndarray, start: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """128 bits, as two arrays, for the `length` word values from each start on."""
-    return tuple(mixed(_runs(values, start, start + length, b) + np.uint64(length)) for b in RUN_BASES)
+def word_values(data: np.ndarray, words: Words, seed: int = 0) -> np.ndarray:
+    """A 64-bit hash of each word's bytes. Other seeds give independent values.
+
+    A word of up to 8 bytes shares its value with no other one of its length. Longer ones are mixed in 8 bytes at a
+    time, which unlike a polynomial leaves no pattern of letters that two words could be exchanged by.
+    """
+    from xxhash import xxh64_intdigest
+
+    length = words.end - words.start
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
+    state = mixed(length.astype(np.uint64) + np.uint64((seed + 1) * int(RUN_BASES[0]) % (1 << 64)))
+    live = np.flatnonzero(length <= LONG)
+    for k in range(0, LONG, 8):
+        live = live[length[live] > k]
+        if not len(live):
+            break
+        empty = np.maximum(0, 8 - (length[live] - k)).astype(np.uint64) * np.uint64(8)
+        state[live] = mixed(state[live] ^ ((eight[words.start[live] + k] << empty) >> empty))
+    for w in np.flatnonzero(length > LONG).tolist():
+        state[w] = xxh64_intdigest(data[words.start[w] : words.end[w]].tobytes(), seed)
+    return state
+
+
+def distinct_words(data: np.ndarray, words: Words):
+    """(distinct words as a binary column, the place in it of each word), told apart by their bytes."""
+    import pyarrow as pa
+
+    length = words.end - words.start
+    inside = np.zeros(len(data) + 1, np.int8)
+    inside[words.start] += 1
+    inside[words.end] -= 1
+    edge = np.zeros(len(length) + 1, np.int32)
+    np.cumsum(length, out=edge[1:])
+    every = pa.BinaryArray.from_buffers(pa.binary(), len(length), [None, pa.py_buffer(edge), pa.py_buffer(data[np.cumsum(inside[:-1], dtype=np.int8).view(bool)])])
+    coded = every.dictionary_encode()
+    return coded.dictionary, coded.indices.to_numpy()
+
+
+def run_values(values: np.ndarray, start: np.ndarray, length: int, more: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit values for the `length` word values from each start on; the second is of the word values `more`, if given."""
+    each = (values, values if more is None else more)
+    return tuple(mixed(_runs(v, start, start + length, b) + np.uint64(length)) for v, b in zip(each, RUN_BASES))
 
 
 def run_starts(words: Words, length: int) -> tuple[np.ndarray, np.ndarray]:

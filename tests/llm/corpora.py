@@ -40,3 +40,11 @@ def odd(spark):
 @pytest.fixture()
 def empty(spark):
     return docs_of(spark, []).limit(0)
+
+
+def alike(n=10):
+    """Two words of 2 to the n letters that any polynomial in an odd base gives the same value modulo 2 to the 64."""
+    x, y = "a", "b"
+    for _ in range(n):
+        x, y = x + y, y + x
+    return x, y

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import re
 
-from corpora import docs_of, empty, odd_rows  # noqa: F401
+from corpora import alike, docs_of, empty, odd_rows  # noqa: F401
 
 from framegate.llm import decontamination
 
@@ -74,3 +74,10 @@ def test_many_numbers_in_a_key(spark):
     docs = docs_of(spark, [(1, f"a {texts[3]} b {texts[2000]}"), (2, "w1 w2")])
     got = {r.doc_id: (r.n_hit, list(r["items"])) for r in decontamination.contamination(docs, bench).collect()}
     assert got == {1: (60, ["2000", "3"]), 2: (0, [])}
+
+
+def test_words_that_a_polynomial_confuses(spark):
+    x, y = alike()
+    docs = spark.createDataFrame([(1, f"{x} a b c d e f g h i"), (2, f"{y} a b c d e f g h i")], "doc_id long, text string")
+    items = spark.createDataFrame([("k", f"{x} a b c d e f g h i")], "item_id string, text string")
+    assert {r.doc_id: r.n_hit for r in decontamination.contamination(docs, items).collect()} == {1: 10, 2: 0}

@@ -3,7 +3,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pytest
-from corpora import docs_of, empty, odd  # noqa: F401
+from corpora import alike, docs_of, empty, odd  # noqa: F401
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -78,3 +78,9 @@ def test_null_ids_and_empty_table(spark, odd, empty):
     rows = packing.pack(odd).collect()
     assert sum(r.doc_id is None for r in rows) == 3
     assert packing.pack(empty).collect() == []
+
+
+def test_words_that_a_polynomial_confuses(spark):
+    coder = packing.Ids(None)
+    for text in alike():
+        assert coder.of(pa.array([text]))[0].tolist() == [*coder.tokenizer.encode(text, add_special_tokens=False).ids, 1]

@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from corpora import empty, odd  # noqa: F401
+from corpora import alike, empty, odd  # noqa: F401
 
 from framegate.llm import repeats
 
@@ -41,3 +41,10 @@ def test_a_full_sketch_loses_nothing(spark, odd, monkeypatch):
 
 def test_empty(empty):
     assert repeats.remove_repeats(empty).collect() == []
+
+
+def test_words_that_a_polynomial_confuses(spark):
+    x, y = alike()
+    rest = " ".join(f"w{k}" for k in range(19))
+    docs = spark.createDataFrame([(1, f"{x} {rest}"), (2, f"{y} {rest}"), (3, f"{x} {rest}")], "doc_id long, text string")
+    assert {r.doc_id: r.n_removed for r in repeats.remove_repeats(docs).collect()} == {1: 0, 2: 0, 3: 20}

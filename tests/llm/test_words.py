@@ -4,7 +4,8 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from hypothesis import given
+from corpora import alike
+from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from framegate.llm import frames, words
@@ -12,6 +13,7 @@ from framegate.llm import frames, words
 TEXTS = st.lists(st.one_of(st.none(), st.text(alphabet="aB é\t\n\x0b1-ß漢  ", max_size=30)), max_size=6)
 
 
+@settings(deadline=None)
 @given(TEXTS)
 def test_words_are_those_of_the_pattern(texts):
     column = pa.array(texts, pa.string())
@@ -33,6 +35,7 @@ def test_words_are_those_of_the_pattern(texts):
         assert all((runs[i][1] == runs[j][1]) == (high[i] == high[j]) for i in range(len(runs)) for j in range(i))
 
 
+@settings(deadline=None)
 @given(TEXTS, st.integers(1, 20))
 def test_slices_hold_every_row_once(texts, most):
     column = pa.array(["x", *texts], pa.string()).slice(1)
@@ -52,3 +55,24 @@ def test_fresh_name_and_refused_clash(spark):
 
     with pytest.raises(ValueError):
         frames.with_text_columns(df, "X_", lambda: None, {"x": "long"})
+
+
+def test_words_that_a_polynomial_confuses():
+    x, y = alike()
+    data, at = frames.text_bytes(pa.array([f"{x} {y} {x}", y]))
+    found = words.scan(data, at, words.NOT_SPACE)
+    for seed in (0, 1):
+        values = words.word_values(data, found, seed)
+        assert values[0] == values[2] != values[1] == values[3]
+    own, back = words.distinct_words(data, found)
+    assert own.to_pylist() == [x.encode(), y.encode()] and back.tolist() == [0, 1, 0, 1]
+
+
+@settings(deadline=None)
+@given(TEXTS)
+def test_distinct_words_are_the_words(texts):
+    data, at = frames.text_bytes(pa.array(texts, pa.string()))
+    found = words.scan(data, at, words.NOT_SPACE, np.flatnonzero(data == ord("1")))
+    own, back = words.distinct_words(data, found)
+    assert [own[int(k)].as_py() for k in back] == [data.tobytes()[a:b] for a, b in zip(found.start, found.end)]
+    assert len(set(own.to_pylist())) == len(own)
