@@ -21,11 +21,17 @@ RANGE_ROWS = 200_000
 
 #: What tells a node of a level.
 NODE = ["tree", "place"]
-PATH = "array<struct<left:string,right:string>>"
+PATH = "array<struct<left:binary,right:binary>>"
+
+
+def as_hex(raw: Column) -> Column:
+    """Digests travel as 32 bytes and are hashed as lower-case hex text."""
+    return F.lower(F.hex(raw))
 
 
 def digest(*parts: Column) -> Column:
-    return F.sha2(F.concat(*parts), 256)
+    """32 bytes, from pieces of text or from columns of digests."""
+    return F.unhex(F.sha2(F.concat(*parts), 256))
 
 
 def encoded(column: Column) -> Column:
@@ -67,55 +73,67 @@ def with_siblings(nodes: DataFrame, arity: int = ARITY) -> DataFrame:
     there = nodes.select(F.col("tree").alias("t"), F.col("place").alias("sibling_"), F.col("digest").alias("d"))
     met = asked.join(there, (F.col("tree") == F.col("t")) & (F.col("sibling") == F.col("sibling_")))
     run = met.groupBy(*NODE).agg(F.array_sort(F.collect_list(F.struct("sibling", "d"))).alias("run"))
-    side = lambda keep: F.array_join(F.transform(F.filter("run", keep), lambda s: s["d"]), "")
+    side = lambda keep: F.unhex(F.array_join(F.transform(F.filter("run", keep), lambda s: F.hex(s["d"])), ""))
     sides = run.select(*NODE, side(lambda s: s["sibling"] < F.col("place")).alias("left"), side(lambda s: s["sibling"] > F.col("place")).alias("right"))
-    empty = F.lit("")
+    empty = F.lit(b"")
     return nodes.join(sides, NODE, "left").withColumn("left", F.coalesce("left", empty)).withColumn("right", F.coalesce("right", empty))
 
 
 def levels(leaves: DataFrame, arity: int = ARITY) -> tuple[list[DataFrame], DataFrame]:
-    """(levels from the leaves up, roots) of the trees over (tree, place, size, digest).
+    """(levels from the leaves up, lone nodes) of the trees over (tree, place, size, digest, …).
 
-    A level has the nodes of trees that still have several, with their siblings. roots has (tree, height, digest).
+    A level has the nodes of trees that still have several, with their siblings; the lowest one has all columns of
+    `leaves`. A tree's lone node is its root, with the tree's height: (tree, height, digest).
     The size of the largest tree is all that reaches the driver; every level is written before the next one.
     """
     up = lambda c: F.floor(F.col(c) / arity).cast("long")
     single = lambda nodes, height: nodes.filter("size = 1").select("tree", F.lit(height).alias("height"), "digest")
     most = leaves.agg(F.max("size")).first()[0] or 0
-    found, nodes, roots = [], leaves.select(*NODE, "size", "digest"), single(leaves, 0)
+    found, nodes, roots = [], leaves, single(leaves, 0)
     while most > 1:
         found.append(checkpoint(with_siblings(nodes.filter("size > 1"), arity)))
         parents = found[-1].filter(F.col("place") % arity == 0)
-        nodes = parents.select("tree", up("place").alias("place"), (up("size") + (F.col("size") % arity > 0).cast("int")).alias("size"), digest("left", "digest", "right").alias("digest"))
+        nodes = parents.select(
+            "tree", up("place").alias("place"), (up("size") + (F.col("size") % arity > 0).cast("int")).alias("size"),
+            digest(as_hex(F.concat("left", "digest", "right"))).alias("digest"),
+        )
         roots = roots.unionAll(single(nodes, len(found)))
         most = -(-most // arity)
     return found, checkpoint(roots)
 
 
-def paths(found: list[DataFrame], tops: DataFrame, arity: int = ARITY) -> DataFrame:
-    """(tree, place, path, …) of the leaves: siblings (left, right) on every level from the leaf up, then the path of the tree in `tops`.
+def with_paths(leaves: DataFrame, found: list[DataFrame], tops: DataFrame, arity: int = ARITY) -> DataFrame:
+    """`leaves` with `path`, the siblings (left, right) on every level from the leaf up, then the path of the tree in `tops`.
 
-    `tops` has (tree, height, path, …). A level takes the paths of the one above it, which has an eighth of its nodes, so
-    no join meets all nodes of a tree under one key.
+    `tops` has (tree, height, path, …), whose other columns come along. A level takes the paths of the one above it, which
+    has an eighth of its nodes, so no join meets all nodes of a tree under one key; only lone leaves meet their tree.
     """
     more = [c for c in tops.columns if c not in ("tree", "height", "path")]
-    at = lambda h: tops.filter(F.col("height") == h).select("tree", F.lit(0).cast("long").alias("place"), "path", *more)
-    above = at(len(found))
-    for height in range(len(found) - 1, -1, -1):
-        up = above.select(F.col("tree").alias("t"), F.col("place").alias("up"), F.col("path").alias("rest"), *more)
-        joined = found[height].join(up, (F.col("tree") == F.col("t")) & (F.floor(F.col("place") / arity) == F.col("up")))
-        above = joined.select(*NODE, F.concat(F.array(F.struct("left", "right")), F.col("rest")).alias("path"), *more).unionAll(at(height))
+    at = lambda h: tops.filter(F.col("height") == h).select("tree", "path", *more)
+    own = [*leaves.columns, "path", *more]
+    above = None
+    for height in range(len(found), -1, -1):
+        if height:
+            lone = at(height).select("tree", F.lit(0).cast("long").alias("place"), "path", *more)
+            columns = lone.columns
+        else:
+            lone, columns = leaves.filter("size = 1").join(at(0), "tree").select(*own), own
+        if height < len(found):
+            up = above.select(F.col("tree").alias("t"), F.col("place").alias("up"), F.col("path").alias("rest"), *more)
+            joined = found[height].join(up, (F.col("tree") == F.col("t")) & (F.floor(F.col("place") / arity) == F.col("up")))
+            lone = joined.withColumn("path", F.concat(F.array(F.struct("left", "right")), F.col("rest"))).select(*columns).unionAll(lone)
+        above = lone
     return above
 
 
 def folded(leaf: Column, path: Column) -> Column:
-    """The root that follows from a leaf and its path."""
-    return F.aggregate(path, leaf, lambda own, s: F.sha2(F.concat(s["left"], own, s["right"]), 256))
+    """The root, in hex, that follows from a leaf and its path."""
+    return F.aggregate(path, as_hex(leaf), lambda own, s: F.sha2(F.concat(as_hex(s["left"]), own, as_hex(s["right"])), 256))
 
 
 def proof(path: Column) -> Column:
     """The siblings' digests, level by level, left to right, one after the other."""
-    return F.array_join(F.transform(path, lambda s: F.concat(s["left"], s["right"])), "")
+    return F.array_join(F.transform(path, lambda s: as_hex(F.concat(s["left"], s["right"]))), "")
 
 
 def manifest(
@@ -126,8 +144,8 @@ def manifest(
 
     A leaf is the digest of the row's `fields`. The leaves of a language in the order of their ids are cut into runs of
     `arity`, whose digests are the next level, until one is left, the subroot; subroots in the order of their languages,
-    null first, give the root alike. `path` is the siblings (left, right) of each level, from the leaf to the root, and
-    folded_root what follows from the path and the leaf of the row, or of its tampered form where `tampered`, a condition
+    null first, give the root alike. `path` is the siblings (left, right) of each level as bytes, from the leaf to the root,
+    and folded_root what follows from the path and the leaf of the row, or of its tampered form where `tampered`, a condition
     on `docs`, holds: A to Z of its text in lower case. It differs from root where that changes a text.
 
     Null languages are a tree of their own, apart from empty names. Null ids come first and are never tampered with.
@@ -147,16 +165,17 @@ def manifest(
         )
     )
     leaves = checkpoint(placed(leaves))
-    found, subroots = levels(leaves.withColumn("digest", F.col("leaf")), arity)
+    found, subroots = levels(leaves.withColumnRenamed("leaf", "digest"), arity)
     # the languages are leaves of the tree above, which has no name
-    upper = checkpoint(placed(subroots.select(F.lit("").alias("tree"), F.col("tree").alias("doc_id"), F.col("digest").alias("leaf"), F.col("height").alias("own"))))
-    above, root = levels(upper.withColumn("digest", F.col("leaf")), arity)
-    over = paths(above, root.select("tree", "height", F.array().cast(PATH).alias("path"), F.col("digest").alias("root")), arity)
-    tops = checkpoint(upper.join(over, NODE).select(F.col("doc_id").alias("tree"), F.col("own").alias("height"), "path", F.col("leaf").alias("subroot"), "root"))
-    own = paths(found, tops, arity)
-    return leaves.select(*NODE, "doc_id", "leaf", "hurt").join(own, NODE).select(
-        "doc_id", "leaf", "subroot", "root", "path", folded(F.coalesce("hurt", "leaf"), F.col("path")).alias("folded_root")
-    )
+    names = subroots.select(F.lit("").alias("tree"), F.col("tree").alias("doc_id"), F.col("digest").alias("leaf"), F.col("height").alias("own"))
+    upper = checkpoint(placed(names)).withColumnRenamed("leaf", "digest")
+    above, root = levels(upper, arity)
+    over = with_paths(upper, above, root.select("tree", "height", F.array().cast(PATH).alias("path"), F.col("digest").alias("root")), arity)
+    tops = checkpoint(over.select(F.col("doc_id").alias("tree"), F.col("own").alias("height"), "path", F.col("digest").alias("subroot"), "root"))
+    return with_paths(leaves.withColumnRenamed("leaf", "digest"), found, tops, arity).select(
+        "doc_id", as_hex("digest").alias("leaf"), as_hex("subroot").alias("subroot"), as_hex("root").alias("root"), "path",
+        folded(F.coalesce("hurt", "digest"), F.col("path")).alias("folded_root"),
+    )
 
 
 def verified(made: DataFrame) -> DataFrame:
