@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from framegate.llm import decontamination, langid, near, packing, secrets
+from framegate.llm import decontamination, langid, packing, secrets, simhash
 from framegate.session import shared_dir
 
 
@@ -16,8 +16,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five-word shingles, similarity of 0.8 or more."""
-    return near.drop_near_copies(docs)
+    """One document of each group whose fingerprints of three-word shingles are linked by three bits or fewer."""
+    return simhash.drop_near_duplicates(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
