@@ -64,3 +64,18 @@ f AS (SELECT doc_id, 0 AS step, own FROM d UNION ALL SELECT f.doc_id, f.step + 1
 z AS (SELECT f.doc_id, own AS folded_root FROM f JOIN h ON h.doc_id = f.doc_id AND h.last = f.step)
 SELECT doc_id, leaf, subroot, (SELECT digest FROM u WHERE size = 1) AS root, SHA256(COALESCE(proof, '')) AS proof_sha256, folded_root,
   folded_root = (SELECT digest FROM u WHERE size = 1) AS verified FROM d LEFT JOIN k USING (doc_id) JOIN z USING (doc_id)"""
+
+#: Pairs that share at least one shingle, by whole sets; then the smallest id in reach.
+JACCARD = f"""WITH RECURSIVE w AS (SELECT doc_id, {WORDS.replace("COALESCE(text, '')", _LOWER.replace("text", "COALESCE(text, '')"))} AS ws FROM documents),
+g AS (SELECT DISTINCT doc_id, CASE WHEN LEN(ws) < 3 THEN ARRAY_TO_STRING(ws, ' ') ELSE ARRAY_TO_STRING(ws[i:i + 2], ' ') END AS k
+  FROM (SELECT doc_id, ws, UNNEST(RANGE(1, GREATEST(LEN(ws) - 1, 2))) AS i FROM w WHERE LEN(ws) > 0)),
+s AS (SELECT doc_id, COUNT(*) AS n, SHA256(STRING_AGG(k, chr(10) ORDER BY k)) AS whole FROM g GROUP BY doc_id),
+c AS (SELECT whole, MIN(doc_id) AS a, MIN(n) AS n FROM s GROUP BY whole),
+h AS (SELECT a, n, k FROM c JOIN g ON g.doc_id = c.a),
+o AS (SELECT x.a AS x, y.a AS y, x.n AS nx, y.n AS ny, COUNT(*) AS m FROM h x JOIN h y USING (k) WHERE x.a < y.a AND 10 * x.n >= 9 * y.n AND 10 * y.n >= 9 * x.n GROUP BY ALL),
+l AS (SELECT x, y FROM o WHERE 100 * m >= 90 * (nx + ny - m)),
+e AS (SELECT x AS a, y AS b FROM l UNION ALL SELECT y, x FROM l),
+r AS (SELECT a, a AS root FROM c UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.a),
+t AS (SELECT a, MIN(root) AS root FROM r GROUP BY a)
+SELECT w.doc_id, COALESCE(s.n, 0) AS n_shingles, COALESCE(t.root, w.doc_id) AS component_id
+FROM w LEFT JOIN s ON s.doc_id = w.doc_id LEFT JOIN c ON c.whole = s.whole LEFT JOIN t ON t.a = c.a"""

@@ -261,14 +261,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS) -> DataFrame:
-    """`docs` with one document of each group of near duplicates: the one with the smallest id.
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, group_rows: int = GROUP_ROWS) -> DataFrame:
+    """`docs` with one row of each group of near duplicates: the one with the smallest id.
 
-    Rows that share an id are one document, of which one row stays. Rows without an id can't be told apart by it and
-    all stay. All columns come back as they are, whatever their names.
+    Null ids come last. Of different texts of a group under one id, the one with the smallest hash stays; of equal rows,
+    one does. Texts without words are one group. Columns that are neither id nor text don't matter, and all come back as
+    they are, whatever their names. An empty table gives an empty one.
     """
-    rows = checkpoint(with_fingerprints(only(docs, doc_id=id_col, text=text_col), "text", "print", words).select("doc_id", "print"))
-    firsts = print_components(rows.filter(F.col("doc_id").isNotNull())).select("component").distinct()
-    keep = fresh(docs, "kept_id")
-    kept = docs.join(firsts.withColumnRenamed("component", keep), F.col(f"`{id_col}`") == F.col(keep), "left_semi").dropDuplicates([id_col])
-    return kept.unionByName(docs.filter(F.col(f"`{id_col}`").isNull()))
+    own, check = fresh(docs, "own"), fresh(docs, "check")
+    hashed = docs.withColumn(own, F.xxhash64(f"`{id_col}`", f"`{text_col}`")).withColumn(check, F.coalesce(F.crc32(F.col(f"`{text_col}`")), F.lit(-1)))
+    rows = only(hashed, doc_id=id_col, text=text_col, own=own, check=check)
+    rows = checkpoint(with_fingerprints(rows, "text", "print", words).select("doc_id", "own", "check", "print"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "own", "check")).alias("first")
+    each = checkpoint(rows.groupBy("print").agg(first))
+    roots = components(links(each.select("print"), group_rows))
+    firsts = each.join(roots, F.col("print") == F.col("node"), "left").groupBy(F.coalesce("root", "print")).agg(F.min("first").alias("first"))
+    kept = hashed.join(firsts.select(F.col("first.own").alias(own), F.col("first.check").alias(check)), [own, check], "left_semi")
+    # the rows of a join lie by its columns, so equal ones meet without another shuffle
+    return kept.dropDuplicates([own, check]).select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -1,81 +1,116 @@
 from __future__ import annotations
 
 import random
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from corpora import docs_of, empty, odd  # noqa: F401
+import pytest
+from corpora import alike, docs_of, empty, odd  # noqa: F401
 
-import corpus_pipeline
-from framegate.llm import near
+from framegate.llm import jaccard
 
 
-def brute_set(text):
+def brute_set(text, n=3):
     words = (text or "").encode().lower().split()
-    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+    return {tuple(words[i : i + n]) for i in range(max(1, len(words) - n + 1))} if words else set()
 
 
-def brute_firsts(rows):
-    """The smallest id of each component of pairs with a Jaccard similarity of 0.8 or more."""
-    sets = [(i, brute_set(t)) for i, t in rows if i is not None]
+def brute(rows, n=3, least=(9, 10)):
+    """Rows (doc_id, n_shingles, component_id)."""
+    sets = [brute_set(t, n) for _, t in rows]
     label = list(range(len(sets)))
-    for a in range(len(sets)):
-        for b in range(a):
-            x, y = sets[a][1], sets[b][1]
-            if label[a] != label[b] and len(x & y) * 5 >= len(x | y) * 4:
-                old, new = label[a], label[b]
-                label = [new if k == old else k for k in label]
-    least = {}
-    for (i, _), k in zip(sets, label):
-        least[k] = min(least.get(k, i), i)
-    return sorted(set(least.values()))
-
-
-def planted(seed=5):
-    """Pairs and chains of copies of a chosen similarity from 0.7 to 1, and a large group of copies of one text."""
+    for a, b in combinations(range(len(sets)), 2):
+        x, y = sets[a], sets[b]
+        if label[a] != label[b] and x and len(x & y) * least[1] >= len(x | y) * least[0]:
+            old, new = label[b], label[a]
+            label = [new if k == old else k for k in label]
+    first = {}
+    for (i, _), k in zip(rows, label):
+        if i is not None:
+            first[k] = min(first.get(k, i), i)
+    return sorted(((i, len(s), first.get(k)) for (i, _), s, k in zip(rows, sets, label)), key=str)
+
+
+def planted(seed=5, groups=40, hot=100):
+    """Chains of copies around the threshold, and a large group of near copies of one text, some of them linked by others only."""
     rng = random.Random(seed)
     line = lambda n: [f"w{rng.randrange(5000)}" for _ in range(n)]
     rows = []
-    for k in range(60):
-        words = line(200)
+    for k in range(groups):
+        words = line(rng.choice((9, 11, 12, 40, 200)))
         rows.append(" ".join(words))
-        for _ in range(1 + k % 3):
+        for _ in range(1 + k % 4):
             words = list(words)
-            for _ in range(rng.randrange(1, 7)):
-                words[rng.randrange(200)] = f"n{rng.randrange(5000)}"
+            for _ in range(rng.randrange(1, 1 + max(1, len(words) // 40))):
+                words[rng.choice((0, -1, rng.randrange(len(words))))] = f"n{rng.randrange(5000)}"
             rows.append(" ".join(words))
-    hot = line(150)
-    for _ in range(120):
-        other = list(hot)
-        for _ in range(rng.randrange(5)):
+    base = line(150)
+    for _ in range(hot):
+        other = list(base)
+        for _ in range(rng.randrange(6)):
             other[rng.randrange(150)] = f"n{rng.randrange(5000)}"
         rows.append(" ".join(other))
+    rows += rows[:20]
     rng.shuffle(rows)
     return list(enumerate(rows))
 
 
-def test_shingles_and_bands():
-    texts = ["a b c d e f", None, "A  B\tc d e f", "x", "", "a b a b a b a b a b"]
-    value, at = near.shingles(pa.array(texts))
-    assert np.diff(at).tolist() == [len(brute_set(t)) for t in texts]
-    print_, bands = near.digests(value, at), near.band_values(value, at)
-    assert print_[0] == print_[2] and print_[1] == print_[4] and len(set(print_)) == 4
-    assert (bands[0] == bands[2]).all() and bands.shape == (6, near.BANDS)
+def found(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
 
 
-def test_stage_finds_copies_chosen_by_similarity(spark):
-    """Copies are chosen by Jaccard similarity, most of them more than three bits of a fingerprint away from all others."""
+@pytest.mark.parametrize("limits", [{}, {"bucket_rows": 10, "piece": 500, "cell_bits": 8}])
+def test_equal_to_all_pairs(spark, limits):
     rows = planted()
-    docs = docs_of(spark, rows)
-    want = brute_firsts(rows)
-    assert len(want) < len(rows) - 120
-    assert sorted(r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").select("doc_id").collect()) == want
-    assert sorted(r.doc_id for r in near.drop_near_copies(docs, piece=3000).select("doc_id").collect()) == want
+    want = brute(rows)
+    assert 60 < len({r[2] for r in want}) < len(rows) - 60
+    assert found(jaccard.linked(docs_of(spark, rows), **limits)) == want
+
+
+def test_other_thresholds(spark):
+    rows = planted(seed=6, groups=25, hot=40)
+    assert found(jaccard.linked(docs_of(spark, rows), words=2, least=(7, 10))) == brute(rows, 2, (7, 10))
 
 
 def test_odd_rows(spark, odd, empty):
-    kept = near.drop_near_copies(odd)
-    got = [r.doc_id for r in kept.collect()]
-    assert kept.columns == odd.columns and got.count(None) == 3
-    assert sorted(i for i in got if i is not None) == brute_firsts([(r.doc_id, r.text) for r in odd.collect()])
-    assert near.drop_near_copies(empty).collect() == []
+    rows = [(r.doc_id, r.text) for r in odd.collect()]
+    assert found(jaccard.linked(odd)) == brute(rows)
+    assert jaccard.linked(empty).collect() == []
+    x, y = alike()
+    rest = " ".join(f"w{k}" for k in range(60))
+    assert [r[2] for r in found(jaccard.linked(docs_of(spark, [(1, f"{x} {rest}"), (2, f"{y} {rest}"), (3, x), (4, y)])))] == [1, 1, 3, 4]
+
+
+def test_many_copies_under_no_id(spark):
+    rows = [(None, "a b c d e f g h i j k l"), *[(None, "a b c d e f g h i j k l m")] * 50, (5, "A b c d e f g h i j k l m")]
+    assert found(jaccard.linked(docs_of(spark, rows))) == brute(rows)
+
+
+def test_no_filter_loses_a_similar_pair():
+    """At the first shared n-gram of their prefixes, a similar pair passes; the bounds are never over what they bound."""
+    rng, at = np.random.default_rng(1), 0
+    base = [" ".join(rng.choice(400, 60).astype(str)) for _ in range(20)]
+    texts = base + [" ".join([*t.split()[:-1], str(k)]) for k, t in enumerate(base)] + [" ".join(t.split()[:56]) for t in base]
+    sets = jaccard.sets_of(pa.array(texts))
+    front = jaccard.prefixes(sets, rng.integers(0, 5, 256).astype(np.uint8))
+    size = np.diff(sets.at)
+    counts = jaccard.counted(sets.value, np.repeat(np.arange(len(size)), size), len(size))
+    batch = pa.RecordBatch.from_pydict(
+        {"node": list(range(len(size))), "size": size.tolist(), "keys": [front.value[a:b].view(np.int64).tolist() for a, b in zip(front.at[:-1], front.at[1:])], "counts": pa.array(counts.tolist(), pa.list_(pa.int32()))}
+    )
+    rows = next(jaccard.entries(iter([batch]))).to_pylist()
+    own = {(r["node"], r["key"]): r for r in rows}
+    keys = [list(front.value[a:b].view(np.int64).tolist()) for a, b in zip(front.at[:-1], front.at[1:])]
+    for i, j in combinations(range(len(texts)), 2):
+        x, y = brute_set(texts[i]), brute_set(texts[j])
+        if len(x & y) * 10 < len(x | y) * 9:
+            continue
+        at += 1
+        a, b = (i, j) if size[i] <= size[j] else (j, i)
+        key = next(k for k in keys[a] if k in keys[b])
+        two = [own[a, key], own[b, key]]
+        bucket = jaccard.Bucket(*(np.array([r[c] for r in two]) for c in ("node", "size", "place", "left")))
+        assert bucket.passes(0, np.array([1])).all() and jaccard.passing(bucket, jaccard.LEAST)[0, 1]
+        assert two[0]["place"] + two[1]["place"] + np.abs(bucket.left[0] - bucket.left[1]).sum() <= len(x ^ y)
+    assert at > 20
