@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from framegate.llm.components import components
 from framegate.llm.frames import lists, only, slices, text_bytes, with_text_columns
-from framegate.llm.messages import packed, small, steps, unpacked
+from framegate.llm.messages import add_sparse, added, sparse
 from framegate.llm.words import LOWER, NOT_SPACE, ranges, run_starts, run_values, scan, word_values
 from framegate.session import checkpoint
 
@@ -125,55 +125,31 @@ def sketch_rows(batches: Iterator[pa.RecordBatch], words: int, cell_bits: int) -
         for i, j in slices(texts):
             cell, n = np.unique(sets_of(texts.slice(i, j - i), words).value >> np.uint64(64 - cell_bits), return_counts=True)
             total[cell.astype(np.int64)] += n.astype(np.uint32)
-    yield from _blocks(total, cell_bits)
-
-
-def _blocks(total: np.ndarray, cell_bits: int, first: int = 0) -> Iterator[pa.RecordBatch]:
     width = 1 << min(BLOCK_BITS, cell_bits)
-    for block in range(len(total) // width):
-        own = total[block * width : (block + 1) * width]
-        cells = np.flatnonzero(own)
-        if len(cells):
-            sent = packed(small(steps(cells)), small(own[cells]))
-            yield pa.RecordBatch.from_arrays([pa.array([block + first], pa.int64()), pa.array([sent], pa.binary())], names=["block", "cells"])
-
-
-def _sums(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[int, np.ndarray]]:
-    """Totals of blocks whose rows come one block after the other; one block is held at a time."""
-    block, total = None, None
-    for batch in batches:
-        for b, sent in zip(batch.column("block").to_pylist(), batch.column("cells")):
-            if b != block:
-                if total is not None:
-                    yield block, total
-                block, total = b, np.zeros(width, np.int64)
-            step, n = unpacked(sent.as_py())
-            total[np.cumsum(step, dtype=np.int64)] += n
-    if total is not None:
-        yield block, total
+    for block, own in enumerate(total.reshape(-1, width)):
+        if own.any():
+            yield pa.RecordBatch.from_pydict({"block": [block], "width": [width], "amount": [int(own.sum())], "cells": [sparse(own)]})
 
 
 def gram_levels(texts: DataFrame, words: int = WORDS, cell_bits: int = CELL_BITS) -> np.ndarray:
     """The level of the count of every cell; an n-gram's cell is told by its highest bits.
 
-    Tasks count, and blocks are summed twice: first a 64th of the tasks each, then these sums, so that no task takes
-    in the blocks of all. The driver gets a byte a cell, a fixed size.
+    Tasks count, and their blocks are added up. The driver gets a byte a cell, a fixed size.
     """
-    width = 1 << min(BLOCK_BITS, cell_bits)
-    rows = texts.select("text").mapInArrow(lambda batches: sketch_rows(batches, words, cell_bits), "block long, cells binary")
-    parts = rows.withColumn("part", F.spark_partition_id() % 64).repartition("block", "part").sortWithinPartitions("block", "part")
+    rows = texts.select("text").mapInArrow(lambda batches: sketch_rows(batches, words, cell_bits), "block long, width long, amount long, cells binary")
 
-    def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, total in _sums(batches, width):
-            yield from _blocks(total, min(BLOCK_BITS, cell_bits), block)
+    def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for width, sent in zip(batch.column("width").to_pylist(), batch.column("cells").to_pylist()):
+                total = np.zeros(width, np.int64)
+                add_sparse(total, sent)
+                out.append(level(total).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("block"), pa.array(out, pa.binary())], names=["block", "levels"])
 
-    def every(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, total in _sums(batches, width):
-            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([level(total).tobytes()], pa.binary())], names=["block", "levels"])
-
-    summed = parts.select("block", "cells").mapInArrow(some, "block long, cells binary")
+    width = 1 << min(BLOCK_BITS, cell_bits)
     out = np.zeros(((1 << cell_bits) // width, width), np.uint8)
-    for r in summed.repartition("block").sortWithinPartitions("block").mapInArrow(every, "block long, levels binary").collect():
+    for r in added(rows, ["block"]).mapInArrow(short, "block long, levels binary").collect():
         out[r["block"]] = np.frombuffer(r["levels"], np.uint8)
     return out.ravel()
 

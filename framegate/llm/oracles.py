@@ -79,3 +79,23 @@ r AS (SELECT a, a AS root FROM c UNION SELECT e.b, r.root FROM r JOIN e ON e.a =
 t AS (SELECT a, MIN(root) AS root FROM r GROUP BY a)
 SELECT w.doc_id, COALESCE(s.n, 0) AS n_shingles, COALESCE(t.root, w.doc_id) AS component_id
 FROM w LEFT JOIN s ON s.doc_id = w.doc_id LEFT JOIN c ON c.whole = s.whole LEFT JOIN t ON t.a = c.a"""
+
+#: Shares in parts of 10^9 of all kept terms, for every source and for the language as a whole.
+DIVERGENCE = f"""WITH d AS (SELECT doc_id, COALESCE(lang, '') AS lang, COALESCE(source, '') AS source,
+  REGEXP_EXTRACT_ALL({_LOWER.replace("text", "COALESCE(text, '')")}, '[a-z\\x{{80}}-\\x{{10FFFF}}]+') AS ws FROM documents),
+o AS (SELECT doc_id, lang, source, UNNEST(ws) AS term FROM d),
+k AS (SELECT lang, term FROM o GROUP BY lang, term HAVING COUNT(DISTINCT doc_id) >= 3),
+v AS (SELECT lang, COUNT(*) AS v FROM k GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, COUNT(*) AS n FROM o JOIN k USING (lang, term) GROUP BY ALL),
+a AS (SELECT g.lang, g.source, k.term, COALESCE(c.n, 0) AS n, v FROM g JOIN k USING (lang) JOIN v USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+p AS (SELECT lang, source, term, n, 1 + (1000000000::HUGEINT * (n + 1)) // (SUM(n) OVER (PARTITION BY lang, source) + v) AS p FROM a),
+l AS (SELECT lang, term, 1 + (1000000000::HUGEINT * (n + 1)) // (SUM(n) OVER (PARTITION BY lang) + v) AS q
+  FROM (SELECT lang, term, SUM(n) AS n, MIN(v) AS v FROM a GROUP BY lang, term)),
+r AS (SELECT x.lang, x.source, y.source AS item, COALESCE(s.value, 0) AS value FROM g x JOIN g y ON x.lang = y.lang AND x.source <> y.source
+  LEFT JOIN (SELECT x.lang, x.source, y.source AS item, SUM((x.p - y.p) * (x.p - y.p) // y.p) AS value FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL) s
+  ON s.lang = x.lang AND s.source = x.source AND s.item = y.source),
+t AS (SELECT lang, source, term AS item, (p - q) * (p - q) // q AS value FROM p JOIN l USING (lang, term) WHERE n > 0 AND p > q),
+z AS (SELECT lang, source, 'pair' AS part, item, value FROM r UNION ALL SELECT lang, source, 'term', item, value FROM t)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM z) WHERE part = 'pair' OR rank <= 200"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framegate.llm import decontamination, html, jaccard, langid, lm, manifest, oracles, packing, repeats, search, secrets, sharding, simhash
+from framegate.llm import decontamination, divergence, html, jaccard, langid, lm, manifest, oracles, packing, repeats, search, secrets, sharding, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -99,6 +99,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "padded")
 
 
+@query("op11_divergence", oracles.DIVERGENCE)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 @query("op12_jaccard", oracles.JACCARD)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.linked(table(spark, sf_dir, "documents"))
