@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from framegate.llm.frames import only, plain, slices, strings, text_bytes
+from framegate.llm.frames import broadcast_if_small, only, plain, slices, strings, text_bytes
 from framegate.llm.messages import add_sparse, added, packed, sparse, unpacked
 from framegate.llm.words import LOWER, Words, distinct_words, mixed, scan, word_values
 from framegate.session import checkpoint
@@ -341,7 +341,8 @@ def audit(
     empty = F.lit("")
     rows = only(docs, text=text_col, lang=lang_col, source=source_col).select(*(F.coalesce(c, empty).alias(c) for c in ("lang", "source", "text")))
     kept = checkpoint(kept_terms(rows, least))
-    sizes = kept.groupBy("lang").agg(F.count("*").alias("kept"))
+    # one row a language: sent along, so that the terms of a language need not meet under its name
+    sizes = broadcast_if_small(checkpoint(kept.groupBy("lang").agg(F.count("*").alias("kept"))))
     dealt = kept.join(sizes.select("lang", F.ceil(F.col("kept") / shard_terms).alias("subs")), "lang").withColumn("sub", F.pmod("hash", "subs"))
     built = checkpoint(dealt.select("lang", "sub", "subs", "term").groupBy("lang", "sub").applyInArrow(shard_of, SHARD))
     counts = checkpoint(slot_counts(rows, built, broadcast_bytes, held))

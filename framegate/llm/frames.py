@@ -13,6 +13,9 @@ from pyspark.sql import types as T
 #: Bytes of text that one call of a text function gets, unless a single text is longer.
 SLICE_BYTES = 2 << 20
 
+#: Rows of a narrow table that may be sent to every executor; a few bytes each.
+SMALL_ROWS = 1 << 20
+
 
 def fresh(df: DataFrame, name: str) -> str:
     """`name`, or the name with underscores before it that no column of `df` has (in any letter case)."""
@@ -99,6 +102,11 @@ def with_text_columns(df: DataFrame, text: str, make: Callable[[], Computed], fi
     return df.mapInArrow(run, schema)
 
 
+def broadcast_if_small(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
+    """A written table of ids or names, marked for broadcast if it has `rows` rows at most; joins shuffle a larger one."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def only(df: DataFrame, **columns: str) -> DataFrame:
     """The named columns under the names they have inside an operator; all others stay behind."""
     return df.select(*(F.col(f"`{c}`").alias(name) for name, c in columns.items()))

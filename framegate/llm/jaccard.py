@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from framegate.llm.components import components
-from framegate.llm.frames import lists, only, slices, text_bytes, with_text_columns
+from framegate.llm.frames import broadcast_if_small, lists, only, slices, text_bytes, with_text_columns
 from framegate.llm.messages import add_sparse, added, sparse
 from framegate.llm.words import LOWER, NOT_SPACE, ranges, run_starts, run_values, scan, word_values
 from framegate.session import checkpoint
@@ -463,7 +463,8 @@ def held_sets(sets: DataFrame, nodes: DataFrame, texts: DataFrame, words: int) -
 
     asked = checkpoint(sets.select("node", "high", "low", "id").join(nodes, "node", "left_semi"))
     # a set's text is found by its id; where ids repeat or are null, others come along
-    wanted = texts.join(asked.select("id").distinct(), F.col("doc_id").eqNullSafe(F.col("id")), "left_semi").select("text")
+    ids = broadcast_if_small(checkpoint(asked.select("id").distinct()))
+    wanted = texts.join(ids, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi").select("text")
     made = with_text_columns(wanted, "text", make, {"high": "long", "low": "long", "held": "array<long>"}, keep_text=False)
     once = made.groupBy("high", "low").agg(F.first("held").alias("held"))
     return once.join(asked.select("node", "high", "low"), ["high", "low"]).select("node", "held")
