@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from framegate.bindings.registry import FLAGGED, GAPS, MEASURES, SCORED, flagged, gaps, query, rounded, scored, table
 from framegate.config import Candidate, ForestSelectionConfig, GateConfig, SmoteConfig
-from framegate.operators import eda, evaluation, importance, preparation, resampling, tuning
+from framegate.operators import eda, evaluation, importance, preparation, resampling, trees, tuning
 
 # -- splits and folds -----------------------------------------------------------------------
 
@@ -418,6 +419,115 @@ def balancing_weights(spark, d):
     return weighted.groupBy("quality").agg(F.round(F.sum("weight"), 6).alias("total"))
 
 
+# -- trees of this library's own --------------------------------------------------------------
+
+_SHAPES = """q AS (SELECT doc_id, quality AS y, CAST(n_chars AS DOUBLE) AS f0, CAST(LEN(REGEXP_EXTRACT_ALL(text, '[0-9]')) AS DOUBLE) AS f1,
+  CAST(LEN(text) - LEN(REPLACE(text, CHR(10), '')) + 1 AS DOUBLE) AS f2 FROM documents JOIN labels USING (doc_id))"""
+_SHAPE_CUTS = [[200.0, 500.0, 1000.0, 2000.0, 4000.0], [1.0, 5.0, 20.0], [2.0, 4.0, 8.0, 16.0]]
+_BAGS = 12
+
+
+def _cuts_sql(cuts) -> str:
+    return "(VALUES " + ", ".join(f"({f}, {k}, {c}::DOUBLE)" for f, own in enumerate(cuts) for k, c in enumerate(own)) + ") c(f, k, cut)"
+
+
+def _bags_sql(bags: int) -> str:
+    """Every draw is a hash of its number, taken modulo the rows of its class."""
+    return f"""num AS (SELECT doc_id, y, ROW_NUMBER() OVER (PARTITION BY y ORDER BY doc_id) - 1 AS place, COUNT(*) OVER (PARTITION BY y) AS size FROM q),
+many AS (SELECT MIN(size) AS m FROM num), cls AS (SELECT y, MIN(size) AS size, ROW_NUMBER() OVER (ORDER BY y) - 1 AS k FROM num GROUP BY y),
+ids AS (SELECT UNNEST(RANGE({bags} * (SELECT COUNT(*) * (SELECT m FROM many) FROM cls))) AS id),
+draws AS (SELECT CAST(id // ((SELECT COUNT(*) FROM cls) * m) AS INTEGER) AS tree, (id // m) % (SELECT COUNT(*) FROM cls) AS k, {_HASH.format(key="id")} AS h FROM ids, many),
+bag AS (SELECT tree, num.doc_id, num.y, COUNT(*) AS n FROM draws JOIN cls USING (k) JOIN num ON num.y = cls.y AND num.place = h % cls.size GROUP BY ALL)"""
+
+
+def _shapes(spark, d):
+    """Labelled documents and three numbers about their texts."""
+    docs = table(spark, d, "documents").select(
+        "doc_id",
+        F.array(
+            F.col("n_chars").cast("double"),
+            F.regexp_count("text", F.lit("[0-9]")).cast("double"),
+            (F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1).cast("double"),
+        ).alias("x"),
+    )
+    return docs.join(table(spark, d, "labels").select("doc_id", F.col("quality").alias("y")), "doc_id")
+
+
+@query(
+    "balanced_bags",
+    f"WITH {_SHAPES}, {_bags_sql(_BAGS)} SELECT tree, doc_id, y, n, CAST(SUM(n) OVER (PARTITION BY tree, y) AS BIGINT) AS drawn FROM bag",
+)
+def balanced_bags(spark, d):
+    """How often each document is in each bag; `drawn` is the same for both classes of all bags."""
+    bags = trees.balanced_bags(_shapes(spark, d), "y", ["doc_id"], _BAGS, portable=True)
+    return bags.select("tree", "doc_id", "y", "n", F.sum("n").over(Window.partitionBy("tree", "y")).alias("drawn"))
+
+
+@query(
+    "balanced_forest_votes",
+    f"""WITH {_SHAPES}, {_bags_sql(_BAGS)},
+v AS (SELECT doc_id, 0 AS f, f0 AS v FROM q UNION ALL SELECT doc_id, 1, f1 FROM q UNION ALL SELECT doc_id, 2, f2 FROM q),
+s AS (SELECT tree, f, k, cut, COALESCE(SUM(n) FILTER (v < cut AND y = 1), 0) AS la, COALESCE(SUM(n) FILTER (v < cut AND y = 0), 0) AS lb, SUM(n * y) AS ta, SUM(n * (1 - y)) AS tb
+  FROM bag JOIN v USING (doc_id) JOIN {_cuts_sql(_SHAPE_CUTS)} USING (f) GROUP BY tree, f, k, cut),
+g AS (SELECT *, (la * la + lb * lb)::DOUBLE / NULLIF(la + lb, 0) + ((ta - la) * (ta - la) + (tb - lb) * (tb - lb))::DOUBLE / NULLIF(ta + tb - la - lb, 0)
+  - (ta * ta + tb * tb)::DOUBLE / (ta + tb) AS gain FROM s),
+b AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY tree ORDER BY ROUND(gain, 9) DESC, f, k) AS r FROM g WHERE gain > 1e-9) WHERE r = 1),
+t AS (SELECT tree, SUM(n * y)::DOUBLE / SUM(n) AS share FROM bag GROUP BY tree),
+p AS (SELECT v.doc_id, tree, CASE WHEN v < cut THEN la::DOUBLE / (la + lb) ELSE (ta - la)::DOUBLE / (ta + tb - la - lb) END AS vote FROM b JOIN v USING (f)
+  UNION ALL SELECT doc_id, tree, share FROM t ANTI JOIN b USING (tree), q)
+SELECT doc_id, COUNT(*) AS votes, ROUND(AVG(vote), 6) AS score FROM p GROUP BY doc_id""",
+)
+def balanced_forest_votes(spark, d):
+    """Trees of one split on balanced bags; a document's score is the mean of the shares in the leaves that it falls into."""
+    rows = _shapes(spark, d)
+    made = trees.fit_forest(rows, "y", F.col("x"), ["doc_id"], _BAGS, _SHAPE_CUTS, trees.gini(1), portable=True)
+    votes = trees.tree_values(trees.as_column(made), F.col("x"), 1)
+    return rows.select("doc_id", F.size(votes).cast("long").alias("votes"), F.round(F.aggregate(votes, F.lit(0.0), lambda a, v: a + v) / F.size(votes), 6).alias("score"))
+
+
+_LINE_CUTS = [[10.0, 20.0, 30.0, 40.0], [0.02, 0.05, 0.08], [0.02, 0.04, 0.06]]
+
+
+def _boosting_sql(n_trees: int, depth: int) -> str:
+    """Each level takes the best cut of every node by the sums of gradients and hessians on its sides."""
+    parts = ["m0 AS (SELECT ROW_NUMBER() OVER () AS id, CAST(l_returnflag = 'R' AS INTEGER) AS y, l_quantity AS f0, l_discount AS f1, l_tax AS f2, 0.0::DOUBLE AS m FROM lineitem)"]
+    leaves = []
+    for t in range(n_trees):
+        parts.append(f"n{t}_0 AS (SELECT *, '' AS node, 1 / (1 + EXP(-m)) - y AS g, (1 / (1 + EXP(-m))) * (1 - 1 / (1 + EXP(-m))) AS h FROM m{t})")
+        for level in range(depth):
+            at = f"n{t}_{level}"
+            value = "CASE f WHEN 0 THEN f0 WHEN 1 THEN f1 ELSE f2 END"
+            parts.append(
+                f"""c{at} AS (SELECT node, f, k, cut, SUM(CASE WHEN {value} < cut THEN g ELSE 0 END) AS lg, SUM(CASE WHEN {value} < cut THEN h ELSE 0 END) AS lh, SUM(g) AS tg, SUM(h) AS th
+  FROM {at}, {_cuts_sql(_LINE_CUTS)} WHERE LEN(node) = {level} GROUP BY ALL)"""
+            )
+            parts.append(
+                f"""b{at} AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY node ORDER BY gain DESC, f, k) AS r
+  FROM (SELECT *, lg * lg / (lh + 1) + (tg - lg) * (tg - lg) / (th - lh + 1) - tg * tg / (th + 1) AS gain FROM c{at} WHERE lh >= 1 AND th - lh >= 1) WHERE gain > 1e-9) WHERE r = 1)"""
+            )
+            parts.append(
+                f"n{t}_{level + 1} AS (SELECT a.* EXCLUDE (node), a.node || CASE WHEN b.f IS NULL THEN '' WHEN {value.replace('f0', 'a.f0').replace('f1', 'a.f1').replace('f2', 'a.f2').replace('CASE f', 'CASE b.f')} < b.cut THEN 'L' ELSE 'R' END AS node FROM {at} a LEFT JOIN b{at} b ON a.node = b.node)"
+            )
+        last = f"n{t}_{depth}"
+        parts.append(f"l{t} AS (SELECT node, COUNT(*) AS rows, -0.3::DOUBLE * SUM(g) / (SUM(h) + 1) AS value FROM {last} GROUP BY node)")
+        parts.append(f"m{t + 1} AS (SELECT id, y, f0, f1, f2, m + value AS m FROM {last} JOIN l{t} USING (node))")
+        leaves.append(f"SELECT {t} AS tree, node AS leaf, rows, ROUND(value, 6) AS value FROM l{t}")
+    return f"WITH {', '.join(parts)} {' UNION ALL '.join(leaves)}"
+
+
+@query("boosted_leaves", _boosting_sql(3, 2))
+def boosted_leaves(spark, d):
+    """The leaves of three trees by gradients and hessians: which rows fall into each, and what it adds to their margin."""
+    x = F.array("l_quantity", "l_discount", "l_tax")
+    rows = table(spark, d, "lineitem").select(x.alias("x"), (F.col("l_returnflag") == "R").cast("int").alias("y"))
+    made = trees.fit_boosting(rows, "y", F.col("x"), _LINE_CUTS, trees.BoostingConfig(trees=3, depth=2))
+    leaves = F.transform(trees.as_column(made), lambda t: trees.routed(t, F.col("x"), "cut", 2))
+    named = [(k, node, path, t.value[node]) for k, t in enumerate(made) for node, path in t.paths().items()]
+    names = spark.createDataFrame(named, "tree int, node int, leaf string, value double")
+    counted = rows.select(F.posexplode(leaves).alias("tree", "node")).groupBy("tree", "node").agg(F.count(F.lit(1)).alias("rows"))
+    return counted.join(F.broadcast(names), ["tree", "node"]).select("tree", "leaf", "rows", F.round("value", 6).alias("value"))
+
+
 _SMALL_FOREST = Candidate("forest", tuning.FOREST, {"n_estimators": 50, "max_depth": 5, "min_samples_leaf": 2})
 _CHECKED = ["f1", "recall", "precision", "accuracy", "balanced_accuracy", "roc_auc", "average_precision"]
 

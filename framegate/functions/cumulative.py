@@ -60,3 +60,32 @@ def running_totals(
 def _one_window(keyed: DataFrame, order: str, values: Sequence[str], groups: Sequence[str]) -> DataFrame:
     upto = Window.partitionBy(*groups).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return keyed.select("*", *[(F.sum(v).over(upto) - F.col(v)).alias(f"{v}_before") for v in values])
+
+
+def row_numbers(
+    df: DataFrame, groups: Sequence[str], order: Sequence[str], name: str = "place", *, window_rows: int = WINDOW_ROWS, range_rows: int = RANGE_ROWS
+) -> DataFrame:
+    """`df` with the place of every row, from 0, in the order of its group; rows of equal `order` get any of their places.
+
+    Small inputs use one window per group. Larger ones are dealt out by ranges of (groups, order) and written in that
+    shape; the rows of a group in each range say where its next range begins, so a group of any size has many tasks.
+    Groups may be null.
+    """
+    kept = checkpoint(df)
+    n = kept.count()
+    keys = [F.col(f"`{c}`") for c in [*groups, *order]]
+    if n <= window_rows:
+        window = Window.partitionBy(*keys[: len(groups)]).orderBy(*keys[len(groups) :])
+        return kept.withColumn(name, (F.row_number().over(window) - 1).cast("long"))
+    dealt = kept.repartitionByRange(2 + n // range_rows, *keys).sortWithinPartitions(*keys)
+    ranged = checkpoint(dealt.withColumn("range_", F.spark_partition_id()).withColumn("row_", F.monotonically_increasing_id()))
+    by = [F.col(f"`{c}`") for c in groups]
+    ranges = ranged.groupBy(*by, "range_").agg(F.min("row_").alias("first_"), F.count(F.lit(1)).alias("rows_"))
+    earlier = Window.partitionBy(*by).orderBy("range_").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = ranges.select(
+        *[c.alias(f"o_{k}") for k, c in enumerate(by)],
+        F.col("range_").alias("o_range_"),
+        (F.coalesce(F.sum("rows_").over(earlier), F.lit(0)) - F.col("first_")).alias("shift_"),
+    )
+    same = [c.eqNullSafe(F.col(f"o_{k}")) for k, c in enumerate(by)] + [F.col("range_") == F.col("o_range_")]
+    return ranged.join(shifts, same).withColumn(name, F.col("row_") + F.col("shift_")).select(*[F.col(f"`{c}`") for c in df.columns], name)

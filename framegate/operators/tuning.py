@@ -25,9 +25,10 @@ from framegate.operators.evaluation import best_candidate, best_threshold, binar
 from framegate.operators.importance import tree_depth
 from framegate.operators.preparation import FittedTransforms, fit_transforms
 from framegate.operators.resampling import balancing_weights, synthetic_rows
+from framegate.operators.trees import BaggedForest, SecondOrderBoosting
 from framegate.session import checkpoint, saved, workspace
 
-FOREST, BALANCED_FOREST, BOOSTING = "random_forest", "balanced_random_forest", "gradient_boosting"
+FOREST, BALANCED_FOREST, BOOSTING, SECOND_ORDER = "random_forest", "balanced_random_forest", "gradient_boosting", "second_order_boosting"
 
 # Search space per kind of model.
 FOREST_SPACE = {
@@ -41,38 +42,60 @@ BOOSTING_SPACE = {
     "max_depth": tuple(range(3, 11)),
     "learning_rate": (0.01, 1.0),
 }
-SEARCH_SPACE = {FOREST: FOREST_SPACE, BALANCED_FOREST: FOREST_SPACE, BOOSTING: BOOSTING_SPACE}
+SEARCH_SPACE = {FOREST: FOREST_SPACE, BALANCED_FOREST: FOREST_SPACE, BOOSTING: BOOSTING_SPACE, SECOND_ORDER: BOOSTING_SPACE}
 LOG_UNIFORM = ("learning_rate",)
 
-# What an estimator takes; `n_jobs` and the like say nothing about the model. `min_samples_split` has no counterpart in Spark.
+# What an estimator takes; `n_jobs` and the like say nothing about the model.
 _ANY = {"n_estimators", "max_depth", "random_state", "n_jobs", "verbosity"}
-_TREES = _ANY | {"min_samples_leaf", "max_features"}
+_TREES = _ANY | {"min_samples_leaf", "min_samples_split", "max_features"}
+_BOOSTING = _ANY | {"learning_rate", "subsample", "colsample_bytree"}
 PARAMETERS = {
     FOREST: _TREES,
     BALANCED_FOREST: _TREES,
-    BOOSTING: _ANY | {"learning_rate", "subsample", "colsample_bytree"},
+    BOOSTING: _BOOSTING,
+    SECOND_ORDER: _BOOSTING | {"reg_lambda", "gamma", "min_child_weight"},
 }
 
 
 def make_estimator(candidate: Candidate, seed: int = 42, label: str = "label", features: str = "features"):
-    """The Spark estimator of a candidate; unlimited depth becomes Spark's deepest tree.
+    """The Spark ML stage of a candidate; unlimited depth becomes Spark's deepest tree.
 
-    The balanced forest weights the classes equally (see `balancing_weights`).
+    The balanced forest, second-order boosting and a forest with `min_samples_split` are this library's own (`trees`),
+    the others Spark's.
     """
     p = dict(candidate.params)
     unknown = set(p) - PARAMETERS.get(candidate.kind, set(p))
     if unknown:
-        raise ValueError(f"Parameters that Spark's {candidate.kind} doesn't have: {sorted(unknown)}")
-    depth = tree_depth(p.get("max_depth") or (5 if candidate.kind == BOOSTING else None))
+        raise ValueError(f"Parameters that {candidate.kind} doesn't have: {sorted(unknown)}")
+    depth = tree_depth(p.get("max_depth") or {BOOSTING: 5, SECOND_ORDER: 6}.get(candidate.kind))
     common = {"featuresCol": features, "labelCol": label, "seed": int(p.get("random_state", seed)), "maxDepth": depth}
-    if candidate.kind in (FOREST, BALANCED_FOREST):
-        model = RandomForestClassifier(
+    if candidate.kind == BALANCED_FOREST or (candidate.kind == FOREST and "min_samples_split" in p):
+        return BaggedForest(
+            numTrees=int(p.get("n_estimators", 100)),
+            minInstancesPerNode=int(p.get("min_samples_leaf", 1)),
+            minSplit=int(p.get("min_samples_split", 2)),
+            featureSubset=str(p.get("max_features", "sqrt") or "all"),
+            balanced=candidate.kind == BALANCED_FOREST,
+            **common,
+        )
+    if candidate.kind == FOREST:
+        return RandomForestClassifier(
             numTrees=int(p.get("n_estimators", 100)),
             minInstancesPerNode=int(p.get("min_samples_leaf", 1)),
             featureSubsetStrategy=str(p.get("max_features", "sqrt") or "all"),
             **common,
         )
-        return model.setWeightCol("weight") if candidate.kind == BALANCED_FOREST else model
+    if candidate.kind == SECOND_ORDER:
+        return SecondOrderBoosting(
+            maxIter=int(p.get("n_estimators", 100)),
+            stepSize=float(p.get("learning_rate", 0.3)),
+            regLambda=float(p.get("reg_lambda", 1.0)),
+            gamma=float(p.get("gamma", 0.0)),
+            minChildWeight=float(p.get("min_child_weight", 1.0)),
+            subsamplingRate=float(p.get("subsample", 1.0)),
+            featureShare=float(p.get("colsample_bytree", 1.0)),
+            **common,
+        )
     if candidate.kind == BOOSTING:
         return GBTClassifier(
             maxIter=int(p.get("n_estimators", 100)),
@@ -313,7 +336,7 @@ def nested_grid_search(
 ) -> DataFrame:
     """(fold, label, prediction): for each outer fold a grid search on the other folds, by F1 of class 1."""
     names = {"n_estimators": "numTrees", "max_depth": "maxDepth", "min_samples_leaf": "minInstancesPerNode"}
-    if candidate.kind == BOOSTING:
+    if candidate.kind in (BOOSTING, SECOND_ORDER):
         names = {"n_estimators": "maxIter", "max_depth": "maxDepth", "learning_rate": "stepSize"}
     unknown = [g for g in grid if g not in names]
     if unknown:
@@ -321,8 +344,6 @@ def nested_grid_search(
     assembled = VectorAssembler(inputCols=list(features), outputCol="features").transform(
         folded.withColumn(label, col(label).cast("double"))
     )
-    if candidate.kind == BALANCED_FOREST:
-        assembled = balancing_weights(assembled, label)
     f1 = MulticlassClassificationEvaluator(labelCol=label, metricName="fMeasureByLabel", metricLabel=1.0)
     parts = []
     for i in sorted(r[0] for r in folded.select("fold").distinct().collect() if r[0] is not None):

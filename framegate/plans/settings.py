@@ -33,7 +33,7 @@ from framegate.plans.model_cycle import ModelCycleConfig
 MODEL_KINDS = {
     "random_forest": tuning.FOREST,
     "balanced_random_forest": tuning.BALANCED_FOREST,
-    "xgboost": tuning.BOOSTING,
+    "xgboost": tuning.SECOND_ORDER,
     "gradient_boosting": tuning.BOOSTING,
 }
 SCORE_METHODS = {"f_classif": "anova", "anova": "anova", "mutual_info": "mutual_info"}

@@ -284,7 +284,7 @@ FOREST = Candidate("rf", tuning.FOREST, {"n_estimators": 8, "max_depth": 4})
 
 
 def test_unknown_parameters_raise():
-    for kind, name in ((tuning.FOREST, "min_samples_split"), (tuning.BOOSTING, "min_samples_leaf")):
+    for kind, name in ((tuning.FOREST, "reg_lambda"), (tuning.BOOSTING, "min_samples_leaf"), (tuning.SECOND_ORDER, "max_features")):
         with pytest.raises(ValueError, match=name):
             tuning.make_estimator(Candidate("m", kind, {name: 3}))
     with pytest.raises(ValueError, match="31"):
@@ -316,7 +316,12 @@ def test_params_reach_the_estimators():
     assert (deep.getNumTrees(), deep.getMaxDepth(), deep.getMinInstancesPerNode(), deep.getFeatureSubsetStrategy()) == (7, 30, 3, "all")
     boost = tuning.make_estimator(Candidate("gb", tuning.BOOSTING, {"n_estimators": 4, "learning_rate": 0.3, "subsample": 0.9}))
     assert (boost.getMaxIter(), boost.getStepSize(), boost.getSubsamplingRate()) == (4, 0.3, 0.9)
-    assert tuning.make_estimator(Candidate("b", tuning.BALANCED_FOREST)).getWeightCol() == "weight"
+    own = tuning.make_estimator(Candidate("b", tuning.BALANCED_FOREST, {"n_estimators": 3, "min_samples_split": 4, "max_features": None}))
+    assert [own.getOrDefault(p) for p in (own.numTrees, own.minSplit, own.featureSubset, own.balanced, own.maxDepth)] == [3, 4, "all", True, 30]
+    plain = tuning.make_estimator(Candidate("f", tuning.FOREST, {"min_samples_split": 4}))
+    assert plain.getOrDefault(plain.balanced) is False
+    second = tuning.make_estimator(Candidate("x", tuning.SECOND_ORDER, {"reg_lambda": 2, "colsample_bytree": 0.5, "random_state": 7}))
+    assert [second.getOrDefault(p) for p in (second.regLambda, second.featureShare, second.stepSize, second.seed, second.maxDepth)] == [2.0, 0.5, 0.3, 7, 6]
 
 
 def test_search_draws_are_seeded():
