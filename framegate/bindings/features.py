@@ -13,7 +13,7 @@ from framegate.config import (
     LinearFeature,
     RateFeature,
 )
-from framegate.operators import contracts, correlation, eda, features, importance, profiling, quality
+from framegate.operators import contracts, correlation, eda, features, importance, information, profiling, quality
 
 _KEY = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate"
 
@@ -476,3 +476,26 @@ def selected_features(spark, d):
         F.sum("y").alias("positives"),
         F.round(F.sum("leak"), 4).alias("leak"),
     )
+
+
+_NEIGHBOURS = "(SELECT '{c}' AS feature, event_type AS y, CAST({c} AS DOUBLE) AS value, CAST('0x' || SUBSTR(MD5(event_id || '|{c}|42'), 1, 13) AS BIGINT) / 4503599627370496::DOUBLE AS u FROM events)"
+
+
+@query(
+    "neighbour_information",
+    f"""WITH e AS ({" UNION ALL ".join(_NEIGHBOURS.format(c=c) for c in ("value", "user_id"))}),
+s AS (SELECT feature, STDDEV_POP(value) AS s, AVG(ABS(value)) AS size FROM e GROUP BY feature),
+v AS (SELECT feature, y, ROW_NUMBER() OVER () AS id, value / s + 1e-10::DOUBLE * GREATEST(1, size / s) * (2 * u - 1) AS v FROM e JOIN s USING (feature)),
+c AS (SELECT feature, y, COUNT(*) AS n FROM v GROUP BY feature, y),
+d AS (SELECT a.feature, a.y, a.id, a.v, MIN(ABS(b.v - a.v), 3)[3] AS r FROM v a JOIN v b ON a.feature = b.feature AND a.y = b.y AND a.id <> b.id GROUP BY ALL),
+m AS (SELECT d.feature, d.y, d.id, COUNT(*) AS m FROM d JOIN v ON v.feature = d.feature AND ABS(v.v - d.v) < d.r GROUP BY ALL),
+h AS (SELECT i, SUM(1::DOUBLE / i) OVER (ORDER BY i) - 1::DOUBLE / i - 0.5772156649015329 AS psi FROM (SELECT UNNEST(RANGE(1, 100000)) AS i)),
+n AS (SELECT feature, COUNT(*) AS n FROM v GROUP BY feature)
+SELECT m.feature, ROUND(GREATEST(0, MIN(hn.psi) + MIN(h3.psi) - AVG(hc.psi) - AVG(hm.psi)), 6) AS score
+FROM m JOIN c ON c.feature = m.feature AND c.y = m.y JOIN n ON n.feature = m.feature JOIN h hm ON hm.i = m.m JOIN h hc ON hc.i = c.n JOIN h hn ON hn.i = n.n JOIN h h3 ON h3.i = 3
+GROUP BY m.feature""",
+)
+def neighbour_information(spark, d):
+    """Nearest neighbours of the same kind of event, against all values that are closer."""
+    found = information.neighbour_mutual_information(table(spark, d, "events"), "event_type", ["value", "user_id"], ["event_id"], portable=True)
+    return rounded(found)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from framegate.config import CorrelationConfig, FeatureConfig, FeatureQAConfig, LeakageConfig, SkewConfig
 from framegate.functions.nulls import numeric_columns
 from framegate.functions.status import FAIL, GateError
-from framegate.operators import contracts, correlation, eda, features, importance, profiling, quality
+from framegate.operators import contracts, correlation, eda, features, importance, information, profiling, quality
 from framegate.sources.readers import read_table
 from framegate.sources.writers import fingerprint, write_report, write_table
 
@@ -105,6 +105,8 @@ def feature_scores(df: DataFrame, target: str, columns: Sequence[str], method: s
     if method == "anova":
         return eda.anova_scores(df, target, columns)
     if method == "mutual_info":
+        return information.neighbour_mutual_information(df, target, columns)
+    if method == "binned_mutual_info":
         return eda.binned_mutual_information(df, target, columns)
     raise ValueError(f"Unknown score method: {method}")
 

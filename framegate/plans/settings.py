@@ -36,7 +36,7 @@ MODEL_KINDS = {
     "xgboost": tuning.SECOND_ORDER,
     "gradient_boosting": tuning.BOOSTING,
 }
-SCORE_METHODS = {"f_classif": "anova", "anova": "anova", "mutual_info": "mutual_info"}
+SCORE_METHODS = {"f_classif": "anova", "anova": "anova", "mutual_info": "mutual_info", "binned_mutual_info": "binned_mutual_info"}
 
 
 def read_settings(path: str) -> dict[str, Any]:
