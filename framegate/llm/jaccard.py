@@ -156,7 +156,16 @@ def gram_levels(texts: DataFrame, words: int = WORDS, cell_bits: int = CELL_BITS
 
 # Candidates -----------------------------------------------------------------------------------
 
-ENTRY = "key long, node long, size long, place int, left array<int>"
+ENTRY = "key long, node long, size long, place int, left long"
+
+
+def in_bytes(counts: np.ndarray) -> np.ndarray:
+    """Counts in the ranges as one long, a byte each, 255 for more: differences of such counts are none too large."""
+    return np.minimum(counts, 255).astype(np.uint8).reshape(-1, RANGES).view("<i8").ravel()
+
+
+def from_bytes(packed: np.ndarray) -> np.ndarray:
+    return packed.astype("<i8").view(np.uint8).reshape(-1, RANGES).astype(np.int16)
 
 
 def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,11 +181,11 @@ def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hot[np.arange(1, len(value) + 1), (value.view(np.uint64) >> np.uint64(61)).astype(np.int64)] = 1
         upto = np.cumsum(hot, axis=0, dtype=np.int32)
         counts = batch.column("counts").flatten().to_numpy().reshape(-1, RANGES)
-        left = counts[owner] - (upto[1:] - upto[at[:-1]][owner])
+        left = in_bytes(counts[owner] - (upto[1:] - upto[at[:-1]][owner]))
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(value), batch.column("node").take(pa.array(owner)), batch.column("size").take(pa.array(owner)), pa.array(place.astype(np.int32)),
-                lists(pa.array(left.astype(np.int32).ravel()), np.arange(len(value) + 1) * RANGES),
+                pa.array(left),
             ],
             names=["key", "node", "size", "place", "left"],
         )
@@ -269,24 +278,21 @@ def chunks(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...]) -> Itera
 
     for batch in batches:
         if batch.num_rows:
-            held.append([_array(batch.column(c)) for c in ("g", *columns)])
+            held.append([batch.column(c).to_numpy(zero_copy_only=False) for c in ("g", *columns)])
             if held[0][0][0] != held[-1][0][-1]:
                 yield cut(False)
     if held:
         yield cut(True)
 
 
-def _array(column: pa.Array) -> np.ndarray:
-    return column.flatten().to_numpy().reshape(-1, RANGES) if pa.types.is_list(column.type) else column.to_numpy(zero_copy_only=False)
-
-
-FOUND = "g long, node long, size long, place int, left array<int>, leader long, rest boolean"
+FOUND = "g long, node long, size long, place int, left long, leader long, rest boolean"
 
 
 def around_leaders(batches: Iterator[pa.RecordBatch], least: tuple[int, int]) -> Iterator[pa.RecordBatch]:
     """Members of buckets that pass with others, each with its leader. `rest`: may it pass with more than its leader?"""
     for chunk in chunks(batches, ("node", "size", "place", "left")):
-        node, size, place, left = chunk.rows
+        node, size, place, packed = chunk.rows
+        left = from_bytes(packed)
         row, leader, rest = [], [], []
         # most buckets have two sets: all of these at once
         two = chunk.opens[chunk.ends - chunk.opens == 2]
@@ -307,7 +313,7 @@ def around_leaders(batches: Iterator[pa.RecordBatch], least: tuple[int, int]) ->
         row, leader = np.concatenate(row), np.concatenate(leader)
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array(chunk.g[row]), pa.array(node[row]), pa.array(size[row]), pa.array(place[row]), lists(pa.array(left[row].ravel()), np.arange(len(row) + 1) * RANGES),
+                pa.array(chunk.g[row]), pa.array(node[row]), pa.array(size[row]), pa.array(place[row]), pa.array(packed[row]),
                 pa.array(node[leader]), pa.array(np.concatenate(rest)),
             ],
             names=["g", "node", "size", "place", "left", "leader", "rest"],
@@ -328,7 +334,7 @@ def across(batches: Iterator[pa.RecordBatch], least: tuple[int, int]) -> Iterato
                 continue
             own = a + np.lexsort((chunk.rows[0][a:b], chunk.rows[1][a:b]))
             node, size, place, left, leader, root = (r[own] for r in chunk.rows)
-            bucket, wanted = Bucket(node, size, place, left), np.zeros(len(node), bool)
+            bucket, wanted = Bucket(node, size, place, from_bytes(left)), np.zeros(len(node), bool)
             for i in range(len(node) - 1):
                 others = np.flatnonzero((root[i + 1 :] != root[i]) & (leader[i + 1 :] != node[i])) + i + 1
                 mine = others[bucket.passes(i, others, least)]
@@ -352,14 +358,23 @@ def similar(common, a, b, least: tuple[int, int] = LEAST):
 
 
 def pair_links(batches: Iterator[pa.RecordBatch], least: tuple[int, int]) -> Iterator[pa.RecordBatch]:
-    """The pairs (a, b, set_a, set_b) that are linked, by their whole sets, which ascend."""
+    """The pairs (a, b) that are linked, by their whole sets: rows (a, b, side, held) sorted by the first three, maybe several of a side."""
+    pair, one, done = None, None, False
     for batch in batches:
-        one, two = batch.column("set_a"), batch.column("set_b")
-        keep = []
-        for x, y in zip(one, two):
-            x, y = x.values.to_numpy(), y.values.to_numpy()
-            keep.append(bool(similar(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y), least)))
-        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        found = []
+        for i, (*own, side) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("a", "b", "side")))):
+            if own != pair:
+                pair, one, done = own, None, False
+            if done or (side == 0 and one is not None):
+                continue
+            held = batch.column("held")[i].values.to_numpy()
+            if side == 0:
+                one = held
+            elif one is not None:
+                done = True
+                if similar(len(np.intersect1d(one, held, assume_unique=True)), len(one), len(held), least):
+                    found.append(own)
+        yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
 
 def group_links(root: np.ndarray, value: np.ndarray, at: np.ndarray, least: tuple[int, int] = LEAST) -> list[tuple[int, int]]:
@@ -384,24 +399,24 @@ def group_links(root: np.ndarray, value: np.ndarray, at: np.ndarray, least: tupl
 
 
 def groups_links(batches: Iterator[pa.RecordBatch], least: tuple[int, int]) -> Iterator[pa.RecordBatch]:
-    """Links within groups of rows (g, node, root, held), which come sorted by g."""
+    """Links within groups of rows (g, node, root, held), which come sorted by g; a node that comes again is left out."""
 
-    def found(group: list[tuple[int, int, int, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    def found(group: dict[int, tuple[int, np.ndarray]]) -> Iterator[pa.RecordBatch]:
         if len(group) > 1:
-            sets = [r[3] for r in group]
-            got = group_links(np.array([r[2] for r in group], np.int64), np.concatenate(sets), np.cumsum([0, *map(len, sets)]), least)
+            nodes, sets = list(group), [held for _, held in group.values()]
+            got = group_links(np.array([root for root, _ in group.values()], np.int64), np.concatenate(sets), np.cumsum([0, *map(len, sets)]), least)
             if got:
-                a, b = (pa.array([group[k][1] for k in side], pa.int64()) for side in zip(*got))
+                a, b = (pa.array([nodes[k] for k in side], pa.int64()) for side in zip(*got))
                 yield pa.RecordBatch.from_arrays([a, b], names=["a", "b"])
 
-    group: list[tuple[int, int, int, np.ndarray]] = []
+    last, group = None, {}
     for batch in batches:
-        held = (x.values.to_numpy() for x in batch.column("held"))
-        for row in zip(*(batch.column(c).to_pylist() for c in ("g", "node", "root")), held):
-            if group and group[-1][0] != row[0]:
+        for i, (g, node, root) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("g", "node", "root")))):
+            if g != last:
                 yield from found(group)
-                group = []
-            group.append(row)
+                last, group = g, {}
+            if node not in group:
+                group[node] = root, batch.column("held")[i].values.to_numpy()
     yield from found(group)
 
 
@@ -436,38 +451,44 @@ def links(
     found = checkpoint(buckets.repartition("g").sortWithinPartitions("g").mapInArrow(lambda b: around_leaders(b, least), FOUND))
 
     pairs = checkpoint(found.filter("node != leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct())
-    held = checkpoint(held_sets(sets, pairs.select(F.explode(F.array("a", "b")).alias("node")), texts, words))
-    one, two = held.select(F.col("node").alias("a"), F.col("held").alias("set_a")), held.select(F.col("node").alias("b"), F.col("held").alias("set_b"))
-    first = checkpoint(pairs.join(one, "a").join(two, "b").select("a", "b", "set_a", "set_b").mapInArrow(lambda b: pair_links(b, least), "a long, b long"))
+    sides = F.explode(F.array(F.struct(F.col("a").alias("node"), F.lit(0).alias("side")), F.struct(F.col("b").alias("node"), F.lit(1).alias("side"))))
+    both = with_held(pairs.select("a", "b", sides.alias("s")).select("a", "b", "s.*"), sets, texts, words).select("a", "b", "side", "held")
+    first = checkpoint(both.repartition("a", "b").sortWithinPartitions("a", "b", "side").mapInArrow(lambda x: pair_links(x, least), "a long, b long"))
 
     rooted = found.filter("rest").join(components(first).withColumnRenamed("node", "n"), F.col("node") == F.col("n"), "left")
     rooted = rooted.withColumn("root", F.coalesce("root", "node")).select("g", "node", "size", "place", "left", "leader", "root")
     apart_ = checkpoint(rooted.repartition("g").sortWithinPartitions("g").mapInArrow(lambda b: across(b, least), "g long, node long, root long").distinct())
     weight = apart_.join(sets.select("node", "size"), "node").groupBy("g").agg(F.sum("size").alias("sum"))
     again = weight.filter(F.col("sum") > piece).select(F.col("g").alias("by"), F.ceil(F.col("sum") / piece).cast("int").alias("k"))
-    more = checkpoint(held_sets(sets, apart_.select("node"), texts, words))
-    rest = dealt(apart_.withColumnRenamed("g", "by"), "by", again).join(more, "node").select("g", "node", "root", "held")
+    rest = with_held(dealt(apart_.withColumnRenamed("g", "by"), "by", again), sets, texts, words).select("g", "node", "root", "held")
     return first.unionAll(checkpoint(rest.repartition("g").sortWithinPartitions("g").mapInArrow(lambda b: groups_links(b, least), "a long, b long")))
 
 
-def held_sets(sets: DataFrame, nodes: DataFrame, texts: DataFrame, words: int) -> DataFrame:
-    """(node, held): the n-grams of the sets that are among `nodes`, from the texts."""
-
-    def make():
-        def compute(column: pa.Array) -> dict[str, pa.Array]:
-            own = sets_of(column, words)
+def held_sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
+    """(high, low, held): the n-grams of the texts of a task, each set once."""
+    seen: set[tuple[int, int]] = set()
+    for batch in batches:
+        texts = batch.column("text")
+        for i, j in slices(texts):
+            own = sets_of(texts.slice(i, j - i), words)
             print_ = digests(own)
-            return {"high": pa.array(print_[:, 0]), "low": pa.array(print_[:, 1]), "held": lists(pa.array(own.value.view(np.int64)), own.at)}
-
-        return compute
-
-    asked = checkpoint(sets.select("node", "high", "low", "id").join(nodes, "node", "left_semi"))
+            new = []
+            for k, key in enumerate(map(tuple, print_.tolist())):
+                if key not in seen:
+                    seen.add(key)
+                    new.append(k)
+            held = lists(pa.array(own.value.view(np.int64)), own.at).take(pa.array(new, pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(print_[new, 0]), pa.array(print_[new, 1]), held], names=["high", "low", "held"])
+
+
+def with_held(rows: DataFrame, sets: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """`rows` (node, …) with `held`, the set of the node, from the texts. A set can come several times, but once a task."""
+    named = checkpoint(rows.join(sets.select("node", "high", "low", "id"), "node"))
+    ids = broadcast_if_small(checkpoint(named.select("id").distinct()))
     # a set's text is found by its id; where ids repeat or are null, others come along
-    ids = broadcast_if_small(checkpoint(asked.select("id").distinct()))
     wanted = texts.join(ids, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi").select("text")
-    made = with_text_columns(wanted, "text", make, {"high": "long", "low": "long", "held": "array<long>"}, keep_text=False)
-    once = made.groupBy("high", "low").agg(F.first("held").alias("held"))
-    return once.join(asked.select("node", "high", "low"), ["high", "low"]).select("node", "held")
+    held = wanted.mapInArrow(lambda batches: held_sets(batches, words), "high long, low long, held array<long>")
+    return held.join(broadcast_if_small(named), ["high", "low"])
 
 
 def with_sets(texts: DataFrame, levels: np.ndarray, words: int, least: tuple[int, int]) -> DataFrame:

@@ -100,6 +100,8 @@ def test_no_filter_loses_a_similar_pair():
         {"node": list(range(len(size))), "size": size.tolist(), "keys": [front.value[a:b].view(np.int64).tolist() for a, b in zip(front.at[:-1], front.at[1:])], "counts": pa.array(counts.tolist(), pa.list_(pa.int32()))}
     )
     rows = next(jaccard.entries(iter([batch]))).to_pylist()
+    for r in rows:
+        r["left"] = jaccard.from_bytes(np.array([r["left"]]))[0]
     own = {(r["node"], r["key"]): r for r in rows}
     keys = [list(front.value[a:b].view(np.int64).tolist()) for a, b in zip(front.at[:-1], front.at[1:])]
     for i, j in combinations(range(len(texts)), 2):
