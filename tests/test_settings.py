@@ -62,7 +62,7 @@ def test_feature_settings():
 def test_model_settings():
     cfg = settings.model_cycle_config(MODEL)
     assert cfg.scaler == "none" and not cfg.smote.enabled and cfg.trials == 0 and cfg.keys == ("id",)
-    assert cfg.candidates[0].kind == "gradient_boosting" and cfg.selection.always_keep == ("a",) and cfg.gates.min_recall is None
+    assert cfg.candidates[0].kind == "second_order_boosting" and cfg.selection.always_keep == ("a",) and cfg.gates.min_recall is None
     with pytest.raises(ValueError, match="svc"):
         settings.model_cycle_config({**MODEL, "model": {"candidates": [{"name": "s", "type": "svc"}]}})
 
