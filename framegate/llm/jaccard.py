@@ -11,6 +11,9 @@ of n-grams that only one of two sets has:
 * position: n-grams before the place of the first common one are not shared;
 * suffix: the n-grams after that place are counted in eight ranges of their value; differences of the counts add up.
 
+What passes is held against a bound on whole sets before any set travels: of 1,024 bits, a set has those that an odd number
+of its n-grams name, and two sets differ in no more bits than in n-grams.
+
 Where n-gram sets of a bucket pass, they are gathered around leaders: the first one, and every one that passes with no
 leader before it. Pairs of a member and its leader are verified by their whole sets, each pair once. Members of a bucket
 that are not connected by then are verified among themselves, across components only, so a large group of near copies
@@ -42,6 +45,8 @@ CELL_BITS, BLOCK_BITS = 22, 16
 LEVELS = 8
 #: Ranges of n-gram values in which a suffix is counted.
 RANGES = 8
+#: Words of 64 parity bits of a set.
+PARITY_WORDS = 16
 #: Sets of a bucket that are compared in one piece; more are dealt out to pairs of pieces. Below: the same for n-grams of sets to verify.
 BUCKET_ROWS = 20_000
 #: Sets of a bucket whose pairs are filtered all at once; in larger ones a set at a time.
@@ -108,6 +113,24 @@ def prefixes(sets: Sets, levels: np.ndarray, least: tuple[int, int] = LEAST) ->
     return Sets(sets.value[order[ranges(sets.at[:-1], length)]], kept)
 
 
+def parities(value: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+    """[set, word]: bits that an odd number of n-grams of each of n sets name."""
+    out = np.zeros(n * PARITY_WORDS, np.uint64)
+    np.bitwise_xor.at(out, owner * PARITY_WORDS + (value & np.uint64(PARITY_WORDS - 1)).astype(np.int64), np.uint64(1) << ((value >> np.uint64(8)) & np.uint64(63)))
+    return out.reshape(n, PARITY_WORDS)
+
+
+def as_binary(rows: np.ndarray) -> pa.Array:
+    edge = np.arange(len(rows) + 1, dtype=np.int32) * (8 * PARITY_WORDS)
+    return pa.BinaryArray.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(edge), pa.py_buffer(np.ascontiguousarray(rows, "<u8"))])
+
+
+def from_binary(column) -> np.ndarray:
+    """The same back, from a binary column or an array of bytes."""
+    rows = column.to_pylist() if isinstance(column, pa.Array) else column
+    return np.frombuffer(b"".join(rows), "<u8").reshape(-1, PARITY_WORDS) if len(rows) else np.zeros((0, PARITY_WORDS), np.uint64)
+
+
 def counted(value: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
     """[set, range]: n-grams of each of n sets in each range of values."""
     of = (value >> np.uint64(61)).astype(np.int64)
@@ -327,17 +350,19 @@ def across(batches: Iterator[pa.RecordBatch], least: tuple[int, int]) -> Iterato
     """
     from xxhash import xxh64_intdigest
 
-    for chunk in chunks(batches, ("node", "size", "place", "left", "leader", "root")):
-        group, row = [], []
+    for chunk in chunks(batches, ("node", "size", "place", "left", "leader", "root", "bits")):
+        group, row, parity = [], [], from_binary(chunk.rows[6])
         for a, b in zip(chunk.opens.tolist(), chunk.ends.tolist()):
             if (chunk.rows[5][a:b] == chunk.rows[5][a]).all():
                 continue
             own = a + np.lexsort((chunk.rows[0][a:b], chunk.rows[1][a:b]))
-            node, size, place, left, leader, root = (r[own] for r in chunk.rows)
+            node, size, place, left, leader, root = (r[own] for r in chunk.rows[:6])
+            bits = parity[own]
             bucket, wanted = Bucket(node, size, place, from_bytes(left)), np.zeros(len(node), bool)
             for i in range(len(node) - 1):
                 others = np.flatnonzero((root[i + 1 :] != root[i]) & (leader[i + 1 :] != node[i])) + i + 1
                 mine = others[bucket.passes(i, others, least)]
+                mine = mine[np.bitwise_count(bits[i] ^ bits[mine]).sum(axis=1) <= apart(size[i] + size[mine], least)]
                 wanted[mine] = True
                 wanted[i] |= len(mine) > 0
             if wanted.any():
@@ -357,6 +382,15 @@ def similar(common, a, b, least: tuple[int, int] = LEAST):
     return common * least[1] >= (a + b - common) * least[0]
 
 
+def near_pairs(batches: Iterator[pa.RecordBatch], least: tuple[int, int]) -> Iterator[pa.RecordBatch]:
+    """The pairs (a, b) whose parity bits don't differ in more places than similar sets may have n-grams of their own."""
+    for batch in batches:
+        sizes = batch.column("size_a").to_numpy() + batch.column("size_b").to_numpy()
+        gone = np.bitwise_count(from_binary(batch.column("bits_a")) ^ from_binary(batch.column("bits_b"))).sum(axis=1)
+        kept = batch.filter(pa.array(gone <= apart(sizes, least)))
+        yield pa.RecordBatch.from_arrays([kept.column("a"), kept.column("b")], names=["a", "b"])
+
+
 def pair_links(batches: Iterator[pa.RecordBatch], least: tuple[int, int]) -> Iterator[pa.RecordBatch]:
     """The pairs (a, b) that are linked, by their whole sets: rows (a, b, side, held) sorted by the first three, maybe several of a side."""
     pair, one, done = None, None, False
@@ -441,7 +475,7 @@ def links(
 ) -> DataFrame:
     """(a, b): links that connect exactly the nodes whose sets are connected by similar ones.
 
-    `sets` has node, high, low, id (of one of its texts), size, keys and counts; `texts` has doc_id and text.
+    `sets` has node, high, low, id (of one of its texts), size, keys, counts and bits; `texts` has doc_id and text.
     """
     fronts = sets.filter(F.size("keys") > 0)
     sent = sets.sparkSession.sparkContext.broadcast(levels)
@@ -450,13 +484,17 @@ def links(
     buckets = dealt(fronts.select("node", "size", "keys", "counts").mapInArrow(entries, ENTRY), "key", pieces).select("g", "node", "size", "place", "left")
     found = checkpoint(buckets.repartition("g").sortWithinPartitions("g").mapInArrow(lambda b: around_leaders(b, least), FOUND))
 
-    pairs = checkpoint(found.filter("node != leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct())
+    met = found.filter("node != leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
+    for side in ("a", "b"):
+        met = met.join(sets.select(F.col("node").alias(side), F.col("size").alias(f"size_{side}"), F.col("bits").alias(f"bits_{side}")), side)
+    pairs = checkpoint(met.mapInArrow(lambda b: near_pairs(b, least), "a long, b long"))
     sides = F.explode(F.array(F.struct(F.col("a").alias("node"), F.lit(0).alias("side")), F.struct(F.col("b").alias("node"), F.lit(1).alias("side"))))
     both = with_held(pairs.select("a", "b", sides.alias("s")).select("a", "b", "s.*"), sets, texts, words).select("a", "b", "side", "held")
     first = checkpoint(both.repartition("a", "b").sortWithinPartitions("a", "b", "side").mapInArrow(lambda x: pair_links(x, least), "a long, b long"))
 
     rooted = found.filter("rest").join(components(first).withColumnRenamed("node", "n"), F.col("node") == F.col("n"), "left")
     rooted = rooted.withColumn("root", F.coalesce("root", "node")).select("g", "node", "size", "place", "left", "leader", "root")
+    rooted = rooted.join(sets.select("node", "bits"), "node")
     apart_ = checkpoint(rooted.repartition("g").sortWithinPartitions("g").mapInArrow(lambda b: across(b, least), "g long, node long, root long").distinct())
     weight = apart_.join(sets.select("node", "size"), "node").groupBy("g").agg(F.sum("size").alias("sum"))
     again = weight.filter(F.col("sum") > piece).select(F.col("g").alias("by"), F.ceil(F.col("sum") / piece).cast("int").alias("k"))
@@ -492,7 +530,7 @@ def with_held(rows: DataFrame, sets: DataFrame, texts: DataFrame, words: int) ->
 
 
 def with_sets(texts: DataFrame, levels: np.ndarray, words: int, least: tuple[int, int]) -> DataFrame:
-    """doc_id, high and low (128 bits of the set), size, keys (the prefix) and counts (n-grams in each range) of each text."""
+    """doc_id, high and low (128 bits of the set), size, keys (the prefix), counts (n-grams in each range) and bits (parities) of each text."""
     sent = texts.sparkSession.sparkContext.broadcast(levels)
 
     def make():
@@ -501,15 +539,17 @@ def with_sets(texts: DataFrame, levels: np.ndarray, words: int, least: tuple[int
         def compute(column: pa.Array) -> dict[str, pa.Array]:
             own = sets_of(column, words)
             size, print_, front = np.diff(own.at), digests(own), prefixes(own, levels, least)
-            counts = counted(own.value, np.repeat(np.arange(len(size)), size), len(size))
+            owner = np.repeat(np.arange(len(size)), size)
+            counts, bits = counted(own.value, owner, len(size)), parities(own.value, owner, len(size))
             return {
+                "bits": as_binary(bits),
                 "high": pa.array(print_[:, 0]), "low": pa.array(print_[:, 1]), "size": pa.array(size.astype(np.int64)),
                 "keys": lists(pa.array(front.value.view(np.int64)), front.at), "counts": lists(pa.array(counts.astype(np.int32).ravel()), np.arange(len(size) + 1) * RANGES),
             }
 
         return compute
 
-    fields = {"high": "long", "low": "long", "size": "long", "keys": "array<long>", "counts": "array<int>"}
+    fields = {"bits": "binary", "high": "long", "low": "long", "size": "long", "keys": "array<long>", "counts": "array<int>"}
     return with_text_columns(texts, "text", make, fields, keep_text=False)
 
 
@@ -529,7 +569,8 @@ def linked(
     levels = gram_levels(texts, words, cell_bits)
     rows = checkpoint(with_sets(texts, levels, words, least))
     unique = rows.filter("size > 0").groupBy("high", "low").agg(
-        F.min("doc_id").alias("id"), F.first("size").alias("size"), F.first("keys").alias("keys"), F.first("counts").alias("counts")
+        F.min("doc_id").alias("id"), F.first("size").alias("size"), F.first("keys").alias("keys"), F.first("counts").alias("counts"),
+        F.first("bits").alias("bits"),
     )
     sets = checkpoint(unique.withColumn("node", F.monotonically_increasing_id()))
     roots = components(links(sets, texts, levels, words, least, bucket_rows, piece))

@@ -99,6 +99,8 @@ def test_no_filter_loses_a_similar_pair():
     batch = pa.RecordBatch.from_pydict(
         {"node": list(range(len(size))), "size": size.tolist(), "keys": [front.value[a:b].view(np.int64).tolist() for a, b in zip(front.at[:-1], front.at[1:])], "counts": pa.array(counts.tolist(), pa.list_(pa.int32()))}
     )
+    bits = jaccard.parities(sets.value, np.repeat(np.arange(len(size)), size), len(size))
+    assert (jaccard.from_binary(jaccard.as_binary(bits)) == bits).all()
     rows = next(jaccard.entries(iter([batch]))).to_pylist()
     for r in rows:
         r["left"] = jaccard.from_bytes(np.array([r["left"]]))[0]
@@ -106,6 +108,7 @@ def test_no_filter_loses_a_similar_pair():
     keys = [list(front.value[a:b].view(np.int64).tolist()) for a, b in zip(front.at[:-1], front.at[1:])]
     for i, j in combinations(range(len(texts)), 2):
         x, y = brute_set(texts[i]), brute_set(texts[j])
+        assert np.bitwise_count(bits[i] ^ bits[j]).sum() <= len(x ^ y)
         if len(x & y) * 10 < len(x | y) * 9:
             continue
         at += 1
