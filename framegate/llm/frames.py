@@ -72,6 +72,16 @@ def filled(table: pa.Table, **kinds: pa.DataType) -> pa.Table:
     return table if set(kinds) <= set(table.column_names) else pa.table({name: pa.array([], kind) for name, kind in kinds.items()})
 
 
+def give_back() -> None:
+    """Hands memory that is free again to the system; workers live on between tasks of different stages."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 Computed = Callable[[pa.Array], dict[str, pa.Array]]
 
 
@@ -90,6 +100,7 @@ def with_text_columns(df: DataFrame, text: str, make: Callable[[], Computed], fi
     names = [f.name for f in own]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         compute = make()
         for batch in batches:
             texts = plain(batch.column(text))
@@ -98,6 +109,8 @@ def with_text_columns(df: DataFrame, text: str, make: Callable[[], Computed], fi
                 made = compute(texts.slice(i, j - i))
                 columns = [*(part.column(name) for name in names), *(made[name] for name in fields)]
                 yield pa.RecordBatch.from_arrays(columns, names=[*names, *fields])
+        del compute
+        give_back()
 
     return df.mapInArrow(run, schema)
 
