@@ -23,7 +23,7 @@ SEQUENCE = 2048
 GROUP_BYTES = 8 << 20
 #: Texts whose words are looked up together, and words whose ids a task remembers.
 SLICE_BYTES = 2 << 20
-REMEMBERED = 1 << 18
+REMEMBERED = 1 << 19
 #: Unknown words are encoded so many at a time, with this mark between, which no other character turns into.
 TOGETHER, BETWEEN = 128, "~"
 #: Such texts that the tokenizer holds at a time.
@@ -56,8 +56,8 @@ class Ids:
         self.forget()
 
     def forget(self) -> None:
-        #: Where the ids of a word begin in `flat`, and their number.
-        self.known: dict[bytes, tuple[int, int]] = {}
+        #: Where the ids of a word begin in `flat`, times 2 to the 32, and their number.
+        self.known: dict[bytes, int] = {}
         self.flat = np.zeros(0, self.kind)
 
     def singly(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -85,7 +85,7 @@ class Ids:
                 ids, size = encode([w.decode() for w in mine])
                 begin = len(self.flat) + np.cumsum(size) - size
                 self.flat = np.concatenate([self.flat, ids])
-                self.known.update(zip(mine, zip(begin.tolist(), size.tolist())))
+                self.known.update(zip(mine, ((begin << 32) + size).tolist()))
 
     def of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, each with the end id after it; n + 1 offsets)."""
@@ -101,7 +101,8 @@ class Ids:
         if len(self.known) > REMEMBERED:
             self.forget()
         self.learn([w for w in distinct if w not in self.known])
-        begin, size = np.array([self.known[w] for w in distinct], np.int64).reshape(-1, 2)[back].T
+        place = np.fromiter((self.known[w] for w in distinct), np.int64, len(distinct))[back]
+        begin, size = place >> 32, place & ((1 << 32) - 1)
         # one more place after each text for the end id
         n = len(texts)
         slot = np.arange(len(back)) + np.repeat(np.arange(n), words.counts)
