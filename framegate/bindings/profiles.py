@@ -10,7 +10,7 @@ from framegate.bindings.registry import FLAGGED, GAPS, MEASURES, flagged, gaps,
 from framegate.config import AnomalyConfig, DriftConfig, StatCheckConfig
 from framegate.functions.quantiles import exact_quantiles
 from framegate.functions.status import GateError, enforce, overall
-from framegate.operators import anomaly, drift, profiling
+from framegate.operators import anomaly, distribution, drift, profiling
 from framegate.session import shared_dir
 from framegate.sources.writers import write_report
 
@@ -267,13 +267,13 @@ psi AS (SELECT 'event_type' AS feature, SUM((q - p) * LN(q / p)) AS statistic FR
 
 
 # The p-value's series; x is the statistic times the root of the sample size.
-_KS_P = "LEAST(GREATEST(" + " + ".join(f"{2 * (-1) ** (k - 1)} * EXP(-2 * {k * k} * x * x)" for k in range(1, 31)) + ", 0), 1)"
+KS_P = "LEAST(GREATEST(" + " + ".join(f"{2 * (-1) ** (k - 1)} * EXP(-2 * {k * k} * x * x)" for k in range(1, 31)) + ", 0), 1)"
 
 
 @query(
     "ks_drift",
     f"""WITH {_KS_SQL}, z AS (SELECT feature, statistic, statistic * SQRT((SELECT COUNT(*) FROM early) * (SELECT COUNT(*) FROM late) / (SELECT COUNT(*) FROM events)) AS x FROM ks),
-p AS (SELECT feature, statistic, CASE WHEN x < 0.2 THEN 1 ELSE {_KS_P} END AS p FROM z)
+p AS (SELECT feature, statistic, CASE WHEN x < 0.2 THEN 1 ELSE {KS_P} END AS p FROM z)
 SELECT feature, ROUND(statistic, 9) AS statistic, ROUND(CAST(p AS DOUBLE), 9) AS p_value, p < 0.05 AS drifted FROM p""",
 )
 def ks_drift(spark, d):
@@ -310,7 +310,7 @@ def _six_sql() -> str:
     )
     return f"""WITH {_SIX_SIDES}, k AS ({numbers}), g AS ({groups}),
 z AS (SELECT feature, statistic, statistic * SQRT((SELECT a * b / (a + b) FROM n)) AS x FROM k),
-p AS (SELECT feature, statistic, CASE WHEN x < 0.2 THEN 1 ELSE {_KS_P} END AS p FROM z)
+p AS (SELECT feature, statistic, CASE WHEN x < 0.2 THEN 1 ELSE {KS_P} END AS p FROM z)
 SELECT feature, ROUND(statistic, 9) AS statistic, ROUND(CAST(p AS DOUBLE), 9) AS p_value, p < 0.05 AS drifted FROM p
 UNION ALL SELECT feature, ROUND(CAST(statistic AS DOUBLE), 9), CAST(NULL AS DOUBLE), statistic >= 0.1 FROM g"""
 
@@ -321,6 +321,14 @@ def dataset_drift_columns(spark, d):
     return rounded(drift.dataset_drift(*_six_sides(spark, d))[0], 9)
 
 
+@query("drift_saved_reference", _six_sql())
+def drift_saved_reference(spark, d):
+    """The same six columns; the earlier table is counted, ordered and written, the later one looks its values up in it."""
+    early, late = _six_sides(spark, d)
+    reference = distribution.save_distribution(early, f"{shared_dir(spark)}/framegate/reference-{uuid.uuid4().hex}")
+    return rounded(distribution.drift_from_saved(reference, late)[0], 9)
+
+
 @query(
     "drift_states",
     """SELECT * FROM (VALUES ('off', 'disabled'), ('no_profile', 'skipped_no_profile'), ('no_path', 'skipped_no_path'), ('no_baseline', 'no_baseline'),

@@ -6,10 +6,12 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from framegate.bindings.profiles import KS_P
 from framegate.bindings.registry import INFERENCES, as_inferences, query, rounded, table
 from framegate.config import AnomalyConfig
 from framegate.operators import anomaly, profiling
 from framegate.session import shared_dir
+from framegate.sources import event_store
 from framegate.streaming import inference
 
 
@@ -140,6 +142,54 @@ def stream_drift_batches(spark, d):
     return read.select("events", F.lit(bool(s["s"] and t["t"] and s["batches"] == 3)).alias("every_batch_drifts"))
 
 
+_BATCH_TESTS = " UNION ALL ".join(
+    f"""SELECT statistic, n FROM (SELECT MAX(ABS(fa - fb)) AS statistic FROM (SELECT SUM(a) OVER (ORDER BY x) / (SELECT COUNT(*) FROM events) AS fa,
+  SUM(b) OVER (ORDER BY x) / (SELECT COUNT(*) FROM events WHERE event_id % 3 = {k}) AS fb FROM (SELECT x, SUM(a) AS a, SUM(b) AS b FROM
+  (SELECT value * 1.1::DOUBLE AS x, 1 AS a, 0 AS b FROM events UNION ALL SELECT value, 0, 1 FROM events WHERE event_id % 3 = {k}) GROUP BY x))),
+  (SELECT COUNT(*) AS n FROM events WHERE event_id % 3 = {k})"""
+    for k in range(3)
+)
+
+
+@query(
+    "stream_drift_tests",
+    f"""WITH t AS ({_BATCH_TESTS}), z AS (SELECT statistic, statistic * SQRT(n * (SELECT COUNT(*) FROM events) / (n + (SELECT COUNT(*) FROM events))) AS x FROM t),
+p AS (SELECT statistic, CASE WHEN x < 0.2 THEN 1 ELSE {KS_P} END AS p FROM z)
+SELECT 'latency_ms' AS feature, ROUND(statistic, 9) AS statistic, ROUND(CAST(p AS DOUBLE), 9) AS p_value, p < 0.05 AS drifted FROM p""",
+)
+def stream_drift_tests(spark, d):
+    """The tests of three micro-batches, each a third of the events, against all of them with other latencies."""
+    events = as_inferences(table(spark, d, "events"))
+    out, state = _folders(spark, "tests")
+    for k in range(3):
+        events.filter(F.col("event_id") % 3 == k).select("latency_ms").coalesce(1).write.parquet(f"{out}/in/part={k}")
+    reference = events.select((F.col("latency_ms") * 1.1).alias("latency_ms"))
+    stream = spark.readStream.schema("latency_ms double").option("maxFilesPerTrigger", 1).parquet(f"{out}/in/*")
+    step = inference.drift_per_batch(profiling.profile(reference), reference, ["latency_ms"], f"{out}/found")
+    inference.run_batches(stream, step, state)
+    return rounded(spark.read.parquet(f"{out}/found/tests").drop("batch"), 9)
+
+
+@query(
+    "stream_published_events",
+    f"""WITH {INFERENCES} SELECT 'events' AS log, status, COUNT(*) AS n, ROUND(SUM(latency_ms), 4) AS latency FROM inferences GROUP BY status
+UNION ALL SELECT 'failures', status, COUNT(*), ROUND(SUM(latency_ms), 4) FROM inferences WHERE status = 'failed' GROUP BY status""",
+)
+def stream_published_events(spark, d):
+    """Micro-batches into an event store, all run a second time from the first one on, as after a lost checkpoint."""
+    out, state = _folders(spark, "published")
+    for k in range(3):
+        part = table(spark, d, "events").filter(F.col("event_id") % 3 == k)
+        part.coalesce(1).write.parquet(f"{out}/in/part={k}")
+    schema = table(spark, d, "events").schema
+    for run in range(2):
+        stream = as_inferences(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{out}/in/*"))
+        inference.run_batches(stream, inference.publish_batches(f"{out}/store", "events"), f"{state}-{run}")
+    side = lambda n: event_store.read_published(spark, f"{out}/store", n).withColumn("log", F.lit(n))
+    both = side("events").unionByName(side("failures"))
+    return both.groupBy("log", "status").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("latency_ms"), 4).alias("latency"))
+
+
 @query(
     "stream_drift",
     """WITH b AS (SELECT QUANTILE_CONT(value, 0.5) * 0.7::DOUBLE AS base, QUANTILE_CONT(value, 0.5) AS cur FROM events),

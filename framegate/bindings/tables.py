@@ -10,7 +10,7 @@ from framegate.bindings.registry import GAPS, INFERENCES, MEASURES, gaps, infere
 from framegate.config import ColumnContract, Roles, ValidationConfig
 from framegate.operators import cleaning, contracts
 from framegate.session import shared_dir
-from framegate.sources import readers, writers
+from framegate.sources import event_store, fingerprints, readers, writers
 
 
 def _new_folder(spark, name: str) -> str:
@@ -59,6 +59,33 @@ def event_log_roundtrip(spark, d):
     )
 
 
+@query(
+    "events_exactly_once",
+    f"""WITH {INFERENCES}
+SELECT l.log, status, COUNT(*) AS n, ROUND(SUM(latency_ms), 4) AS latency, COUNT(DISTINCT request_id) AS requests
+FROM inferences, (VALUES ('events'), ('failures')) l(log)
+WHERE l.log = 'events' OR status = 'failed' GROUP BY ALL""",
+)
+def events_exactly_once(spark, d):
+    """Three batches of events: one published twice, and one whose first attempt was lost after its files were written."""
+    root = _new_folder(spark, "store")
+    for k in range(3):
+        batch = inferences(spark, d).filter(F.col("event_id") % 3 == k).drop("event_id", "ts")
+        if k == 1:
+            event_store.write_attempt(batch, root, str(k), "lost")
+        for _ in range(2 if k == 2 else 1):
+            event_store.publish_events(batch, root, str(k))
+    read = lambda name: event_store.read_published(spark, root, name).withColumn("log", F.lit(name))
+    return (
+        read("events").unionByName(read("failures")).groupBy("log", "status")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.round(F.sum("latency_ms"), 4).alias("latency"),
+            F.count_distinct("request_id").alias("requests"),
+        )
+    )
+
+
 _FINGERPRINT_COLUMNS = ["l_orderkey", "l_returnflag", *MEASURES]
 
 
@@ -73,6 +100,27 @@ def table_fingerprint(spark, d):
     return writers.fingerprint(gaps(spark, d).select(*_FINGERPRINT_COLUMNS)).select("column", "rows", "non_null")
 
 
+@query(
+    "fingerprint_incremental",
+    f"WITH {GAPS} "
+    + " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", CASE MIN(TYPEOF({c})) WHEN 'BIGINT' THEN 'bigint' WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double' END AS type, "
+        f"COUNT(*) AS rows, COUNT({c}) AS non_null, TRUE AS as_whole FROM gaps"
+        for c in _FINGERPRINT_COLUMNS
+    ),
+)
+def fingerprint_incremental(spark, d):
+    """A table that grows by files: what is known of the first ones is added to, and is compared with a scan of all."""
+    path, state = _new_folder(spark, "grown"), _new_folder(spark, "known")
+    rows = gaps(spark, d).select(*_FINGERPRINT_COLUMNS)
+    for k in range(2):
+        rows.filter(F.col("l_orderkey") % 2 == k).write.mode("append").parquet(path)
+        known = fingerprints.table_fingerprint(spark, path, state)
+    whole = writers.fingerprint(spark.read.parquet(path)).select("column", F.col("hash_sum").alias("whole"))
+    # One row per column.
+    return known.join(F.broadcast(whole), "column").select("column", "type", "rows", "non_null", (F.col("hash_sum") == F.col("whole")).alias("as_whole"))
+
+
 @query("dedup_rows", "SELECT DISTINCT * FROM (SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem)")
 def dedup_rows(spark, d):
     li = table(spark, d, "lineitem")

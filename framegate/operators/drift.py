@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -16,7 +15,6 @@ from framegate.functions.longform import melt
 from framegate.functions.nulls import clean_value, col, double_value, numeric_columns
 from framegate.functions.quantiles import column_extent
 from framegate.functions.status import level
-from framegate.session import checkpoint
 
 SHIFT_MEASURES = ("mean", "p50", "p99", "std")
 
@@ -191,9 +189,9 @@ def _every(tested: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def kolmogorov_tail(x: Column) -> Column:
-    """P(K > x) = 2 Σ (-1)^(k-1) exp(-2 k² x²); the series converges fast except near 0, where it is 1."""
+    """P(K > x) = 2 Σ (-1)^(k-1) exp(-2 k² x²); the series converges fast except near 0, where it is 1. Null stays null."""
     series = sum((F.lit(2.0 * (-1) ** (k - 1)) * F.exp(F.lit(-2.0 * k * k) * x * x) for k in range(1, 31)), F.lit(0.0))
-    return F.when(x < 0.2, F.lit(1.0)).otherwise(F.least(F.greatest(series, F.lit(0.0)), F.lit(1.0)))
+    return F.when(x < 0.2, F.lit(1.0)).when(x.isNotNull(), F.least(F.greatest(series, F.lit(0.0)), F.lit(1.0)))
 
 
 def category_psi(reference: DataFrame, current: DataFrame, columns: Sequence[str], floor: float = 1e-4) -> DataFrame:
@@ -219,40 +217,6 @@ def psi_from_counts(reference: DataFrame, current: DataFrame, columns: Sequence[
     return _every(found, columns).withColumn("drifted", F.col("statistic") >= PSI_LIMIT)
 
 
-@dataclass(frozen=True)
-class Reference:
-    """A reference table as counts of its values, taken once and written; drift tests read nothing else of it."""
-
-    numeric: tuple[str, ...]
-    other: tuple[str, ...]
-    values: DataFrame | None
-    categories: DataFrame | None
-
-
-def saved_reference(reference: DataFrame, columns: Sequence[str] | None = None) -> Reference:
-    """Counts the reference in one scan for numbers and one for categories and checkpoints the counts."""
-    columns = list(columns or reference.columns)
-    numeric = [c for c in numeric_columns(reference) if c in set(columns)]
-    other = [c for c in columns if c not in set(numeric)]
-    return Reference(
-        tuple(numeric),
-        tuple(other),
-        checkpoint(value_counts(reference, numeric)) if numeric else None,
-        checkpoint(category_counts(reference, other)) if other else None,
-    )
-
-
-def drift_against(reference: Reference, current: DataFrame, share: float = DATASET_DRIFT_SHARE) -> tuple[DataFrame, DataFrame]:
-    """`dataset_drift` against saved counts: only the current rows are scanned."""
-    tests = []
-    if reference.numeric:
-        tests.append(ks_from_counts(reference.values, value_counts(current, reference.numeric), reference.numeric))
-    if reference.other:
-        tests.append(psi_from_counts(reference.categories, category_counts(current, reference.other), reference.other))
-    table = reduce(DataFrame.unionByName, tests)
-    return table, drift_summary(table, share)
-
-
 def dataset_drift(
     reference: DataFrame, current: DataFrame, exclude: Sequence[str] = (), share: float = DATASET_DRIFT_SHARE
 ) -> tuple[DataFrame, DataFrame]:

@@ -14,11 +14,13 @@ from framegate.functions.longform import scalar_struct
 from framegate.functions.nulls import holds, ratio
 from framegate.functions.status import overall
 from framegate.operators.anomaly import Bounds, flag_outliers
-from framegate.operators.drift import drift_against, profile_drift, saved_reference
+from framegate.operators.distribution import drift_from_saved, save_distribution
+from framegate.operators.drift import profile_drift
 from framegate.operators.profiling import profile
 from framegate.operators.scoring import prediction_columns, validate_payloads
 from framegate.sources.readers import EVENT_SCHEMA, parse_events
 from framegate.session import checkpoint
+from framegate.sources.event_store import publish_events
 from framegate.sources.writers import failed_events
 
 WATERMARK = "10 minutes"
@@ -114,10 +116,11 @@ def drift_per_batch(
 ) -> Callable[[DataFrame, int], None]:
     """A `foreachBatch` step: profile drift and two-sample tests of every micro-batch, appended to `sink`.
 
-    The reference is counted here, once; batches are tested against these counts and never read it
-    again. A batch is written under its own id and overwritten on a retry, so results appear once.
+    The reference is counted and ordered here, once, under `sink`/reference; a batch looks its own values up
+    in it and never adds up its counts again. A batch is written under its own id and overwritten on a
+    retry, so results appear once.
     """
-    counted = saved_reference(reference.select(*columns), columns)
+    counted = save_distribution(reference, f"{sink}/reference", columns)
     baseline_profile = checkpoint(baseline_profile)
 
     def step(batch: DataFrame, batch_id: int) -> None:
@@ -127,7 +130,7 @@ def drift_per_batch(
                 return
             changes = profile_drift(profile(rows), baseline_profile, cfg)
             gate = overall(changes)
-            tests, summary = drift_against(counted, rows)
+            tests, summary = drift_from_saved(counted, rows)
             changes.write.mode("overwrite").parquet(f"{sink}/profile/batch={batch_id}")
             tests.write.mode("overwrite").parquet(f"{sink}/tests/batch={batch_id}")
             s = scalar_struct(summary)
@@ -153,6 +156,15 @@ def split_failures(log: str, failures: str) -> Callable[[DataFrame, int], None]:
     return step
 
 
+def publish_batches(root: str, name: str) -> Callable[[DataFrame, int], None]:
+    """A `foreachBatch` step into an event store; a batch that is run again is published once. `name` is the stream's."""
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        publish_events(batch, root, f"{name}-{batch_id}")
+
+    return step
+
+
 def run_available(stream: DataFrame, sink: str, state: str, mode: str = "append") -> None:
     """Process everything that has arrived into Parquet files, then stop."""
     query = stream.writeStream.outputMode(mode).format("parquet").option("checkpointLocation", state)
