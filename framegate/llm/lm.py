@@ -1,16 +1,14 @@
 """Cross-entropy difference: how much better a model of wanted text predicts a document than one of all other text.
 
 Two bigram models of the same vocabulary, order and smoothing are counted, one on target documents and one on the others.
-Every document counts. Texts are dealt out to parts of bounded size; a part sends each owner of a range of words or word
-pairs one compressed message with its counts, the owner adds up what all parts have sent, and answers each part with the
-log ratios of the pairs that it has. Parts belong to one of two folds, and are answered from the counts of the other fold:
-no document is scored by a model that has seen it.
+The vocabulary is every word of every document. Texts are dealt out to parts of bounded size; a part sends each owner of a
+range of keys, hashes of words and of word pairs, one compressed message with its counts, the owner adds up what all parts
+have sent, and answers each part with the sums of the keys that it has. Parts belong to one of two folds by their text, and
+are answered from the counts of the other fold: no document is scored by a model that has seen it or a copy of it.
 """
 
 from __future__ import annotations
 
-from typing import NamedTuple
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -18,30 +16,23 @@ from pyspark.sql import functions as F
 
 from framegate.llm.frames import filled, only, slices, text_bytes
 from framegate.llm.messages import packed, small, steps, unpacked
-from framegate.llm.words import LOWER, NOT_SPACE, scan, word_values
+from framegate.llm.words import LOWER, NOT_SPACE, mixed, scan, word_values
 from framegate.session import checkpoint
 
-#: Words of the shared vocabulary: the most frequent ones. All others are one unknown word.
-VOCABULARY = 1 << 15
 #: Weight of the model of single words in that of pairs, in observations.
 SMOOTHING = 50.0
 PART_BYTES = 8 << 20
-#: Messages of an owner hold about so many different words or pairs.
+#: Messages of an owner hold about so many different words and pairs.
 OWNER_KEYS = 2 << 20
 BYTES_A_WORD = 6
 
 DOCS = {"doc_id": pa.int64(), "text": pa.string()}
 MESSAGE = "owner long, part long, counts binary"
-
-
-class Unigrams(NamedTuple):
-    """Word values in ascending order; word k has number k + 1, 0 is unknown, len(values) + 1 the edge of a text.
-
-    counts[fold, class] by number, class 0 being the background and 1 the target.
-    """
-
-    values: np.ndarray
-    counts: np.ndarray
+#: An answer to a part, or with part -1 what an owner's words add up to: their number, and their occurrences by fold and class.
+ANSWER = "part long, owner long, counts binary, words long, n0 long, n1 long, n2 long, n3 long"
+#: The key of the edge of a text. Keys of words are even, those of pairs odd.
+EDGE = np.uint64(0x9E3779B97F4A7C14)
+_ODD = np.uint64(0xD6E8FEB86659FD93)
 
 
 def _targets(docs: pa.Table, labels: pa.Table) -> np.ndarray:
@@ -68,8 +59,51 @@ def _values(texts: pa.Array):
     return np.concatenate(values), np.concatenate(counts)
 
 
-def _messages(part: int, keys: np.ndarray, counts: np.ndarray, owner: np.ndarray) -> pa.Table:
-    """One row for each owner; keys ascend, and so do owners. counts has a row for the background and one for the target."""
+class PartKeys:
+    """The words and pairs of a part's texts; an event is a word or the end of a text.
+
+    words and pairs are distinct keys, `word` the word of each event, `pair` its pair with the word before, before and
+    after the words of each distinct pair, events their number in each text.
+    """
+
+    def __init__(self, texts: pa.Array):
+        values, count = _values(texts)
+        n = len(count)
+        self.events = count + 1
+        # a text is its words with an edge after them; the word before the first one is the edge of the text before
+        line = np.full(len(values) + n, EDGE, np.uint64)
+        line[np.arange(len(values)) + np.repeat(np.arange(n), count)] = values & ~np.uint64(1)
+        self.words, self.word = np.unique(line, return_inverse=True)
+        size = max(1, len(self.words))
+        edge = np.searchsorted(self.words, EDGE)
+        number = np.r_[edge, self.word[:-1]].astype(np.int64)[: len(line)] * size + self.word
+        both, self.pair = np.unique(number, return_inverse=True)
+        self.before, self.after = np.divmod(both, size)
+        self.pairs = mixed(self.words[self.before] * _ODD + mixed(self.words[self.after])) | np.uint64(1)
+        self.order = np.argsort(np.concatenate([self.words, self.pairs]), kind="stable")
+
+    def keys(self) -> np.ndarray:
+        return np.concatenate([self.words, self.pairs])[self.order]
+
+    def counts(self, among: np.ndarray) -> np.ndarray:
+        """How often each key is there in the events `among`, in the order of `keys`."""
+        word = np.bincount(self.word[among], minlength=len(self.words))
+        return np.concatenate([word, np.bincount(self.pair[among], minlength=len(self.pairs))])[self.order]
+
+    def told(self, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Sums in the order of `keys` as those of words and those of pairs."""
+        back = np.zeros(len(self.order))
+        back[self.order] = sums
+        return back[: len(self.words)], back[len(self.words) :]
+
+
+def key_messages(part: int, docs: pa.Table, labels: pa.Table, bits: int) -> pa.Table:
+    """One row for each owner with the keys of its range, ascending, and their counts in the background and the target."""
+    docs = filled(docs, **DOCS)
+    own = PartKeys(_texts(docs))
+    target = np.repeat(_targets(docs, labels), own.events)
+    keys, counts = own.keys(), (own.counts(~target), own.counts(target))
+    owner = (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
     opens = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]]) if len(owner) else np.zeros(0, np.int64)
     ends = np.r_[opens[1:], len(owner)].astype(int)
     sent = [packed(steps(keys[a:b]), *(small(c[a:b]) for c in counts)) for a, b in zip(opens, ends)]
@@ -78,132 +112,52 @@ def _messages(part: int, keys: np.ndarray, counts: np.ndarray, owner: np.ndarray
     )
 
 
-def _summed(table: pa.Table) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-    """(distinct keys, counts[fold, class], for each message the places of its keys)."""
-    fold = table.column("part").to_numpy() % 2
+def answer_keys(table: pa.Table) -> pa.Table:
+    """Each message's keys with their sums in the other fold, by class, and a row for what the words add up to."""
+    parts = table.column("part").to_numpy()
     sent = [unpacked(x.as_py()) for x in table.column("counts")]
-    keys = [np.cumsum(s[0], dtype=s[0].dtype) for s in sent]
+    keys = [np.cumsum(s[0], dtype=np.uint64) for s in sent]
     every, back = np.unique(np.concatenate(keys), return_inverse=True)
-    total, at, places = np.zeros((2, 2, len(every)), np.int64), 0, []
-    for f, s, k in zip(fold.tolist(), sent, keys):
-        mine = back[at : at + len(k)]
-        at += len(k)
-        places.append(mine)
+    places = np.split(back, np.cumsum([len(k) for k in keys])[:-1])
+    total = np.zeros((2, 2, len(every)), np.int64)
+    for part, (_, *counts), place in zip(parts.tolist(), sent, places):
         for which in (0, 1):
-            total[f, which, mine] += s[1 + which].astype(np.int64)  # no key twice in a message
-    return every, total, places
-
-
-def word_messages(part: int, docs: pa.Table, labels: pa.Table, bits: int) -> pa.Table:
-    docs = filled(docs, **DOCS)
-    values, count = _values(_texts(docs))
-    target = np.repeat(_targets(docs, labels), count)
-    keys, back = np.unique(values, return_inverse=True)
-    counts = np.stack([np.bincount(back[~target], minlength=len(keys)), np.bincount(back[target], minlength=len(keys))])
-    return _messages(part, keys, counts, (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64))
-
-
-def top_words(table: pa.Table, most: int) -> pa.Table:
-    """The words of an owner that can be among the most frequent ones, and as value null all its other words."""
-    keys, total, _ = _summed(table)
-    order = np.lexsort((keys, -total.sum(axis=(0, 1))))
-    kept, rest = order[:most], order[most:]
-    flat = np.concatenate([total.reshape(4, -1)[:, kept], total.reshape(4, -1)[:, rest].sum(axis=1, keepdims=True)], axis=1)
-    columns = {"value": pa.array([*keys[kept].view(np.int64).tolist(), None], pa.int64())}
-    return pa.table(columns | {f"n{k}": pa.array(flat[k]) for k in range(4)})
-
-
-def numbers(values: np.ndarray, known: np.ndarray) -> np.ndarray:
-    place = np.minimum(np.searchsorted(known, values), max(0, len(known) - 1))
-    return np.where(known[place] == values, place + 1, 0) if len(known) else np.zeros(len(values), np.int64)
-
-
-def pairs_of(texts: pa.Array, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Every (word before, word) of every text as one number, its edges included, and the pairs of each text."""
-    values, count = _values(texts)
-    edge = len(known) + 1
-    # a text is its words with an edge after them; the word before the first one is the edge of the text before
-    n = len(count)
-    line = np.full(len(values) + n + 1, edge, np.int64)
-    line[1 + np.arange(len(values)) + np.repeat(np.arange(n), count)] = numbers(values, known)
-    return line[:-1] * (edge + 1) + line[1:], count + 1
-
-
-def pair_messages(part: int, docs: pa.Table, labels: pa.Table, known: np.ndarray, owners: int) -> pa.Table:
-    docs = filled(docs, **DOCS)
-    pairs, count = pairs_of(_texts(docs), known)
-    target = np.repeat(_targets(docs, labels), count)
-    keys, back = np.unique(pairs, return_inverse=True)
-    counts = np.stack([np.bincount(back[~target], minlength=len(keys)), np.bincount(back[target], minlength=len(keys))])
-    span = (len(known) + 2) ** 2
-    return _messages(part, keys, counts, keys * owners // span)
-
-
-def log_ratios(keys: np.ndarray, counts: np.ndarray, single: np.ndarray, smoothing: float) -> np.ndarray:
-    """log P(word | word before) of the target less that of the background; counts and single have a row of each."""
-    size = single.shape[1]
-    before, word = np.divmod(keys, size)
-    logs = []
-    for n, one in zip(counts, single):
-        alone = (one[word] + 1) / (one.sum() + size)
-        logs.append(np.log((n + smoothing * alone) / (one[before] + smoothing)))
-    return logs[1] - logs[0]
-
+            np.add.at(total[part % 2, which], place, counts[which].astype(np.int64))
+    answers = [packed(*(small(total[1 - part % 2, which, place]) for which in (0, 1))) for part, place in zip(parts.tolist(), places)]
+    word = every & np.uint64(1) == 0
+    n = len(answers)
+    sums = {"words": int(word.sum())} | {f"n{k}": int(total[k // 2, k % 2, word].sum()) for k in range(4)}
+    return pa.table(
+        {
+            "part": pa.array([*parts.tolist(), -1], pa.int64()),
+            "owner": pa.array([*table.column("owner").to_pylist(), None], pa.int64()),
+            "counts": pa.array([*answers, None], pa.binary()),
+            **{c: pa.array([None] * n + [v], pa.int64()) for c, v in sums.items()},
+        }
+    )
 
-def answer_pairs(table: pa.Table, unigrams: Unigrams, smoothing: float) -> pa.Table:
-    keys, total, places = _summed(table)
-    keys = keys.astype(np.int64)
-    by_fold = [log_ratios(keys, total[f], unigrams.counts[f], smoothing).astype(np.float32) for f in (0, 1)]
-    parts = table.column("part").to_numpy()
-    sent = [packed(by_fold[1 - p % 2][k]) for p, k in zip(parts.tolist(), places)]
-    return pa.table({"part": table.column("part"), "owner": table.column("owner"), "ratios": pa.array(sent, pa.binary())})
 
+def score_part(part: int, docs: pa.Table, answers: pa.Table, size: int, events: list[int], smoothing: float) -> pa.Table:
+    """log P(word | word before) of the target less that of the background, meant over the events of each text.
 
-def score_part(docs: pa.Table, answers: pa.Table, known: np.ndarray) -> pa.Table:
-    answers = filled(answers, owner=pa.int64(), ratios=pa.binary())
-    pairs, count = pairs_of(_texts(docs), known)
-    _, back = np.unique(pairs, return_inverse=True)
+    `size` is the number of words, the edge and one word that was never seen among them; `events` all events by fold and class.
+    """
+    answers = filled(answers, owner=pa.int64(), counts=pa.binary())
+    own = PartKeys(_texts(docs))
     order = np.argsort(answers.column("owner").to_numpy(), kind="stable")
-    told = answers.column("ratios").to_pylist()
-    ratio = np.concatenate([np.zeros(0, np.float32), *(unpacked(told[k])[0] for k in order)]).astype(np.float64)
-    total = np.r_[0.0, np.cumsum(ratio[back])] if len(back) else np.zeros(1)
-    end = np.cumsum(count)
-    return pa.table({"doc_id": docs.column("doc_id"), "n_events": pa.array(count), "score": (total[end] - total[end - count]) / count})
-
-
-def learn_words(docs: DataFrame, labels: DataFrame, parts: int, owners: int, vocabulary: int) -> Unigrams:
-    """The shared vocabulary with its counts; at most `vocabulary` words reach the driver."""
-    bits = max(0, (owners - 1).bit_length())
-    sent = docs.groupBy("part").cogroup(labels.groupBy("part")).applyInArrow(
-        lambda key, d, w: word_messages(key[0].as_py(), d, w, bits), MESSAGE
-    )
-    rows = sent.groupBy("owner").applyInArrow(lambda t: top_words(t, vocabulary), "value long, n0 long, n1 long, n2 long, n3 long")
-    n = F.col("n0") + F.col("n1") + F.col("n2") + F.col("n3")
-    rows = checkpoint(rows)
-    # A histogram of the counts, at most some thousand classes, tells which words can be among the most frequent ones.
-    level = F.floor(F.log2(n) * 64)
-    words, least = 0, None
-    for r in sorted(rows.filter("value is not null").groupBy(level.alias("level")).count().collect(), key=lambda r: -r["level"]):
-        if words < vocabulary:
-            words, least = words + r["count"], r["level"]
-    frequent = rows.filter(F.col("value").isNotNull() & (level >= F.lit(least)))
-    # sorted by the executors; the driver gets what is left
-    top = checkpoint(frequent.orderBy(n.desc(), "value").limit(vocabulary)).collect()
-    all_words = rows.agg(*(F.coalesce(F.sum(f"n{k}"), F.lit(0)) for k in range(4))).first()
-    values = np.array([r["value"] for r in top], np.int64).view(np.uint64)
-    order = np.argsort(values)
-    counts = np.zeros((4, len(values) + 2), np.int64)
-    if len(values):
-        counts[:, 1:-1] = np.array([[r[f"n{k}"] for r in top] for k in range(4)])[:, order]
-    counts[:, 0] = np.array(list(all_words)) - counts.sum(axis=1)
-    ends = docs.join(labels.select(F.col("doc_id").alias("id"), F.lit(1).alias("wanted")), F.col("doc_id") == F.col("id"), "left")
-    for r in ends.groupBy((F.col("part") % 2).alias("fold"), F.coalesce("wanted", F.lit(0)).alias("which")).count().collect():
-        counts[2 * r["fold"] + r["which"], -1] = r["count"]
-    return Unigrams(values[order], counts.reshape(2, 2, -1))
+    told = [unpacked(answers.column("counts")[int(k)].as_py()) for k in order]
+    logs = []
+    for which in (0, 1):
+        one, n = own.told(np.concatenate([np.zeros(0), *(t[which] for t in told)]))
+        alone = (one[own.after] + 1) / (events[2 * (1 - part % 2) + which] + size)
+        logs.append(np.log((n + smoothing * alone) / (one[own.before] + smoothing)))
+    total = np.r_[0.0, np.cumsum((logs[1] - logs[0])[own.pair])]
+    end = np.cumsum(own.events)
+    return pa.table({"doc_id": docs.column("doc_id"), "n_events": pa.array(own.events), "score": (total[end] - total[end - own.events]) / own.events})
 
 
 def cross_entropy_difference(
-    docs: DataFrame, wanted: DataFrame, id_col: str = "doc_id", text_col: str = "text", wanted_id: str = "doc_id", vocabulary: int = VOCABULARY,
+    docs: DataFrame, wanted: DataFrame, id_col: str = "doc_id", text_col: str = "text", wanted_id: str = "doc_id",
     smoothing: float = SMOOTHING, part_bytes: int = PART_BYTES, owner_keys: int = OWNER_KEYS,
 ) -> DataFrame:
     """doc_id, n_events (words and the end of the text) and score of every row of `docs`.
@@ -212,20 +166,26 @@ def cross_entropy_difference(
     the documents whose ids `wanted` lists. Ids are whole numbers; ids that `wanted` repeats count once, null ones not at
     all. A document without id is background. A null or empty text is scored by its end alone. Rows are neither dropped
     nor merged (repeated ones count as often as they are there), an empty table gives an empty one, an empty `wanted`
-    leaves an even target model. Other columns are not read.
+    leaves an even target model. Other columns are not read. Words and pairs are told apart by 63 bits of a hash.
     """
     rows = only(docs, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts, owners = max(2, -(-size // part_bytes)), max(1, size // BYTES_A_WORD // owner_keys)
-    part = F.pmod(F.xxhash64("doc_id"), F.lit(parts))
-    rows = rows.withColumn("part", F.when(F.col("doc_id").isNull(), F.pmod(F.xxhash64("text"), F.lit(parts))).otherwise(part))
-    labels = only(wanted, doc_id=wanted_id).select(F.col("doc_id").cast("long")).dropna().distinct().withColumn("part", part)
-    unigrams = learn_words(rows, labels, parts, owners, vocabulary)
-    sent = docs.sparkSession.sparkContext.broadcast(unigrams)
-    pairs = rows.groupBy("part").cogroup(labels.groupBy("part")).applyInArrow(
-        lambda key, d, w: pair_messages(key[0].as_py(), d, w, sent.value.values, owners), MESSAGE
+    lanes, owners = max(1, -(-size // (2 * part_bytes))), max(1, size // BYTES_A_WORD // owner_keys)
+    bits = (owners - 1).bit_length()
+    # equal texts are of one fold; of a fold, rows are dealt out by their ids, so that copies are spread
+    fold = F.pmod(F.xxhash64(F.coalesce("text", F.lit("")), F.lit("fold")), F.lit(2))
+    lane = F.pmod(F.xxhash64("doc_id"), F.lit(lanes))
+    dealt = F.when(F.col("doc_id").isNull(), F.pmod(F.xxhash64("text"), F.lit(lanes))).otherwise(lane)
+    rows = rows.withColumn("part", 2 * dealt + fold)
+    ids = only(wanted, doc_id=wanted_id).select(F.col("doc_id").cast("long")).dropna().distinct()
+    labels = ids.withColumn("part", F.explode(F.array(2 * lane, 2 * lane + 1)))
+    sent = rows.groupBy("part").cogroup(labels.groupBy("part")).applyInArrow(
+        lambda key, d, w: key_messages(key[0].as_py(), d, w, bits), MESSAGE
     )
-    answers = pairs.groupBy("owner").applyInArrow(lambda t: answer_pairs(t, sent.value, smoothing), "part long, owner long, ratios binary")
-    return rows.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(
-        lambda key, d, a: score_part(d, a, sent.value.values), "doc_id long, n_events long, score double"
+    answers = checkpoint(sent.groupBy("owner").applyInArrow(answer_keys, ANSWER))
+    sums = answers.filter("part < 0").agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("words", "n0", "n1", "n2", "n3"))).first()
+    events, words = [sums[f"n{k}"] for k in range(4)], sums["words"] + 1
+    told = answers.filter("part >= 0").select("part", "owner", "counts")
+    return rows.groupBy("part").cogroup(told.groupBy("part")).applyInArrow(
+        lambda key, d, a: score_part(key[0].as_py(), d, a, words, events, smoothing), "doc_id long, n_events long, score double"
     )

@@ -10,23 +10,21 @@ from pyspark.sql import functions as F
 from framegate.llm import lm
 
 
-def events(text, known):
-    words = [w if w in known else None for w in (text or "").encode().lower().split()]
+def events(text):
+    words = (text or "").encode().lower().split()
     return list(zip(["edge", *words], [*words, "edge"]))
 
 
-def brute(rows, wanted, folds, vocabulary, smoothing):
+def brute(rows, wanted, folds, smoothing):
     """rows: (id, text); folds: the fold of each row."""
     count = Counter(w for _, t in rows for w in (t or "").encode().lower().split())
-    known = set(count) if len(count) <= vocabulary else None
-    assert known is not None, "ties at the edge of the vocabulary are by hash"
     single = {(f, c): Counter() for f in (0, 1) for c in (0, 1)}
     pair = {(f, c): Counter() for f in (0, 1) for c in (0, 1)}
     for (i, t), f in zip(rows, folds):
-        for a, b in events(t, known):
+        for a, b in events(t):
             single[f, int(i in wanted)][b] += 1
             pair[f, int(i in wanted)][a, b] += 1
-    size = len(known) + 2
+    size = len(count) + 2
 
     def log_p(f, c, a, b):
         alone = (single[f, c][b] + 1) / (sum(single[f, c].values()) + size)
@@ -34,33 +32,37 @@ def brute(rows, wanted, folds, vocabulary, smoothing):
 
     out = []
     for (i, t), f in zip(rows, folds):
-        own = events(t, known)
+        own = events(t)
         out.append((i, len(own), round(sum(log_p(1 - f, 1, a, b) - log_p(1 - f, 0, a, b) for a, b in own) / len(own), 5)))
     return sorted(out, key=str)
 
 
-def folds_of(docs, parts):
-    part = F.when(F.col("doc_id").isNull(), F.pmod(F.xxhash64("text"), F.lit(parts))).otherwise(F.pmod(F.xxhash64("doc_id"), F.lit(parts)))
-    return [r[0] % 2 for r in docs.select(part).collect()]
+def folds_of(docs):
+    return [r[0] for r in docs.select(F.pmod(F.xxhash64(F.coalesce("text", F.lit("")), F.lit("fold")), F.lit(2))).collect()]
+
+
+def check(spark, docs, ids, **sizes):
+    wanted = spark.createDataFrame([(i, 1) for i in ids], "doc_id long, part int")
+    want = brute([(r.doc_id, r.text) for r in docs.collect()], set(ids) - {None}, folds_of(docs), 50.0)
+    got = lm.cross_entropy_difference(docs, wanted, **sizes).collect()
+    assert sorted([(r.doc_id, r.n_events, round(r.score, 5)) for r in got], key=str) == want
 
 
 @pytest.mark.parametrize("part_bytes,owner_keys", [(1 << 20, 1 << 20), (4000, 50)])
 def test_against_brute_force(spark, odd, part_bytes, owner_keys):
-    wanted = spark.createDataFrame([(i, 1) for i in [*range(100, 140, 3), 8, 100, None, 77777]], "doc_id long, part int")
-    size = odd.agg(F.sum(F.octet_length("text"))).first()[0]
-    rows = [(r.doc_id, r.text) for r in odd.collect()]
-    ids = {r.doc_id for r in wanted.collect()} - {None}
-    want = brute(rows, ids, folds_of(odd, max(2, -(-size // part_bytes))), 1000, 50.0)
-    got = lm.cross_entropy_difference(odd, wanted, vocabulary=1000, part_bytes=part_bytes, owner_keys=owner_keys).collect()
-    assert sorted([(r.doc_id, r.n_events, round(r.score, 5)) for r in got], key=str) == want
+    check(spark, odd, [*range(100, 140, 3), 8, 100, None, 77777], part_bytes=part_bytes, owner_keys=owner_keys)
+
+
+def test_every_word_of_a_large_vocabulary_counts(spark):
+    """More words than any fixed table of some ten thousand; copies of a text under other ids share its fold."""
+    texts = [" ".join(f"w{(37 * i + k) % 45_000}" for k in range(400)) for i in range(300)]
+    docs = docs_of(spark, list(enumerate([*texts, *texts[:50]])))
+    check(spark, docs, list(range(0, 350, 3)), part_bytes=100_000, owner_keys=20_000)
 
 
-def test_a_small_vocabulary_keeps_the_most_frequent(spark):
-    docs = docs_of(spark, [(i, "a a a b b c " + "d" * (i + 1)) for i in range(20)]).withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(2)))
-    labels = docs.select("doc_id", "part").limit(0)
-    got = lm.learn_words(docs.select("doc_id", "text", "part"), labels, 2, 1, 2)
-    assert len(got.values) == 2 and sorted(got.counts[:, :, 1:-1].sum(axis=(0, 1)).tolist()) == [40, 60]
-    assert got.counts[:, :, 0].sum() == 40 and got.counts[:, :, -1].sum() == 20
+def test_long_words(spark):
+    docs = docs_of(spark, [(i, " ".join(("ab" * 512, "ba" * 512)[(i >> k) & 1] for k in range(6))) for i in range(40)])
+    check(spark, docs, list(range(0, 40, 3)), part_bytes=20_000, owner_keys=3)
 
 
 def test_scores_tell_the_target_apart(spark):
