@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from framegate.llm.frames import filled, only, slices, text_bytes
 from framegate.llm.messages import packed, small, steps, unpacked
 from framegate.llm.words import LOWER, NOT_SPACE, mixed, scan, word_values
-from framegate.session import checkpoint
 
 #: Weight of the model of single words in that of pairs, in observations.
 SMOOTHING = 50.0
@@ -137,13 +136,16 @@ def answer_keys(table: pa.Table) -> pa.Table:
     )
 
 
-def score_part(part: int, docs: pa.Table, answers: pa.Table, size: int, events: list[int], smoothing: float) -> pa.Table:
+def score_part(part: int, docs: pa.Table, answers: pa.Table, smoothing: float) -> pa.Table:
     """log P(word | word before) of the target less that of the background, meant over the events of each text.
 
-    `size` is the number of words, the edge and one word that was never seen among them; `events` all events by fold and class.
+    Each answer also has the number of words, the edge among them, and all events by fold and class.
     """
     answers = filled(answers, owner=pa.int64(), counts=pa.binary())
     own = PartKeys(_texts(docs))
+    # every text has an edge, so a part with rows has an answer; one word that was never seen is counted in
+    size = answers.column("words")[0].as_py() + 1 if answers.num_rows else 1
+    events = [answers.column(f"n{k}")[0].as_py() if answers.num_rows else 0 for k in range(4)]
     order = np.argsort(answers.column("owner").to_numpy(), kind="stable")
     told = [unpacked(answers.column("counts")[int(k)].as_py()) for k in order]
     logs = []
@@ -182,10 +184,11 @@ def cross_entropy_difference(
     sent = rows.groupBy("part").cogroup(labels.groupBy("part")).applyInArrow(
         lambda key, d, w: key_messages(key[0].as_py(), d, w, bits), MESSAGE
     )
-    answers = checkpoint(sent.groupBy("owner").applyInArrow(answer_keys, ANSWER))
-    sums = answers.filter("part < 0").agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("words", "n0", "n1", "n2", "n3"))).first()
-    events, words = [sums[f"n{k}"] for k in range(4)], sums["words"] + 1
-    told = answers.filter("part >= 0").select("part", "owner", "counts")
+    answers = sent.groupBy("owner").applyInArrow(answer_keys, ANSWER)
+    columns = ("words", "n0", "n1", "n2", "n3")
+    # One row, which goes with every answer; the messages are exchanged once for both.
+    sums = answers.filter("part < 0").agg(F.struct(*(F.sum(c).alias(c) for c in columns)).alias("sums")).scalar()
+    told = answers.filter("part >= 0").select("part", "owner", "counts", sums.alias("sums")).select("part", "owner", "counts", "sums.*")
     return rows.groupBy("part").cogroup(told.groupBy("part")).applyInArrow(
-        lambda key, d, a: score_part(key[0].as_py(), d, a, words, events, smoothing), "doc_id long, n_events long, score double"
+        lambda key, d, a: score_part(key[0].as_py(), d, a, smoothing), "doc_id long, n_events long, score double"
     )
