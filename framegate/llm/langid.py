@@ -19,8 +19,6 @@ from framegate.llm.frames import fresh, only, with_text_columns
 #: Labelled rows per language that make its dictionary, and characters taken of each: the bounds of the training sample.
 SAMPLE_ROWS = 64
 SAMPLE_CHARS = 2_000
-#: Languages learned at most: those with the most labelled rows.
-MOST_LANGUAGES = 200
 LEVEL = 6
 PIECE_BYTES = 4_096
 SHORT_BYTES = 256
@@ -51,20 +49,24 @@ def held_out(id_col: str = "doc_id", folds: int = 5):
 def train(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS
 ) -> Languages:
-    """Dictionaries from at most `rows` labelled rows of each language, `chars` characters each, chosen by a hash of the id.
+    """Dictionaries from at most `rows` labelled rows of each language, chosen by a hash of the id.
 
+    Of a longer text, `chars` characters from a place that the hash names, anywhere in it. Every language is learned.
     Rows without id, text or language teach nothing; repeated ids count once. Without any labelled row there are no
-    languages. What reaches the driver is at most MOST_LANGUAGES x rows x chars characters.
+    languages. What reaches the driver is at most rows x chars characters of each language.
     """
     labelled = only(docs, doc_id=id_col, text=text_col, lang=lang_col).dropna().filter(~held_out("doc_id"))
-    sizes = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
+    sizes = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("count"), F.approx_count_distinct("doc_id").alias("ids")).collect()
+    sizes.sort(key=lambda r: (-r["count"], r["lang"]))
     if not sizes:
         return Languages([], [])
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))
     # twice the rows that are wanted of each language, about; a language's place in the hash range is a literal
-    reach = F.create_map(*(x for r in sizes for x in (F.lit(r["lang"]), F.lit(int(min(1.0, 2 * rows / r["count"]) * (1 << 40))))))
+    reach = F.create_map(*(x for r in sizes for x in (F.lit(r["lang"]), F.lit(int(min(1.0, 2 * rows / r["ids"]) * (1 << 40))))))
     some = labelled.withColumn("place", place).filter(F.col("place") < F.element_at(reach, F.col("lang")))
-    once = some.groupBy("lang", "place", "doc_id").agg(F.min(F.substring("text", 1, chars)).alias("text"))
+    at = 1 + F.pmod(F.xxhash64("doc_id", F.lit("at")), F.greatest(F.lit(1), F.length("text") - chars + 1))
+    piece = F.substring("text", at.cast("int"), F.lit(chars))
+    once = some.groupBy("lang", "place", "doc_id").agg(F.min(piece).alias("text"))
     first = once.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("place", "doc_id"))).filter(F.col("k") <= rows)
     found: dict[str, list[tuple[int, str]]] = {}
     for r in first.select("lang", "k", "text").collect():

@@ -61,3 +61,19 @@ def test_held_out_accuracy(spark):
     got = langid.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").filter("held_out").collect()
     assert sum(r.lang == r.lang_pred for r in got) >= 0.98 * len(got)
     assert sum(r.rejected for r in got) <= 0.01 * len(got)
+
+
+def test_every_language_is_learned(spark):
+    """More languages than any table of some hundred, and one whose rows are copies of few ids."""
+    texts = lambda k: f"{'qwrtzpsdfg'[k % 10]}{'aeiou'[k % 5]}{k} "
+    rows = [(i, texts(i % 300) * 20, f"l{i % 300:03}") for i in range(3_000)] + [(-1 - i % 6, "once again " * 9, "copied") for i in range(2_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert set(langid.train(docs).names) == {r[2] for r in rows}
+
+
+def test_samples_come_from_all_of_a_text(spark):
+    rows = [(i, "a" * 4_000 + "z" * 4_000, "x") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    learned = langid.train(docs).dictionaries[0].decode().split("\n")
+    assert len(learned) == langid.SAMPLE_ROWS and all(len(t) == langid.SAMPLE_CHARS for t in learned)
+    assert any(set(t) == {"a"} for t in learned) and any(set(t) == {"z"} for t in learned)
