@@ -3,9 +3,12 @@
 A point has a unique key, a vector, and a number of copies, so however many rows are equal they are one point here.
 Neighbours are ranked by distance, then key, and both ways of searching rank alike. Points of a proven small total size
 are compared in numpy against a broadcast matrix. Beyond that the points are cut into shards around pivots: every point
-searches its own shard, and its k-th distance then tells which other shards can still hold a nearer point (triangle
-inequality). Only those are searched, each by bounded groups, so the answer stays exact at any size. With many dimensions
-the inequality excludes little, and a point is sent to most of the shards.
+searches its own shard, and its k-th distance then tells which other shards can still hold a nearer point. Only those
+are searched, each by bounded groups, so the answer stays exact at any size. Two lower bounds exclude shards: the
+triangle inequality around pivots, and the distance to the box that a shard's points fill on a few orthogonal axes (the
+directions in which a sample of points varies most), with the length of what the axes leave over as one more side. The
+box still excludes where features are many and related and distances to pivots are all alike; where every direction
+varies as much as every other, neither does.
 """
 
 from __future__ import annotations
@@ -20,6 +23,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from framegate.functions.longform import scalar_struct
 from framegate.session import checkpoint
 
 # The functions below travel to the executors by value, which need not have this package installed.
@@ -31,6 +35,9 @@ BROADCAST_NUMBERS = 5_000_000
 # Pivots are drawn from the points, so dense regions get more of them and shards stay even.
 MAX_PIVOTS = 65_536
 SHARD_POINTS = 20_000
+# Directions of the boxes, and points that they are taken from. Any directions keep the answer exact.
+AXES = 8
+AXIS_POINTS = 4_096
 PAIR_BLOCK = 2_000_000
 
 RESULT = "key bigint, vec array<double>, n bigint, near array<array<double>>"
@@ -39,7 +46,7 @@ CANDIDATE = "key bigint, squared double, other bigint, other_vec array<double>,
 
 
 def nearest_neighbours(
-    points: DataFrame, k: int, *, broadcast_points: int = BROADCAST_POINTS, shard_points: int = SHARD_POINTS
+    points: DataFrame, k: int, *, broadcast_points: int = BROADCAST_POINTS, shard_points: int = SHARD_POINTS, axes: int = AXES
 ) -> DataFrame:
     """(key, vec, n) to (key, vec, n, near): the vectors of the k nearest other rows, nearest first.
 
@@ -52,7 +59,7 @@ def nearest_neighbours(
         raise ValueError(f"{k} neighbours need more than {k} points, got {size['rows'] or 0}")
     if size["n"] <= broadcast_points and size["n"] * size["d"] <= BROADCAST_NUMBERS:
         return _by_broadcast(points, k)
-    return _by_shards(points, k, size["n"], shard_points)
+    return _by_shards(points, k, size["n"], shard_points, axes)
 
 
 def _matrix(vectors: pd.Series) -> np.ndarray:
@@ -96,14 +103,37 @@ def _by_broadcast(points: DataFrame, k: int) -> DataFrame:
     return points.select("key", "vec", "n").mapInPandas(search, RESULT)
 
 
-def _by_shards(points: DataFrame, k: int, n: int, shard_points: int) -> DataFrame:
+def probes_per_point(points: DataFrame, k: int, *, shard_points: int = SHARD_POINTS, axes: int = AXES) -> DataFrame:
+    """(points, shards, probes): what the search by shards costs. `probes` is the mean of other shards a point is sent to."""
+    points = points if "n" in points.columns else points.withColumn("n", F.lit(1).cast("bigint"))
+    n = points.count()
+    _, sharded, _, probes = _probes(points, k, n, shard_points, axes)
+    shards = sharded.agg(F.count_distinct("cell", "shard").alias("shards"))
+    return shards.select(
+        F.lit(n).cast("bigint").alias("points"), "shards", (scalar_struct(probes.agg(F.count(F.lit(1)).alias("n")))["n"] / max(1, n)).alias("probes")
+    )
+
+
+def _directions(sample: np.ndarray, axes: int) -> np.ndarray:
+    """Orthonormal columns along which the sample varies most."""
+    centred = sample - sample.mean(axis=0)
+    if not axes or not np.isfinite(centred).all():
+        return np.zeros((sample.shape[1], 0))
+    _, spread, rows = np.linalg.svd(centred, full_matrices=False)
+    return rows[: min(axes, int((spread > 0).sum()))].T
+
+
+def _probes(points: DataFrame, k: int, n: int, shard_points: int, axes: int):
+    """(celled, sharded, own, probes): points with their cell, and shard; neighbours inside the own shard; other shards to search."""
     pivots = min(MAX_PIVOTS, max(1, math.ceil(n / shard_points)))
-    drawn = points.orderBy(F.xxhash64("key"), "key").limit(pivots).select("vec").collect()
-    centres = points.sparkSession.sparkContext.broadcast(np.array([r["vec"] for r in drawn], dtype=float))
+    drawn = points.orderBy(F.xxhash64("key"), "key").limit(max(pivots, AXIS_POINTS)).select("vec").collect()
+    sample = np.array([r["vec"] for r in drawn], dtype=float)
+    middle, turn = sample.mean(axis=0), _directions(sample, axes)
+    centres = points.sparkSession.sparkContext.broadcast((sample[:pivots], middle, turn))
 
     def distances(vectors: pd.Series) -> Iterator[tuple[slice, np.ndarray]]:
         """Distances to all pivots, a block of rows at a time."""
-        x, pivot = _matrix(vectors), centres.value
+        x, pivot = _matrix(vectors), centres.value[0]
         step = max(1, PAIR_BLOCK // len(pivot))
         for start in range(0, len(x), step):
             block = slice(start, start + step)
@@ -112,16 +142,33 @@ def _by_shards(points: DataFrame, k: int, n: int, shard_points: int) -> DataFram
                 squared += (x[block, j, None] - pivot[None, :, j]) ** 2
             yield block, np.sqrt(squared)
 
+    def places(vectors: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+        """Coordinates on the axes and the length of the rest; the length of the whole vector."""
+        _, middle, turn = centres.value
+        x = _matrix(vectors) - middle
+        on = x @ turn
+        rest = np.sqrt(((x - on @ turn.T) ** 2).sum(axis=1))
+        return np.column_stack([on, rest]), np.sqrt((x**2).sum(axis=1))
+
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for block, d in distances(batch["vec"]) if len(batch) else ():
+            if not len(batch):
+                continue
+            place, length = places(batch["vec"])
+            for block, d in distances(batch["vec"]):
                 cell = d.argmin(axis=1)
-                yield batch.iloc[block].assign(cell=cell.astype("int32"), gap=d[np.arange(len(d)), cell])
-
-    celled = checkpoint(points.select("key", "vec", "n").mapInPandas(assign, "key bigint, vec array<double>, n bigint, cell int, gap double"))
-    cells = {r["cell"]: r for r in celled.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("gap").alias("radius")).collect()}
+                found = batch.iloc[block].assign(cell=cell.astype("int32"), gap=d[np.arange(len(d)), cell], length=length[block])
+                yield found.assign(place=list(place[block]))
+
+    schema = "key bigint, vec array<double>, n bigint, cell int, gap double, length double, place array<double>"
+    placed = checkpoint(points.select("key", "vec", "n").mapInPandas(assign, schema))
+    sides = range(turn.shape[1] + 1)
+    ends = [f(F.col("place")[i]).alias(f"{name}{i}") for i in sides for name, f in (("low", F.min), ("high", F.max))]
+    measured = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("gap").alias("radius"), F.max("length").alias("length"), *ends)
+    # At most MAX_PIVOTS rows of 2 * AXES + 6 numbers.
+    cells = {r["cell"]: r for r in measured.collect()}
+    celled = placed.drop("length", "place")
     shards = {c: math.ceil(r["n"] / shard_points) for c, r in cells.items()}
-    radius = {c: r["radius"] for c, r in cells.items()}
     # At most MAX_PIVOTS rows of two integers.
     per_cell = F.broadcast(points.sparkSession.createDataFrame(list(shards.items()), "cell int, parts int"))
     sharded = celled.join(per_cell, "cell").withColumn("shard", F.pmod(F.xxhash64(F.lit(7), "key"), F.col("parts")).cast("int")).drop("parts")
@@ -135,18 +182,29 @@ def _by_shards(points: DataFrame, k: int, n: int, shard_points: int) -> DataFram
         "key", F.when(F.col("found") >= k, F.col("d")).otherwise(F.lit(float("inf"))).alias("reach")
     )
     known = sharded.join(reach, "key", "left").fillna(float("inf"), ["reach"])
+    column = lambda name: np.array([cells[c][name] for c in sorted(cells)], dtype=float)
+    order, parts = np.array(sorted(shards)), np.array([shards[c] for c in sorted(shards)])
+    boxes = points.sparkSession.sparkContext.broadcast(
+        (order, parts, column("radius"), column("length"), np.column_stack([column(f"low{i}") for i in sides]), np.column_stack([column(f"high{i}") for i in sides]))
+    )
 
     def probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        order = np.array(sorted(shards))
-        radii = np.array([radius[c] for c in order])
-        parts = np.array([shards[c] for c in order])
+        order, parts, radii, longest, low, high = boxes.value
         for batch in batches:
-            for block, d in distances(batch["vec"]) if len(batch) else ():
+            if not len(batch):
+                continue
+            place, length = places(batch["vec"])
+            for block, d in distances(batch["vec"]):
                 rows = batch.iloc[block]
+                around = d[:, order] - radii[None, :]
+                squared = np.zeros(around.shape)
+                for j in range(place.shape[1]):
+                    at = place[block, j, None]
+                    squared += np.maximum(0.0, np.maximum(low[None, :, j] - at, at - high[None, :, j])) ** 2
+                # A hair of slack keeps rounding, which grows with the numbers, from closing a shard too early.
                 reach_ = rows["reach"].to_numpy()[:, None]
-                # A hair of slack keeps rounding from closing a shard too early.
-                open_ = d[:, order] - radii[None, :] <= reach_ * (1 + 1e-9) + 1e-12
-                i, j = np.nonzero(open_)
+                slack = 1e-12 * (1 + length[block, None] + longest[None, :])
+                i, j = np.nonzero(np.maximum(around, np.sqrt(squared)) <= reach_ * (1 + 1e-9) + slack)
                 point, cell = np.repeat(i, parts[j]), np.repeat(j, parts[j])
                 shard = np.concatenate([np.arange(n) for n in parts[j]]) if len(j) else np.array([], dtype=int)
                 found = rows.iloc[point][["key", "vec"]].assign(cell=order[cell].astype("int32"), shard=shard.astype("int32"))
@@ -154,6 +212,11 @@ def _by_shards(points: DataFrame, k: int, n: int, shard_points: int) -> DataFram
                 yield found[~own]
 
     probes = checkpoint(known.mapInPandas(probe, "key bigint, vec array<double>, cell int, shard int"))
+    return celled, sharded, own, probes
+
+
+def _by_shards(points: DataFrame, k: int, n: int, shard_points: int, axes: int) -> DataFrame:
+    celled, sharded, own, probes = _probes(points, k, n, shard_points, axes)
     # Many points may ask for one shard: their groups are cut, and the shard is copied for each.
     load = probes.groupBy("cell", "shard").agg(F.count(F.lit(1)).alias("asked")).select(
         "cell", "shard", F.ceil(F.col("asked") / shard_points).cast("int").alias("copies")

@@ -16,7 +16,7 @@ from framegate.functions import nulls, status
 from framegate.functions.cumulative import running_totals
 from framegate.functions.hashing import row_hash
 from framegate.functions.longform import summarise
-from framegate.functions.neighbours import nearest_neighbours
+from framegate.functions.neighbours import nearest_neighbours, probes_per_point
 from framegate.functions.quantiles import exact_quantiles, quantile_frame
 from framegate.functions.special import f_tail, regularised_beta
 
@@ -152,6 +152,28 @@ def test_copies_are_the_nearest_neighbours(spark, mode):
     assert got == {1: [0.0, 0.0, 1.0, 5.0], 2: [0.0, 0.0, 0.0, 5.0], 3: [5.0, 6.0, 6.0, 6.0], 4: [6.0] * 4}
 
 
+def related_features(n=1500, seed=5):
+    """20 features that three hidden numbers move, with a little noise of their own, some of them large numbers."""
+    rng = random.Random(seed)
+    weights = [[rng.gauss(0, 1) for _ in range(3)] for _ in range(20)]
+    rows = []
+    for i in range(n):
+        hidden = [rng.gauss(i % 5, 1.0) for _ in range(3)]
+        rows.append((i, [1e6 * (j == 7) + sum(w * h for w, h in zip(weights[j], hidden)) + rng.gauss(0, 0.05) for j in range(20)]))
+    return rows
+
+
+def test_boxes_close_shards_of_many_features(spark):
+    points = related_features()
+    df = spark.createDataFrame(points, "key bigint, vec array<double>").repartition(4)
+    want = {r["key"]: r["near"] for r in nearest_neighbours(df, 5).collect()}
+    got = {r["key"]: r["near"] for r in nearest_neighbours(df, 5, broadcast_points=10, shard_points=40).collect()}
+    assert got == want
+    with_boxes, without = (probes_per_point(df, 5, shard_points=40, axes=a).first() for a in (8, 0))
+    assert with_boxes["points"] == 1500 and with_boxes["shards"] == without["shards"] > 30
+    assert with_boxes["probes"] < 0.7 * without["probes"]
+
+
 def test_neighbours_need_enough_points(spark):
     df = spark.createDataFrame([(1, [0.0]), (2, [1.0])], "key bigint, vec array<double>")
     with pytest.raises(ValueError):
