@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import functions as F
 
 from framegate.bindings.registry import FLAGGED, GAPS, MEASURES, flagged, gaps, joined, query, rounded, table
 from framegate.config import AnomalyConfig, DriftConfig, StatCheckConfig
+from framegate.functions.longform import summarise
 from framegate.functions.quantiles import exact_quantiles
 from framegate.functions.status import GateError, enforce, overall
-from framegate.operators import anomaly, distribution, drift, profiling
+from framegate.operators import anomaly, distribution, drift, profile_state, profiling
 from framegate.session import shared_dir
 from framegate.sources.writers import write_report
 
@@ -350,6 +352,42 @@ def drift_states(spark, d):
     return spark.createDataFrame([(k, drift.drift_state(*v)) for k, v in cases.items()], "case string, state string")
 
 
+_MERGED_SQL = " UNION ALL ".join(
+    f"""SELECT '{c}' AS feature, COUNT(*) AS rows, ROUND(1 - COUNT({c}) / COUNT(*), 9) AS missing_ratio, ROUND(CAST(AVG({c}) AS DOUBLE), 4) AS mean, ROUND(CAST(STDDEV_SAMP({c}) AS DOUBLE), 4) AS std,
+  CAST(MIN({c}) AS DOUBLE) AS low, CAST(MAX({c}) AS DOUBLE) AS high, TRUE AS distinct_within, TRUE AS ranks_within FROM gaps"""
+    for c in [*MEASURES, "l_suppkey"]
+)
+
+
+@query("profile_merged_slices", f"WITH {GAPS} {_MERGED_SQL}")
+def profile_merged_slices(spark, d):
+    """Seven slices of the items, one of them written twice, merged; sketches are held against exact counts and ranks."""
+    columns = [*MEASURES, "l_suppkey"]
+    rows = gaps(spark, d)
+    path = f"{shared_dir(spark)}/framegate/states-{uuid.uuid4().hex}"
+    for k in (1, 2, 3, 4, 5, 6, 7, 3):
+        profile_state.save_slice(rows.filter(F.col("l_linenumber") == k), path, f"line-{k}", columns)
+    states = profile_state.read_slices(spark, path)
+    ends = profile_state.merge_states(states).select("feature", "low", "high")
+    found = profile_state.profile_of(states).join(ends, "feature")
+    points = {r["feature"]: r for r in found.collect()}
+    exact = profiling.missing_and_unique(rows, columns).select("feature", F.col("unique_ratio").alias("exact_ratio"))
+    share = lambda c, p, low: F.avg((F.col(c) < p if low else F.col(c) <= p).cast("double"))
+    # The share of values below and up to a point holds its rank, give or take the error.
+    holds = lambda c: F.lit(True) if points[c]["p50"] is None else reduce(
+        lambda a, b: a & b,
+        [(share(c, points[c][n], True) <= q + 0.01) & (share(c, points[c][n], False) >= q - 0.01) for n, q in (("p01", 0.01), ("p50", 0.5), ("p99", 0.99))],
+    )
+    ranks = summarise(rows, columns, {"ranks_within": holds})
+    return rounded(
+        found.join(exact, "feature").join(ranks, "feature").select(
+            "feature", "rows", F.round("missing_ratio", 9).alias("missing_ratio"), F.round("mean", 4).alias("mean"), F.round("std", 4).alias("std"),
+            "low", "high", (F.abs(F.col("unique_ratio") / F.col("exact_ratio") - 1) <= 0.04).alias("distinct_within"), "ranks_within",
+        ),
+        9,
+    )
+
+
 @query("profile_as_baseline", f"WITH {GAPS} {_numeric_sql('gaps', MEASURES)}")
 def profile_as_baseline(spark, d):
     """A profile written as a JSON report and read again, as the next run's baseline is."""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from datetime import timedelta
 
 from pyspark.sql import functions as F
 
@@ -12,7 +13,7 @@ from framegate.config import AnomalyConfig
 from framegate.operators import anomaly, profiling
 from framegate.session import shared_dir
 from framegate.sources import event_store
-from framegate.streaming import inference
+from framegate.streaming import inference, panes
 
 
 def _event_stream(spark, d):
@@ -66,6 +67,55 @@ def stream_sliding_metrics(spark, d):
     return rounded(_plain_times(_collected(spark, stream, "sliding")))
 
 
+_PANE = timedelta(minutes=15)
+# Panes are closed by the watermark, windows by the end of the latest closed pane.
+_PANES_CLOSED = """c AS (SELECT MAX(TIME_BUCKET(INTERVAL 15 MINUTES, ts) + INTERVAL 15 MINUTES) AS closed FROM events
+  WHERE TIME_BUCKET(INTERVAL 15 MINUTES, ts) + INTERVAL 15 MINUTES <= (SELECT MAX(ts) FROM events) - INTERVAL 10 MINUTES)"""
+
+
+def _pane_windows(minutes: int, slide: int, measures: str, where: str = "TRUE") -> str:
+    return f"""SELECT '{minutes} by {slide}' AS shape, STRFTIME(s, '%Y-%m-%d %H:%M:%S') AS window_start, STRFTIME(s + INTERVAL {minutes} MINUTES, '%Y-%m-%d %H:%M:%S') AS window_end, {measures}
+FROM (SELECT TIME_BUCKET(INTERVAL {slide} MINUTES, ts) - o * INTERVAL {slide} MINUTES AS s, * FROM inferences, RANGE({minutes // slide}) r(o)), c
+WHERE s + INTERVAL {minutes} MINUTES <= closed AND {where} GROUP BY s"""
+
+
+_SHAPES = ((30, 15), (120, 60))
+_REQUESTS = """COUNT(*) AS requests, ROUND(COUNT(*) FILTER (status = 'success') / COUNT(*), 6) AS success_rate,
+  ROUND(SUM(latency_ms), 4) AS latency_sum, ROUND(QUANTILE_DISC(latency_ms, 0.95), 6) AS p95_latency_ms"""
+_PREDICTIONS = "COUNT(*) AS total_predictions, ROUND(AVG(prediction), 6) AS positive_prediction_rate, ROUND(AVG(probability), 6) AS average_probability, " + ", ".join(
+    f"ROUND(QUANTILE_DISC(probability, 0.{p}), 6) AS p{p}_probability" for p in (50, 90, 95)
+)
+
+
+def _from_panes(spark, d, name: str, merge):
+    """Windows of two shapes from the panes of one stream."""
+    closed = _collected(spark, panes.pane_stream(_event_stream(spark, d), pane=_PANE), name)
+    shaped = [
+        merge(closed, timedelta(minutes=m), timedelta(minutes=s), _PANE).select(F.lit(f"{m} by {s}").alias("shape"), "*") for m, s in _SHAPES
+    ]
+    return rounded(_plain_times(shaped[0].unionByName(shaped[1])))
+
+
+@query("stream_pane_requests", f"WITH {INFERENCES}, {_PANES_CLOSED} " + " UNION ALL ".join(_pane_windows(m, s, _REQUESTS) for m, s in _SHAPES))
+def stream_pane_requests(spark, d):
+    """The mean is compared as a sum: means of amounts with two digits often lie halfway between two rounded numbers."""
+    found = _from_panes(spark, d, "pane-requests", lambda *shape: _with_sum(panes.request_windows(*shape)))
+    return found.drop("avg_latency_ms")
+
+
+def _with_sum(windows):
+    return windows.withColumn("latency_sum", F.round(F.col("avg_latency_ms") * F.col("requests"), 4))
+
+
+@query(
+    "stream_pane_predictions",
+    f"WITH {INFERENCES}, {_PANES_CLOSED} "
+    + " UNION ALL ".join(_pane_windows(m, s, _PREDICTIONS, "event_type = 'single_inference' AND status = 'success'") for m, s in _SHAPES),
+)
+def stream_pane_predictions(spark, d):
+    return _from_panes(spark, d, "pane-predictions", panes.prediction_windows)
+
+
 @query(
     "stream_predictions",
     f"""WITH {INFERENCES}, w AS (SELECT DATE_TRUNC('hour', ts) AS window_start, DATE_TRUNC('hour', ts) + INTERVAL 1 HOUR AS window_end, COUNT(*) AS total_predictions,
