@@ -237,6 +237,21 @@ def corr_spearman(spark, d):
     return rounded(correlation.spearman_pairs(gaps(spark, d), MEASURES))
 
 
+_CYCLES = {f"c{i:02d}": f"CAST((o_orderkey * {7 * i + 3} + o_custkey * {i}) % {11 + 13 * i} AS DOUBLE)" for i in range(40)}
+
+
+@query(
+    "corr_spearman_wide",
+    f"""WITH w AS (SELECT o_orderkey AS id, {", ".join(f"{e} AS {c}" for c, e in _CYCLES.items())} FROM orders),
+l AS (SELECT id, f, RANK() OVER (PARTITION BY f ORDER BY v) + (COUNT(*) OVER (PARTITION BY f, v) - 1) / 2 AS r FROM (UNPIVOT w ON {", ".join(_CYCLES)} INTO NAME f VALUE v))
+SELECT a.f AS feature_a, b.f AS feature_b, ROUND(CORR(a.r, b.r), 6) AS corr FROM l a JOIN l b ON a.id = b.id AND a.f < b.f GROUP BY ALL""",
+)
+def corr_spearman_wide(spark, d):
+    """40 columns, so ranks return to rows in one exchange and all pairs are summed as matrices."""
+    wide = table(spark, d, "orders").select(*[F.expr(e).alias(c) for c, e in _CYCLES.items()])
+    return rounded(correlation.spearman_pairs(wide, list(_CYCLES)))
+
+
 _REDUNDANT = f"{GAPS}, b AS (SELECT l_quantity, l_extendedprice, l_tax, l_quantity * 2 + l_tax AS twice, l_extendedprice + l_quantity * 50 AS mixed FROM gaps)"
 _REDUNDANT_COLUMNS = ["l_quantity", "l_extendedprice", "l_tax", "twice", "mixed"]
 

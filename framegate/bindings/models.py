@@ -35,6 +35,16 @@ def stratified_folds(spark, d):
     return preparation.stratified_folds(_labelled_orders(spark, d), "y", ["o_orderkey"], portable=True)
 
 
+_BY_CUSTOMER = _LABELLED_ORDERS.replace("CAST(o_orderstatus = 'F' AS INTEGER) AS y", "NULLIF(o_custkey, 1) AS y")
+
+
+@query("folds_of_many_classes", f"WITH {_BY_CUSTOMER} SELECT o_orderkey, y, CASE WHEN y IS NOT NULL THEN CAST(rn >= n // 3 AS INTEGER) + CAST(rn >= 2 * n // 3 AS INTEGER) END AS fold FROM r")
+def folds_of_many_classes(spark, d):
+    """A class for every customer but the first, whose orders have none."""
+    orders = table(spark, d, "orders").select("o_orderkey", F.nullif("o_custkey", F.lit(1)).alias("y"))
+    return preparation.stratified_folds(orders, "y", ["o_orderkey"], 3, portable=True)
+
+
 @query(
     "fold_counts",
     """SELECT y, fold, (n // 5) + CAST(n % 5 > 0 AND (fold + 1) * n // 5 - fold * n // 5 > n // 5 AS INTEGER) AS rows FROM

@@ -97,7 +97,7 @@ def _pairs(df: DataFrame, pairs: Sequence[tuple[str, str]], values: Mapping[str,
     return reduce(DataFrame.unionByName, parts)
 
 
-# Distinct values of a column whose rank table may be sent to every executor (16 bytes each).
+# Distinct values of all columns together whose ranks may be sent to every executor (some 20 bytes each).
 BROADCAST_RANKS = 1_000_000
 
 
@@ -112,11 +112,12 @@ def spearman_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rank correlation of every pair over the rows where both values are present.
 
     Columns without missing values share one ranking: the distinct values of all of them are
-    counted in one scan and ranked together, and joined back on the value. Pairs with missing
+    counted in one scan and ranked together. Where they are few, counted, and the table is narrow, each
+    column looks its ranks up in a broadcast table; otherwise all values travel in long form, meet their
+    ranks in one join and return to their rows in one more exchange. Pairs with missing
     values are ranked on their own complete rows; these are counted per pair of values first, all
-    pairs in one scan, so repeated pairs travel once. A rank table is broadcast if the distinct
-    values it was counted to hold are few; otherwise the join is a sort-merge join, in which
-    adaptive execution splits a hot value.
+    pairs in one scan, so repeated pairs travel once. In joins that are not broadcast, adaptive
+    execution splits a hot value.
     """
     sizes = df.agg(
         F.count(F.lit(1)).alias("rows"), *[F.count(double_value(df, c)).alias(f"n{i}") for i, c in enumerate(columns)]
@@ -132,15 +133,26 @@ def spearman_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def _complete_ranks(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    values = {c: double_value(df, c) for c in columns}
-    counts = melt(df, values).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
-    ranks = checkpoint(average_ranks(counts, ["feature"]))
-    distinct = {r["feature"]: r["count"] for r in ranks.groupBy("feature").count().collect()}
-    ranked = df.select(*[v.alias(f"v{i}") for i, v in enumerate(values.values())])
-    for i, c in enumerate(columns):
-        own = ranks.filter(F.col("feature") == c).select(F.col("value").alias(f"v{i}"), F.col("rank").alias(f"r{i}"))
-        ranked = ranked.join(F.broadcast(own) if distinct.get(c, 0) <= BROADCAST_RANKS else own, f"v{i}").drop(f"v{i}")
-    return _pairs(ranked, list(combinations(columns, 2)), {c: F.col(f"r{i}") for i, c in enumerate(columns)})
+    values = [double_value(df, c).alias(f"v{i}") for i, c in enumerate(columns)]
+    wide = len(columns) >= WIDE_COLUMNS
+    # Rows get a number that must not change when a lost part of them is computed again.
+    kept = checkpoint(df.select(F.monotonically_increasing_id().alias("row"), *values)) if wide else df.select(*values)
+    numbered = F.posexplode(F.array(*[F.col(f"v{i}") for i in range(len(columns))])).alias("column", "value")
+    counts = kept.select(numbered).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    ranks = checkpoint(average_ranks(counts, ["column"]))
+    few = ranks.count() <= BROADCAST_RANKS
+    if few and not wide:
+        ranked = kept
+        for i in range(len(columns)):
+            own = ranks.filter(F.col("column") == i).select(F.col("value").alias(f"v{i}"), F.col("rank").alias(f"r{i}"))
+            ranked = ranked.join(F.broadcast(own), f"v{i}").drop(f"v{i}")
+        return _pairs(ranked, list(combinations(columns, 2)), {c: F.col(f"r{i}") for i, c in enumerate(columns)})
+    if not wide:
+        kept = checkpoint(kept.select(F.monotonically_increasing_id().alias("row"), "*"))
+    long = kept.select("row", numbered).join(F.broadcast(ranks) if few else ranks, ["column", "value"])
+    # A list has one entry for each column.
+    rows = long.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("column", "rank"))).alias("r"))
+    return _wide_pairs(rows, {c: F.col("r")[i]["rank"] for i, c in enumerate(columns)})
 
 
 def _gappy_ranks(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:

@@ -5,61 +5,86 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from framegate.functions.hashing import row_hash
+from framegate.functions.hashing import HASH_BITS, row_hash
 from framegate.functions.longform import summarise
 from framegate.functions.nulls import col, double_value
-from framegate.functions.quantiles import column_extent, order_statistics
+from framegate.session import checkpoint
 
 # -- exact stratified splits ----------------------------------------------------------------
 
-# Classes whose cut-offs are searched side by side, and up to which they become literals of a projection.
-CLASSES_AT_ONCE = 20
+# Classes up to which cut-offs become literals of a projection; more of them are a table that is joined.
+CLASSES_AS_LITERALS = 20
+# Bits of the hash that one pass tells apart, and rows of a table that may be sent to every executor (some tens of bytes each).
+PASS_BITS = 10
+BROADCAST_CLASSES = 500_000
 
 
-def _class_cutoffs(
-    df: DataFrame, target: str, hashed: Column, ranks: Callable[[int], Sequence[int]]
-) -> dict[object, list[float]]:
-    """Per class, the hash values with exactly `rank` rows of the class below them.
+def _class_cutoffs(df: DataFrame, target: str, hashed: Column, ranks: Callable[[Column], Sequence[Column]]) -> DataFrame:
+    """(class_, i, cutoff): the hash with exactly `ranks(rows of the class)[i]` rows of the class below it.
 
-    Found by counting (see `functions.quantiles`), so no class is ever sorted in one task; very
-    many classes take several rounds.
+    All classes are searched at once. A pass counts rows by class and the next bits of the hash and keeps, for each rank, the
+    bin that holds it; the next one looks only into these bins, until they hold one value. However large a class is, it
+    never meets in one task, and classes stay a table however many there are. A rank beyond the rows has no cut-off.
     """
-    labels = sorted(r[0] for r in df.select(col(target)).distinct().collect() if r[0] is not None)
-    out: dict[object, list[float]] = {}
-    for start in range(0, len(labels), CLASSES_AT_ONCE):
-        names = {f"h{i}": y for i, y in enumerate(labels[start : start + CLASSES_AT_ONCE])}
-        per_class = df.select(*[F.when(col(target) == F.lit(y), hashed).cast("double").alias(n) for n, y in names.items()])
-        extent = column_extent(per_class, list(names))
-        wanted = {n: list(ranks(extent[n].rows)) for n in names}
-        inside = {n: (extent[n], {r for r in wanted[n] if r < extent[n].rows}) for n in names}
-        found = order_statistics(per_class, {n: t for n, t in inside.items() if t[1]})
-        above_all = lambda n: extent[n].high + 1
-        out.update({names[n]: [found[n][r] if r in found.get(n, {}) else above_all(n) for r in wanted[n]] for n in names})
-    return out
-
-
-def _with_passed(df: DataFrame, target: str, hashed: Column, cutoffs: Mapping[object, Sequence[float]], name: str, final: Callable[[Column], Column]) -> DataFrame:
+    rows = df.select(col(target).alias("class_"), hashed.alias("h")).filter("class_ is not null")
+    shift, bins, left = HASH_BITS, None, 0
+    done: list[DataFrame] = []
+    while True:
+        before, shift = shift, max(0, shift - PASS_BITS)
+        inside = rows.withColumn("bin", F.shiftright("h", before))
+        if bins is not None:
+            inside = inside.join(_sent(bins.select("class_", "bin").distinct(), left), ["class_", "bin"])
+        cells = inside.groupBy("class_", "bin", F.shiftright("h", shift).alias("next")).agg(
+            F.count(F.lit(1)).alias("n"), F.min("h").alias("low"), F.max("h").alias("high")
+        )
+        # At most 2 ** PASS_BITS cells per class and bin reach these windows.
+        whole = Window.partitionBy("class_", "bin")
+        upto = whole.orderBy("next").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        cells = cells.withColumn("upto", F.sum("n").over(upto))
+        if bins is None:
+            numbered = F.array(*[F.struct(F.lit(i).alias("i"), r.cast("long").alias("rank")) for i, r in enumerate(ranks(F.col("rows")))])
+            asked = cells.withColumn("rows", F.sum("n").over(whole)).select("*", F.inline(numbered))
+        else:
+            asked = cells.join(_sent(bins, left), ["class_", "bin"])
+        found = asked.filter((F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("n"))).select(
+            "class_", "i", F.col("next").alias("bin"), (F.col("rank") - F.col("upto") + F.col("n")).alias("rank"), "low", "high"
+        )
+        found = checkpoint(found)
+        done.append(found.filter("low = high").select("class_", "i", F.col("low").alias("cutoff")))
+        bins = found.filter("low < high").select("class_", "i", "bin", "rank")
+        left = bins.count()
+        if not left:
+            return reduce(DataFrame.unionByName, done)
+
+
+def _sent(table: DataFrame, rows: int) -> DataFrame:
+    """Broadcast if counted to be small; otherwise a hot class is many keys, as the bins are keys as well."""
+    return F.broadcast(table) if rows <= BROADCAST_CLASSES else table
+
+
+def _with_passed(df: DataFrame, target: str, hashed: Column, cutoffs: DataFrame, name: str, final: Callable[[Column], Column]) -> DataFrame:
     """Adds `final` of how many of its class's cut-offs the row's hash reaches; NULL without a class.
 
     A few classes are literals in a projection; more are a small table that is joined.
     """
-    if len(cutoffs) <= CLASSES_AT_ONCE:
-        passed = F.lit(None).cast("int")
-        for y, values in cutoffs.items():
-            reached = sum(((hashed >= F.lit(int(v))).cast("int") for v in values), F.lit(0))
+    per_class = cutoffs.groupBy("class_").agg(F.array_sort(F.collect_list("cutoff")).alias("cutoffs_"))
+    few = per_class.limit(CLASSES_AS_LITERALS + 1).collect()
+    labelled = lambda passed: F.when(col(target).isNotNull(), passed)
+    if len(few) <= CLASSES_AS_LITERALS:
+        passed = F.lit(0)
+        for y, values in few:
+            reached = sum(((hashed >= F.lit(v)).cast("int") for v in values), F.lit(0))
             passed = F.when(col(target) == F.lit(y), reached).otherwise(passed)
-        return df.withColumn(name, final(passed))
-    spark, kind = df.sparkSession, df.schema[target].dataType.simpleString()
-    rows = [(y, [int(v) for v in values]) for y, values in cutoffs.items()]
-    small = spark.createDataFrame(rows, f"class_ {kind}, cutoffs_ array<bigint>")
-    reached = F.size(F.filter("cutoffs_", lambda c: hashed >= c))
-    joined = df.join(small, col(target) == F.col("class_"), "left")
-    passed = F.when(F.col("cutoffs_").isNotNull(), reached)
-    return joined.withColumn(name, final(passed)).drop("class_", "cutoffs_")
+        return df.withColumn(name, final(labelled(passed)))
+    per_class = checkpoint(per_class)
+    reached = F.size(F.filter(F.coalesce("cutoffs_", F.array().cast("array<bigint>")), lambda c: hashed >= c))
+    joined = df.join(_sent(per_class, per_class.count()), col(target) == F.col("class_"), "left")
+    return joined.withColumn(name, final(labelled(reached))).drop("class_", "cutoffs_")
 
 
 def stratified_split(
@@ -70,7 +95,7 @@ def stratified_split(
     Rows without a label get NULL. With few classes adding the column is a projection without a shuffle.
     """
     hashed = row_hash(keys, seed, portable)
-    cutoffs = _class_cutoffs(df, target, hashed, lambda n: [math.floor(n * test_share + 0.5)])
+    cutoffs = _class_cutoffs(df, target, hashed, lambda n: [F.floor(n * F.lit(float(test_share)) + 0.5)])
     return _with_passed(df, target, hashed, cutoffs, "is_test", lambda passed: passed == 0)
 
 
@@ -79,7 +104,7 @@ def stratified_folds(
 ) -> DataFrame:
     """Adds `fold` in 0…k-1; fold sizes differ by at most one within every class."""
     hashed = row_hash(keys, seed, portable)
-    cutoffs = _class_cutoffs(df, target, hashed, lambda n: [i * n // k for i in range(1, k)])
+    cutoffs = _class_cutoffs(df, target, hashed, lambda n: [F.call_function("div", n * i, F.lit(k)) for i in range(1, k)])
     return _with_passed(df, target, hashed, cutoffs, "fold", lambda passed: passed)
 
 

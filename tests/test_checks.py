@@ -283,6 +283,28 @@ def test_collinear_pair_and_gate(spark):
         correlation.correlation_pairs(df, CorrelationConfig(method="kendall"))
 
 
+@pytest.mark.parametrize("columns", [3, 45])
+@pytest.mark.parametrize("limit", [0, 1_000_000])
+def test_rank_correlation_by_any_path(spark, monkeypatch, columns, limit):
+    """Ties, a hot value, a constant column and both signs of zero; few or many columns, ranks sent or joined."""
+    monkeypatch.setattr(correlation, "BROADCAST_RANKS", limit)
+    rng = np.random.default_rng(3)
+    x = np.round(rng.normal(size=(200, columns)) * 3) + 0.0
+    x[:, 1] = np.where(rng.random(200) < 0.6, -0.0, x[:, 0])
+    x[:, 2] = 4.0
+    names = [f"c {i}" for i in range(columns)]
+    df = spark.createDataFrame([tuple(r) for r in x.tolist()], ", ".join(f"`{c}` double" for c in names)).repartition(3)
+    smaller = (x[None] < x[:, None]).sum(axis=1)
+    ranks = smaller + ((x[None] == x[:, None]).sum(axis=1) + 1) / 2
+    got = {(r["feature_a"], r["feature_b"]): r["corr"] for r in correlation.spearman_pairs(df, names).collect()}
+    assert len(got) == columns * (columns - 1) // 2
+    for (a, b), r in got.items():
+        i, j = names.index(a), names.index(b)
+        assert i < j and r == (None if 2 in (i, j) else pytest.approx(np.corrcoef(ranks[:, i], ranks[:, j])[0, 1]))
+    none = correlation.spearman_pairs(df.limit(0), names).collect()
+    assert all(r["corr"] is None for r in none)
+
+
 def test_correlation_is_pairwise_complete(spark):
     rows = [(1.0, 2.0), (2.0, None), (3.0, 7.0), (NAN, 4.0), (5.0, 1.0), (9.0, 9.0)]
     df = spark.createDataFrame(rows, "a double, b double")
