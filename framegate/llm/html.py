@@ -53,6 +53,11 @@ NAMED = frozenset(
     "comment comments commentlist disqus reply replies respond share sharing social related recommended widget toolbar pagination pager search login complementary contentinfo".split()
 )
 KEPT = frozenset("html body main article".split())
+#: A name that begins so tells what stands beside a box or not in it (with-sidebar, no-comments), not what the box is.
+BESIDE = frozenset("no non not with without has have".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: How sure it is that an element is furniture: not at all, by its names, by its tag.
+BY_NAME, BY_TAG = 1, 2
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)"
@@ -66,7 +71,7 @@ PART = re.compile(r"[A-Za-z]+|\d+")
 class Node:
     __slots__ = ("tag", "style", "kids", "text", "furniture")
 
-    def __init__(self, tag: str, style: str, furniture: bool):
+    def __init__(self, tag: str, style: str, furniture: int):
         self.tag, self.style, self.furniture = tag, style, furniture
         #: Blocks in page order: text or Node.
         self.kids: list = []
@@ -83,7 +88,7 @@ class Node:
 
 def parse(page: str) -> Node:
     """The block elements of a page; inline elements belong to the text of the block they stand in."""
-    root = Node("html", "", False)
+    root = Node("html", "", 0)
     stack = [root]
     at, n = 0, len(page)
 
@@ -123,9 +128,14 @@ def parse(page: str) -> Node:
                     stack[-1].text.append("\n")
                 continue
             stack[-1].end_block()
-            names = [x for m in NAME.finditer(attributes) for x in PART.findall((m[2] or m[3] or m[4] or "").lower())] if attributes.strip() else []
-            names = [x for x in names if not x.isdigit()]
-            node = Node(tag, f"{stack[-1].style}/{tag}" + "".join(f".{x}" for x in names), tag in FURNITURE or bool(NAMED.intersection(names)) and tag not in KEPT)
+            names, named = [], False
+            for m in NAME.finditer(attributes) if attributes.strip() else ():
+                for word in (m[2] or m[3] or m[4] or "").lower().split():
+                    parts = [x for x in PART.findall(word) if not x.isdigit()]
+                    names += parts
+                    named = named or bool(NAMED.intersection(parts)) and parts[0] not in BESIDE
+            furniture = BY_TAG if tag in FURNITURE else BY_NAME if named and tag not in KEPT else 0
+            node = Node(tag, f"{stack[-1].style}/{tag}" + "".join(f".{x}" for x in names), furniture)
             stack[-1].kids.append(node)
             stack.append(node)
         elif closing:
@@ -171,42 +181,66 @@ def features(page: str) -> set[tuple[int, int, int]]:
     return out
 
 
+def blocks(nodes: list[Node], low: set[int], sure: int, but: frozenset[Node] = frozenset()) -> list[tuple[str, str]]:
+    """(tag, text) of the blocks under `nodes` in page order, without those under `but`, furniture of at least `sure` and styles in `low`."""
+    out: list[tuple[str, str]] = []
+    todo: list = list(reversed(nodes))
+    while todo:
+        node = todo.pop()
+        if isinstance(node, tuple):
+            out.append(node)
+        elif node not in but and node.furniture < sure:
+            cut = value(node.style) in low
+            todo += [(node.tag, k) if isinstance(k, str) else k for k in reversed(node.kids) if not (cut and isinstance(k, str))]
+    return out
+
+
+def outermost(root: Node, tag: str, sure: int) -> list[Node]:
+    """The elements of a tag that stand in no other one and in no furniture."""
+    out, todo = [], [root]
+    while todo:
+        x = todo.pop()
+        if x.furniture >= sure:
+            continue
+        if x.tag == tag:
+            out.append(x)
+        else:
+            todo += [k for k in reversed(x.kids) if not isinstance(k, str)]
+    return out
+
+
 def main_text(page: str, low: set[int]) -> str:
-    """The article of a page without furniture and without branches of which every node is in `low`."""
-    root = parse(page)
+    """The article of a page without furniture and without text that stands in a style of `low`.
 
-    def articles(node: Node) -> list[Node]:
-        """The outermost article or main elements; main counts if no article is there."""
-        out, todo = [], [node]
+    Article elements hold it if one of them has a first-level heading, or if they have at least as much text as main (or the page,
+    where there is no main) has outside them; otherwise they are teasers, and it is what stands outside them. Where names leave
+    a page without article and main nothing but headings, a named box that has paragraphs is no furniture: the one
+    with most text counts.
+    """
+    root = parse(page)
+    articles, mains = outermost(root, "article", BY_NAME), outermost(root, "main", BY_NAME)
+    around = mains[:1] or [root]
+    found = blocks(articles, low, BY_NAME)
+    size = lambda rows: sum(len(text) for _, text in rows)
+    if not any(tag == "h1" for tag, _ in found):
+        outside = blocks(around, low, BY_NAME, frozenset(articles))
+        if not articles or size(outside) > size(found):
+            found = outside
+    if not articles and not mains and all(tag in HEADINGS for tag, _ in found):
+        named, todo = [], [root]
         while todo:
             x = todo.pop()
-            if x.furniture:
-                continue
-            if x.tag == "article":
-                out.append(x)
-            else:
+            if x.furniture == BY_NAME:
+                x.furniture = 0
+                named.append((x, blocks([x], low, BY_NAME)))
+                x.furniture = BY_NAME
+            elif not x.furniture:
                 todo += [k for k in reversed(x.kids) if not isinstance(k, str)]
-        return out
-
-    def first(node: Node, tag: str) -> list[Node]:
-        todo = [node]
-        while todo:
-            x = todo.pop()
-            if x.tag == tag:
-                return [x]
-            todo += [k for k in reversed(x.kids) if not isinstance(k, str)]
-        return []
-
-    out: list[str] = []
-    todo: list = list(reversed(articles(root) or first(root, "main") or [root]))
-    while todo:
-        node = todo.pop()
-        if isinstance(node, str):
-            out.append(node)
-        elif not node.furniture:
-            cut = value(node.style) in low
-            todo += [k for k in reversed(node.kids) if not (cut and isinstance(k, str))]
-    return " ".join(out)
+        named = [(x, rows) for x, rows in named if any(tag == "p" for tag, _ in rows)]
+        if named:
+            max(named, key=lambda n: size(n[1]))[0].furniture = 0
+            found = blocks([root], low, BY_NAME)
+    return " ".join(text for _, text in found)
 
 
 # Spark ----------------------------------------------------------------------------------------
@@ -256,8 +290,8 @@ def extract(
 ) -> DataFrame:
     """page_id, url and text of every row of `pages`.
 
-    The text is that of the article elements (else of main, else of the whole page) without furniture: menus, headers,
-    footers, sidebars, notices, adverts, forms, comments of readers, as tags and names tell, and without the styles that
+    The text is that of the article elements (of main or the whole page, where these hold no article, see `main_text`) without
+    furniture: menus, headers, footers, sidebars, notices, adverts, forms, comments of readers, as tags and names tell, and without the styles that
     at least `least_pages` pages of the host have and whose importance is below `least`. Character references are decoded, white space in a
     block becomes one space, blocks are joined by one space. Null or empty markup has no text; a null url is of a host of
     its own; repeated pages count as often as they are there. Rows are neither dropped nor merged, other columns not read.

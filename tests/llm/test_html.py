@@ -23,6 +23,24 @@ def test_articles():
     assert text("<article>" + "<div>" * 3000 + "deep") == "deep"
 
 
+def test_boxes_that_sound_like_furniture():
+    """Names that speak of what stands beside a box, teasers beside the text, and boxes that hold all a page says."""
+    text = lambda page: html.main_text(page, set())
+    long = "<p>The text of the page.</p><p>And more of it.</p>"
+    says = "The text of the page. And more of it."
+    assert text(f"<div class='content with-sidebar'>{long}</div><div class=sidebar>x</div>") == says
+    assert text(f"<div class='no-comments'>{long}</div>") == says
+    assert text(f"<h1>T</h1><div class='social-history'>{long}</div><div class=ad>buy</div><div class=cookies><p>ok?</p></div><footer><p>f</p></footer>") == "T " + says
+    assert text(f"<div class=post>{long}</div><article class=card>Teaser one</article><article class=card><h3>Two</h3></article>") == says
+    assert text(f"<main><div>{long}</div><article>Teaser</article></main><div>{long}{long}</div>") == says
+    # what is still furniture
+    assert text(f"<article><h1>T</h1><p>s</p></article><div class=box>{long}</div>") == "T s"
+    assert text(f"<article></article><div class=ad>{long}</div>") == "" and text("<nav>a</nav><div class=ad>buy</div>") == ""
+    assert text(f"<article><p>a</p><div class='reader-comments'>{long}</div></article>") == "a"
+    assert text(f"<div class=post>short</div><div class=comments>{long}</div>") == "short"
+    assert text("<article>" + "<p>x" * 40_000 + "</article>") == " ".join("x" * 40_000)
+
+
 def test_styles_of_a_site(spark):
     """A block that every page of a host has goes, wherever it stands; paragraphs stay, also those that some pages share."""
     page = lambda k: (
