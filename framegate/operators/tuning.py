@@ -352,12 +352,14 @@ def nested_grid_search(
     unknown = [g for g in grid if g not in names]
     if unknown:
         raise ValueError(f"Unknown grid parameters for {candidate.kind}: {unknown}")
+    # Written once: each point of each grid scans its rows many times over.
+    kept = checkpoint(folded.select(*[col(c) for c in dict.fromkeys([*features, label, "fold"])]))
     assembled = VectorAssembler(inputCols=list(features), outputCol="features").transform(
-        folded.withColumn(label, col(label).cast("double"))
+        kept.withColumn(label, col(label).cast("double"))
     )
     f1 = MulticlassClassificationEvaluator(labelCol=label, metricName="fMeasureByLabel", metricLabel=1.0)
     parts = []
-    for i in sorted(r[0] for r in folded.select("fold").distinct().collect() if r[0] is not None):
+    for i in sorted(r[0] for r in kept.select("fold").distinct().collect() if r[0] is not None):
         estimator = make_estimator(candidate, seed, label)
         builder = ParamGridBuilder()
         for g, values in grid.items():

@@ -39,6 +39,13 @@ def test_search_and_refit_work_features_out_once(spark):
     assert times.value <= 2 * 60
 
 
+def test_grid_search_works_features_out_once(spark):
+    rows, times = _counted(spark)
+    predicted = tuning.nested_grid_search(rows, ["a"], "y", _FOREST, {"max_depth": [1, 2]}, inner_folds=2)
+    assert predicted.count() == 60
+    assert times.value <= 2 * 60
+
+
 def test_equal_rows_of_a_bag_grow_as_one(spark, monkeypatch):
     rows = spark.range(400).select("id", F.array((F.col("id") % 4).cast("double")).alias("x"), (F.col("id") % 2).cast("int").alias("y"))
     seen = []
