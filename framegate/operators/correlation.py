@@ -43,8 +43,8 @@ def pearson_pairs(df: DataFrame, columns: Sequence[str], wide_columns: int = WID
     return _pairs(df, list(combinations(columns, 2)), values)
 
 
-def _wide_pairs(df: DataFrame, values: Mapping[str, Column]) -> DataFrame:
-    """All pairs in two scans: column means, then sums of products of the centred values.
+def _wide_pairs(df: DataFrame, values: Mapping[str, Column], mean: Sequence[float] | None = None) -> DataFrame:
+    """All pairs in two scans: column means (unless `mean` has them), then sums of products of the centred values.
 
     A task multiplies its batches as matrices (with a matrix of present values, so each pair counts its own
     complete rows) and hands on one row per pair.
@@ -52,7 +52,8 @@ def _wide_pairs(df: DataFrame, values: Mapping[str, Column]) -> DataFrame:
     names = list(values)
     d = len(names)
     table = df.select(*[v.alias(f"v{i}") for i, v in enumerate(values.values())])
-    mean = table.agg(*[F.coalesce(F.avg(f"v{i}"), F.lit(0.0)).alias(f"v{i}") for i in range(d)]).first()
+    if mean is None:
+        mean = table.agg(*[F.coalesce(F.avg(f"v{i}"), F.lit(0.0)).alias(f"v{i}") for i in range(d)]).first()
     centre = [float(m) if math.isfinite(m) else 0.0 for m in mean]
 
     def sums(batches):
@@ -112,9 +113,9 @@ def spearman_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rank correlation of every pair over the rows where both values are present.
 
     Columns without missing values share one ranking: the distinct values of all of them are
-    counted in one scan and ranked together. Where they are few, counted, and the table is narrow, each
-    column looks its ranks up in a broadcast table; otherwise all values travel in long form, meet their
-    ranks in one join and return to their rows in one more exchange. Pairs with missing
+    counted in one scan and ranked together. Where they are few, counted, each column looks its ranks up
+    in a broadcast table; otherwise all values travel in long form, meet their ranks in one join and
+    return to their rows in one more exchange. Pairs with missing
     values are ranked on their own complete rows; these are counted per pair of values first, all
     pairs in one scan, so repeated pairs travel once. In joins that are not broadcast, adaptive
     execution splits a hot value.
@@ -126,17 +127,16 @@ def spearman_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     gappy = [(a, b) for a, b in combinations(columns, 2) if a not in complete or b not in complete]
     parts = [_gappy_ranks(df, gappy[i : i + PAIRS_PER_SCAN]) for i in range(0, len(gappy), PAIRS_PER_SCAN)]
     if len(complete) > 1:
-        parts.append(_complete_ranks(df, complete))
+        parts.append(_complete_ranks(df, complete, sizes["rows"]))
     if not parts:
         return df.sparkSession.createDataFrame([], PAIR_SCHEMA)
     return reduce(DataFrame.unionByName, parts)
 
 
-def _complete_ranks(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def _complete_ranks(df: DataFrame, columns: Sequence[str], n: int) -> DataFrame:
     values = [double_value(df, c).alias(f"v{i}") for i, c in enumerate(columns)]
     wide = len(columns) >= WIDE_COLUMNS
-    # Rows get a number that must not change when a lost part of them is computed again.
-    kept = checkpoint(df.select(F.monotonically_increasing_id().alias("row"), *values)) if wide else df.select(*values)
+    kept = df.select(*values)
     numbered = F.posexplode(F.array(*[F.col(f"v{i}") for i in range(len(columns))])).alias("column", "value")
     counts = kept.select(numbered).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
     ranks = checkpoint(average_ranks(counts, ["column"]))
@@ -147,14 +147,38 @@ def _complete_ranks(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             own = ranks.filter(F.col("column") == i).select(F.col("value").alias(f"v{i}"), F.col("rank").alias(f"r{i}"))
             ranked = ranked.join(F.broadcast(own), f"v{i}").drop(f"v{i}")
         return _pairs(ranked, list(combinations(columns, 2)), {c: F.col(f"r{i}") for i, c in enumerate(columns)})
-    if not wide:
-        kept = checkpoint(kept.select(F.monotonically_increasing_id().alias("row"), "*"))
-    long = kept.select("row", numbered).join(F.broadcast(ranks) if few else ranks, ["column", "value"])
+    if few:
+        return _looked_up(kept, ranks, columns, n)
+    # Rows get a number that must not change when a lost part of them is computed again.
+    kept = checkpoint(kept.select(F.monotonically_increasing_id().alias("row"), "*"))
+    long = kept.select("row", numbered).join(ranks, ["column", "value"])
     # A list has one entry for each column.
     rows = long.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("column", "rank"))).alias("r"))
     return _wide_pairs(rows, {c: F.col("r")[i]["rank"] for i, c in enumerate(columns)})
 
 
+def _looked_up(kept: DataFrame, ranks: DataFrame, columns: Sequence[str], n: int) -> DataFrame:
+    """All pairs of complete columns v0, v1, … with few distinct values: rows stay where they are, and each looks its ranks
+    up in the sorted values of every column, at most BROADCAST_RANKS in all, that every executor holds."""
+    import numpy as np
+
+    table = ranks.select("column", "value", "rank").toPandas().sort_values(["column", "value"])
+    own = {int(c): (t["value"].to_numpy(), t["rank"].to_numpy()) for c, t in table.groupby("column")}
+    none = (np.zeros(0), np.zeros(0))
+    shared = kept.sparkSession.sparkContext.broadcast([own.get(i, none) for i in range(len(columns))])
+
+    def look_up(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            found = [rank[np.searchsorted(value, c.to_numpy(zero_copy_only=False))] for (value, rank), c in zip(shared.value, batch.columns)]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], names=batch.schema.names)
+
+    ranked = kept.mapInArrow(look_up, ", ".join(f"v{i} double" for i in range(len(columns))))
+    # Ranks of a complete column add up to n (n + 1) / 2, ties or not.
+    return _wide_pairs(ranked, {c: F.col(f"v{i}") for i, c in enumerate(columns)}, [(n + 1) / 2] * len(columns))
+
+
 def _gappy_ranks(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     both = [F.struct(F.lit(i).alias("pair"), double_value(df, a).alias("a"), double_value(df, b).alias("b")) for i, (a, b) in enumerate(pairs)]
     cells = checkpoint(

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from framegate.config import Candidate, SmoteConfig
 from framegate.functions import neighbours
-from framegate.operators import trees, tuning
+from framegate.operators import correlation, trees, tuning
 
 
 def _counted(spark, n=60):
@@ -61,3 +61,16 @@ def test_a_small_table_of_points_is_searched_by_many_tasks(spark, monkeypatch):
     near = neighbours.nearest_neighbours(points, 2)
     assert near.rdd.getNumPartitions() == 11
     assert {r["key"]: r["near"] for r in near.collect()}[50] == [[49.0], [51.0]]
+
+
+def test_ranks_of_wide_tables_with_few_values_are_looked_up_where_rows_lie(spark, monkeypatch):
+    names = [f"c{i:02d}" for i in range(correlation.WIDE_COLUMNS)]
+    rows = spark.range(300).select(*[((F.col("id") * (2 * i + 1)) % (5 + i) - 3).cast("double").alias(c) for i, c in enumerate(names)])
+    looked_up = correlation.spearman_pairs(rows, names)
+    assert "hashpartitioning(row#" not in looked_up._jdf.queryExecution().toString()
+    monkeypatch.setattr(correlation, "BROADCAST_RANKS", 0)
+    travelled = correlation.spearman_pairs(rows, names)
+    assert "hashpartitioning(row#" in travelled._jdf.queryExecution().toString()
+    got, want = ({(r["feature_a"], r["feature_b"]): r["corr"] for r in t.collect()} for t in (looked_up, travelled))
+    assert len(got) == 780 and got.keys() == want.keys()
+    assert all(got[p] is None if r is None else abs(got[p] - r) < 1e-9 for p, r in want.items())  # one column is constant
