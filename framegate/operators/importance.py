@@ -18,6 +18,8 @@ from framegate.operators.eda import binned_mutual_information
 
 # Deepest tree Spark grows; stands for "no limit".
 MAX_DEPTH = 30
+# Numbers that a task of a forest holds for its rows: a feature's bin, or a tree's draws of the row.
+TASK_NUMBERS = 50_000_000
 
 
 def feature_vectors(df: DataFrame, columns: Sequence[str], extra: Sequence[str] = ()) -> DataFrame:
@@ -60,10 +62,23 @@ def forest_importance(
         minInstancesPerNode=min_leaf,
         seed=seed,
     )
-    found = forest.fit(train.withColumn(target, col(target).cast("double"))).featureImportances
+    found = forest.fit(_dealt(train.withColumn(target, col(target).cast("double")), trees + len(columns))).featureImportances
     return {c: float(found[i]) for i, c in enumerate(columns)}
 
 
+def _dealt(train: DataFrame, numbers: int) -> DataFrame:
+    """Rows dealt out evenly, as soon as they are more than one task should hold.
+
+    A forest keeps `numbers` numbers for every row and reads them once a level. Rows of a file are few bytes, so a task that
+    reads a file's part would hold far more than that.
+    """
+    parts = -(-train.count() * numbers // TASK_NUMBERS)
+    if parts <= 1:
+        return train
+    parts = max(parts, train.sparkSession.sparkContext.defaultParallelism)
+    return train.withColumn("row_", F.monotonically_increasing_id()).repartition(parts, "row_").drop("row_")
+
+
 def importance_table(df: DataFrame, importances: Mapping[str, float]) -> DataFrame:
     table = literal_table(df, "feature", {c: {"importance": v} for c, v in importances.items()}, ["importance"])
     return table.orderBy(F.desc("importance"), "feature")

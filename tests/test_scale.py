@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from framegate.config import Candidate, SmoteConfig
 from framegate.functions import neighbours
-from framegate.operators import correlation, trees, tuning
+from framegate.operators import correlation, importance, trees, tuning
 
 
 def _counted(spark, n=60):
@@ -74,3 +74,15 @@ def test_ranks_of_wide_tables_with_few_values_are_looked_up_where_rows_lie(spark
     got, want = ({(r["feature_a"], r["feature_b"]): r["corr"] for r in t.collect()} for t in (looked_up, travelled))
     assert len(got) == 780 and got.keys() == want.keys()
     assert all(got[p] is None if r is None else abs(got[p] - r) < 1e-9 for p, r in want.items())  # one column is constant
+
+
+def test_rows_of_a_forest_are_dealt_out_by_what_a_task_holds(spark, monkeypatch):
+    from pyspark.ml.classification import RandomForestClassifier
+
+    seen, fit = [], RandomForestClassifier.fit
+    monkeypatch.setattr(RandomForestClassifier, "fit", lambda self, df, *a: seen.append(df.rdd.getNumPartitions()) or fit(self, df, *a))
+    monkeypatch.setattr(importance, "TASK_NUMBERS", 200, raising=False)
+    rows = spark.range(0, 400, 1, 2).select(F.col("id").cast("double").alias("a"), (F.col("id") % 2).cast("double").alias("b"), (F.col("id") % 2).cast("int").alias("y"))
+    found = importance.forest_importance(rows, "y", ["a", "b"], trees=3)
+    assert seen == [10]  # 400 rows of 5 numbers
+    assert found["b"] > found["a"]
