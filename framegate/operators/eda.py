@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from framegate.config import SkewConfig
 from framegate.functions.hashing import row_hash
-from framegate.functions.longform import melt, summarise
+from framegate.functions.longform import MAX_AGGREGATES, melt, rows_from, summarise, text
 from framegate.functions.nulls import clean_value, col, double_value, numeric_columns, ratio
 from framegate.functions.quantiles import column_extent, exact_quantiles
 from framegate.functions.special import f_tail
@@ -195,13 +196,7 @@ def binned_mutual_information(
     if cuts is None:
         probs = [k / bins for k in range(1, bins)]
         cuts = {c: [q for q in qs if q is not None] for c, qs in exact_quantiles(df, columns, probs).items()}
-    cells = {c: _bin_by_cuts(double_value(df, c), sorted(set(cuts[c]))) for c in columns}
-    cell = (
-        melt(df, cells, ids={"y": col(target)})
-        .filter("value is not null and y is not null")
-        .groupBy("feature", "value", "y")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    cell = _bin_counts(df, target, {c: sorted(set(cuts[c])) for c in columns})
     # Contingency counts: a window holds the classes of a bin, the bins of a class, or both.
     over = lambda *keys: F.sum("n").over(Window.partitionBy("feature", *keys))
     joined = cell.select(
@@ -212,9 +207,34 @@ def binned_mutual_information(
     return scores.orderBy(F.desc("score"), "feature")
 
 
-def _bin_by_cuts(v: Column, cuts: Sequence[float]) -> Column:
-    reached = sum(((v >= F.lit(float(c))).cast("int") for c in cuts), F.lit(0))
-    return F.when(v.isNotNull(), reached)
+def _bin_counts(df: DataFrame, target: str, cuts: Mapping[str, Sequence[float]]) -> DataFrame:
+    """(feature, value, y, n) of the bins and classes that occur; `value` is the number of cuts reached.
+
+    A row of a class counts how many values reach each cut, for all features in one scan, and a bin is a difference of two
+    such counts. Rows are not taken apart into one for each feature.
+    """
+    labelled = df.filter(col(target).isNotNull())
+    parts: list[list[str]] = [[]]
+    room = MAX_AGGREGATES
+    for c, marks in cuts.items():
+        if len(marks) + 1 > room and parts[-1]:
+            parts.append([])
+            room = MAX_AGGREGATES
+        parts[-1].append(c)
+        room -= len(marks) + 1
+    return reduce(DataFrame.unionByName, [_bin_counts_once(labelled, target, {c: cuts[c] for c in part}) for part in parts])
+
+
+def _bin_counts_once(labelled: DataFrame, target: str, cuts: Mapping[str, Sequence[float]]) -> DataFrame:
+    reached, rows = [], []
+    for i, (c, marks) in enumerate(cuts.items()):
+        v = double_value(labelled, c)
+        reached.append(F.count(v).alias(f"r{i}_0"))
+        reached += [F.count_if(v >= F.lit(float(m))).alias(f"r{i}_{j}") for j, m in enumerate(marks, 1)]
+        for j in range(len(marks) + 1):
+            n = f"r{i}_{j} - r{i}_{j + 1}" if j < len(marks) else f"r{i}_{j}"
+            rows.append({"feature": text(c), "value": str(j), "y": "y", "n": n})
+    return rows_from(labelled.groupBy(col(target).alias("y")).agg(*reached), rows).filter("n > 0")
 
 
 # -- missingness ----------------------------------------------------------------------------

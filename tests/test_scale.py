@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import math
+
+import pytest
 from pyspark.sql import functions as F
 
 from framegate.config import Candidate, SmoteConfig
 from framegate.functions import neighbours
-from framegate.operators import correlation, importance, trees, tuning
+from framegate.operators import correlation, eda, importance, trees, tuning
 
 
 def _counted(spark, n=60):
@@ -86,3 +89,22 @@ def test_rows_of_a_forest_are_dealt_out_by_what_a_task_holds(spark, monkeypatch)
     found = importance.forest_importance(rows, "y", ["a", "b"], trees=3)
     assert seen == [10]  # 400 rows of 5 numbers
     assert found["b"] > found["a"]
+
+
+def test_binned_information_counts_rows_as_they_are(spark, monkeypatch):
+    """No row is taken apart into one for each feature, and features of several scans score as those of one."""
+    rows = [(None, 1.0, "a"), (2.0, None, "b"), (float("nan"), 3.0, "a"), (4.0, 3.0, None), (5.0, 9.0, "b"), (5.0, 1.0, "b"), (7.0, -1.0, "a"), (float("inf"), 2.0, "c")]
+    df = spark.createDataFrame(rows * 2, "x double, `a.b` double, y string").withColumns({"empty": F.lit(None).cast("double"), "q'": F.lit(3)})
+    found = eda.binned_mutual_information(df, "y", ["x", "a.b", "empty", "q'"], cuts={"x": [5.0, 2.0, 5.0, 7.0], "a.b": [1.0, 2.0], "empty": [], "q'": [3.0]})
+    assert "Expand" not in found._jdf.queryExecution().optimizedPlan().toString()
+    scores = {r["feature"]: r["score"] for r in found.collect()}
+
+    def brute(at, cuts):
+        seen = [(sum(r[at] >= c for c in cuts), r[2]) for r in rows if r[at] is not None and r[at] == r[at] and r[2] is not None]
+        share = lambda test: sum(map(test, seen)) / len(seen)
+        return sum(share(lambda s: s == c) * math.log(share(lambda s: s == c) / share(lambda s: s[0] == c[0]) / share(lambda s: s[1] == c[1])) for c in set(seen))
+
+    assert scores == {"x": pytest.approx(brute(0, [2, 5, 7])), "a.b": pytest.approx(brute(1, [1, 2])), "q'": pytest.approx(0)}
+    monkeypatch.setattr(eda, "MAX_AGGREGATES", 5, raising=False)
+    apart = eda.binned_mutual_information(df, "y", ["x", "a.b", "q'"], cuts={"x": [5.0, 2.0, 7.0], "a.b": [1.0, 2.0], "q'": [3.0]})
+    assert {r["feature"]: r["score"] for r in apart.collect()} == pytest.approx(scores)
